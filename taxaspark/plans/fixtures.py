@@ -1,0 +1,146 @@
+"""Profile-shaped views over the driver's benchmark tables.
+
+The benchmark tables (orders, lineitem, part, supplier, events) are recast as
+the sample map, the five profile datasets (raw string form and staged form) and
+the accession dump, so that every query in this package runs on data whose
+size grows with the scale factor.  Each builder mirrors one view of
+FIXTURES.md §2; the oracle SQL in ``__spark_entry__`` uses the same views.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def _s(c) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def _md5(c: str) -> Column:
+    return F.md5(_s(c))
+
+
+class Fixtures:
+    """Lazily built fixture DataFrames over ``<sf_dir>/<table>.parquet``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def sample_map(self) -> DataFrame:
+        o = self.table("orders")
+        return o.select(
+            _md5("o_orderkey").alias("sample_id"),
+            F.concat(F.lit("ERR"), _s(F.lit(1000000) + F.col("o_orderkey"))).alias("run_ids"),
+            F.concat(F.lit("S"), _s("o_orderkey")).alias("sample_name"),
+            F.col("o_orderpriority").alias("study_name"),
+        )
+
+    @cached_property
+    def marker_abundance(self) -> DataFrame:
+        li = self.table("lineitem")
+        return li.select(
+            _md5("l_orderkey").alias("sample_id"),
+            F.concat(F.lit("M"), _s("l_partkey")).alias("marker_id"),
+            F.col("l_quantity").alias("abundance"),
+        )
+
+    @cached_property
+    def marker_presence(self) -> DataFrame:
+        li = self.table("lineitem")
+        return li.select(
+            _md5("l_orderkey").alias("sample_id"),
+            F.concat(F.lit("M"), _s("l_partkey")).alias("marker_id"),
+            F.when(F.col("l_discount") > 0.05, 1).otherwise(0).cast("bigint").alias("presence"),
+        )
+
+    @cached_property
+    def raw_rel_ab(self) -> DataFrame:
+        li = self.table("lineitem")
+        p = self.table("part")
+        j = li.join(p, li["l_partkey"] == p["p_partkey"])
+        ln = F.col("l_linenumber")
+        qty = F.col("l_quantity").cast("bigint")
+        return j.select(
+            _md5("l_orderkey").alias("sample_id"),
+            F.when(ln <= 2, F.concat(F.lit("k__"), F.col("p_type")))
+             .when(ln <= 4, F.concat(F.lit("k__"), F.col("p_type"), F.lit("|p__"), F.col("p_brand")))
+             .otherwise(F.concat(F.lit("k__"), F.col("p_type"), F.lit("|p__"), F.col("p_brand"),
+                                 F.lit("|s__"), F.col("p_name"))).alias("clade_name"),
+            _s("l_partkey").alias("clade_taxid"),
+            F.when(ln == 7, F.lit("n/a")).otherwise(_s(qty)).alias("relative_abundance"),
+            F.when(F.col("l_returnflag") == "R", F.lit("-")).otherwise(_s(qty + ln)).alias("coverage"),
+            _s(F.floor("l_extendedprice").cast("bigint")).alias("estimated_reads"),
+        )
+
+    @cached_property
+    def raw_unknown(self) -> DataFrame:
+        s = self.table("supplier")
+        return s.select(
+            _md5("s_suppkey").alias("sample_id"),
+            F.concat(F.lit("UNKNOWN_"), _s("s_nationkey")).alias("clade_name"),
+            _s("s_nationkey").alias("ncbi_tax_id"),
+            F.when(F.col("s_nationkey") == 3, F.lit("-"))
+             .otherwise(_s(F.col("s_nationkey") * 4)).alias("relative_abundance"),
+        )
+
+    @cached_property
+    def viruses(self) -> DataFrame:
+        e = self.table("events")
+        eid = F.col("event_id")
+        return e.select(
+            _md5("user_id").alias("sample_id"),
+            F.concat(F.lit("vg"), _s(eid % 97)).alias("mv_group_cluster"),
+            F.concat(F.lit("genome_"), _s(eid)).alias("genome_name"),
+            (F.lit(1000) + eid % 50000).cast("bigint").alias("length"),
+            (F.col("value") / 1000).alias("breadth_of_coverage"),
+            (eid % 1000).cast("bigint").alias("mapping_reads_count"),
+            F.col("value").alias("rpkm"),
+            (F.col("value") / 10).alias("depth_of_coverage_mean"),
+            (F.col("value") / 20).alias("depth_of_coverage_median"),
+            F.when(eid % 3 == 0, F.lit("unknown")).otherwise(F.lit("known")).alias("mv_group_type"),
+            F.col("event_type").alias("assigned_taxonomy"),
+            F.concat(F.lit("g"), _s(eid % 13)).alias("first_genome_in_cluster"),
+            F.col("props").alias("other_genomes_in_cluster"),
+        )
+
+    @cached_property
+    def raw_accessions(self) -> DataFrame:
+        o = self.table("orders")
+        return o.select(
+            F.concat(F.lit("ERR"), _s(F.lit(1000000) + F.col("o_orderkey"))).alias("Accession"),
+            F.concat(F.lit("ERA"), _s("o_custkey")).alias("Submission"),
+            F.when(F.col("o_orderstatus") == "P", F.lit("-")).otherwise(F.col("o_orderstatus")).alias("Status"),
+            _s("o_custkey").alias("Spots"),
+        )
+
+    # Staged forms (the stg_* tables) -------------------------------------
+
+    def staged(self, name: str) -> DataFrame:
+        from taxaspark import schemas
+        from taxaspark.operators.staging import stage
+        src = {
+            "marker_abundance": self.marker_abundance,
+            "marker_presence": self.marker_presence,
+            "marker_rel_ab_w_read_stats": self.raw_rel_ab,
+            "metaphlan_unknown_list": self.raw_unknown,
+            "metaphlan_viruses_list": self.viruses,
+        }[name]
+        return stage(src, schemas.DATASETS[name])
+
+    @cached_property
+    def rel_ab(self) -> DataFrame:
+        return self.staged("marker_rel_ab_w_read_stats")
+
+    @cached_property
+    def unknown(self) -> DataFrame:
+        return self.staged("metaphlan_unknown_list")

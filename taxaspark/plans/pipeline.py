@@ -1,0 +1,181 @@
+"""End-to-end jobs: raw files → staged tables → lookups → exports → catalog.
+
+Each step is a Spark job that writes a full-refresh Parquet table; later steps
+read the written tables, never the raw files again.  A lost executor only
+re-runs its tasks: the writers commit through Spark's output committer.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from taxaspark.operators.catalog import (
+    EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
+)
+from taxaspark.operators.checks import key_check, layer_counts
+from taxaspark.operators.staging import stage, write_table
+from taxaspark.plans.exports import export_dataset
+from taxaspark.schemas import (
+    ACCESSIONS_TABLE, DATASETS, DEFAULT_RUN_TAG, SAMPLE_MAP_TABLE, Dataset,
+)
+from taxaspark.sources.lookups import read_accessions, read_sample_map
+from taxaspark.sources.raw import dataset_glob, scan_ext, scan_src
+from taxaspark.sources.tables import table_path
+
+EXPORTED = ("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats", "metaphlan_viruses_list")
+
+
+@dataclass
+class Config:
+    raw_root: str                       # folder holding one sub-folder per sample
+    warehouse: str                      # where stg_* and lookup tables are written
+    export_root: str | None = None
+    sample_map_csv: str | None = None
+    accessions_path: str | None = None
+    catalog_out: str | None = None
+    run_tag: str = DEFAULT_RUN_TAG
+    layout: str = "local"               # or "range" (see operators.staging.cluster)
+    range_partitions: int | None = None
+    datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
+
+
+# Views (src_*) -----------------------------------------------------------
+
+def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
+    """Register lazy ``src_*`` temp views over the raw files (replaced if present)."""
+    views = {}
+    for name in cfg.datasets:
+        ds = DATASETS[name]
+        df = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+        df.createOrReplaceTempView(ds.src_view)
+        views[ds.src_view] = df
+    return views
+
+
+# J1-J5 / P2 ----------------------------------------------------------------
+
+def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
+    """Raw files of one dataset → ``stg_<name>`` table; returns its path."""
+    out = table_path(cfg.warehouse, ds.stg_table)
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+    write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
+    return out
+
+
+def stage_all(spark: SparkSession, cfg: Config) -> dict[str, str]:
+    """Stage every dataset; one narrow job each, no shuffle with the local layout."""
+    return {DATASETS[n].stg_table: stage_dataset(spark, cfg, DATASETS[n]) for n in cfg.datasets}
+
+
+def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundance") -> DataFrame:
+    """Row counts of ext / src / stg for one dataset (K1)."""
+    ds = DATASETS[name]
+    ext = scan_ext(spark, cfg.raw_root, ds, cfg.run_tag)
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+    stg = spark.read.parquet(table_path(cfg.warehouse, ds.stg_table))
+    return layer_counts([(ds.ext_table, ext), (ds.src_view, src), (ds.stg_table, stg)])
+
+
+# J6 / J7 / P3 --------------------------------------------------------------
+
+def load_sample_map(spark: SparkSession, csv_path: str, warehouse: str) -> DataFrame:
+    """Sample map CSV → ``src_sample_id_map`` table; returns its key check (K2)."""
+    out = table_path(warehouse, SAMPLE_MAP_TABLE)
+    read_sample_map(spark, csv_path).write.mode("overwrite").parquet(out)
+    return key_check(spark.read.parquet(out), "sample_id", "total_rows", "distinct_sample_ids")
+
+
+def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: bool = False,
+                    max_records_per_file: int = 2_000_000) -> DataFrame:
+    """Accession dump → snappy ``src_sra_accessions`` table; returns its key check.
+
+    All columns are written, so a malformed row fails this job.
+    """
+    out = table_path(warehouse, ACCESSIONS_TABLE)
+    (read_accessions(spark, path, multiline=multiline).write.mode("overwrite")
+        .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(out))
+    return key_check(spark.read.parquet(out), "Accession", "total_rows", "unique_accessions")
+
+
+def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
+    checks = {}
+    if cfg.sample_map_csv:
+        checks[SAMPLE_MAP_TABLE] = load_sample_map(spark, cfg.sample_map_csv, cfg.warehouse)
+    if cfg.accessions_path:
+        checks[ACCESSIONS_TABLE] = load_accessions(spark, cfg.accessions_path, cfg.warehouse)
+    return checks
+
+
+# X1-X4 ---------------------------------------------------------------------
+
+def export_all(spark: SparkSession, cfg: Config) -> dict[str, str]:
+    sample_map = spark.read.parquet(table_path(cfg.warehouse, SAMPLE_MAP_TABLE))
+    out = {}
+    for name in EXPORTED:
+        if name not in cfg.datasets:
+            continue
+        stg = spark.read.parquet(table_path(cfg.warehouse, DATASETS[name].stg_table))
+        path = f"{cfg.export_root.rstrip('/')}/{name}"
+        export_dataset(stg, sample_map, name, path)
+        out[name] = path
+    return out
+
+
+# K4-K7 / P4 ----------------------------------------------------------------
+
+def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
+    """Every ext_*, src_* and stg_* object of the pipeline, plus the lookups."""
+    entries = []
+    for name in cfg.datasets:
+        ds = DATASETS[name]
+        glob = dataset_glob(cfg.raw_root, ds)
+        entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag)
+                                  .drop("file_path", "sample_id"), path=cfg.raw_root,
+                                  external_config={"source_uris": [glob], "source_format": "CSV",
+                                                   "compression": "GZIP", "skip_leading_rows": ds.skip_rows,
+                                                   "field_delimiter": "\t"}))
+        entries.append(TableEntry(ds.src_view, VIEW, scan_src(spark, cfg.raw_root, ds, cfg.run_tag),
+                                  view_query=f"sample_id from path tag '{cfg.run_tag}' + {ds.ext_table}"))
+        stg_path = table_path(cfg.warehouse, ds.stg_table)
+        entries.append(TableEntry(ds.stg_table, TABLE, spark.read.parquet(stg_path), path=stg_path,
+                                  clustering_fields=["sample_id"]))
+    for name in (SAMPLE_MAP_TABLE, ACCESSIONS_TABLE):
+        p = table_path(cfg.warehouse, name)
+        try:
+            df = spark.read.parquet(p)
+        except Exception:
+            continue
+        entries.append(TableEntry(name, TABLE, df, path=p))
+    return entries
+
+
+def refresh_metadata(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
+    entries = catalog_entries(spark, cfg)
+    profile = table_profile(spark, entries)
+    schema = schema_catalog(spark, entries)
+    summary = catalog_summary(profile)
+    if cfg.catalog_out:
+        write_catalog_json(profile, summary, schema, cfg.catalog_out)
+    return {"profile": profile, "schema": schema, "summary": summary}
+
+
+def run_all(spark: SparkSession, cfg: Config) -> dict:
+    """P1: lookups, staging, layer check, catalog, exports."""
+    result = {"lookups": load_lookups(spark, cfg), "staged": stage_all(spark, cfg)}
+    result["layers"] = verify_layers(spark, cfg, cfg.datasets[0])
+    result["catalog"] = refresh_metadata(spark, cfg)
+    if cfg.export_root:
+        result["exports"] = export_all(spark, cfg)
+    return result
+
+
+def refresh_staging(spark: SparkSession, cfg: Config) -> dict:
+    """P2: staging plus the catalog."""
+    return {"staged": stage_all(spark, cfg), "catalog": refresh_metadata(spark, cfg)}
+
+
+def refresh_lookups(spark: SparkSession, cfg: Config) -> dict:
+    """P3: the two lookup tables."""
+    return load_lookups(spark, cfg)
