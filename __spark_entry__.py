@@ -29,9 +29,10 @@ from taxaspark.operators.staging import stage, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
 from taxaspark.plans.fixture_sql import with_views
-from taxaspark.plans.fixtures import Fixtures
+from taxaspark.plans.fixtures import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
 from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
+from taxaspark.sources.raw import scan_src
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -145,6 +146,27 @@ def j5(spark, sf):
     return _staged_roundtrip(spark, sf, "metaphlan_viruses_list")
 
 
+def _raw_stage_roundtrip(spark, sf, name):
+    """Raw per-sample gz TSVs (with header lines) → positional scan → stage → table."""
+    fx = Fixtures(spark, sf)
+    ds = schemas.DATASETS[name]
+    raw = {"metaphlan_unknown_list": fx.raw_unknown, "metaphlan_viruses_list": fx.viruses}[name]
+    root = scratch_path(spark, f"raw_{name}")
+    write_raw_dataset(raw, root, ds)
+    src = scan_src(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN)
+    out = scratch_path(spark, ds.stg_table)
+    write_table(stage(src, ds), out)
+    return spark.read.parquet(out)
+
+
+def j4_raw(spark, sf):
+    return _raw_stage_roundtrip(spark, sf, "metaphlan_unknown_list")
+
+
+def j5_raw(spark, sf):
+    return _raw_stage_roundtrip(spark, sf, "metaphlan_viruses_list")
+
+
 def j6(spark, sf):
     """Sample map written as CSV, loaded back through the lookup loader."""
     csv = scratch_path(spark, "sample_id_map_csv")
@@ -328,6 +350,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "J3_stage_marker_rel_ab": j3,
         "J4_stage_unknown_list": j4,
         "J5_stage_viruses_list": j5,
+        "J4r_raw_stage_unknown_list": j4_raw,
+        "J5r_raw_stage_viruses_list": j5_raw,
         "J6_load_sample_map": j6,
         "J7_load_accessions": j7,
         "X1_export_marker_abundance": x1,
@@ -440,11 +464,23 @@ select sample_id, clade_name, relative_abundance from {rel}
 where sample_id in (select sample_id from samples)
   and clade_name like 'k__%' and clade_name not like 'k__%|%'
 order by sample_id, relative_abundance desc nulls last""", rel),
+        "Q13_kingdom_wide": with_views(f"""
+, samples as (select distinct sample_id from {rel} order by sample_id limit 10)
+, long as (select sample_id, clade_name, relative_abundance from {rel}
+  where sample_id in (select sample_id from samples)
+    and clade_name like 'k__%' and clade_name not like 'k__%|%')
+select * from (pivot long on clade_name using sum(relative_abundance) group by sample_id)""", rel),
+        "F14_pivot_all_samples": with_views(f"""
+, long as (select sample_id, clade_name, relative_abundance from {rel}
+  where clade_name like 'k__%' and clade_name not like 'k__%|%')
+select * from (pivot long on clade_name using sum(relative_abundance) group by sample_id)""", rel),
         "J1_stage_marker_abundance": _stage_sql("stg_marker_abundance"),
         "J2_stage_marker_presence": _stage_sql("stg_marker_presence"),
         "J3_stage_marker_rel_ab": _stage_sql(rel),
         "J4_stage_unknown_list": _stage_sql("stg_metaphlan_unknown_list"),
         "J5_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
+        "J4r_raw_stage_unknown_list": _stage_sql("stg_metaphlan_unknown_list"),
+        "J5r_raw_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
         "J6_load_sample_map": with_views("select * from src_sample_id_map", "src_sample_id_map"),
         "J7_load_accessions": with_views("select * from src_sra_accessions", "src_sra_accessions"),
         "X1_export_marker_abundance": _export_sql("stg_marker_abundance", _cols("marker_abundance")),

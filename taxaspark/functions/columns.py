@@ -24,13 +24,15 @@ def sample_id_pattern(run_tag: str = DEFAULT_RUN_TAG) -> str:
     return f"/{re.escape(run_tag)}/([^/]+)/"
 
 
-def sample_id_from_path(path, run_tag: str = DEFAULT_RUN_TAG) -> Column:
+def sample_id_from_path(path, run_tag: str = DEFAULT_RUN_TAG, pattern: str | None = None) -> Column:
     """Path segment after ``/<run_tag>/``; NULL when the path has no such segment.
 
-    Spark's ``regexp_extract`` yields '' on no match, so ``nullif`` is needed for
-    the staging filter ``sample_id IS NOT NULL`` to drop such rows.
+    ``pattern`` (a regex with one group) replaces the run-tag rule.  Spark's
+    ``regexp_extract`` yields '' on no match, so ``nullif`` is needed for the
+    staging filter ``sample_id IS NOT NULL`` to drop such rows.
     """
-    return F.nullif(F.regexp_extract(_col(path), sample_id_pattern(run_tag), 1), F.lit(""))
+    rx = pattern or sample_id_pattern(run_tag)
+    return F.nullif(F.regexp_extract(_col(path), rx, 1), F.lit(""))
 
 
 def null_sentinel(c, sentinel: str = "-") -> Column:

@@ -144,3 +144,36 @@ class Fixtures:
     @cached_property
     def unknown(self) -> DataFrame:
         return self.staged("metaphlan_unknown_list")
+
+
+def write_raw_dataset(df: DataFrame, root: str, ds, header_lines: int | None = None) -> str:
+    """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
+
+    One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
+    ``ds.skip_rows`` header lines (all but the last begin with '#').  Read
+    them back with ``id_pattern=RAW_ID_PATTERN`` and ``paths=raw_glob(root)``.
+    Each sample's rows go to one task (hash exchange on ``sample_id``); the
+    header rows are made per sample with ``explode``, not a join.
+    """
+    n = ds.skip_rows if header_lines is None else header_lines
+    cols = [f.name for f in ds.raw_schema.fields]
+    data = df.select("sample_id", F.lit(0).alias("_ord"), *[F.col(c).cast("string").alias(c) for c in cols])
+    first_text = F.when(F.col("_ord") == -1, F.lit("\t".join(cols))) \
+        .otherwise(F.concat(F.lit("#header "), F.col("_ord").cast("string")))
+    heads = (df.select("sample_id").distinct()
+               .select("sample_id", F.explode(F.sequence(F.lit(-n), F.lit(-1))).alias("_ord"))
+               .select("sample_id", "_ord", first_text.alias(cols[0]),
+                       *[F.lit(None).cast("string").alias(c) for c in cols[1:]])) if n > 0 else None
+    rows = data if heads is None else data.unionByName(heads)
+    (rows.repartition("sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
+         .write.mode("overwrite").partitionBy("sample_id")
+         .option("sep", "\t").option("quote", '"').option("escape", '"')
+         .option("compression", "gzip").csv(root))
+    return root
+
+
+RAW_ID_PATTERN = r"/sample_id=([^/]+)/"
+
+
+def raw_glob(root: str) -> str:
+    return f"{root.rstrip('/')}/*/*.csv.gz"

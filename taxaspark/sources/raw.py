@@ -35,16 +35,18 @@ def dataset_glob(root: str, ds: Dataset) -> str:
 
 def scan_lines(spark: SparkSession, paths: str | list[str], skip_rows: int,
                run_tag: str = DEFAULT_RUN_TAG,
-               sample_ids: Iterable[str] | None = None) -> DataFrame:
+               sample_ids: Iterable[str] | None = None, id_pattern: str | None = None) -> DataFrame:
     """Data lines of every file after its first ``skip_rows`` lines.
 
     Columns: ``file_path``, ``sample_id`` (NULL when the path has no run tag),
     ``line``.  Blank lines (such as the one after a final newline) are dropped.
-    ``sample_ids`` restricts the read to those samples' files.
+    ``sample_ids`` restricts the read to those samples' files; ``id_pattern``
+    (regex, one group) overrides how the id is found in the path.
     """
-    files = spark.read.option("wholetext", True).text(paths)
+    # ``text()`` has its own ``wholetext`` argument, which overrides an option.
+    files = spark.read.text(paths, wholetext=True)
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
-    df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag))
+    df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
         df = df.where(F.col("sample_id").isin(list(sample_ids)))
     lines = F.split(F.col("value"), r"\r?\n")
@@ -65,14 +67,16 @@ def parse_lines(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
 
 
 def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
-             sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None) -> DataFrame:
+             sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
+             id_pattern: str | None = None) -> DataFrame:
     """The ``ext_*`` layer: raw typed rows plus their source ``file_path``."""
-    lines = scan_lines(spark, paths or dataset_glob(root, ds), ds.skip_rows, run_tag, sample_ids)
+    lines = scan_lines(spark, paths or dataset_glob(root, ds), ds.skip_rows, run_tag, sample_ids, id_pattern)
     return parse_lines(lines, ds.raw_schema, keep=("file_path", "sample_id"))
 
 
 def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
-             sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None) -> DataFrame:
+             sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
+             id_pattern: str | None = None) -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
-    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths)
+    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern)
     return ext.select("sample_id", *[f.name for f in ds.raw_schema.fields])
