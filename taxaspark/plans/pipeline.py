@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
@@ -80,15 +80,18 @@ def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundanc
 
 # J6 / J7 / P3 --------------------------------------------------------------
 
-def load_sample_map(spark: SparkSession, csv_path: str, warehouse: str) -> DataFrame:
-    """Sample map CSV → ``src_sample_id_map`` table; returns its key check (K2)."""
+def load_sample_map(spark: SparkSession, csv_path: str, warehouse: str) -> Row:
+    """Sample map CSV → ``src_sample_id_map`` table; returns its key check (K2).
+
+    The check is evaluated now (one row), so it stays valid after a later refresh.
+    """
     out = table_path(warehouse, SAMPLE_MAP_TABLE)
     read_sample_map(spark, csv_path).write.mode("overwrite").parquet(out)
-    return key_check(spark.read.parquet(out), "sample_id", "total_rows", "distinct_sample_ids")
+    return key_check(spark.read.parquet(out), "sample_id", "total_rows", "distinct_sample_ids").first()
 
 
 def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: bool = False,
-                    max_records_per_file: int = 2_000_000) -> DataFrame:
+                    max_records_per_file: int = 2_000_000) -> Row:
     """Accession dump → snappy ``src_sra_accessions`` table; returns its key check.
 
     All columns are written, so a malformed row fails this job.
@@ -96,10 +99,10 @@ def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: b
     out = table_path(warehouse, ACCESSIONS_TABLE)
     (read_accessions(spark, path, multiline=multiline).write.mode("overwrite")
         .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(out))
-    return key_check(spark.read.parquet(out), "Accession", "total_rows", "unique_accessions")
+    return key_check(spark.read.parquet(out), "Accession", "total_rows", "unique_accessions").first()
 
 
-def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
+def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, Row]:
     checks = {}
     if cfg.sample_map_csv:
         checks[SAMPLE_MAP_TABLE] = load_sample_map(spark, cfg.sample_map_csv, cfg.warehouse)
@@ -162,9 +165,12 @@ def refresh_metadata(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
 
 
 def run_all(spark: SparkSession, cfg: Config) -> dict:
-    """P1: lookups, staging, layer check, catalog, exports."""
+    """P1: lookups, staging, layer check, catalog, exports.
+
+    Check results come back evaluated (a few rows each); tables are paths.
+    """
     result = {"lookups": load_lookups(spark, cfg), "staged": stage_all(spark, cfg)}
-    result["layers"] = verify_layers(spark, cfg, cfg.datasets[0])
+    result["layers"] = verify_layers(spark, cfg, cfg.datasets[0]).orderBy("position").collect()
     result["catalog"] = refresh_metadata(spark, cfg)
     if cfg.export_root:
         result["exports"] = export_all(spark, cfg)
