@@ -19,6 +19,11 @@ def layer_counts(layers: list[tuple[str, DataFrame]]) -> DataFrame:
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
+    return with_dropped(counts)
+
+
+def with_dropped(counts: DataFrame) -> DataFrame:
+    """Add ``dropped`` = previous layer's ``num_rows`` − this layer's (a few rows only)."""
     w = Window.orderBy("position")
     return counts.withColumn("dropped", F.lag("num_rows").over(w) - F.col("num_rows"))
 

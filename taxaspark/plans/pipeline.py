@@ -10,18 +10,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
 )
-from taxaspark.operators.checks import key_check, layer_counts
+from taxaspark.operators.checks import key_check, with_dropped
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.plans.exports import export_dataset
 from taxaspark.schemas import (
     ACCESSIONS_TABLE, DATASETS, DEFAULT_RUN_TAG, SAMPLE_MAP_TABLE, Dataset,
 )
 from taxaspark.sources.lookups import read_accessions, read_sample_map
-from taxaspark.sources.raw import dataset_glob, scan_ext, scan_src
+from taxaspark.sources.raw import dataset_glob, dataset_lines, scan_ext, scan_src
 from taxaspark.sources.tables import table_path
 
 EXPORTED = ("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats", "metaphlan_viruses_list")
@@ -38,6 +39,7 @@ class Config:
     run_tag: str = DEFAULT_RUN_TAG
     layout: str = "local"               # or "range" (see operators.staging.cluster)
     range_partitions: int | None = None
+    listing: str = "glob"               # or "recursive" (see sources.raw.read_files)
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
@@ -48,7 +50,7 @@ def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]
     views = {}
     for name in cfg.datasets:
         ds = DATASETS[name]
-        df = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+        df = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
         df.createOrReplaceTempView(ds.src_view)
         views[ds.src_view] = df
     return views
@@ -59,7 +61,7 @@ def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]
 def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
     """Raw files of one dataset → ``stg_<name>`` table; returns its path."""
     out = table_path(cfg.warehouse, ds.stg_table)
-    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
     write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
     return out
 
@@ -70,12 +72,25 @@ def stage_all(spark: SparkSession, cfg: Config) -> dict[str, str]:
 
 
 def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundance") -> DataFrame:
-    """Row counts of ext / src / stg for one dataset (K1)."""
+    """Row counts of ext / src / stg for one dataset (K1).
+
+    ext and src hold the same rows (src only adds ``sample_id``), so one pass
+    over the raw lines counts both; no field is parsed for a count.  The stg
+    count comes from the written table.  ``expected_stg`` (rows with a sample
+    id) shows whether the staged table is current.
+    """
     ds = DATASETS[name]
-    ext = scan_ext(spark, cfg.raw_root, ds, cfg.run_tag)
-    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag)
+    lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
+    raw = lines.agg(F.count(F.lit(1)).alias("n"), F.count("sample_id").alias("keyed"))
+    raw_rows = raw.select(F.expr(
+        f"stack(2, 0, '{ds.ext_table}', n, cast(null as bigint), 1, '{ds.src_view}', n, keyed)"
+    ).alias("position", "layer", "num_rows", "expected_next"))
     stg = spark.read.parquet(table_path(cfg.warehouse, ds.stg_table))
-    return layer_counts([(ds.ext_table, ext), (ds.src_view, src), (ds.stg_table, stg)])
+    stg_row = stg.agg(F.count(F.lit(1)).alias("num_rows")).select(
+        F.lit(2).alias("position"), F.lit(ds.stg_table).alias("layer"), "num_rows",
+        F.lit(None).cast("bigint").alias("expected_next"))
+    return with_dropped(raw_rows.unionByName(stg_row)).withColumnRenamed("expected_next", "expected_stg") \
+        .select("position", "layer", "num_rows", "dropped", "expected_stg")
 
 
 # J6 / J7 / P3 --------------------------------------------------------------
@@ -134,12 +149,14 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
     for name in cfg.datasets:
         ds = DATASETS[name]
         glob = dataset_glob(cfg.raw_root, ds)
-        entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag)
+        entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag,
+                                                                   listing=cfg.listing)
                                   .drop("file_path", "sample_id"), path=cfg.raw_root,
                                   external_config={"source_uris": [glob], "source_format": "CSV",
                                                    "compression": "GZIP", "skip_leading_rows": ds.skip_rows,
                                                    "field_delimiter": "\t"}))
-        entries.append(TableEntry(ds.src_view, VIEW, scan_src(spark, cfg.raw_root, ds, cfg.run_tag),
+        entries.append(TableEntry(ds.src_view, VIEW, scan_src(spark, cfg.raw_root, ds, cfg.run_tag,
+                                                               listing=cfg.listing),
                                   view_query=f"sample_id from path tag '{cfg.run_tag}' + {ds.ext_table}"))
         stg_path = table_path(cfg.warehouse, ds.stg_table)
         entries.append(TableEntry(ds.stg_table, TABLE, spark.read.parquet(stg_path), path=stg_path,

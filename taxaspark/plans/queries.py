@@ -53,19 +53,22 @@ def sample_rows_for(stg: DataFrame, sample_id: str, limit: int | None = None) ->
 # Q2 / Q2b ------------------------------------------------------------------
 
 def top_markers_by_mean(abundance: DataFrame, k: int = 20, digits: int | None = 6) -> DataFrame:
-    """Markers ranked by mean abundance: sample count, mean, max, min."""
+    """Markers ranked by mean abundance: sample count, mean, max, min.
+
+    Ranked on the exact mean; ``digits`` only rounds the reported value.
+    """
     s = value_stats(abundance, "marker_id", "abundance", prefix="abundance")
+    top = s.orderBy(*nan_low("avg_abundance", ascending=False), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
-    s = s.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance", "min_abundance")
-    return s.orderBy(*nan_low("avg_abundance", ascending=False), "marker_id").limit(k)
+    return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance", "min_abundance")
 
 
 def top_markers_by_samples(abundance: DataFrame, k: int = 10, digits: int | None = 6) -> DataFrame:
     """Markers ranked by the number of samples that carry them."""
     s = value_stats(abundance, "marker_id", "abundance", prefix="abundance")
+    top = s.orderBy(F.desc("sample_count"), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
-    s = s.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance")
-    return s.orderBy(F.desc("sample_count"), "marker_id").limit(k)
+    return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance")
 
 
 # Q3 ------------------------------------------------------------------------
@@ -91,15 +94,15 @@ def samples_with_taxon(rel_ab: DataFrame, clade_like: str = "%Bacteroides%", thr
 
 def viral_summary(viruses: DataFrame, min_viruses: int = 5, k: int = 50, digits: int | None = 6) -> DataFrame:
     """Per sample: virus rows, total mapped reads, mean breadth of coverage."""
-    avg = F.avg("breadth_of_coverage")
-    if digits is not None:
-        avg = F.round(avg, digits)
     s = viruses.groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("viral_count"),
         F.sum("mapping_reads_count").cast("bigint").alias("total_viral_reads"),
-        avg.alias("avg_coverage"),
+        F.avg("breadth_of_coverage").alias("avg_coverage"),
     ).where(F.col("viral_count") > min_viruses)
-    return s.orderBy(F.desc("total_viral_reads"), "sample_id").limit(k)
+    top = s.orderBy(F.desc("total_viral_reads"), "sample_id").limit(k)
+    if digits is not None:
+        top = top.withColumn("avg_coverage", F.round("avg_coverage", digits))
+    return top
 
 
 # Q6 ------------------------------------------------------------------------
@@ -178,19 +181,37 @@ def sampled_scan(df: DataFrame, percent: float = 1.0, by_sample: bool = False,
 
 # Q12 / Q13 -----------------------------------------------------------------
 
+# Largest id list that is fetched to the driver and pushed down as ``IN``.
+MAX_ID_LIST = 10_000
+
+
 def first_samples(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` smallest distinct sample ids."""
     return df.select("sample_id").distinct().orderBy("sample_id").limit(n)
 
 
+def first_sample_ids(df: DataFrame, n: int) -> list[str]:
+    """The ``n`` smallest distinct sample ids as a list (at most ``MAX_ID_LIST``).
+
+    Only the ``sample_id`` column is scanned, with partial aggregation and a
+    top-n; the list is bounded by ``n``.
+    """
+    if n > MAX_ID_LIST:
+        raise ValueError(f"n must be at most {MAX_ID_LIST}; pass a DataFrame of ids instead")
+    return [r[0] for r in first_samples(df, n).collect()]
+
+
 def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
                              samples: SampleSet | None = None) -> DataFrame:
     """Kingdom-level rows (``k__X`` without deeper ranks) of ``n`` samples.
 
-    The sample list is computed inside the plan (first ``n`` ids) and joined
-    as a broadcast semi join; it never passes through the driver.
+    Like the two-step original (distinct ids, then ``IN UNNEST(ids)``): the
+    bounded list of the first ``n`` ids is fetched, then pushed to the scan as
+    ``IN`` so Parquet statistics and bloom filters on the clustered
+    ``sample_id`` skip all other row groups.  A DataFrame of ids is joined as
+    a (size-checked) broadcast semi join instead.
     """
-    chosen = samples if samples is not None else first_samples(rel_ab, n_samples)
+    chosen = samples if samples is not None else first_sample_ids(rel_ab, n_samples)
     data = rel_ab.where(F.col("clade_name").like(KINGDOM_ANY) & ~F.col("clade_name").like(KINGDOM_DEEPER))
     if isinstance(chosen, DataFrame):
         side, _ = bounded_broadcast(chosen.select("sample_id"))

@@ -1,6 +1,8 @@
 from taxaspark.sources.lookups import read_accessions, read_sample_map, widen_inferred  # noqa: F401
 from taxaspark.sources.raw import (  # noqa: F401
     dataset_glob,
+    dataset_lines,
+    read_files,
     parse_lines,
     scan_ext,
     scan_lines,

@@ -12,6 +12,7 @@ Limit: a single raw file must fit in one value (~2 GB uncompressed).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +34,60 @@ def dataset_glob(root: str, ds: Dataset) -> str:
     return f"{root.rstrip('/')}/*/{ds.path_tail}"
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str], skip_rows: int,
+LISTINGS = ("glob", "recursive")
+
+
+def _strip_scheme(path: str) -> str:
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return path
+
+
+def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob") -> DataFrame:
+    """One row per raw file of ``ds``: ``file_path`` and its whole text ``value``.
+
+    ``glob`` expands ``<root>/*/<tail>`` on the driver, one directory listing
+    per sample folder.  ``recursive`` lists ``root`` recursively with Spark's
+    parallel file listing (a distributed job above a few dozen folders),
+    keeps files named like the tail, then keeps only the exact
+    ``<root>/<one folder>/<tail>`` layout; that path filter is applied while
+    listing, so other files are never opened.  Prefer ``recursive`` for tens
+    of thousands of sample folders on object storage.
+    """
+    if listing not in LISTINGS:
+        raise ValueError(f"listing must be one of {LISTINGS}")
+    # ``text()`` has its own ``wholetext`` argument, which overrides an option.
+    if listing == "glob":
+        files = spark.read.text(dataset_glob(root, ds), wholetext=True)
+    else:
+        files = (spark.read.option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+                 .text(root, wholetext=True))
+    df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
+    if listing == "recursive":
+        layout = re.escape(_strip_scheme(root.rstrip("/"))) + "/[^/]+/" + re.escape(ds.path_tail) + "$"
+        df = df.where(F.col("file_path").rlike(layout))
+    return df
+
+
+def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,
                run_tag: str = DEFAULT_RUN_TAG,
                sample_ids: Iterable[str] | None = None, id_pattern: str | None = None) -> DataFrame:
     """Data lines of every file after its first ``skip_rows`` lines.
 
+    ``paths`` is a path / glob / list, or the result of ``read_files``.
     Columns: ``file_path``, ``sample_id`` (NULL when the path has no run tag),
     ``line``.  Blank lines (such as the one after a final newline) are dropped.
     ``sample_ids`` restricts the read to those samples' files; ``id_pattern``
     (regex, one group) overrides how the id is found in the path.
     """
-    # ``text()`` has its own ``wholetext`` argument, which overrides an option.
-    files = spark.read.text(paths, wholetext=True)
-    df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
+    if isinstance(paths, DataFrame):
+        df = paths
+    else:
+        # ``text()`` has its own ``wholetext`` argument, which overrides an option.
+        files = spark.read.text(paths, wholetext=True)
+        df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
         df = df.where(F.col("sample_id").isin(list(sample_ids)))
@@ -66,17 +108,25 @@ def parse_lines(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
                                                                for f in schema.fields])
 
 
+def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
+                  sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
+                  id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
+    """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``)."""
+    source = paths if paths is not None else read_files(spark, root, ds, listing)
+    return scan_lines(spark, source, ds.skip_rows, run_tag, sample_ids, id_pattern)
+
+
 def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None) -> DataFrame:
+             id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
     """The ``ext_*`` layer: raw typed rows plus their source ``file_path``."""
-    lines = scan_lines(spark, paths or dataset_glob(root, ds), ds.skip_rows, run_tag, sample_ids, id_pattern)
+    lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
     return parse_lines(lines, ds.raw_schema, keep=("file_path", "sample_id"))
 
 
 def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None) -> DataFrame:
+             id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
-    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern)
+    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
     return ext.select("sample_id", *[f.name for f in ds.raw_schema.fields])

@@ -68,8 +68,8 @@ def test_full_pipeline_twice(spark, tmp_dir):
     assert (acc.total_rows, acc.unique_accessions) == (2, 2)
 
     layers = [tuple(r) for r in r1["layers"]]
-    assert [(l, n) for _, l, n, _ in layers] == [
-        ("ext_marker_abundance", 6), ("src_marker_abundance", 6), ("stg_marker_abundance", 6)]
+    assert layers == [(0, "ext_marker_abundance", 6, None, None), (1, "src_marker_abundance", 6, 0, 6),
+                      (2, "stg_marker_abundance", 6, 0, None)]
 
     summary = r1["catalog"]["summary"].first()
     assert summary.total_tables == 17
@@ -90,6 +90,22 @@ def test_views_are_registered(spark, tmp_dir):
     assert (r.c, r.s) == (6, 3)
 
 
+def test_recursive_listing_matches_glob(spark, tmp_dir):
+    raw = make_tree(tmp_dir)
+    # a same-named file one level too deep must not be picked up
+    deep = os.path.join(raw, "aa01", "extra", schemas.MARKER_ABUNDANCE.path_tail)
+    os.makedirs(os.path.dirname(deep))
+    with gzip.open(deep, "wt") as f:
+        f.write("not\na\nprofile\n")
+    a = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wa", datasets=("marker_abundance",))
+    b = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wb", datasets=("marker_abundance",), listing="recursive")
+    P.stage_all(spark, a)
+    P.stage_all(spark, b)
+    ra = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/wa/stg_marker_abundance").collect()))
+    rb = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/wb/stg_marker_abundance").collect()))
+    assert ra == rb and len(ra) == 6
+
+
 def test_range_layout(spark, tmp_dir):
     raw = make_tree(tmp_dir)
     cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", layout="range", range_partitions=2,
