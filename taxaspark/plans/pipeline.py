@@ -40,6 +40,7 @@ class Config:
     layout: str = "local"               # or "range" (see operators.staging.cluster)
     range_partitions: int | None = None
     listing: str = "glob"               # or "recursive" (see sources.raw.read_files)
+    read_mode: str = "wholetext"        # or "lines" for raw files over ~2 GB (see sources.raw)
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
@@ -61,7 +62,7 @@ def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]
 def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
     """Raw files of one dataset → ``stg_<name>`` table; returns its path."""
     out = table_path(cfg.warehouse, ds.stg_table)
-    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
     write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
     return out
 
@@ -80,7 +81,7 @@ def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundanc
     id) shows whether the staged table is current.
     """
     ds = DATASETS[name]
-    lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
+    lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
     raw = lines.agg(F.count(F.lit(1)).alias("n"), F.count("sample_id").alias("keyed"))
     raw_rows = raw.select(F.expr(
         f"stack(2, 0, '{ds.ext_table}', n, cast(null as bigint), 1, '{ds.src_view}', n, keyed)"

@@ -71,6 +71,57 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
     return df
 
 
+def _number_lines(batches):
+    """Append ``_pos``, the 0-based line number of each row within its file.
+
+    Rows arrive in file order and every file is read whole by one task (the
+    caller guarantees non-splittable inputs), so a running count per path is
+    exact.  The state is one counter per file of this task.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    seen: dict[str, int] = {}
+    for batch in batches:
+        paths = batch.column(batch.schema.get_field_index("file_path")).to_pylist()
+        n = len(paths)
+        pos = np.empty(n, dtype=np.int64)
+        start = 0
+        while start < n:
+            p = paths[start]
+            end = start + 1
+            while end < n and paths[end] == p:
+                end += 1
+            base = seen.get(p, 0)
+            pos[start:end] = np.arange(base, base + end - start)
+            seen[p] = base + end - start
+            start = end
+        yield batch.append_column("_pos", pa.array(pos))
+
+
+def scan_lines_streamed(spark: SparkSession, paths: str | list[str], skip_rows: int,
+                        run_tag: str = DEFAULT_RUN_TAG, sample_ids: Iterable[str] | None = None,
+                        id_pattern: str | None = None) -> DataFrame:
+    """Same result as ``scan_lines`` for files of any size (no ~2 GB per-file cap).
+
+    Lines are read by the line-based text reader and numbered per file in one
+    Arrow pass.  Only gzip files are accepted: they are never split across
+    tasks, which the numbering relies on; any other file fails the job.
+    The sample filter sits below the Python step, so it still prunes files.
+    """
+    files = spark.read.text(paths)
+    df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
+    df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
+    if sample_ids is not None:
+        df = df.where(F.col("sample_id").isin(list(sample_ids)))
+    guard = F.when(F.col("file_path").endswith(".gz"), F.col("line")).otherwise(
+        F.raise_error(F.concat(F.lit("line mode needs .gz input: "), F.col("file_path"))))
+    df = df.select("file_path", "sample_id", guard.alias("line"))
+    numbered = df.mapInArrow(_number_lines, "file_path string, sample_id string, line string, _pos long")
+    return (numbered.where((F.col("_pos") >= skip_rows) & (F.col("line") != ""))
+                    .select("file_path", "sample_id", "line"))
+
+
 def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,
                run_tag: str = DEFAULT_RUN_TAG,
                sample_ids: Iterable[str] | None = None, id_pattern: str | None = None) -> DataFrame:
@@ -108,25 +159,37 @@ def parse_lines(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
                                                                for f in schema.fields])
 
 
+READ_MODES = ("wholetext", "lines")
+
+
 def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
                   sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-                  id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
-    """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``)."""
+                  id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
+    """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``).
+
+    ``mode='wholetext'`` (default) stays in the JVM; ``mode='lines'`` handles
+    files beyond the ~2 GB single-value limit (glob listing only).
+    """
+    if mode not in READ_MODES:
+        raise ValueError(f"mode must be one of {READ_MODES}")
+    if mode == "lines":
+        return scan_lines_streamed(spark, paths or dataset_glob(root, ds), ds.skip_rows, run_tag,
+                                   sample_ids, id_pattern)
     source = paths if paths is not None else read_files(spark, root, ds, listing)
     return scan_lines(spark, source, ds.skip_rows, run_tag, sample_ids, id_pattern)
 
 
 def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
     """The ``ext_*`` layer: raw typed rows plus their source ``file_path``."""
-    lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
+    lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
     return parse_lines(lines, ds.raw_schema, keep=("file_path", "sample_id"))
 
 
 def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "glob") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
-    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
+    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
     return ext.select("sample_id", *[f.name for f in ds.raw_schema.fields])

@@ -154,3 +154,23 @@ def test_accessions_short_row_fails(spark, tmp_dir):
         f.write("Accession\tStatus\tSpots\nERR1\tlive\t10\nERR2\tlive\n")
     with pytest.raises(Exception):
         read_accessions(spark, p).collect()
+
+
+def test_line_mode_equals_wholetext(spark, tmp_dir):
+    put(tmp_dir, "s1", AB, heads(4, hashed=False) + "#m1\t1\r\nm2\t2\n\n")
+    put(tmp_dir, "s2", AB, heads(4) + "".join(f"m{i}\t{i}\n" for i in range(5000)))
+    put(tmp_dir, "s3", AB, heads(2))
+    a = scan_src(spark, f"{tmp_dir}/cMDv4", AB)
+    b = scan_src(spark, f"{tmp_dir}/cMDv4", AB, mode="lines")
+    assert rows(a) == rows(b) and len(rows(b)) == 5002
+    c = scan_src(spark, f"{tmp_dir}/cMDv4", AB, mode="lines", sample_ids=["s1"])
+    assert rows(c) == [("s1", "#m1", 1.0), ("s1", "m2", 2.0)]
+
+
+def test_line_mode_refuses_splittable_files(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "cMDv4", "s1", "metaphlan_markers", "marker_abundance.tsv")
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as f:
+        f.write("#a\n#b\n#c\n#d\nm1\t1\n")
+    with pytest.raises(Exception, match="needs .gz"):
+        scan_src(spark, f"{tmp_dir}/cMDv4", AB, paths=p, mode="lines").collect()

@@ -106,3 +106,20 @@ def test_sample_list_from_dataframe_is_semi_join(spark):
     fx = Fixtures(spark, SF_SMALL)
     ids = fx.sample_map.where(F.col("study_name") == "5-LOW").select("sample_id")
     assert "LeftSemi" in plan(Q.marker_presence_comparison(fx.staged("marker_presence"), ids))
+
+
+def test_range_layout_splits_a_hot_sample(spark, tmp_dir):
+    import glob
+    import os
+
+    from taxaspark.session import local_path
+    hot = spark.range(200_000).select(F.lit("hot").alias("sample_id"), F.col("id").cast("string").alias("marker_id"))
+    cold = spark.range(1000).select(F.concat(F.lit("s"), F.col("id")).alias("sample_id"),
+                                    F.col("id").cast("string").alias("marker_id"))
+    p = f"{tmp_dir}/t"
+    write_table(hot.unionByName(cold), p, layout="range", partitions=8)
+    files = [f for f in glob.glob(os.path.join(local_path(p), "part-*.parquet"))]
+    back = spark.read.parquet(p)
+    assert back.count() == 201_000
+    hot_files = back.where(F.col("sample_id") == "hot").select(F.input_file_name()).distinct().count()
+    assert len(files) >= 4 and hot_files >= 4
