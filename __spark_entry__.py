@@ -25,6 +25,7 @@ from taxaspark.operators.catalog import (
 )
 from taxaspark.operators.checks import key_check, layer_counts
 from taxaspark.operators.joins import join_sample_map
+from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
@@ -318,9 +319,8 @@ def f13_distinct(spark, sf):
 
 def f14_pivot(spark, sf):
     """Kingdom rows of every sample, summed per cell, pivoted wide."""
-    rel = Fixtures(spark, sf).rel_ab
-    chosen = rel.select("sample_id").distinct()
-    return Q.kingdom_composition_wide(rel, cell="sum", samples=chosen)
+    long = Q.kingdom_rows(Fixtures(spark, sf).rel_ab).select("sample_id", "clade_name", "relative_abundance")
+    return pivot_wide(long, "sample_id", "clade_name", "relative_abundance", cell="sum")
 
 
 def entry(spark: SparkSession) -> DataFrame:

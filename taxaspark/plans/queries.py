@@ -201,6 +201,11 @@ def first_sample_ids(df: DataFrame, n: int) -> list[str]:
     return [r[0] for r in first_samples(df, n).collect()]
 
 
+def kingdom_rows(rel_ab: DataFrame) -> DataFrame:
+    """Rows at kingdom level only: ``k__X`` without a deeper rank."""
+    return rel_ab.where(F.col("clade_name").like(KINGDOM_ANY) & ~F.col("clade_name").like(KINGDOM_DEEPER))
+
+
 def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
                              samples: SampleSet | None = None) -> DataFrame:
     """Kingdom-level rows (``k__X`` without deeper ranks) of ``n`` samples.
@@ -212,7 +217,7 @@ def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
     a (size-checked) broadcast semi join instead.
     """
     chosen = samples if samples is not None else first_sample_ids(rel_ab, n_samples)
-    data = rel_ab.where(F.col("clade_name").like(KINGDOM_ANY) & ~F.col("clade_name").like(KINGDOM_DEEPER))
+    data = kingdom_rows(rel_ab)
     if isinstance(chosen, DataFrame):
         side, _ = bounded_broadcast(chosen.select("sample_id"))
         data = data.join(side, "sample_id", "left_semi")
