@@ -23,7 +23,7 @@ from taxaspark.functions.columns import lenient_double, lenient_long, null_senti
 from taxaspark.operators.catalog import (
     TABLE, TableEntry, catalog_summary, schema_catalog, table_listing, table_profile,
 )
-from taxaspark.operators.checks import key_check, layer_counts
+from taxaspark.operators.checks import key_check, layer_counts, preview
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.staging import stage, write_table
@@ -33,7 +33,7 @@ from taxaspark.plans.fixture_sql import with_views
 from taxaspark.plans.fixtures import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
 from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
-from taxaspark.sources.raw import scan_src
+from taxaspark.sources.raw import scan_ext, scan_src
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -238,6 +238,16 @@ def k2b(spark, sf):
     return key_check(acc, "Accession", "total_rows", "unique_accessions")
 
 
+def k3(spark, sf):
+    """Preview with provenance (file path, sample id) over the raw unknown-list files."""
+    fx = Fixtures(spark, sf)
+    ds = schemas.UNKNOWN_LIST
+    root = scratch_path(spark, "raw_preview")
+    write_raw_dataset(fx.raw_unknown, root, ds)
+    ext = scan_ext(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN)
+    return preview(ext, 3)
+
+
 _WAREHOUSES: dict[tuple, list] = {}
 
 
@@ -362,6 +372,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "K1_layer_counts": k1,
         "K2_key_check_map": k2,
         "K2b_key_check_accessions": k2b,
+        "K3_preview_with_provenance": k3,
         "K4_schema_catalog": k4,
         "K5_table_profile": k5,
         "K6_catalog_summary": k6,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,6 +69,3 @@ def local_path(path: str) -> str:
         return path[len("file:"):]
     return path
 
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:") or os.path.isabs(path)

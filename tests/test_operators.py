@@ -82,3 +82,11 @@ def test_catalog_profile_and_summary(spark, tmp_dir):
     cat = schema_catalog(spark, entries[:1]).collect()
     assert [(r.field_name, r.field_type, r.mode) for r in cat] == [
         ("sample_id", "STRING", "NULLABLE"), ("marker_id", "STRING", "NULLABLE"), ("abundance", "FLOAT", "NULLABLE")]
+
+
+def test_preview_puts_provenance_first(spark):
+    import __spark_entry__ as E
+    df = E.queries()["K3_preview_with_provenance"](spark, SF_SMALL)
+    rows = df.collect()
+    assert df.columns[:2] == ["file_path", "sample_id"] and len(rows) == 3
+    assert all(r.file_path.endswith(".csv.gz") and r.file_path.find(r.sample_id) > 0 for r in rows)
