@@ -122,28 +122,25 @@ def catalog_summary(profile: DataFrame) -> DataFrame:
 
     Errored tables count in ``total_tables`` only.  The prefix is the text
     before the first '_' plus '_'; the GB total is the sum of per-table rounded
-    GBs, rounded again.
+    GBs, rounded again.  One aggregation over the profile (one row per table);
+    the per-type and per-prefix counts are built from the collected names.
     """
-    ok = profile.where(F.col("error").isNull())
+    ok = F.col("error").isNull()
     prefix = F.concat(F.split(F.col("table_id"), "_").getItem(0), F.lit("_"))
-    by_type = ok.groupBy("table_type").agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("table_type", "n")))).alias("by_type"))
-    by_prefix = ok.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("prefix", "n")))).alias("by_prefix"))
-    totals = profile.agg(
+    agg = profile.agg(
         F.count(F.lit(1)).alias("total_tables"),
-        F.coalesce(F.sum(F.when(F.col("error").isNull(), F.col("num_rows"))), F.lit(0)).cast("bigint")
-         .alias("total_rows"),
-        F.round(F.coalesce(F.sum(F.when(F.col("error").isNull(), F.col("size_gb"))), F.lit(0.0)), 2)
-         .alias("total_size_gb"),
+        F.collect_list(F.when(ok, F.col("table_type"))).alias("_types"),
+        F.collect_list(F.when(ok, prefix)).alias("_prefixes"),
+        F.coalesce(F.sum(F.when(ok, F.col("num_rows"))), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.round(F.coalesce(F.sum(F.when(ok, F.col("size_gb"))), F.lit(0.0)), 2).alias("total_size_gb"),
     )
-    # Each side is a single row, so these joins pair one row with one row.
-    one = F.lit(1)
-    return (totals.withColumn("_k", one)
-            .join(by_type.withColumn("_k", one), "_k", "left")
-            .join(by_prefix.withColumn("_k", one), "_k", "left")
-            .drop("_k")
-            .select("total_tables", "by_type", "by_prefix", "total_rows", "total_size_gb"))
+
+    def counts(col: str):
+        keys = F.array_sort(F.array_distinct(F.col(col)))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.size(F.filter(F.col(col), lambda x: x == k))))
+
+    return agg.select("total_tables", counts("_types").alias("by_type"), counts("_prefixes").alias("by_prefix"),
+                      "total_rows", "total_size_gb")
 
 
 def table_listing(profile: DataFrame) -> DataFrame:

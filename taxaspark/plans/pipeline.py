@@ -57,6 +57,22 @@ def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]
     return views
 
 
+def register_tables(spark: SparkSession, warehouse: str) -> list[str]:
+    """Register every written ``stg_*`` table and lookup as a temp view of the same name.
+
+    SQL users then query them with ``spark.sql`` just as before; returns the names.
+    """
+    names = []
+    for name in [ds.stg_table for ds in DATASETS.values()] + [SAMPLE_MAP_TABLE, ACCESSIONS_TABLE]:
+        try:
+            df = spark.read.parquet(table_path(warehouse, name))
+        except Exception:  # not written (yet)
+            continue
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 # J1-J5 / P2 ----------------------------------------------------------------
 
 def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
