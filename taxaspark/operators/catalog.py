@@ -44,7 +44,7 @@ def type_name(dt: T.DataType) -> str:
 
 @dataclass
 class TableEntry:
-    """One catalog object.  ``df`` reads it; ``path`` holds its files (TABLE/EXTERNAL)."""
+    """One catalog object.  ``df`` reads it; ``path`` is its folder (TABLE) or file glob (EXTERNAL)."""
     table_id: str
     table_type: str
     df: DataFrame
@@ -70,9 +70,11 @@ def schema_catalog(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
-def files_bytes(spark: SparkSession, path: str, glob: str | None = None) -> int:
-    """Total bytes of the data files below ``path`` (no contents read)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+def files_bytes(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> int:
+    """Total bytes of the files below ``path`` (or matching a ``path`` glob); no contents read."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     row = reader.load(path).agg(F.sum("length").alias("b")).first()
@@ -93,20 +95,25 @@ PROFILE_SCHEMA = T.StructType([
 ])
 
 
-def table_profile(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
+def table_profile(spark: SparkSession, entries: list[TableEntry], count_external: bool = False) -> DataFrame:
     """Per table: type, field count, rows, bytes, GB, clustering, view query, scan config.
 
-    Views get NULL sizes.  A table whose profile fails gets an ``error`` and the
-    run goes on with the rest.
+    Views get NULL sizes.  External tables get their file bytes from the
+    listing; their row count (a full scan of the raw files) is NULL unless
+    ``count_external`` is set.  Table row counts come from Parquet footers.
+    A table whose profile fails gets an ``error`` and the run goes on.
     """
     rows = []
     for e in sorted(entries, key=lambda x: x.table_id):
         try:
             num_rows = num_bytes = size_gb = None
-            if e.table_type in (TABLE, EXTERNAL):
+            if e.table_type == TABLE or (e.table_type == EXTERNAL and count_external):
                 num_rows = e.df.count()
-                glob = "*.parquet" if e.table_type == TABLE else None
-                num_bytes = files_bytes(spark, e.path, glob) if e.path else None
+            if e.table_type in (TABLE, EXTERNAL):
+                if e.path and e.table_type == TABLE:
+                    num_bytes = files_bytes(spark, e.path, "*.parquet")
+                elif e.path:  # external: ``path`` is the dataset's file glob
+                    num_bytes = files_bytes(spark, e.path, recursive=False)
                 size_gb = round(num_bytes / 1024 ** 3, 2) if num_bytes else 0.0
             rows.append((e.table_id, e.table_type, len(e.df.schema.fields), num_rows, num_bytes, size_gb,
                          list(e.clustering_fields), e.view_query,

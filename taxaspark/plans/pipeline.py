@@ -168,7 +168,7 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
         glob = dataset_glob(cfg.raw_root, ds)
         entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag,
                                                                    listing=cfg.listing)
-                                  .drop("file_path", "sample_id"), path=cfg.raw_root,
+                                  .drop("file_path", "sample_id"), path=glob,
                                   external_config={"source_uris": [glob], "source_format": "CSV",
                                                    "compression": "GZIP", "skip_leading_rows": ds.skip_rows,
                                                    "field_delimiter": "\t"}))

@@ -15,17 +15,17 @@ def one_col(spark, values, ddl="x string"):
 
 
 def test_lenient_double(spark):
-    vals = ["1.5", "1.0d", "2F", "1e3", "inf", "NaN", "abc", "", None, "-"]
+    vals = ["1.5", "1.0d", "2F", "1e3", "inf", "NaN", "abc", "", None, "-", "3d\t", " 7.f ", "-Infinity"]
     got = [r[0] for r in one_col(spark, vals).select(lenient_double("x")).collect()]
     assert got[:5] == [1.5, None, None, 1000.0, float("inf")]
     assert math.isnan(got[5])
-    assert got[6:] == [None, None, None, None]
+    assert got[6:] == [None, None, None, None, None, None, float("-inf")]
 
 
 def test_lenient_long(spark):
-    vals = ["12", "1.5", "0x1F", "-0x10", "abc", "9223372036854775808", "1e3", None]
+    vals = ["12", "1.5", "0x1F", "-0x10", "abc", "9223372036854775808", "1e3", None, "\t-0X1a ", "x12"]
     got = [r[0] for r in one_col(spark, vals).select(lenient_long("x")).collect()]
-    assert got == [12, None, 31, -16, None, None, None, None]
+    assert got == [12, None, 31, -16, None, None, None, None, -26, None]
 
 
 def test_typed_input_is_passed_through(spark):

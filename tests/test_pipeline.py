@@ -71,6 +71,11 @@ def test_full_pipeline_twice(spark, tmp_dir):
     assert layers == [(0, "ext_marker_abundance", 6, None, None), (1, "src_marker_abundance", 6, 0, 6),
                       (2, "stg_marker_abundance", 6, 0, None)]
 
+    prof = {r.table_id: r for r in r1["catalog"]["profile"].collect()}
+    ext = prof["ext_marker_abundance"]
+    raw_bytes = sum(os.path.getsize(os.path.join(raw, s, schemas.MARKER_ABUNDANCE.path_tail)) for s in SAMPLES)
+    assert ext.num_rows is None and ext.num_bytes == raw_bytes
+    assert prof["stg_marker_abundance"].num_rows == 6
     summary = r1["catalog"]["summary"].first()
     assert summary.total_tables == 17
     assert summary.by_type == {"EXTERNAL": 5, "TABLE": 7, "VIEW": 5}
