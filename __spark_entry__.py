@@ -275,11 +275,21 @@ def k4(spark, sf):
 
 
 def k5(spark, sf):
-    return table_profile(spark, _fixture_catalog(spark, sf)).drop("num_bytes", "size_gb")
+    """Profile of the staged tables; byte sizes depend on the writer, so they are left out."""
+    prof = table_profile(spark, _fixture_catalog(spark, sf))
+    return prof.select("table_id", "table_type", "num_fields", "num_rows",
+                       F.array_join("clustering_fields", ",").alias("clustering_fields"),
+                       "view_query", "external_config", "error")
 
 
 def k6(spark, sf):
-    return catalog_summary(table_profile(spark, _fixture_catalog(spark, sf))).drop("total_size_gb")
+    """Catalog summary; the per-type / per-prefix maps are shown as their entries."""
+    s = catalog_summary(table_profile(spark, _fixture_catalog(spark, sf)))
+    return s.select("total_tables", "total_rows",
+                    F.col("by_type").getItem("TABLE").alias("tables"),
+                    F.col("by_prefix").getItem("stg_").alias("stg_tables"),
+                    F.col("by_prefix").getItem("src_").alias("src_tables"),
+                    F.size("by_type").alias("n_types"), F.size("by_prefix").alias("n_prefixes"))
 
 
 def k7(spark, sf):
@@ -415,6 +425,21 @@ def _catalog_rows() -> str:
     return ",\n".join(rows)
 
 
+def _profile_sql() -> str:
+    """Expected profile rows of the fixture warehouse (five staged tables and the map)."""
+    views = [ds.stg_table for ds in schemas.DATASETS.values()] + [schemas.SAMPLE_MAP_TABLE]
+    parts = []
+    for v in views:
+        n_fields = (len(MAP_COLS) if v == schemas.SAMPLE_MAP_TABLE
+                    else len(schemas.DATASETS[v[len("stg_"):]].staged_schema().fields))
+        clustering = "'sample_id'" if v.startswith("stg_") else "''"
+        parts.append(f"select '{v}' as table_id, 'TABLE' as table_type, {n_fields} as num_fields, "
+                     f"(select count(*) from {v}) as num_rows, {clustering} as clustering_fields, "
+                     f"cast(null as varchar) as view_query, cast(null as varchar) as external_config, "
+                     f"cast(null as varchar) as error")
+    return with_views("\nunion all\n".join(parts), *views)
+
+
 def oracle_sql() -> dict[str, str]:
     ids = _sql_list(CHOSEN_SAMPLES)
     rel = "stg_marker_rel_ab_w_read_stats"
@@ -517,6 +542,19 @@ from raw_accessions""", "raw_accessions"),
 select * from (values
 {_catalog_rows()}
 ) as t(table_id, position, field_name, field_type, mode)""",
+        "K5_table_profile": _profile_sql(),
+        "K6_catalog_summary": f"""
+with p as ({_profile_sql()})
+select cast(count(*) as bigint) as total_tables, cast(sum(num_rows) as bigint) as total_rows,
+       cast(count(*) filter (where table_type = 'TABLE') as bigint) as tables,
+       cast(count(*) filter (where table_id like 'stg\\_%' escape '\\') as bigint) as stg_tables,
+       cast(count(*) filter (where table_id like 'src\\_%' escape '\\') as bigint) as src_tables,
+       cast(count(distinct table_type) as integer) as n_types,
+       cast(count(distinct split_part(table_id, '_', 1)) as integer) as n_prefixes
+from p""",
+        "K7_table_listing": f"""
+with p as ({_profile_sql()})
+select table_id, table_type, num_rows, error from p""",
         "C1_sample_id_from_path": """
 with p as (
   select concat('gs://bucket/results/', case when l_linenumber = 3 then 'other' else 'cMDv4' end, '/',
