@@ -144,7 +144,8 @@ def catalog_summary(profile: DataFrame) -> DataFrame:
 
     def counts(col: str):
         keys = F.array_sort(F.array_distinct(F.col(col)))
-        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.size(F.filter(F.col(col), lambda x: x == k)).cast("bigint")))
+        n = F.transform(keys, lambda k: F.size(F.filter(F.col(col), lambda x: x == k)).cast("bigint"))
+        return F.map_from_arrays(keys, n)
 
     return agg.select("total_tables", counts("_types").alias("by_type"), counts("_prefixes").alias("by_prefix"),
                       "total_rows", "total_size_gb")

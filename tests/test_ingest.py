@@ -174,3 +174,15 @@ def test_line_mode_refuses_splittable_files(spark, tmp_dir):
         f.write("#a\n#b\n#c\n#d\nm1\t1\n")
     with pytest.raises(Exception, match="needs .gz"):
         scan_src(spark, f"{tmp_dir}/cMDv4", AB, paths=p, mode="lines").collect()
+
+
+def test_raw_round_trip_of_whole_rel_ab_table(spark, tmp_dir):
+    """Every sample of the sf0.001 rel_ab view as a raw file, then the staging path."""
+    from conftest import SF_SMALL
+    from taxaspark.plans.fixtures import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
+    fx = Fixtures(spark, SF_SMALL)
+    root = f"{tmp_dir}/raw"
+    write_raw_dataset(fx.raw_rel_ab, root, REL)
+    for mode in ("wholetext", "lines"):
+        st = stage(scan_src(spark, root, REL, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN, mode=mode), REL)
+        assert st.exceptAll(fx.rel_ab).count() == 0 and fx.rel_ab.exceptAll(st).count() == 0
