@@ -14,6 +14,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from taxaspark import schemas
+from taxaspark.operators.staging import stage
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -126,8 +129,6 @@ class Fixtures:
     # Staged forms (the stg_* tables) -------------------------------------
 
     def staged(self, name: str) -> DataFrame:
-        from taxaspark import schemas
-        from taxaspark.operators.staging import stage
         src = {
             "marker_abundance": self.marker_abundance,
             "marker_presence": self.marker_presence,
@@ -146,7 +147,7 @@ class Fixtures:
         return self.staged("metaphlan_unknown_list")
 
 
-def write_raw_dataset(df: DataFrame, root: str, ds, header_lines: int | None = None) -> str:
+def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None) -> str:
     """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
 
     One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
