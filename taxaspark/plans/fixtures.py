@@ -34,9 +34,12 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def sample_map(self) -> DataFrame:
@@ -128,15 +131,17 @@ class Fixtures:
 
     # Staged forms (the stg_* tables) -------------------------------------
 
+    # Source view of each dataset (the src_* layer it is staged from).
+    SOURCES = {
+        "marker_abundance": "marker_abundance",
+        "marker_presence": "marker_presence",
+        "marker_rel_ab_w_read_stats": "raw_rel_ab",
+        "metaphlan_unknown_list": "raw_unknown",
+        "metaphlan_viruses_list": "viruses",
+    }
+
     def staged(self, name: str) -> DataFrame:
-        src = {
-            "marker_abundance": self.marker_abundance,
-            "marker_presence": self.marker_presence,
-            "marker_rel_ab_w_read_stats": self.raw_rel_ab,
-            "metaphlan_unknown_list": self.raw_unknown,
-            "metaphlan_viruses_list": self.viruses,
-        }[name]
-        return stage(src, schemas.DATASETS[name])
+        return stage(getattr(self, self.SOURCES[name]), schemas.DATASETS[name])
 
     @cached_property
     def rel_ab(self) -> DataFrame:
