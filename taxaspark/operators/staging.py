@@ -57,7 +57,12 @@ def cluster(df: DataFrame, layout: str = "local", partitions: int | None = None,
 
 def write_table(df: DataFrame, path: str, layout: str = "local", partitions: int | None = None,
                 key: str = "sample_id", bloom: bool = True, compression: str | None = None) -> None:
-    """Full-refresh write of a clustered Parquet table (overwrite)."""
+    """Full-refresh write of a clustered Parquet table (overwrite).
+
+    ``bloom`` asks Parquet for a bloom filter on ``key``.  It is written for
+    row groups whose keys outgrow the dictionary; fully dictionary-encoded
+    row groups skip it, since dictionary filtering already prunes them exactly.
+    """
     writer = cluster(df, layout, partitions, key).write.mode("overwrite")
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")

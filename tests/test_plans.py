@@ -123,3 +123,17 @@ def test_range_layout_splits_a_hot_sample(spark, tmp_dir):
     assert back.count() == 201_000
     hot_files = back.where(F.col("sample_id") == "hot").select(F.input_file_name()).distinct().count()
     assert len(files) >= 4 and hot_files >= 4
+
+
+def test_bloom_filter_written_for_high_cardinality_keys(spark, tmp_dir):
+    import glob
+    import os
+
+    from taxaspark.session import local_path
+    df = spark.range(500_000).select(F.md5(F.col("id").cast("string")).alias("sample_id")).coalesce(1)
+
+    def size(p):
+        return sum(os.path.getsize(f) for f in glob.glob(os.path.join(local_path(p), "*.parquet")))
+    write_table(df, f"{tmp_dir}/a", bloom=True)
+    write_table(df, f"{tmp_dir}/b", bloom=False)
+    assert size(f"{tmp_dir}/a") > size(f"{tmp_dir}/b")
