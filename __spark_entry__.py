@@ -442,6 +442,7 @@ def _profile_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     ids = _sql_list(CHOSEN_SAMPLES)
+    tag = schemas.DEFAULT_RUN_TAG
     rel = "stg_marker_rel_ab_w_read_stats"
     return {
         "Q1_sample_lookup": with_views(
@@ -555,12 +556,12 @@ from p""",
         "K7_table_listing": f"""
 with p as ({_profile_sql()})
 select table_id, table_type, num_rows, error from p""",
-        "C1_sample_id_from_path": """
+        "C1_sample_id_from_path": f"""
 with p as (
-  select concat('gs://bucket/results/', case when l_linenumber = 3 then 'other' else 'cMDv4' end, '/',
+  select concat('gs://bucket/results/', case when l_linenumber = 3 then 'other' else '{tag}' end, '/',
                 md5(cast(l_orderkey as varchar(20))), '/metaphlan_markers/marker_abundance.tsv.gz') as file_path
   from lineitem)
-select file_path, nullif(regexp_extract(file_path, '/cMDv4/([^/]+)/', 1), '') as sample_id from p""",
+select file_path, nullif(regexp_extract(file_path, '/{tag}/([^/]+)/', 1), '') as sample_id from p""",
         "C4_lenient_casts": with_views("""
 select sample_id, clade_name, try_cast(relative_abundance as double) as relative_abundance,
        try_cast(nullif(coverage, '-') as double) as coverage,

@@ -60,8 +60,11 @@ def _schema(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
-# The five dataset layouts (path tail, header lines skipped,
+# The path segment that precedes the sample id in raw file
+# paths, and the five dataset layouts (path tail, header lines skipped,
 # declared raw schema, staged casts) that staged tables must reproduce.
+DEFAULT_RUN_TAG = "cMDv4"
+
 MARKER_ABUNDANCE = Dataset(
     "marker_abundance",
     "metaphlan_markers/marker_abundance.tsv.gz",
@@ -112,6 +115,3 @@ DATASETS: dict[str, Dataset] = {
 SAMPLE_MAP_SCHEMA = _schema(("sample_id", S), ("run_ids", S), ("sample_name", S), ("study_name", S))
 SAMPLE_MAP_TABLE = "src_sample_id_map"
 ACCESSIONS_TABLE = "src_sra_accessions"
-
-# Path segment that precedes the sample id in raw file paths.
-DEFAULT_RUN_TAG = "cMDv4"

@@ -34,7 +34,8 @@ def test_typed_input_is_passed_through(spark):
 
 
 def test_sample_id_from_path(spark):
-    df = one_col(spark, ["gs://b/results/cMDv4/abc/metaphlan_markers/f.tsv.gz", "gs://b/other/abc/f.tsv.gz"])
+    from taxaspark.schemas import DEFAULT_RUN_TAG as tag
+    df = one_col(spark, [f"gs://b/results/{tag}/abc/metaphlan_markers/f.tsv.gz", "gs://b/other/abc/f.tsv.gz"])
     assert [r[0] for r in df.select(sample_id_from_path("x")).collect()] == ["abc", None]
     assert [r[0] for r in df.select(sample_id_from_path("x", "other")).collect()] == [None, "abc"]
 

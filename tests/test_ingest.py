@@ -17,7 +17,10 @@ AB = schemas.MARKER_ABUNDANCE
 REL = schemas.MARKER_REL_AB
 
 
-def put(root, sample, ds, text, tag="cMDv4", raw=False):
+TAG = schemas.DEFAULT_RUN_TAG
+
+
+def put(root, sample, ds, text, tag=TAG, raw=False):
     path = os.path.join(root, tag, sample, ds.path_tail)
     os.makedirs(os.path.dirname(path), exist_ok=True)
     data = text if raw else text.encode()
@@ -36,13 +39,13 @@ def rows(df):
 
 def test_normal_file(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + "m1\t1.5\nm2\t2\nm3\t\n")
-    df = scan_src(spark, f"{tmp_dir}/cMDv4", AB)
+    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB)
     assert rows(df) == [("s1", "m1", 1.5), ("s1", "m2", 2.0), ("s1", "m3", None)]
 
 
 def test_header_lines_skipped_by_position(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4, hashed=False) + "#m1\t1\nm2\t2\n")
-    df = scan_src(spark, f"{tmp_dir}/cMDv4", AB)
+    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB)
     # plain header lines are skipped, a data line that starts with '#' is kept
     assert rows(df) == [("s1", "#m1", 1.0), ("s1", "m2", 2.0)]
 
@@ -51,12 +54,12 @@ def test_short_file_gives_no_rows(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(2))
     put(tmp_dir, "s2", AB, heads(4))
     put(tmp_dir, "s3", AB, "")
-    assert scan_src(spark, f"{tmp_dir}/cMDv4", AB).count() == 0
+    assert scan_src(spark, f"{tmp_dir}/{TAG}", AB).count() == 0
 
 
 def test_crlf_and_blank_last_line(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4).replace("\n", "\r\n") + "m1\t1\r\nm2\t2\r\n\r\n")
-    assert rows(scan_src(spark, f"{tmp_dir}/cMDv4", AB)) == [("s1", "m1", 1.0), ("s1", "m2", 2.0)]
+    assert rows(scan_src(spark, f"{tmp_dir}/{TAG}", AB)) == [("s1", "m1", 1.0), ("s1", "m2", 2.0)]
 
 
 def test_path_without_run_tag(spark, tmp_dir):
@@ -74,7 +77,7 @@ def test_lenient_casts_on_rel_ab(spark, tmp_dir):
             "k__C\t3\t1.0d\t2f\t0x1F\n"
             "k__D\t4\tinf\t1e3\t-0x10\n")
     put(tmp_dir, "s1", REL, heads(6) + body)
-    stg = stage(scan_src(spark, f"{tmp_dir}/cMDv4", REL), REL)
+    stg = stage(scan_src(spark, f"{tmp_dir}/{TAG}", REL), REL)
     got = {r.clade_name: (r.relative_abundance, r.coverage, r.estimated_reads) for r in stg.collect()}
     assert got["k__A"] == (50.5, None, 100)
     assert got["k__B"] == (None, 3.5, None)
@@ -85,36 +88,36 @@ def test_lenient_casts_on_rel_ab(spark, tmp_dir):
 def test_bad_value_in_strict_column_fails(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + "m1\tabc\n")
     with pytest.raises(Exception):
-        scan_src(spark, f"{tmp_dir}/cMDv4", AB).collect()
+        scan_src(spark, f"{tmp_dir}/{TAG}", AB).collect()
 
 
 @pytest.mark.parametrize("line", ["m1\n", "m1\t1\textra\n"])
 def test_short_and_long_rows_fail(spark, tmp_dir, line):
     put(tmp_dir, "s1", AB, heads(4) + "m0\t1\n" + line)
     with pytest.raises(Exception):
-        scan_src(spark, f"{tmp_dir}/cMDv4", AB).collect()
+        scan_src(spark, f"{tmp_dir}/{TAG}", AB).collect()
 
 
 def test_quoted_field(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + '"m ""one"""\t1\n')
-    assert rows(scan_src(spark, f"{tmp_dir}/cMDv4", AB)) == [("s1", 'm "one"', 1.0)]
+    assert rows(scan_src(spark, f"{tmp_dir}/{TAG}", AB)) == [("s1", 'm "one"', 1.0)]
 
 
 def test_ext_layer_keeps_provenance(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + "m1\t1\n")
-    ext = scan_ext(spark, f"{tmp_dir}/cMDv4", AB)
+    ext = scan_ext(spark, f"{tmp_dir}/{TAG}", AB)
     r = ext.first()
-    assert r.file_path.endswith("/cMDv4/s1/metaphlan_markers/marker_abundance.tsv.gz")
+    assert r.file_path.endswith(f"/{TAG}/s1/metaphlan_markers/marker_abundance.tsv.gz")
 
 
 def test_sample_filter_prunes_files(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + "m1\t1\n")
     # not gzip at all: reading it would fail, so success proves it was skipped
     put(tmp_dir, "s2", AB, b"this is not gzip", raw=True)
-    df = scan_src(spark, f"{tmp_dir}/cMDv4", AB, sample_ids=["s1"])
+    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB, sample_ids=["s1"])
     assert rows(df) == [("s1", "m1", 1.0)]
     # the same pruning applies to a filter written after the scan
-    df2 = scan_src(spark, f"{tmp_dir}/cMDv4", AB).where(F.col("sample_id") == "s1")
+    df2 = scan_src(spark, f"{tmp_dir}/{TAG}", AB).where(F.col("sample_id") == "s1")
     assert rows(df2) == [("s1", "m1", 1.0)]
 
 
@@ -160,20 +163,20 @@ def test_line_mode_equals_wholetext(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4, hashed=False) + "#m1\t1\r\nm2\t2\n\n")
     put(tmp_dir, "s2", AB, heads(4) + "".join(f"m{i}\t{i}\n" for i in range(5000)))
     put(tmp_dir, "s3", AB, heads(2))
-    a = scan_src(spark, f"{tmp_dir}/cMDv4", AB)
-    b = scan_src(spark, f"{tmp_dir}/cMDv4", AB, mode="lines")
+    a = scan_src(spark, f"{tmp_dir}/{TAG}", AB)
+    b = scan_src(spark, f"{tmp_dir}/{TAG}", AB, mode="lines")
     assert rows(a) == rows(b) and len(rows(b)) == 5002
-    c = scan_src(spark, f"{tmp_dir}/cMDv4", AB, mode="lines", sample_ids=["s1"])
+    c = scan_src(spark, f"{tmp_dir}/{TAG}", AB, mode="lines", sample_ids=["s1"])
     assert rows(c) == [("s1", "#m1", 1.0), ("s1", "m2", 2.0)]
 
 
 def test_line_mode_refuses_splittable_files(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "cMDv4", "s1", "metaphlan_markers", "marker_abundance.tsv")
+    p = os.path.join(tmp_dir, TAG, "s1", "metaphlan_markers", "marker_abundance.tsv")
     os.makedirs(os.path.dirname(p))
     with open(p, "w") as f:
         f.write("#a\n#b\n#c\n#d\nm1\t1\n")
     with pytest.raises(Exception, match="needs .gz"):
-        scan_src(spark, f"{tmp_dir}/cMDv4", AB, paths=p, mode="lines").collect()
+        scan_src(spark, f"{tmp_dir}/{TAG}", AB, paths=p, mode="lines").collect()
 
 
 def test_raw_round_trip_of_whole_rel_ab_table(spark, tmp_dir):

@@ -20,7 +20,7 @@ BODIES = {
 
 
 def make_tree(root):
-    raw = os.path.join(root, "results", "cMDv4")
+    raw = os.path.join(root, "results", schemas.DEFAULT_RUN_TAG)
     for s in SAMPLES:
         for name, ds in schemas.DATASETS.items():
             p = os.path.join(raw, s, ds.path_tail)

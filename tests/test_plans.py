@@ -83,12 +83,12 @@ def test_export_sort_is_a_range_exchange(spark):
 def test_raw_scan_stays_in_one_codegen_stage(spark, tmp_dir):
     import gzip
     import os
-    path = os.path.join(tmp_dir, "cMDv4", "s1", schemas.MARKER_ABUNDANCE.path_tail)
+    path = os.path.join(tmp_dir, schemas.DEFAULT_RUN_TAG, "s1", schemas.MARKER_ABUNDANCE.path_tail)
     os.makedirs(os.path.dirname(path))
     with gzip.open(path, "wt") as f:
         f.write("#a\n#b\n#c\n#d\nm1\t1\n")
     from taxaspark.sources.raw import scan_src
-    st = stage(scan_src(spark, f"{tmp_dir}/cMDv4", schemas.MARKER_ABUNDANCE), schemas.MARKER_ABUNDANCE)
+    st = stage(scan_src(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", schemas.MARKER_ABUNDANCE), schemas.MARKER_ABUNDANCE)
     text = plan(st)
     assert "Exchange" not in text and "codegen id : 1" in text
     assert "PythonUDF" not in text and "BatchEvalPython" not in text

@@ -10,7 +10,7 @@ AB = schemas.MARKER_ABUNDANCE
 
 
 def put(root, sample, rows):
-    p = os.path.join(root, "cMDv4", sample, AB.path_tail)
+    p = os.path.join(root, schemas.DEFAULT_RUN_TAG, sample, AB.path_tail)
     os.makedirs(os.path.dirname(p), exist_ok=True)
     with gzip.open(p, "wt") as f:
         f.write("#a\n#b\n#c\n#d\n" + "".join(f"{m}\t{v}\n" for m, v in rows))
@@ -19,13 +19,13 @@ def put(root, sample, rows):
 def test_incremental_staging(spark, tmp_dir):
     put(tmp_dir, "s1", [("m1", 1.0), ("m2", 2.0)])
     out, ckpt = f"{tmp_dir}/stg", f"{tmp_dir}/ckpt"
-    stage_new_files(spark, f"{tmp_dir}/cMDv4", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
     first = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch").collect())
     assert first == [("s1", "m1", 1.0), ("s1", "m2", 2.0)]
     put(tmp_dir, "s2", [("m1", 5.0)])
-    stage_new_files(spark, f"{tmp_dir}/cMDv4", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
     both = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch").collect())
     assert both == [("s1", "m1", 1.0), ("s1", "m2", 2.0), ("s2", "m1", 5.0)]
     # nothing new: nothing added
-    stage_new_files(spark, f"{tmp_dir}/cMDv4", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
     assert spark.read.parquet(out).count() == 3
