@@ -119,3 +119,17 @@ def test_range_layout(spark, tmp_dir):
     df = spark.read.parquet(f"{cfg.warehouse}/stg_marker_abundance")
     assert df.count() == 6
     assert isinstance(df.schema["abundance"].dataType, T.DoubleType)
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from taxaspark.__main__ import main
+    raw = make_tree(tmp_dir)
+    common = ["--raw-root", raw, "--warehouse", f"{tmp_dir}/wh"]
+    assert main(["load-lookups", *common, "--sample-map-csv", f"{tmp_dir}/map.csv"], spark=spark) == 0
+    assert main(["stage", *common, "--datasets", "marker_abundance", "marker_presence"], spark=spark) == 0
+    assert main(["export", *common, "--export-root", f"{tmp_dir}/exp",
+                 "--datasets", "marker_abundance"], spark=spark) == 0
+    assert main(["show-tables", *common, "--datasets", "marker_abundance"], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "distinct_sample_ids" in out and "stg_marker_abundance" in out
+    assert spark.read.parquet(f"{tmp_dir}/exp/marker_abundance").count() == 6
