@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m taxaspark <command> ...`` (or ``python -m taxaspark``).
+"""Command line: ``python -m taxaspark <command> ...``, or on a cluster
+``spark-submit --py-files taxaspark.zip taxaspark/__main__.py <command> ...``.
 
 Commands map one to one onto ``plans.pipeline``:
 
