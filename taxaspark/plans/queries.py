@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions.columns import gt_not_nan, ordered_string_agg
 from taxaspark.operators.aggregates import count_if, value_stats
-from taxaspark.operators.joins import bounded_broadcast, join_sample_map, semi_join_keys
+from taxaspark.operators.joins import join_sample_map, semi_join_keys
 from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.sampling import sample_keys, sample_rows
 
@@ -216,19 +216,21 @@ def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
     ``sample_id`` skip all other row groups.  A DataFrame of ids is joined as
     a (size-checked) broadcast semi join instead.
     """
+    return (_chosen_kingdom_rows(rel_ab, n_samples, samples)
+            .orderBy("sample_id", *nan_low("relative_abundance", ascending=False)))
+
+
+def _chosen_kingdom_rows(rel_ab: DataFrame, n_samples: int, samples: SampleSet | None) -> DataFrame:
     chosen = samples if samples is not None else first_sample_ids(rel_ab, n_samples)
-    data = kingdom_rows(rel_ab)
-    if isinstance(chosen, DataFrame):
-        side, _ = bounded_broadcast(chosen.select("sample_id"))
-        data = data.join(side, "sample_id", "left_semi")
-    else:
-        data = data.where(F.col("sample_id").isin(list(chosen)))
-    return (data.select("sample_id", "clade_name", "relative_abundance")
-                .orderBy("sample_id", *nan_low("relative_abundance", ascending=False)))
+    data = restrict_samples(kingdom_rows(rel_ab), chosen)
+    return data.select("sample_id", "clade_name", "relative_abundance")
 
 
 def kingdom_composition_wide(rel_ab: DataFrame, n_samples: int = 10, cell: str = "unique",
                              samples: SampleSet | None = None) -> DataFrame:
-    """The long composition pivoted: one row per sample, one column per kingdom."""
-    long = kingdom_composition_long(rel_ab, n_samples, samples)
-    return pivot_wide(long, "sample_id", "clade_name", "relative_abundance", cell=cell)
+    """The long composition pivoted: one row per sample, one column per kingdom.
+
+    Pivots the unsorted rows: row order is irrelevant to a pivot.
+    """
+    rows = _chosen_kingdom_rows(rel_ab, n_samples, samples)
+    return pivot_wide(rows, "sample_id", "clade_name", "relative_abundance", cell=cell)
