@@ -1,28 +1,48 @@
 """Joins of fact tables with the sample map.
 
-A side is broadcast only after its row count has been checked against a
-bound; above the bound the join is left to the planner (sort-merge or
-shuffle-hash, with AQE free to switch at runtime from real sizes).
+A side is broadcast only after its rows and their data size have been
+measured against a bound; above the bound the join is left to the planner
+(sort-merge or shuffle-hash, with AQE free to switch at runtime from real
+sizes and to split skewed partitions).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound on rows of a side that may be broadcast.  The real sample map
-# holds ~61k rows (~5 MB); a few million short rows still broadcast cheaply.
+# Upper bounds for a side that may be broadcast.  The real sample map holds
+# ~61k rows (~5 MB); a few million short rows still broadcast cheaply.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame):
+    """Data size of one row: string / binary lengths plus fixed-width sizes."""
+    size = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        elif isinstance(f.dataType, T.DecimalType):
+            size = size + F.lit(16)
+        else:  # numbers, booleans, dates, timestamps
+            size = size + F.lit(8)
+    return size
 
-    The check stops counting once the bound is passed (``limit``), so it stays
-    cheap even when the side is large.
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows and ``max_bytes`` of data.
+
+    One job measures both; it stops reading once the row bound is passed
+    (``limit``), so it stays cheap even when the side is large.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    if m["n"] <= max_rows and (m["b"] or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

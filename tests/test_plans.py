@@ -137,3 +137,10 @@ def test_bloom_filter_written_for_high_cardinality_keys(spark, tmp_dir):
     write_table(df, f"{tmp_dir}/a", bloom=True)
     write_table(df, f"{tmp_dir}/b", bloom=False)
     assert size(f"{tmp_dir}/a") > size(f"{tmp_dir}/b")
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    df = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("wide"))
+    assert joins.bounded_broadcast(df)[1]
+    assert not joins.bounded_broadcast(df, max_rows=999)[1]
+    assert not joins.bounded_broadcast(df, max_bytes=500_000)[1]  # ~1 MB of data
