@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark import schemas
-from taxaspark.functions.columns import lenient_double, lenient_long, null_sentinel, sample_id_from_path
+from taxaspark.functions.columns import (
+    lenient_double, lenient_long, null_sentinel, ordered_string_agg, sample_id_from_path,
+)
+from taxaspark.operators.aggregates import count_if
 from taxaspark.operators.catalog import (
     TABLE, TableEntry, catalog_summary, schema_catalog, table_listing, table_profile,
 )
@@ -322,6 +325,33 @@ def d4_in_param(spark, sf):
                      args={"ids": F.array(*[F.lit(s) for s in CHOSEN_SAMPLES])}, t=stg)
 
 
+def d5_like(spark, sf):
+    rel = Fixtures(spark, sf).rel_ab
+    return rel.where(F.col("clade_name").like(Q.KINGDOM_ANY)).select("sample_id", "clade_name")
+
+
+def d7_not_like(spark, sf):
+    return Q.kingdom_rows(Fixtures(spark, sf).rel_ab).select("sample_id", "clade_name", "relative_abundance")
+
+
+def f9_count_if(spark, sf):
+    pres = Fixtures(spark, sf).staged("marker_presence")
+    return pres.groupBy("marker_id").agg(count_if(F.col("presence") == 1).alias("present_rows"))
+
+
+def f10_string_agg(spark, sf):
+    """Per sample, its kingdom-level clades as one ordered, comma-separated string."""
+    kingdoms = Q.kingdom_rows(Fixtures(spark, sf).rel_ab)
+    return kingdoms.groupBy("sample_id").agg(ordered_string_agg("clade_name").alias("kingdoms"))
+
+
+def g4_topk(spark, sf):
+    rel = Fixtures(spark, sf).rel_ab
+    return (rel.select("sample_id", "clade_name", "relative_abundance")
+               .orderBy(*Q.nan_low("relative_abundance", ascending=False), "sample_id", "clade_name")
+               .limit(100))
+
+
 def e1_inner_join(spark, sf):
     fx = Fixtures(spark, sf)
     return join_sample_map(fx.staged("marker_abundance"), fx.sample_map, ["run_ids", "sample_name", "study_name"])
@@ -390,10 +420,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "C1_sample_id_from_path": c1_regexp_extract,
         "C4_lenient_casts": c4_lenient_casts,
         "D4_in_param": d4_in_param,
+        "D5_like": d5_like,
+        "D7_not_like": d7_not_like,
         "E1_inner_join": e1_inner_join,
         "E2_left_join_counts": e2_left_join,
+        "F9_count_if": f9_count_if,
+        "F10_string_agg": f10_string_agg,
         "F13_distinct_samples": f13_distinct,
         "F14_pivot_all_samples": f14_pivot,
+        "G4_topk": g4_topk,
     }
 
 
@@ -570,6 +605,19 @@ from raw_rel_ab""", "raw_rel_ab"),
         "D4_in_param": with_views(
             f"select sample_id, marker_id, abundance from stg_marker_abundance where sample_id in ({ids})",
             "stg_marker_abundance"),
+        "D5_like": with_views(f"select sample_id, clade_name from {rel} where clade_name like 'k__%'", rel),
+        "D7_not_like": with_views(f"""
+select sample_id, clade_name, relative_abundance from {rel}
+where clade_name like 'k__%' and clade_name not like 'k__%|%'""", rel),
+        "F9_count_if": with_views("""
+select marker_id, cast(count_if(presence = 1) as bigint) as present_rows
+from stg_marker_presence group by marker_id""", "stg_marker_presence"),
+        "F10_string_agg": with_views(f"""
+select sample_id, string_agg(clade_name, ',' order by clade_name) as kingdoms from {rel}
+where clade_name like 'k__%' and clade_name not like 'k__%|%' group by sample_id""", rel),
+        "G4_topk": with_views(f"""
+select sample_id, clade_name, relative_abundance from {rel}
+order by relative_abundance desc nulls last, sample_id, clade_name limit 100""", rel),
         "E1_inner_join": with_views("""
 select a.sample_id, a.marker_id, a.abundance, b.run_ids, b.sample_name, b.study_name
 from stg_marker_abundance a join src_sample_id_map b on a.sample_id = b.sample_id""",
