@@ -47,13 +47,19 @@ class Config:
 # Views (src_*) -----------------------------------------------------------
 
 def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    """Register lazy ``src_*`` temp views over the raw files (replaced if present)."""
+    """Register lazy ``ext_*`` and ``src_*`` temp views over the raw files (replaced if present).
+
+    ``ext_*`` has the raw columns plus ``file_path`` (the source file) and
+    ``sample_id``; ``src_*`` has ``sample_id`` and the raw columns.
+    """
     views = {}
     for name in cfg.datasets:
         ds = DATASETS[name]
-        df = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
-        df.createOrReplaceTempView(ds.src_view)
-        views[ds.src_view] = df
+        ext = scan_ext(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
+        src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
+        for view, df in ((ds.ext_table, ext), (ds.src_view, src)):
+            df.createOrReplaceTempView(view)
+            views[view] = df
     return views
 
 

@@ -93,6 +93,8 @@ def test_views_are_registered(spark, tmp_dir):
     P.register_src_views(spark, cfg)
     r = spark.sql("select count(*) c, count(distinct sample_id) s from src_marker_presence").first()
     assert (r.c, r.s) == (6, 3)
+    r = spark.sql("select file_path, marker_id, abundance from ext_marker_abundance limit 3").collect()
+    assert len(r) == 3 and all(x.file_path.endswith("marker_abundance.tsv.gz") for x in r)
 
 
 def test_recursive_listing_matches_glob(spark, tmp_dir):
