@@ -171,7 +171,10 @@ def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_line
                .select("sample_id", "_ord", first_text.alias(cols[0]),
                        *[F.lit(None).cast("string").alias(c) for c in cols[1:]])) if n > 0 else None
     rows = data if heads is None else data.unionByName(heads)
-    (rows.repartition("sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
+    # An explicit count keeps AQE from coalescing the exchange: the work here is
+    # one file per sample, so it should spread over every core, not over bytes.
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    (rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
          .write.mode("overwrite").partitionBy("sample_id")
          .option("sep", "\t").option("quote", '"').option("escape", '"')
          .option("compression", "gzip").csv(root))

@@ -39,7 +39,7 @@ class Config:
     run_tag: str = DEFAULT_RUN_TAG
     layout: str = "local"               # or "range" (see operators.staging.cluster)
     range_partitions: int | None = None
-    listing: str = "glob"               # or "recursive" (see sources.raw.read_files)
+    listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
     read_mode: str = "wholetext"        # or "lines" for raw files over ~2 GB (see sources.raw)
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 

@@ -104,7 +104,7 @@ def test_recursive_listing_matches_glob(spark, tmp_dir):
     os.makedirs(os.path.dirname(deep))
     with gzip.open(deep, "wt") as f:
         f.write("not\na\nprofile\n")
-    a = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wa", datasets=("marker_abundance",))
+    a = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wa", datasets=("marker_abundance",), listing="glob")
     b = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wb", datasets=("marker_abundance",), listing="recursive")
     P.stage_all(spark, a)
     P.stage_all(spark, b)
