@@ -24,15 +24,21 @@ def sample_id_pattern(run_tag: str = DEFAULT_RUN_TAG) -> str:
     return f"/{re.escape(run_tag)}/([^/]+)/"
 
 
-def sample_id_from_path(path, run_tag: str = DEFAULT_RUN_TAG, pattern: str | None = None) -> Column:
+def sample_id_from_path(path, run_tag: str = DEFAULT_RUN_TAG, pattern: str | None = None,
+                        decode: bool = True) -> Column:
     """Path segment after ``/<run_tag>/``; NULL when the path has no such segment.
 
     ``pattern`` (a regex with one group) replaces the run-tag rule.  Spark's
     ``regexp_extract`` yields '' on no match, so ``nullif`` is needed for the
-    staging filter ``sample_id IS NOT NULL`` to drop such rows.
+    staging filter ``sample_id IS NOT NULL`` to drop such rows.  File paths
+    from ``_metadata.file_path`` are URIs (a space is ``%20``); ``decode``
+    turns the segment back into the folder name ('+' is kept as it is).
     """
     rx = pattern or sample_id_pattern(run_tag)
-    return F.nullif(F.regexp_extract(_col(path), rx, 1), F.lit(""))
+    seg = F.regexp_extract(_col(path), rx, 1)
+    if decode:
+        seg = F.url_decode(F.replace(seg, F.lit("+"), F.lit("%2B")))
+    return F.nullif(seg, F.lit(""))
 
 
 def null_sentinel(c, sentinel: str = "-") -> Column:

@@ -200,3 +200,10 @@ def test_accessions_quoted_newline_needs_multiline(spark, tmp_dir):
     assert df.where(F.col("Accession") == "ERR1").first().Title == "two\nlines"
     with pytest.raises(Exception):  # without multiLine the split row is malformed: fail, never guess
         read_accessions(spark, p).collect()
+
+
+def test_folder_names_are_decoded(spark, tmp_dir):
+    put(tmp_dir, "s 1+x%y", AB, heads(4) + "m1\t1\n")
+    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB)
+    assert rows(df) == [("s 1+x%y", "m1", 1.0)]
+    assert rows(scan_src(spark, f"{tmp_dir}/{TAG}", AB, sample_ids=["s 1+x%y"])) == [("s 1+x%y", "m1", 1.0)]
