@@ -144,3 +144,11 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert joins.bounded_broadcast(df)[1]
     assert not joins.bounded_broadcast(df, max_rows=999)[1]
     assert not joins.bounded_broadcast(df, max_bytes=500_000)[1]  # ~1 MB of data
+
+
+def test_first_n_ids_are_pushed_as_in(spark, tmp_dir):
+    fx = Fixtures(spark, SF_SMALL)
+    p = f"{tmp_dir}/rel"
+    write_table(fx.rel_ab, p)
+    text = plan(Q.kingdom_composition_long(spark.read.parquet(p), 5))
+    assert "In(sample_id," in text
