@@ -49,9 +49,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 def semi_join_keys(fact: DataFrame, keys: DataFrame, on: str = "sample_id",
                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``fact`` whose ``on`` value appears in ``keys``."""
-    side, _ = bounded_broadcast(keys.select(on).distinct(), max_rows)
-    return fact.join(side, on, "left_semi")
+    """Rows of ``fact`` whose ``on`` value appears in ``keys``.
+
+    A small key side is broadcast as it is (a semi join needs no distinct
+    keys, so no exchange is spent on them); a large one is de-duplicated and
+    joined by the planner.
+    """
+    side, small = bounded_broadcast(keys.select(on), max_rows)
+    return fact.join(side if small else keys.select(on).distinct(), on, "left_semi")
 
 
 def join_sample_map(fact: DataFrame, sample_map: DataFrame, map_columns: list[str],
