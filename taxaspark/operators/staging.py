@@ -42,16 +42,17 @@ def cluster(df: DataFrame, layout: str = "local", partitions: int | None = None,
     whole samples (raw files are one sample each) the row groups get tight
     ``sample_id`` ranges.  ``range``: range-partition on the key first (a
     sampling pass plus a full shuffle) so that each output file covers one
-    key range, for few-file lookups.  A row hash follows the key in the range
-    bounds, so a single key holding a large share of the rows is split over
-    several consecutive files instead of one oversized task.
+    key range, for few-file lookups.  A row hash and then a seeded random
+    value follow the key in the range bounds, so a single key holding a large
+    share of the rows, even as identical copies, is split over several
+    consecutive files instead of one oversized task.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "range":
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        df = (df.repartitionByRange(partitions, F.col(key), spread) if partitions
-              else df.repartitionByRange(F.col(key), spread))
+        spread = [F.xxhash64(*[F.col(c) for c in df.columns]), F.rand(17)]
+        df = (df.repartitionByRange(partitions, F.col(key), *spread) if partitions
+              else df.repartitionByRange(F.col(key), *spread))
     return df.sortWithinPartitions(key)
 
 

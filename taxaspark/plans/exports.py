@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.schemas import DATASETS, Dataset
 
+SPLIT_SEED = 17
+
 # The third sort key of each dataset's export.
 EXPORT_SORT_KEY = {
     "marker_abundance": "marker_id",
@@ -25,7 +27,10 @@ def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str) -> Da
     The map side is broadcast under a checked size.  The sort is a range
     exchange on (study, sample name, dataset key); ``sample_id`` and a row hash
     follow as tie-breaks so that rows sharing the leading keys still spread
-    over several ranges and the order is reproducible.
+    over several ranges.  A seeded random key comes last: it only orders rows
+    that are identical copies (so the output is the same), and it lets a large
+    group of copies split over several ranges too.  It is recomputed the same
+    way when a task is retried (same seed, same partition).
     """
     ds = DATASETS[ds] if isinstance(ds, str) else ds
     key = EXPORT_SORT_KEY[ds.name]
@@ -33,7 +38,7 @@ def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str) -> Da
     j = join_sample_map(stg.select(*cols), sample_map, ["study_name", "sample_name"])
     out = j.select(*cols, "study_name", "sample_name")
     tie = F.xxhash64(*[F.col(c) for c in out.columns])
-    return out.orderBy("study_name", "sample_name", key, "sample_id", tie)
+    return out.orderBy("study_name", "sample_name", key, "sample_id", tie, F.rand(SPLIT_SEED))
 
 
 def export_parquet(df: DataFrame, path: str, compression: str = "zstd",

@@ -152,3 +152,12 @@ def test_first_n_ids_are_pushed_as_in(spark, tmp_dir):
     write_table(fx.rel_ab, p)
     text = plan(Q.kingdom_composition_long(spark.read.parquet(p), 5))
     assert "In(sample_id," in text
+
+
+def test_range_layout_splits_identical_copies(spark, tmp_dir):
+    copies = spark.range(200_000).select(F.lit("hot").alias("sample_id"), F.lit("m").alias("marker_id"))
+    p = f"{tmp_dir}/copies"
+    write_table(copies, p, layout="range", partitions=8)
+    back = spark.read.parquet(p)
+    assert back.count() == 200_000
+    assert back.select(F.input_file_name()).distinct().count() >= 4

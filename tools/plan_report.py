@@ -47,8 +47,9 @@ NOTES = {
         "The first n ids are fetched (bounded by n) and pushed to the scan as In(...): only the row groups "
         "holding them are read."),
     "X1 export": (
-        "Broadcast map join, then one range exchange on (study, sample name, marker, sample id, row hash): "
-        "part files are globally ordered; shared leading keys still spread over ranges."),
+        "Broadcast map join, then one range exchange on (study, sample name, marker, sample id, row hash, "
+        "seeded random): part files are globally ordered; shared leading keys and identical copies still "
+        "spread over ranges."),
 }
 
 
