@@ -38,8 +38,9 @@ NOTES = {
         "The sample set (a study's samples) is measured, then broadcast as a left semi join; the aggregate "
         "is partial before the exchange. string_agg groups are bounded by the chosen samples."),
     "Q7 profiles with study": (
-        "Study filter on the map before the join; the filtered map is broadcast after a row/byte check; "
-        "LIKE is pushed as StringStartsWith; top-k per task then merged."),
+        "Study filter on the map before the join (pushed to its scan); the filtered map is broadcast after a "
+        "row/byte check. LIKE 'k__%' has '_' wildcards, so it stays a filter in the scan stage rather than "
+        "a Parquet prefix filter. Top-k per task, then merged."),
     "Q8 study marker counts": (
         "Fact side cut by a broadcast semi join on the studies' samples and reduced to one row per sample "
         "(two-level distinct count) before the outer join with the map: no fan-out is shuffled."),
