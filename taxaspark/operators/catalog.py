@@ -44,7 +44,11 @@ def type_name(dt: T.DataType) -> str:
 
 @dataclass
 class TableEntry:
-    """One catalog object.  ``df`` reads it; ``path`` is its folder (TABLE) or file glob (EXTERNAL)."""
+    """One catalog object.  ``df`` reads it; its files lie below ``path``.
+
+    ``files_glob`` (a file-name pattern) and ``files_regex`` (on the full path)
+    pick the table's files there; tables default to ``*.parquet``.
+    """
     table_id: str
     table_type: str
     df: DataFrame
@@ -52,6 +56,8 @@ class TableEntry:
     clustering_fields: list[str] = field(default_factory=list)
     view_query: str | None = None
     external_config: dict | None = None
+    files_glob: str | None = None
+    files_regex: str | None = None
 
 
 CATALOG_SCHEMA = T.StructType([
@@ -70,14 +76,19 @@ def schema_catalog(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
-def files_bytes(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> int:
-    """Total bytes of the files below ``path`` (or matching a ``path`` glob); no contents read."""
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+def files_bytes(spark: SparkSession, path: str, glob: str | None = None, regex: str | None = None) -> int:
+    """Total bytes of the files below ``path`` whose name matches ``glob`` and path ``regex``.
+
+    Listed recursively by Spark's (distributed) file listing; only ``path``
+    and ``length`` are selected, so file contents are never read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    row = reader.load(path).agg(F.sum("length").alias("b")).first()
+    files = reader.load(path).select("path", "length")
+    if regex:
+        files = files.where(F.col("path").rlike(regex))
+    row = files.agg(F.sum("length").alias("b")).first()
     return int(row["b"] or 0)
 
 
@@ -110,10 +121,9 @@ def table_profile(spark: SparkSession, entries: list[TableEntry], count_external
             if e.table_type == TABLE or (e.table_type == EXTERNAL and count_external):
                 num_rows = e.df.count()
             if e.table_type in (TABLE, EXTERNAL):
-                if e.path and e.table_type == TABLE:
-                    num_bytes = files_bytes(spark, e.path, "*.parquet")
-                elif e.path:  # external: ``path`` is the dataset's file glob
-                    num_bytes = files_bytes(spark, e.path, recursive=False)
+                if e.path:
+                    glob = e.files_glob or ("*.parquet" if e.table_type == TABLE else None)
+                    num_bytes = files_bytes(spark, e.path, glob, e.files_regex)
                 size_gb = round(num_bytes / 1024 ** 3, 2) if num_bytes else 0.0
             rows.append((e.table_id, e.table_type, len(e.df.schema.fields), num_rows, num_bytes, size_gb,
                          list(e.clustering_fields), e.view_query,

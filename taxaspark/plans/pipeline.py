@@ -22,7 +22,7 @@ from taxaspark.schemas import (
     ACCESSIONS_TABLE, DATASETS, DEFAULT_RUN_TAG, SAMPLE_MAP_TABLE, Dataset,
 )
 from taxaspark.sources.lookups import read_accessions, read_sample_map
-from taxaspark.sources.raw import dataset_glob, dataset_lines, scan_ext, scan_src
+from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src
 from taxaspark.sources.tables import table_path
 
 EXPORTED = ("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats", "metaphlan_viruses_list")
@@ -174,7 +174,9 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
         glob = dataset_glob(cfg.raw_root, ds)
         entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag,
                                                                    listing=cfg.listing)
-                                  .drop("file_path", "sample_id"), path=glob,
+                                  .drop("file_path", "sample_id"), path=cfg.raw_root,
+                                  files_glob=ds.path_tail.rsplit("/", 1)[-1],
+                                  files_regex=layout_regex(cfg.raw_root, ds),
                                   external_config={"source_uris": [glob], "source_format": "CSV",
                                                    "compression": "GZIP", "skip_leading_rows": ds.skip_rows,
                                                    "field_delimiter": "\t"}))

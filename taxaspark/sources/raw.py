@@ -44,6 +44,11 @@ def _strip_scheme(path: str) -> str:
     return path
 
 
+def layout_regex(root: str, ds: Dataset) -> str:
+    """Regex a file path must match to be ``<root>/<one folder>/<tail>`` of ``ds``."""
+    return re.escape(_strip_scheme(root.rstrip("/"))) + "/[^/]+/" + re.escape(ds.path_tail) + "$"
+
+
 def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob") -> DataFrame:
     """One row per raw file of ``ds``: ``file_path`` and its whole text ``value``.
 
@@ -66,8 +71,7 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
                  .text(root, wholetext=True))
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     if listing == "recursive":
-        layout = re.escape(_strip_scheme(root.rstrip("/"))) + "/[^/]+/" + re.escape(ds.path_tail) + "$"
-        df = df.where(F.col("file_path").rlike(layout))
+        df = df.where(F.col("file_path").rlike(layout_regex(root, ds)))
     return df
 
 
