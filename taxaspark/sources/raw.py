@@ -103,7 +103,7 @@ def _number_lines(batches):
         yield batch.append_column("_pos", pa.array(pos))
 
 
-def scan_lines_streamed(spark: SparkSession, paths: str | list[str], skip_rows: int,
+def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,
                         run_tag: str = DEFAULT_RUN_TAG, sample_ids: Iterable[str] | None = None,
                         id_pattern: str | None = None) -> DataFrame:
     """Same result as ``scan_lines`` for files of any size (no ~2 GB per-file cap).
@@ -111,10 +111,15 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str], skip_rows:
     Lines are read by the line-based text reader and numbered per file in one
     Arrow pass.  Only gzip files are accepted: they are never split across
     tasks, which the numbering relies on; any other file fails the job.
-    The sample filter sits below the Python step, so it still prunes files.
+    ``sample_ids`` is applied below the Python step, so it still prunes files;
+    a filter written after this scan cannot move below that step, so pass
+    sample restrictions as ``sample_ids`` in this mode.
     """
-    files = spark.read.text(paths)
-    df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
+    if isinstance(paths, DataFrame):  # from ``read_lines``: file_path, line
+        df = paths
+    else:
+        files = spark.read.text(paths)
+        df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
     df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
         df = df.where(F.col("sample_id").isin(list(sample_ids)))
@@ -126,6 +131,15 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str], skip_rows:
                     .select("file_path", "sample_id", "line"))
 
 
+def read_lines(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
+    """Line-mode counterpart of ``read_files(listing='recursive')``: ``file_path``, ``line``."""
+    files = (spark.read.option("recursiveFileLookup", True)
+             .option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+             .text(root))
+    df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
+    return df.where(F.col("file_path").rlike(layout_regex(root, ds)))
+
+
 def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,
                run_tag: str = DEFAULT_RUN_TAG,
                sample_ids: Iterable[str] | None = None, id_pattern: str | None = None) -> DataFrame:
@@ -168,24 +182,25 @@ READ_MODES = ("wholetext", "lines")
 
 def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
                   sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-                  id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
+                  id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
     """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``).
 
     ``mode='wholetext'`` (default) stays in the JVM; ``mode='lines'`` handles
-    files beyond the ~2 GB single-value limit (glob listing only).
+    files beyond the ~2 GB single-value limit.
     """
     if mode not in READ_MODES:
         raise ValueError(f"mode must be one of {READ_MODES}")
     if mode == "lines":
-        return scan_lines_streamed(spark, paths or dataset_glob(root, ds), ds.skip_rows, run_tag,
-                                   sample_ids, id_pattern)
+        if paths is None:
+            paths = read_lines(spark, root, ds) if listing == "recursive" else dataset_glob(root, ds)
+        return scan_lines_streamed(spark, paths, ds.skip_rows, run_tag, sample_ids, id_pattern)
     source = paths if paths is not None else read_files(spark, root, ds, listing)
     return scan_lines(spark, source, ds.skip_rows, run_tag, sample_ids, id_pattern)
 
 
 def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
     """The ``ext_*`` layer: raw typed rows plus their source ``file_path``."""
     lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
     return parse_lines(lines, ds.raw_schema, keep=("file_path", "sample_id"))
@@ -193,7 +208,7 @@ def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT
 
 def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "glob", mode: str = "wholetext") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
     ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
     return ext.select("sample_id", *[f.name for f in ds.raw_schema.fields])

@@ -23,9 +23,12 @@ TAG = schemas.DEFAULT_RUN_TAG
 def put(root, sample, ds, text, tag=TAG, raw=False):
     path = os.path.join(root, tag, sample, ds.path_tail)
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    data = text if raw else text.encode()
+    if raw:  # bytes written as they are (e.g. a file that is not gzip at all)
+        with open(path, "wb") as f:
+            f.write(text)
+        return path
     with gzip.open(path, "wb") as f:
-        f.write(data)
+        f.write(text.encode())
     return path
 
 
@@ -110,15 +113,19 @@ def test_ext_layer_keeps_provenance(spark, tmp_dir):
     assert r.file_path.endswith(f"/{TAG}/s1/metaphlan_markers/marker_abundance.tsv.gz")
 
 
-def test_sample_filter_prunes_files(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["wholetext", "lines"])
+@pytest.mark.parametrize("listing", ["glob", "recursive"])
+def test_sample_filter_prunes_files(spark, tmp_dir, mode, listing):
     put(tmp_dir, "s1", AB, heads(4) + "m1\t1\n")
     # not gzip at all: reading it would fail, so success proves it was skipped
     put(tmp_dir, "s2", AB, b"this is not gzip", raw=True)
-    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB, sample_ids=["s1"])
+    with pytest.raises(Exception):  # unpruned, the broken file is read and fails
+        scan_src(spark, f"{tmp_dir}/{TAG}", AB, mode=mode, listing=listing).collect()
+    df = scan_src(spark, f"{tmp_dir}/{TAG}", AB, sample_ids=["s1"], mode=mode, listing=listing)
     assert rows(df) == [("s1", "m1", 1.0)]
-    # the same pruning applies to a filter written after the scan
-    df2 = scan_src(spark, f"{tmp_dir}/{TAG}", AB).where(F.col("sample_id") == "s1")
-    assert rows(df2) == [("s1", "m1", 1.0)]
+    if mode == "wholetext":  # a filter written after the scan prunes too (no Python step in between)
+        df2 = scan_src(spark, f"{tmp_dir}/{TAG}", AB, listing=listing).where(F.col("sample_id") == "s1")
+        assert rows(df2) == [("s1", "m1", 1.0)]
 
 
 def test_sample_map_csv_quoted_newline_and_duplicates(spark, tmp_dir):
