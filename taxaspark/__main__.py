@@ -32,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--accessions")
     ap.add_argument("--catalog-out")
     ap.add_argument("--run-tag", default=DEFAULT_RUN_TAG)
-    ap.add_argument("--layout", default="local", choices=["local", "range"])
+    ap.add_argument("--layout", default="local", choices=["local", "range", "hex"])
     ap.add_argument("--range-partitions", type=int)
     ap.add_argument("--listing", default="recursive", choices=["glob", "recursive"])
     ap.add_argument("--read-mode", default="wholetext", choices=["wholetext", "lines"])

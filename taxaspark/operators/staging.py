@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from taxaspark.functions.columns import lenient_double, lenient_long, null_sentinel
 from taxaspark.schemas import DOUBLE, DOUBLE_DASH, KEEP, LONG, Dataset
 
-LAYOUTS = ("local", "range")
+LAYOUTS = ("local", "range", "hex")
+HEX_DIGITS = 8  # leading hex digits of the key that choose its partition in the ``hex`` layout
 
 
 def staged_columns(src: DataFrame, ds: Dataset) -> list:
@@ -42,13 +43,24 @@ def cluster(df: DataFrame, layout: str = "local", partitions: int | None = None,
     whole samples (raw files are one sample each) the row groups get tight
     ``sample_id`` ranges.  ``range``: range-partition on the key first (a
     sampling pass plus a full shuffle) so that each output file covers one
-    key range, for few-file lookups.  A row hash and then a seeded random
+    key range, for few-file lookups (``hex`` does the same for hashed ids
+    without the sampling pass).  A row hash and then a seeded random
     value follow the key in the range bounds, so a single key holding a large
     share of the rows, even as identical copies, is split over several
     consecutive files instead of one oversized task.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
+    if layout == "hex":
+        # Hashed (hex) ids are spread evenly, so equal slices of the id space are
+        # equal shares of the rows: the partition comes from the leading digits,
+        # with no sampling pass over the input.  Ids that are not hex all land in
+        # partition 0, and one very large sample stays in one partition; use
+        # ``range`` when that can happen.
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        lead = F.conv(F.substring(F.col(key), 1, HEX_DIGITS), 16, 10).cast("double")
+        pid = F.floor(lead * n / float(16 ** HEX_DIGITS)).cast("int")
+        return df.repartitionById(n, pid).sortWithinPartitions(key)
     if layout == "range":
         spread = [F.xxhash64(*[F.col(c) for c in df.columns]), F.rand(17)]
         df = (df.repartitionByRange(partitions, F.col(key), *spread) if partitions

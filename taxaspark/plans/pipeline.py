@@ -37,7 +37,7 @@ class Config:
     accessions_path: str | None = None
     catalog_out: str | None = None
     run_tag: str = DEFAULT_RUN_TAG
-    layout: str = "local"               # or "range" (see operators.staging.cluster)
+    layout: str = "local"               # or "range" / "hex" (see operators.staging.cluster)
     range_partitions: int | None = None
     listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
     read_mode: str = "wholetext"        # or "lines" for raw files over ~2 GB (see sources.raw)

@@ -161,3 +161,24 @@ def test_range_layout_splits_identical_copies(spark, tmp_dir):
     back = spark.read.parquet(p)
     assert back.count() == 200_000
     assert back.select(F.input_file_name()).distinct().count() >= 4
+
+
+def test_hex_layout_orders_files_without_sampling(spark, tmp_dir):
+    import pyarrow.parquet as pq
+    import glob
+    import os
+
+    from taxaspark.session import local_path
+    fx = Fixtures(spark, SF_SMALL)
+    df = fx.staged("marker_abundance")
+    text = plan(cluster(df, "hex", 4))
+    assert "rangepartitioning" not in text and "Exchange" in text
+    p = f"{tmp_dir}/hex"
+    write_table(df, p, layout="hex", partitions=4)
+    ranges = []
+    for f in sorted(glob.glob(os.path.join(local_path(p), "part-*.parquet"))):
+        col = pq.read_table(f, columns=["sample_id"]).column(0).to_pylist()
+        ranges.append((min(col), max(col)))
+    assert len(ranges) == 4
+    assert all(ranges[i][1] < ranges[i + 1][0] for i in range(3))  # disjoint, in file order
+    assert spark.read.parquet(p).count() == df.count()
