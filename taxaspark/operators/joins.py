@@ -53,7 +53,7 @@ def semi_join_keys(fact: DataFrame, keys: DataFrame, on: str = "sample_id",
 
     A small key side is broadcast as it is (a semi join needs no distinct
     keys, so no exchange is spent on them); a large one is de-duplicated and
-    joined by the planner.
+    joined by the planner.  Measuring the key side runs one small job now.
     """
     side, small = bounded_broadcast(keys.select(on), max_rows)
     return fact.join(side if small else keys.select(on).distinct(), on, "left_semi")
@@ -63,7 +63,8 @@ def join_sample_map(fact: DataFrame, sample_map: DataFrame, map_columns: list[st
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Inner join ``fact`` ⋈ ``sample_map`` on ``sample_id``.
 
-    Duplicate map keys fan out rows, as a plain SQL join does.
+    Duplicate map keys fan out rows, as a plain SQL join does.  Measuring
+    the map side runs one small job now; the join itself stays lazy.
     """
     side, _ = bounded_broadcast(sample_map.select("sample_id", *map_columns), max_rows)
     return fact.join(side, "sample_id", "inner")
