@@ -150,14 +150,14 @@ def j5(spark, sf):
     return _staged_roundtrip(spark, sf, "metaphlan_viruses_list")
 
 
-def _raw_stage_roundtrip(spark, sf, name):
+def _raw_stage_roundtrip(spark, sf, name, mode="wholetext"):
     """Raw per-sample gz TSVs (with header lines) → positional scan → stage → table."""
     fx = Fixtures(spark, sf)
     ds = schemas.DATASETS[name]
     raw = {"metaphlan_unknown_list": fx.raw_unknown, "metaphlan_viruses_list": fx.viruses}[name]
     root = scratch_path(spark, f"raw_{name}")
     write_raw_dataset(raw, root, ds)
-    src = scan_src(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN)
+    src = scan_src(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN, mode=mode)
     out = scratch_path(spark, ds.stg_table)
     write_table(stage(src, ds), out)
     return spark.read.parquet(out)
@@ -171,6 +171,11 @@ def j5_raw(spark, sf):
     return _raw_stage_roundtrip(spark, sf, "metaphlan_viruses_list")
 
 
+def j5_raw_lines(spark, sf):
+    """The same raw round trip read in line mode (Arrow line numbering per file)."""
+    return _raw_stage_roundtrip(spark, sf, "metaphlan_viruses_list", mode="lines")
+
+
 def j6(spark, sf):
     """Sample map written as CSV, loaded back through the lookup loader."""
     csv = scratch_path(spark, "sample_id_map_csv")
@@ -402,6 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "J5_stage_viruses_list": j5,
         "J4r_raw_stage_unknown_list": j4_raw,
         "J5r_raw_stage_viruses_list": j5_raw,
+        "J5l_raw_lines_stage_viruses_list": j5_raw_lines,
         "J6_load_sample_map": j6,
         "J7_load_accessions": j7,
         "X1_export_marker_abundance": x1,
@@ -553,6 +559,7 @@ select * from (pivot long on clade_name using sum(relative_abundance) group by s
         "J5_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
         "J4r_raw_stage_unknown_list": _stage_sql("stg_metaphlan_unknown_list"),
         "J5r_raw_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
+        "J5l_raw_lines_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
         "J6_load_sample_map": with_views("select * from src_sample_id_map", "src_sample_id_map"),
         "J7_load_accessions": with_views("select * from src_sra_accessions", "src_sra_accessions"),
         "X1_export_marker_abundance": _export_sql("stg_marker_abundance", _cols("marker_abundance")),
