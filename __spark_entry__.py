@@ -13,8 +13,15 @@ Keys that write (J*, X*, K4-K7) write below the session's
 from __future__ import annotations
 
 import hashlib
+import os
+import sys
 from collections.abc import Callable
 
+# The package sits next to this file; make it importable however this file is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -75,32 +75,36 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
     return df
 
 
-def _number_lines(batches):
-    """Append ``_pos``, the 0-based line number of each row within its file.
+def line_numberer():
+    """A ``mapInArrow`` function that appends ``_pos``, each row's 0-based line in its file.
 
     Rows arrive in file order and every file is read whole by one task (the
     caller guarantees non-splittable inputs), so a running count per path is
-    exact.  The state is one counter per file of this task.
+    exact; the state is one counter per file of the task.  Returned as a
+    closure so it is shipped to the Python workers by value (they need not
+    import this package).
     """
-    import numpy as np
-    import pyarrow as pa
-
-    seen: dict[str, int] = {}
-    for batch in batches:
-        paths = batch.column(batch.schema.get_field_index("file_path")).to_pylist()
-        n = len(paths)
-        pos = np.empty(n, dtype=np.int64)
-        start = 0
-        while start < n:
-            p = paths[start]
-            end = start + 1
-            while end < n and paths[end] == p:
-                end += 1
-            base = seen.get(p, 0)
-            pos[start:end] = np.arange(base, base + end - start)
-            seen[p] = base + end - start
-            start = end
-        yield batch.append_column("_pos", pa.array(pos))
+    def number_lines(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        seen = {}
+        for batch in batches:
+            paths = batch.column(batch.schema.get_field_index("file_path")).to_pylist()
+            n = len(paths)
+            pos = np.empty(n, dtype=np.int64)
+            start = 0
+            while start < n:
+                p = paths[start]
+                end = start + 1
+                while end < n and paths[end] == p:
+                    end += 1
+                base = seen.get(p, 0)
+                pos[start:end] = np.arange(base, base + end - start)
+                seen[p] = base + end - start
+                start = end
+            yield batch.append_column("_pos", pa.array(pos))
+    return number_lines
 
 
 def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,
@@ -126,7 +130,7 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame,
     guard = F.when(F.col("file_path").endswith(".gz"), F.col("line")).otherwise(
         F.raise_error(F.concat(F.lit("line mode needs .gz input: "), F.col("file_path"))))
     df = df.select("file_path", "sample_id", guard.alias("line"))
-    numbered = df.mapInArrow(_number_lines, "file_path string, sample_id string, line string, _pos long")
+    numbered = df.mapInArrow(line_numberer(), "file_path string, sample_id string, line string, _pos long")
     return (numbered.where((F.col("_pos") >= skip_rows) & (F.col("line") != ""))
                     .select("file_path", "sample_id", "line"))
 
