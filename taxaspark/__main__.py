@@ -9,7 +9,7 @@ Commands map one to one onto ``plans.pipeline``:
   catalog       schema / profile / summary JSON                    (P4)
   export        sorted zstd Parquet exports                        (X1-X4)
   show-tables   table listing with rows and size                   (K7)
-  preview       three rows of every staged table                   (K3)
+  preview       three rows of every raw (with file path) and staged table   (K3)
 """
 
 from __future__ import annotations
@@ -77,7 +77,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         table_listing(table_profile(spark, P.catalog_entries(spark, cfg))).show(100, truncate=False)
     elif args.command == "preview":
         from taxaspark.operators.checks import preview
-        for name in P.register_tables(spark, cfg.warehouse):
+        raw_views = P.register_src_views(spark, cfg)
+        names = [n for n in raw_views if n.startswith("ext_")] + P.register_tables(spark, cfg.warehouse)
+        for name in names:
             print(name)
             preview(spark.table(name), 3).show(truncate=False)
     return 0

@@ -132,6 +132,8 @@ def test_command_line(spark, tmp_dir, capsys):
     assert main(["export", *common, "--export-root", f"{tmp_dir}/exp",
                  "--datasets", "marker_abundance"], spark=spark) == 0
     assert main(["show-tables", *common, "--datasets", "marker_abundance"], spark=spark) == 0
+    assert main(["preview", *common, "--datasets", "marker_abundance"], spark=spark) == 0
     out = capsys.readouterr().out
     assert "distinct_sample_ids" in out and "stg_marker_abundance" in out
+    assert "ext_marker_abundance" in out and "file_path" in out
     assert spark.read.parquet(f"{tmp_dir}/exp/marker_abundance").count() == 6
