@@ -86,8 +86,8 @@ def files_bytes(spark: SparkSession, path: str, glob: str | None = None, regex:
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path).select("path", "length")
-    if regex:
-        files = files.where(F.col("path").rlike(regex))
+    if regex:  # matched against the decoded path (file paths are URIs)
+        files = files.where(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))).rlike(regex))
     row = files.agg(F.sum("length").alias("b")).first()
     return int(row["b"] or 0)
 

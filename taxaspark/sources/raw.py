@@ -7,7 +7,8 @@ declared schema.  Everything stays in the JVM, the header skip is exact
 ``_metadata.file_path`` is a per-file constant, so a filter on it prunes files
 at listing time.
 
-Limit: a single raw file must fit in one value (~2 GB uncompressed).
+Limit: a single raw file must fit in one value (~2 GB uncompressed); the
+line mode (``mode='lines'``) lifts it.
 """
 
 from __future__ import annotations
@@ -45,10 +46,20 @@ def _strip_scheme(path: str) -> str:
 
 
 def layout_regex(root: str, ds: Dataset) -> str:
-    """Regex a file path must match to be ``<root>/<one folder>/<tail>`` of ``ds``."""
+    """Regex a decoded file path must match to be ``<root>/<one folder>/<tail>`` of ``ds``."""
     return re.escape(_strip_scheme(root.rstrip("/"))) + "/[^/]+/" + re.escape(ds.path_tail) + "$"
 
 
+def decoded_path(c: str = "file_path"):
+    """``_metadata.file_path`` is a URI (a space is ``%20``); this is the plain path."""
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+
+
+def in_layout(root: str, ds: Dataset, c: str = "file_path"):
+    """True for files that are exactly ``<root>/<one folder>/<tail>`` of ``ds``."""
+    return decoded_path(c).rlike(layout_regex(root, ds))
+
+
 def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob") -> DataFrame:
     """One row per raw file of ``ds``: ``file_path`` and its whole text ``value``.
 
@@ -71,7 +82,7 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
                  .text(root, wholetext=True))
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     if listing == "recursive":
-        df = df.where(F.col("file_path").rlike(layout_regex(root, ds)))
+        df = df.where(in_layout(root, ds))
     return df
 
 
@@ -141,7 +152,7 @@ def read_lines(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
              .option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
              .text(root))
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
-    return df.where(F.col("file_path").rlike(layout_regex(root, ds)))
+    return df.where(in_layout(root, ds))
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_rows: int,

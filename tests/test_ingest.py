@@ -214,3 +214,12 @@ def test_folder_names_are_decoded(spark, tmp_dir):
     df = scan_src(spark, f"{tmp_dir}/{TAG}", AB)
     assert rows(df) == [("s 1+x%y", "m1", 1.0)]
     assert rows(scan_src(spark, f"{tmp_dir}/{TAG}", AB, sample_ids=["s 1+x%y"])) == [("s 1+x%y", "m1", 1.0)]
+
+
+@pytest.mark.parametrize("mode", ["wholetext", "lines"])
+def test_root_with_special_characters(spark, tmp_dir, mode):
+    base = os.path.join(tmp_dir, "my data+x")
+    put(base, "s1", AB, heads(4) + "m1\t1\n")
+    for listing in ("glob", "recursive"):
+        df = scan_src(spark, f"{base}/{TAG}", AB, listing=listing, mode=mode)
+        assert rows(df) == [("s1", "m1", 1.0)], listing
