@@ -32,13 +32,13 @@ def sample_id_from_path(path, run_tag: str = DEFAULT_RUN_TAG, pattern: str | Non
     ``regexp_extract`` yields '' on no match, so ``nullif`` is needed for the
     staging filter ``sample_id IS NOT NULL`` to drop such rows.  File paths
     from ``_metadata.file_path`` are URIs (a space is ``%20``); ``decode``
-    turns the segment back into the folder name ('+' is kept as it is).
+    turns the path back into plain folder names first ('+' is kept as it is).
     """
     rx = pattern or sample_id_pattern(run_tag)
-    seg = F.regexp_extract(_col(path), rx, 1)
-    if decode:
-        seg = F.url_decode(F.replace(seg, F.lit("+"), F.lit("%2B")))
-    return F.nullif(seg, F.lit(""))
+    p = _col(path)
+    if decode:  # a '/' never comes out of decoding a folder name, so segments stay intact
+        p = F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B")))
+    return F.nullif(F.regexp_extract(p, rx, 1), F.lit(""))
 
 
 def null_sentinel(c, sentinel: str = "-") -> Column:

@@ -223,3 +223,9 @@ def test_root_with_special_characters(spark, tmp_dir, mode):
     for listing in ("glob", "recursive"):
         df = scan_src(spark, f"{base}/{TAG}", AB, listing=listing, mode=mode)
         assert rows(df) == [("s1", "m1", 1.0)], listing
+
+
+def test_run_tag_with_a_space(spark, tmp_dir):
+    put(tmp_dir, "s1", AB, heads(4) + "m1\t1\n", tag="run 4")
+    df = scan_src(spark, f"{tmp_dir}/run 4", AB, run_tag="run 4")
+    assert rows(df) == [("s1", "m1", 1.0)]
