@@ -18,29 +18,40 @@ from pyspark.sql import functions as F
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.schemas import DEFAULT_RUN_TAG, Dataset
 from taxaspark.session import scratch_path
-from taxaspark.sources.raw import dataset_glob, parse_lines, scan_lines
+from taxaspark.sources.raw import dataset_glob, in_layout, parse_lines, scan_lines
 
 
 def raw_file_stream(spark: SparkSession, root: str, ds: Dataset, max_files_per_trigger: int | None = None,
-                    paths: str | None = None) -> DataFrame:
-    """Streaming DataFrame of new raw files: ``file_path`` and whole-file ``value``."""
+                    paths: str | None = None, listing: str = "recursive") -> DataFrame:
+    """Streaming DataFrame of new raw files: ``file_path`` and whole-file ``value``.
+
+    ``recursive`` (default) lists ``root`` with Spark's listing and keeps the
+    exact ``<root>/<one folder>/<tail>`` layout; ``glob`` expands the dataset
+    glob on the driver at every trigger.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if paths is None and listing == "recursive":
+        name = ds.path_tail.rsplit("/", 1)[-1]
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+        files = reader.text(root, wholetext=True)
+        df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
+        return df.where(in_layout(root, ds))
     files = reader.text(paths or dataset_glob(root, ds), wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
 
 
 def stage_new_files(spark: SparkSession, root: str, ds: Dataset, out: str, checkpoint: str | None = None,
                     run_tag: str = DEFAULT_RUN_TAG, paths: str | None = None, id_pattern: str | None = None,
-                    max_files_per_trigger: int | None = None, wait: bool = True):
+                    max_files_per_trigger: int | None = None, wait: bool = True, listing: str = "recursive"):
     """Stage every raw file not seen before into ``out`` (one ``batch=<id>`` folder per micro-batch).
 
     ``checkpoint`` defaults to a folder below ``spark.checkpoint.dir``; keep it
     stable between runs so that processed files are not read again.
     """
     checkpoint = checkpoint or scratch_path(spark, f"stream_{ds.name}")
-    files = raw_file_stream(spark, root, ds, max_files_per_trigger, paths)
+    files = raw_file_stream(spark, root, ds, max_files_per_trigger, paths, listing)
     lines = scan_lines(spark, files, ds.skip_rows, run_tag, id_pattern=id_pattern)
     src = parse_lines(lines, ds.raw_schema, keep=("sample_id",))
 

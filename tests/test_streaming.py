@@ -16,16 +16,20 @@ def put(root, sample, rows):
         f.write("#a\n#b\n#c\n#d\n" + "".join(f"{m}\t{v}\n" for m, v in rows))
 
 
-def test_incremental_staging(spark, tmp_dir):
+import pytest
+
+
+@pytest.mark.parametrize("listing", ["recursive", "glob"])
+def test_incremental_staging(spark, tmp_dir, listing):
     put(tmp_dir, "s1", [("m1", 1.0), ("m2", 2.0)])
     out, ckpt = f"{tmp_dir}/stg", f"{tmp_dir}/ckpt"
-    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt, listing=listing)
     first = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch").collect())
     assert first == [("s1", "m1", 1.0), ("s1", "m2", 2.0)]
     put(tmp_dir, "s2", [("m1", 5.0)])
-    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt, listing=listing)
     both = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch").collect())
     assert both == [("s1", "m1", 1.0), ("s1", "m2", 2.0), ("s2", "m1", 5.0)]
     # nothing new: nothing added
-    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt)
+    stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt, listing=listing)
     assert spark.read.parquet(out).count() == 3
