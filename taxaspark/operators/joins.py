@@ -38,10 +38,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Broadcast-hint ``df`` if it has at most ``max_rows`` rows and ``max_bytes`` of data.
 
-    One job measures both; it stops reading once the row bound is passed
-    (``limit``), so it stays cheap even when the side is large.
+    One parallel aggregate measures both (partial counts per task, no rows
+    gathered in one place; a ``limit`` would funnel rows into a single task).
+    The sides measured here are lookup-sized: the sample map or a set of ids.
     """
-    m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     if m["n"] <= max_rows and (m["b"] or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
