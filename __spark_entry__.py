@@ -268,7 +268,7 @@ _WAREHOUSES: dict[tuple, list] = {}
 
 def _fixture_catalog(spark, sf) -> list[TableEntry]:
     """Stage the five datasets and the map once per session into a scratch warehouse."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf)
     if key not in _WAREHOUSES:
         fx = Fixtures(spark, sf)
         root = scratch_path(spark, "warehouse")

@@ -173,7 +173,10 @@ def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_line
     rows = data if heads is None else data.unionByName(heads)
     # An explicit count keeps AQE from coalescing the exchange: the work here is
     # one file per sample, so it should spread over every core, not over bytes.
-    parts = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        parts = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on a Spark Connect client
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
          .write.mode("overwrite").partitionBy("sample_id")
          .option("sep", "\t").option("quote", '"').option("escape", '"')

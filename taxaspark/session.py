@@ -37,7 +37,10 @@ def get_session(master: str | None = None, app: str = "taxaspark",
     for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect client: no SparkContext
+        pass
     return spark
 
 
@@ -49,10 +52,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect client: only the session conf is visible
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="taxaspark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
