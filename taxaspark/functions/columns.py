@@ -50,7 +50,6 @@ def null_sentinel(c, sentinel: str = "-") -> Column:
 # a warehouse SAFE_CAST does not, so such strings are made NULL first.
 _SUFFIX_RE = r"(?i)[0-9.][df]\s*$"
 _HEX_RE = r"^\s*[+-]?0[xX][0-9a-fA-F]{1,16}\s*$"
-_WS = " \t\n\r\f\u000b"  # the characters of the regex class \s
 
 
 def lenient_double(c, source_type: T.DataType | None = None) -> Column:
@@ -58,10 +57,10 @@ def lenient_double(c, source_type: T.DataType | None = None) -> Column:
     col = _col(c)
     if source_type is not None and not isinstance(source_type, T.StringType):
         return col.try_cast(T.DoubleType())
-    # Cheap precheck first: only strings whose last non-blank character is
-    # d/f can carry the suffix, so the regex runs on almost no rows.
-    last = F.lower(F.substring(F.rtrim(col, F.lit(_WS)), -1, 1))
-    suffixed = last.isin("d", "f") & col.rlike(_SUFFIX_RE)
+    # Cheap precheck first: only strings holding a d or f can carry the
+    # suffix, so the regex runs on almost no rows.
+    maybe = col.contains("d") | col.contains("D") | col.contains("f") | col.contains("F")
+    suffixed = maybe & col.rlike(_SUFFIX_RE)
     return F.when(suffixed, F.lit(None).cast(T.DoubleType())).otherwise(col.try_cast(T.DoubleType()))
 
 
@@ -70,9 +69,9 @@ def lenient_long(c, source_type: T.DataType | None = None) -> Column:
     col = _col(c)
     if source_type is not None and not isinstance(source_type, T.StringType):
         return col.try_cast(T.LongType())
-    trimmed = F.trim(col, F.lit(_WS))
-    magnitude = F.conv(F.regexp_extract(trimmed, r"0[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast(T.LongType())
-    hex_value = F.when(trimmed.startswith("-"), -magnitude).otherwise(magnitude)
+    magnitude = F.conv(F.regexp_extract(col, r"0[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast(T.LongType())
+    negative = F.regexp_extract(col, r"^\s*([+-]?)0[xX]", 1) == "-"
+    hex_value = F.when(negative, -magnitude).otherwise(magnitude)
     # Only strings holding an 'x' can be hex; the regex runs on those alone.
     is_hex = (col.contains("x") | col.contains("X")) & col.rlike(_HEX_RE)
     return F.when(is_hex, hex_value).otherwise(col.try_cast(T.LongType()))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
 )
-from taxaspark.operators.checks import key_check, with_dropped
+from taxaspark.operators.checks import key_check, stack_layers
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.plans.exports import export_dataset
 from taxaspark.schemas import (
@@ -105,15 +105,14 @@ def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundanc
     ds = DATASETS[name]
     lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
     raw = lines.agg(F.count(F.lit(1)).alias("n"), F.count("sample_id").alias("keyed"))
-    raw_rows = raw.select(F.expr(
-        f"stack(2, 0, '{ds.ext_table}', n, cast(null as bigint), 1, '{ds.src_view}', n, keyed)"
-    ).alias("position", "layer", "num_rows", "expected_next"))
     stg = spark.read.parquet(table_path(cfg.warehouse, ds.stg_table))
-    stg_row = stg.agg(F.count(F.lit(1)).alias("num_rows")).select(
-        F.lit(2).alias("position"), F.lit(ds.stg_table).alias("layer"), "num_rows",
-        F.lit(None).cast("bigint").alias("expected_next"))
-    return with_dropped(raw_rows.unionByName(stg_row)).withColumnRenamed("expected_next", "expected_stg") \
-        .select("position", "layer", "num_rows", "dropped", "expected_stg")
+    stg_n = stg.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(None).cast("bigint").alias("keyed"))
+    u = raw.select(F.lit(0).alias("i"), "n", "keyed").unionByName(stg_n.select(F.lit(1).alias("i"), "n", "keyed"))
+    wide = u.agg(F.max(F.when(F.col("i") == 0, F.col("n"))).alias("n0"),
+                 F.max(F.when(F.col("i") == 0, F.col("n"))).alias("n1"),
+                 F.max(F.when(F.col("i") == 1, F.col("n"))).alias("n2"),
+                 F.max(F.when(F.col("i") == 0, F.col("keyed"))).alias("keyed"))
+    return stack_layers(wide, [ds.ext_table, ds.src_view, ds.stg_table], "expected_stg", {1: "keyed"})
 
 
 # J6 / J7 / P3 --------------------------------------------------------------
