@@ -33,10 +33,3 @@ def count_if(pred: Column) -> Column:
     """``COUNTIF(pred)`` as a bigint."""
     return F.count_if(pred).cast("bigint")
 
-
-def rows_per_key(df: DataFrame, key: str | list[str], name: str = "n") -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-
-
-def distinct_per_key(df: DataFrame, key: str | list[str], of: str, name: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count_distinct(of).alias(name))
