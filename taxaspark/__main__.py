@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--range-partitions", type=int)
     ap.add_argument("--listing", default="recursive", choices=["glob", "recursive"])
     ap.add_argument("--read-mode", default="wholetext", choices=["wholetext", "lines"])
+    ap.add_argument("--max-partition-bytes", type=int, help="compressed bytes per staging task")
     ap.add_argument("--datasets", nargs="*", default=list(DATASETS), choices=list(DATASETS))
     return ap
 
@@ -45,7 +46,8 @@ def config(args) -> P.Config:
                     sample_map_csv=args.sample_map_csv, accessions_path=args.accessions,
                     catalog_out=args.catalog_out, run_tag=args.run_tag, layout=args.layout,
                     range_partitions=args.range_partitions, listing=args.listing,
-                    read_mode=args.read_mode, datasets=tuple(args.datasets))
+                    read_mode=args.read_mode, max_partition_bytes=args.max_partition_bytes,
+                    datasets=tuple(args.datasets))
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:

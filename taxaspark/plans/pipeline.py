@@ -41,6 +41,7 @@ class Config:
     range_partitions: int | None = None
     listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
     read_mode: str = "wholetext"        # or "lines" for raw files over ~2 GB (see sources.raw)
+    max_partition_bytes: int | None = None  # compressed bytes per staging task (default: Spark's 128 MB)
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
@@ -82,10 +83,25 @@ def register_tables(spark: SparkSession, warehouse: str) -> list[str]:
 # J1-J5 / P2 ----------------------------------------------------------------
 
 def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
-    """Raw files of one dataset → ``stg_<name>`` table; returns its path."""
+    """Raw files of one dataset → ``stg_<name>`` table; returns its path.
+
+    gzip input expands several times when read, so ``cfg.max_partition_bytes``
+    can shrink the compressed bytes packed into one task (only for this job).
+    """
     out = table_path(cfg.warehouse, ds.stg_table)
-    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-    write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    if cfg.max_partition_bytes:
+        spark.conf.set(key, str(cfg.max_partition_bytes))
+    try:
+        src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
+        write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
+    finally:
+        if cfg.max_partition_bytes:
+            if before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
     return out
 
 

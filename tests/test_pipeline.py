@@ -137,3 +137,13 @@ def test_command_line(spark, tmp_dir, capsys):
     assert "distinct_sample_ids" in out and "stg_marker_abundance" in out
     assert "ext_marker_abundance" in out and "file_path" in out
     assert spark.read.parquet(f"{tmp_dir}/exp/marker_abundance").count() == 6
+
+
+def test_max_partition_bytes_is_scoped(spark, tmp_dir):
+    raw = make_tree(tmp_dir)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", datasets=("marker_abundance",),
+                   max_partition_bytes=1024)
+    P.stage_all(spark, cfg)
+    assert spark.read.parquet(f"{tmp_dir}/wh/stg_marker_abundance").count() == 6
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
