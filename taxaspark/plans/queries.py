@@ -21,6 +21,9 @@ from taxaspark.operators.sampling import sample_keys, sample_rows
 
 SampleSet = Iterable[str] | DataFrame
 
+# Largest id list that is pushed down as ``IN`` (and fetched to the driver in Q12).
+MAX_ID_LIST = 10_000
+
 KINGDOM_ANY = "k__%"        # matches every lineage that starts at a kingdom
 KINGDOM_DEEPER = "k__%|%"   # lineages below kingdom level
 
@@ -35,11 +38,20 @@ def nan_low(c: str, ascending: bool = True) -> list[Column]:
 
 
 def restrict_samples(df: DataFrame, samples: SampleSet | None) -> DataFrame:
+    """Rows of the chosen samples.
+
+    A short list becomes ``IN`` (pushed to the Parquet scan); a list longer
+    than ``MAX_ID_LIST`` or a DataFrame of ids becomes a size-checked semi join.
+    """
     if samples is None:
         return df
     if isinstance(samples, DataFrame):
         return semi_join_keys(df, samples)
-    return df.where(F.col("sample_id").isin(list(samples)))
+    ids = list(samples)
+    if len(ids) > MAX_ID_LIST:
+        keys = df.sparkSession.createDataFrame([(i,) for i in ids], "sample_id string")
+        return semi_join_keys(df, keys)
+    return df.where(F.col("sample_id").isin(ids))
 
 
 # Q1 ------------------------------------------------------------------------
@@ -181,10 +193,6 @@ def sampled_scan(df: DataFrame, percent: float = 1.0, by_sample: bool = False,
 
 # Q12 / Q13 -----------------------------------------------------------------
 
-# Largest id list that is fetched to the driver and pushed down as ``IN``.
-MAX_ID_LIST = 10_000
-
-
 def first_samples(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` smallest distinct sample ids."""
     return df.select("sample_id").distinct().orderBy("sample_id").limit(n)

@@ -182,3 +182,14 @@ def test_hex_layout_orders_files_without_sampling(spark, tmp_dir):
     assert len(ranges) == 4
     assert all(ranges[i][1] < ranges[i + 1][0] for i in range(3))  # disjoint, in file order
     assert spark.read.parquet(p).count() == df.count()
+
+
+def test_long_id_list_becomes_semi_join(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    ab = fx.staged("marker_abundance")
+    ids = [r[0] for r in ab.select("sample_id").distinct().limit(3).collect()]
+    many = ids + [f"x{i}" for i in range(Q.MAX_ID_LIST + 5)]
+    a = Q.restrict_samples(ab, ids)
+    b = Q.restrict_samples(ab, many)
+    assert "LeftSemi" in plan(b) and "LeftSemi" not in plan(a)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
