@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaspark.operators.joins import join_sample_map
+from taxaspark.plans.queries import restrict_samples
 from taxaspark.schemas import DATASETS, Dataset
 
 SPLIT_SEED = 17
@@ -58,5 +59,5 @@ def export_csv(df: DataFrame, path: str, sample_ids: Iterable[str] | None = None
                header: bool = True) -> None:
     """CSV with a header line, overwrite; optionally only some samples."""
     if sample_ids is not None:
-        df = df.where(F.col("sample_id").isin(list(sample_ids)))
+        df = restrict_samples(df, sample_ids)
     df.write.mode("overwrite").option("header", header).csv(path)
