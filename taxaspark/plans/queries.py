@@ -64,20 +64,23 @@ def sample_rows_for(stg: DataFrame, sample_id: str, limit: int | None = None) ->
 
 # Q2 / Q2b ------------------------------------------------------------------
 
-def top_markers_by_mean(abundance: DataFrame, k: int = 20, digits: int | None = 6) -> DataFrame:
+def top_markers_by_mean(abundance: DataFrame, k: int = 20, digits: int | None = 6,
+                        approx_rsd: float | None = None) -> DataFrame:
     """Markers ranked by mean abundance: sample count, mean, max, min.
 
     Ranked on the exact mean; ``digits`` only rounds the reported value.
+    ``approx_rsd`` makes ``sample_count`` an HLL estimate (cheaper at scale).
     """
-    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance")
+    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance", approx_rsd=approx_rsd)
     top = s.orderBy(*nan_low("avg_abundance", ascending=False), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
     return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance", "min_abundance")
 
 
-def top_markers_by_samples(abundance: DataFrame, k: int = 10, digits: int | None = 6) -> DataFrame:
-    """Markers ranked by the number of samples that carry them."""
-    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance")
+def top_markers_by_samples(abundance: DataFrame, k: int = 10, digits: int | None = 6,
+                           approx_rsd: float | None = None) -> DataFrame:
+    """Markers ranked by the number of samples that carry them (HLL estimate with ``approx_rsd``)."""
+    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance", approx_rsd=approx_rsd)
     top = s.orderBy(F.desc("sample_count"), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
     return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance")

@@ -193,3 +193,16 @@ def test_long_id_list_becomes_semi_join(spark):
     b = Q.restrict_samples(ab, many)
     assert "LeftSemi" in plan(b) and "LeftSemi" not in plan(a)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_approximate_top_markers_is_one_level(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    ab = fx.staged("marker_abundance")
+    exact = Q.top_markers_by_mean(ab, k=50)
+    approx = Q.top_markers_by_mean(ab, k=50, approx_rsd=0.02)
+    assert plan(exact, "simple").count("Exchange hashpartitioning") == 2
+    assert plan(approx, "simple").count("Exchange hashpartitioning") == 1
+    e = {r.marker_id: r.sample_count for r in exact.collect()}
+    a = {r.marker_id: r.sample_count for r in approx.collect()}
+    assert set(e) == set(a)  # ranking is on the exact mean either way
+    assert all(abs(a[m] - e[m]) <= max(1, 0.1 * e[m]) for m in e)
