@@ -319,7 +319,8 @@ def c1_regexp_extract(spark, sf):
     tag = F.when(F.col("l_linenumber") == 3, F.lit("other")).otherwise(F.lit(schemas.DEFAULT_RUN_TAG))
     path = F.concat(F.lit("gs://bucket/results/"), tag, F.lit("/"), F.md5(F.col("l_orderkey").cast("string")),
                     F.lit("/metaphlan_markers/marker_abundance.tsv.gz"))
-    return li.select(path.alias("file_path")).select("file_path", sample_id_from_path("file_path").alias("sample_id"))
+    paths = li.select(path.alias("file_path"))
+    return paths.select("file_path", sample_id_from_path("file_path").alias("sample_id"))
 
 
 def c4_lenient_casts(spark, sf):

@@ -16,7 +16,8 @@ LONG = "sample_id string, clade_name string, relative_abundance double"
 
 def test_pivot_unique_cells(spark):
     df = spark.createDataFrame([("s1", "k__A", 1.0), ("s1", "k__B", 2.0), ("s2", "k__A", 3.0)], LONG)
-    out = {r.sample_id: r.asDict() for r in pivot_wide(df, "sample_id", "clade_name", "relative_abundance").collect()}
+    wide = pivot_wide(df, "sample_id", "clade_name", "relative_abundance")
+    out = {r.sample_id: r.asDict() for r in wide.collect()}
     assert out["s1"]["k__A"] == 1.0 and out["s1"]["k__B"] == 2.0 and out["s2"]["k__B"] is None
 
 
@@ -81,7 +82,8 @@ def test_catalog_profile_and_summary(spark, tmp_dir):
     assert s.total_rows == t.count()
     cat = schema_catalog(spark, entries[:1]).collect()
     assert [(r.field_name, r.field_type, r.mode) for r in cat] == [
-        ("sample_id", "STRING", "NULLABLE"), ("marker_id", "STRING", "NULLABLE"), ("abundance", "FLOAT", "NULLABLE")]
+        ("sample_id", "STRING", "NULLABLE"), ("marker_id", "STRING", "NULLABLE"),
+        ("abundance", "FLOAT", "NULLABLE")]
 
 
 def test_preview_puts_provenance_first(spark):

@@ -88,7 +88,8 @@ def test_raw_scan_stays_in_one_codegen_stage(spark, tmp_dir):
     with gzip.open(path, "wt") as f:
         f.write("#a\n#b\n#c\n#d\nm1\t1\n")
     from taxaspark.sources.raw import scan_src
-    st = stage(scan_src(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", schemas.MARKER_ABUNDANCE), schemas.MARKER_ABUNDANCE)
+    ab = schemas.MARKER_ABUNDANCE
+    st = stage(scan_src(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", ab), ab)
     text = plan(st)
     assert "Exchange" not in text and "codegen id : 1" in text
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
@@ -113,7 +114,8 @@ def test_range_layout_splits_a_hot_sample(spark, tmp_dir):
     import os
 
     from taxaspark.session import local_path
-    hot = spark.range(200_000).select(F.lit("hot").alias("sample_id"), F.col("id").cast("string").alias("marker_id"))
+    hot = spark.range(200_000).select(F.lit("hot").alias("sample_id"),
+                                      F.col("id").cast("string").alias("marker_id"))
     cold = spark.range(1000).select(F.concat(F.lit("s"), F.col("id")).alias("sample_id"),
                                     F.col("id").cast("string").alias("marker_id"))
     p = f"{tmp_dir}/t"
