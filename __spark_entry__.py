@@ -248,9 +248,11 @@ def k2(spark, sf):
 
 
 def k2b(spark, sf):
-    fx = Fixtures(spark, sf)
-    acc = fx.raw_accessions.select("Accession")
-    return key_check(acc, "Accession", "total_rows", "unique_accessions")
+    """Key check of the accession table as the loader reads it (written as TSV first)."""
+    tsv = scratch_path(spark, "sra_accessions_tsv")
+    (Fixtures(spark, sf).raw_accessions.write.option("header", True).option("sep", "\t")
+        .option("escape", '"').csv(tsv))
+    return key_check(read_accessions(spark, tsv), "Accession", "total_rows", "unique_accessions")
 
 
 def k3(spark, sf):
