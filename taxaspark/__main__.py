@@ -1,7 +1,7 @@
 """Command line: ``python -m taxaspark <command> ...``, or on a cluster
 ``spark-submit --py-files taxaspark.zip taxaspark/__main__.py <command> ...``.
 
-Commands map one to one onto ``plans.pipeline``:
+Commands map one to one onto ``plans.jobs``:
 
   run-all       lookups, staging, layer check, catalog, exports   (P1)
   stage         staged tables + catalog                            (P2)
@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from taxaspark.plans import pipeline as P
+from taxaspark.plans import jobs as P
 from taxaspark.schemas import DATASETS, DEFAULT_RUN_TAG
 
 

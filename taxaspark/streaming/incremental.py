@@ -1,4 +1,4 @@
-"""Incremental staging: the staging job of ``plans.pipeline`` for newly arrived files.
+"""Incremental staging: the staging job of ``plans.jobs`` for newly arrived files.
 
 The original pipeline only does full refreshes.  When new sample folders keep
 arriving, the same scan → stage → clustered write can run as a Structured

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import types as T
 
 from taxaspark import schemas
-from taxaspark.plans import pipeline as P
+from taxaspark.plans import jobs as P
 
 SAMPLES = ["aa01", "bb02", "cc03"]
 

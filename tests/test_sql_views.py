@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from taxaspark import schemas
 from taxaspark.operators.staging import write_table
-from taxaspark.plans import pipeline as P
+from taxaspark.plans import jobs as P
 from taxaspark.plans import queries as Q
 from taxaspark.plans.fixtures import Fixtures
 from conftest import SF_MID
