@@ -90,3 +90,31 @@ def running_sum(df: DataFrame, part: list[str], order: list[Column], value: Colu
                               .rowsBetween(W.unboundedPreceding, -1))
     return (d.join(starts, cond).withColumn(out, F.col("__b") + F.coalesce(inner, F.lit(0)))
             .drop("__v", "__s", "__ps", "__b", *[f"__p_{p}" for p in part]))
+
+
+def per_worker(key, make):
+    """``make()`` once in a Python worker, kept for its later tasks (for read-only things such as vocabularies)."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_taxaspark_worker", types.ModuleType("_taxaspark_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def byte_bpe(ranks_path: str, pattern: str):
+    """Byte-level BPE encoder from a rank file; ids equal those of the JSON vocabulary it was made from.
+
+    Strings of special tokens inside a text are ordinary text.
+    """
+    import base64
+
+    import tiktoken
+
+    def load():
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return per_worker(("byte_bpe", ranks_path, pattern), load)

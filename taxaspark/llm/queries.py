@@ -7,8 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from taxaspark.llm.common import table
+from taxaspark.llm.packing import pack_documents
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
+from taxaspark.llm.simhash_vptree import near_duplicates
+
+
+def byte_bpe_files() -> tuple[str, str]:
+    """Rank file and split pattern of the public 50k byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), *byte_bpe_files())
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +38,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
