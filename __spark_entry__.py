@@ -45,6 +45,12 @@ from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
 from taxaspark.sources.raw import scan_ext, scan_src
 
+try:  # the training-data operators can be left out of an installation
+    import corpus_pipeline
+    from taxaspark.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # Fixed query parameters (FIXTURES.md §3).
@@ -448,6 +454,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "F13_distinct_samples": f13_distinct,
         "F14_pivot_all_samples": f14_pivot,
         "G4_topk": g4_topk,
+        **(llm_queries.QUERIES | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
