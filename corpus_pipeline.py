@@ -19,8 +19,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as good by a classifier trained on those that have a label."""
-    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+    """Documents scored as good by a classifier trained on all documents that have a label."""
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"),
+                                        labelled_docs=table(spark, sf_dir, "documents"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -221,12 +221,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
             .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+              labelled_docs: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` scored at or above ``threshold``, columns unchanged.
 
-    Scores are computed beside the texts, which are not shuffled.
+    The model learns from ``labelled_docs`` (default ``docs``): rows that an earlier filter
+    has dropped are still examples.  Scores are computed beside the texts, which are
+    not shuffled.
     """
-    model = train_classifier(measure_documents(docs), labels)
+    model = train_classifier(measure_documents(docs if labelled_docs is None else labelled_docs), labels)
     row, s = "__row", "__score"
     return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
                         scored(features(text_bytes()), model).alias(s))
