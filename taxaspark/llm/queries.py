@@ -11,6 +11,7 @@ from taxaspark.llm.html_tagpath import extract_pages
 from taxaspark.llm.packing import pack_documents
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
+from taxaspark.llm.sharding_lpa import shard_documents
 from taxaspark.llm.simhash_vptree import near_duplicates
 from taxaspark.llm.url_charlm import judge_urls
 
@@ -29,6 +30,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), *byte_bpe_files())
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_sharding": op3_sharding,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
