@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from taxaspark.llm.common import table
 from taxaspark.llm.html_tagpath import extract_pages
+from taxaspark.llm.iblt import fingerprint_documents
 from taxaspark.llm.packing import pack_documents
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
@@ -34,6 +35,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
