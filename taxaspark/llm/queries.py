@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from taxaspark.llm.common import table
 from taxaspark.llm.html_tagpath import extract_pages
 from taxaspark.llm.iblt import fingerprint_documents
+from taxaspark.llm.lm_maxent import lm_scores
 from taxaspark.llm.packing import pack_documents
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
@@ -27,6 +28,10 @@ def byte_bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), *byte_bpe_files())
 
@@ -61,6 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
     "op4_document_fingerprints": op4_document_fingerprints,
