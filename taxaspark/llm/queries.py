@@ -11,6 +11,7 @@ from taxaspark.llm.html_tagpath import extract_pages
 from taxaspark.llm.iblt import fingerprint_documents
 from taxaspark.llm.lm_maxent import lm_scores
 from taxaspark.llm.packing import pack_documents
+from taxaspark.llm.piece_sampling import sample_pieces
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
 from taxaspark.llm.sharding_lpa import shard_documents
@@ -56,6 +57,12 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sample_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
+    "op8_sentencepiece_sampling": op8_sentencepiece_sampling,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
