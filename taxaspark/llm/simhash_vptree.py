@@ -283,7 +283,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
              .groupBy("doc_id").agg(F.count("*").alias("rows")))
     first = written(first.select(F.col("doc_id").alias("__stays"), "rows"), "simhash_first")
     meet = docs["doc_id"].eqNullSafe(F.col("__stays"))
-    kept = docs.join(first.where("rows = 1"), meet, "left_semi")
+    # Ids are hashed, texts aren't sorted; the same join at every size, so its cost grows with the input.
+    kept = docs.join(first.where("rows = 1").hint("shuffle_hash"), meet, "left_semi")
     if first.where("rows > 1").isEmpty():
         return kept
-    return kept.union(docs.join(first.where("rows > 1"), meet, "left_semi").dropDuplicates(["doc_id"]))
+    return kept.union(docs.join(first.where("rows > 1").hint("shuffle_hash"), meet, "left_semi").dropDuplicates(["doc_id"]))
