@@ -3,10 +3,10 @@
 ``entry(spark)`` runs the flagship query (top markers by mean abundance) on
 sf0.001.  ``queries()`` maps every implemented job / query / operator to a
 callable ``(spark, sf_dir) -> DataFrame`` over profile-shaped views of the
-benchmark tables (``taxaspark.plans.fixtures``); ``oracle_sql()`` gives the
+benchmark tables (``bench_views.frames``); ``oracle_sql()`` gives the
 same computation as DuckDB SQL over the same tables.
 
-Keys that write (J*, X*, K4-K7) write below the session's
+Keys that write (J*, X*, K*, P2) write below the session's
 ``spark.checkpoint.dir`` and return the written table read back.
 """
 
@@ -25,6 +25,8 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bench_views.frames import ODD_NUMBERS, RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset, write_run
+from bench_views.sql import with_views
 from taxaspark import schemas
 from taxaspark.functions.columns import (
     lenient_double, lenient_long, null_sentinel, ordered_string_agg, sample_id_from_path,
@@ -36,11 +38,11 @@ from taxaspark.operators.catalog import (
 from taxaspark.operators.checks import key_check, layer_counts, preview
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.pivot import pivot_wide
+from taxaspark.operators.sampling import HASH_DIGITS, key_bound
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
-from taxaspark.plans.fixture_sql import with_views
-from taxaspark.plans.fixtures import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
+from taxaspark.plans import jobs
 from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
 from taxaspark.sources.raw import scan_ext, scan_src
@@ -59,6 +61,7 @@ CHOSEN_SAMPLES = [hashlib.md5(k.encode()).hexdigest() for k in ("1", "2", "3", "
 STUDY = "5-LOW"
 STUDIES = ["5-LOW", "3-MEDIUM"]
 TAXON_LIKE = "%widget%"
+KINGDOMS = [f"k__{t}" for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
 
 MAP_COLS = ["sample_id", "run_ids", "sample_name", "study_name"]
 
@@ -114,11 +117,30 @@ def q9(spark, sf):
 
 
 def q10(spark, sf):
-    return Q.approx_distinct_samples(Fixtures(spark, sf).staged("marker_abundance"))
+    """The estimate next to the exact count, and whether it lies within three standard errors."""
+    stg = Fixtures(spark, sf).staged("marker_abundance")
+    both = Q.approx_distinct_samples(stg).withColumn("i", F.lit(0)).unionByName(
+        stg.agg(F.count_distinct("sample_id").alias("exact_samples")).withColumn("i", F.lit(0)), allowMissingColumns=True)
+    one = both.groupBy("i").agg(F.max("approx_samples").alias("approx"), F.max("exact_samples").alias("exact_samples"))
+    return one.select("exact_samples", (F.abs(F.col("approx") - F.col("exact_samples")) <= 0.15 * F.col("exact_samples"))
+                      .alias("within_bound"))
 
 
 def q11(spark, sf):
-    return Q.sampled_scan(Fixtures(spark, sf).staged("marker_abundance"), 1.0, seed=42, limit=1000)
+    """A 1 % row sample: no row that the table doesn't have, and a size within five standard deviations."""
+    stg = Fixtures(spark, sf).staged("marker_abundance")
+    keys = stg.columns
+    sample = Q.sampled_scan(stg, 1.0, seed=42, limit=None).groupBy(*keys).agg(F.count("*").alias("taken"))
+    both = stg.groupBy(*keys).agg(F.count("*").alias("there")).join(sample, keys, "full")
+    n, k = F.sum("there"), F.sum("taken")
+    return both.agg(n.alias("total_rows"), (F.sum(F.when(F.col("taken") > F.coalesce("there", F.lit(0)), 1).otherwise(0)) == 0).alias("is_subset"),
+                    (F.abs(k - 0.01 * n) <= 5 * F.sqrt(0.01 * 0.99 * n)).alias("within_5_sigma"))
+
+
+def g5(spark, sf):
+    """Limit without an order: as many rows as asked for, all from the table."""
+    stg = Fixtures(spark, sf).staged("marker_abundance")
+    return stg.limit(1000).join(stg.select("marker_id").distinct(), "marker_id", "left_semi").agg(F.count("*").alias("limited_rows"))
 
 
 def q11b(spark, sf):
@@ -130,7 +152,14 @@ def q12(spark, sf):
 
 
 def q13(spark, sf):
-    return Q.kingdom_composition_wide(Fixtures(spark, sf).rel_ab, 10, cell="sum")
+    return Q.kingdom_composition_wide(Fixtures(spark, sf).rel_ab, 10, cell="sum", kingdoms=KINGDOMS)
+
+
+def q6_long(spark, sf):
+    """The presence comparison in long form: one row for each marker present in a study's sample."""
+    fx = Fixtures(spark, sf)
+    study = fx.sample_map.where(F.col("study_name") == STUDY)
+    return Q.restrict_samples(fx.staged("marker_presence").where("presence = 1"), study).select("marker_id", "sample_id")
 
 
 # ---------------------------------------------------------------- staging / loads
@@ -189,6 +218,71 @@ def j5_raw_lines(spark, sf):
     return _raw_stage_roundtrip(spark, sf, "metaphlan_viruses_list", mode="lines")
 
 
+def _run_roundtrip(spark, sf, name):
+    """A raw run of all rows, one gz file a sample → recursive listing → stage → table."""
+    ds = schemas.DATASETS[name]
+    root = f"{scratch_path(spark, 'run')}/{schemas.DEFAULT_RUN_TAG}"
+    write_run(Fixtures(spark, sf).by_supplier(name), root, ds)
+    cfg = jobs.Config(raw_root=root, warehouse=scratch_path(spark, "run_warehouse"))
+    return spark.read.parquet(jobs.stage_dataset(spark, cfg, ds))
+
+
+def j1_run(spark, sf):
+    return _run_roundtrip(spark, sf, "marker_abundance")
+
+
+def j2_run(spark, sf):
+    return _run_roundtrip(spark, sf, "marker_presence")
+
+
+def j3_run(spark, sf):
+    return _run_roundtrip(spark, sf, "marker_rel_ab_w_read_stats")
+
+
+def _two_runs(spark, sf, name):
+    """(ext, src) of files under the run tag (even suppliers) and of files under another folder."""
+    ds = schemas.DATASETS[name]
+    top = scratch_path(spark, "runs")
+    rows = Fixtures(spark, sf).by_supplier(name)
+    even = [r[0] for r in Fixtures(spark, sf).table("supplier").where("s_suppkey % 2 = 0").select(F.md5(F.col("s_suppkey").cast("string"))).collect()]
+    globs = []
+    for folder, part in ((schemas.DEFAULT_RUN_TAG, rows.where(F.col("sample_id").isin(even))), ("other_run", rows.where(~F.col("sample_id").isin(even)))):
+        globs.append(f"{write_run(part, f'{top}/{folder}', ds)}/*/{ds.path_tail}")
+    return (scan_ext(spark, top, ds, paths=globs, mode="lines"), scan_src(spark, top, ds, paths=globs, mode="lines"))
+
+
+def d1(spark, sf):
+    """Staging drops rows whose file lies outside the run tag (no sample id)."""
+    _, src = _two_runs(spark, sf, "marker_presence")
+    return stage(src, schemas.MARKER_PRESENCE)
+
+
+def a4(spark, sf):
+    """Rows of each raw file, by the file pseudo-column."""
+    ext, _ = _two_runs(spark, sf, "marker_presence")
+    file = F.regexp_extract("file_path", "([^/]+/[^/]+/[^/]+/[^/]+)$", 1)
+    return ext.groupBy(file.alias("file")).agg(F.count("*").alias("num_rows"))
+
+
+def p2(spark, sf):
+    """A refresh in which one dataset's file is bad: it keeps its old table, the others are refreshed."""
+    fx = Fixtures(spark, sf)
+    top = scratch_path(spark, "refresh")
+    cfg = jobs.Config(raw_root=f"{top}/{schemas.DEFAULT_RUN_TAG}", warehouse=f"{top}/warehouse",
+                      datasets=("marker_abundance", "marker_presence"))
+    few = fx.by_supplier("marker_abundance").where("marker_id like '%1'")
+    write_run(few, cfg.raw_root, schemas.MARKER_ABUNDANCE)
+    write_run(fx.by_supplier("marker_presence").where("presence = 1"), cfg.raw_root, schemas.MARKER_PRESENCE)
+    jobs.stage_all(spark, cfg)
+    cfg.raw_root = f"{top}/again/{schemas.DEFAULT_RUN_TAG}"
+    write_run(few.withColumn("abundance", F.lit("not a number")), cfg.raw_root, schemas.MARKER_ABUNDANCE)
+    write_run(fx.by_supplier("marker_presence"), cfg.raw_root, schemas.MARKER_PRESENCE)
+    out = jobs.stage_all(spark, cfg)
+    parts = [spark.read.parquet(o.path).agg(F.count("*").alias("num_rows")).select(
+        F.lit(o.table).alias("table_id"), F.lit(o.error is None).alias("refreshed"), "num_rows") for o in out.values()]
+    return parts[0].union(parts[1])
+
+
 def j6(spark, sf):
     """Sample map written as CSV, loaded back through the lookup loader."""
     csv = scratch_path(spark, "sample_id_map_csv")
@@ -202,10 +296,10 @@ def j7(spark, sf):
     """Accession dump written as TSV ('-' for NULL), inferred, loaded to Parquet."""
     tsv = scratch_path(spark, "sra_accessions_tsv")
     (Fixtures(spark, sf).raw_accessions.write.option("header", True).option("sep", "\t")
-        .option("escape", '"').csv(tsv))
-    out = scratch_path(spark, schemas.ACCESSIONS_TABLE)
-    read_accessions(spark, tsv).write.mode("overwrite").option("compression", "snappy").parquet(out)
-    return spark.read.parquet(out)
+        .option("escape", '"').option("emptyValue", "").csv(tsv))
+    warehouse = scratch_path(spark, "accessions")
+    jobs.load_accessions(spark, tsv, warehouse)
+    return spark.read.parquet(f"{warehouse}/{schemas.ACCESSIONS_TABLE}")
 
 
 # ---------------------------------------------------------------- exports
@@ -237,41 +331,53 @@ def x5(spark, sf):
     stg = Fixtures(spark, sf).staged("marker_abundance")
     path = scratch_path(spark, "export_csv")
     export_csv(stg, path, sample_ids=CHOSEN_SAMPLES)
-    return spark.read.schema(stg.schema).option("header", True).csv(path)
+    return _read_csv(spark, stg.schema, path)
+
+
+def _read_csv(spark, schema, path):
+    """Standard CSV: doubled quotes, line ends inside quotes, an empty field is NULL and ``""`` is empty."""
+    mark = "\u0001"
+    df = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("emptyValue", mark).csv(path)
+    return df.select(*[F.when(F.col(f.name) == mark, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+                       if f.dataType.simpleString() == "string" else F.col(f.name) for f in schema.fields])
+
+
+def x5_quoted(spark, sf):
+    """CSV export of texts with quotes, separators and line ends."""
+    text = Fixtures(spark, sf).quoted_text
+    path = scratch_path(spark, "export_csv")
+    export_csv(text, path)
+    return _read_csv(spark, text.schema, path)
 
 
 # ---------------------------------------------------------------- checks / catalog
 
 def k1(spark, sf):
-    fx = Fixtures(spark, sf)
+    """Layers over raw files of two runs, one of which has no sample ids; stg is the written table."""
     ds = schemas.MARKER_REL_AB
-    ext = fx.raw_rel_ab.drop("sample_id")
-    return layer_counts([(ds.ext_table, ext), (ds.src_view, fx.raw_rel_ab), (ds.stg_table, fx.rel_ab)])
+    ext, src = _two_runs(spark, sf, ds.name)
+    path = scratch_path(spark, ds.stg_table)
+    write_table(stage(src, ds), path)
+    return layer_counts([(ds.ext_table, ext), (ds.src_view, src), (ds.stg_table, spark.read.parquet(path))])
 
 
 def k2(spark, sf):
-    """Key check of the sample map as the CSV loader reads it (written as CSV first)."""
-    csv = scratch_path(spark, "sample_id_map_csv")
-    Fixtures(spark, sf).sample_map.write.option("header", True).option("escape", '"').csv(csv)
-    return key_check(read_sample_map(spark, csv), "sample_id", "total_rows", "distinct_sample_ids")
+    """Key check of the sample map as loaded from CSV: of the written table."""
+    return key_check(j6(spark, sf), "sample_id", "total_rows", "distinct_sample_ids")
 
 
 def k2b(spark, sf):
-    """Key check of the accession table as the loader reads it (written as TSV first)."""
-    tsv = scratch_path(spark, "sra_accessions_tsv")
-    (Fixtures(spark, sf).raw_accessions.write.option("header", True).option("sep", "\t")
-        .option("escape", '"').csv(tsv))
-    return key_check(read_accessions(spark, tsv), "Accession", "total_rows", "unique_accessions")
+    """Key check of the accession table as loaded from TSV: of the written table."""
+    return key_check(j7(spark, sf), "Accession", "total_rows", "unique_accessions")
 
 
 def k3(spark, sf):
-    """Preview with provenance (file path, sample id) over the raw unknown-list files."""
-    fx = Fixtures(spark, sf)
+    """Preview with provenance (file, sample id) over the raw unknown-list files, first in path order."""
     ds = schemas.UNKNOWN_LIST
-    root = scratch_path(spark, "raw_preview")
-    write_raw_dataset(fx.raw_unknown, root, ds)
-    ext = scan_ext(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN)
-    return preview(ext, 3)
+    root = f"{scratch_path(spark, 'preview')}/{schemas.DEFAULT_RUN_TAG}"
+    write_run(Fixtures(spark, sf).raw_unknown, root, ds)
+    first = preview(scan_ext(spark, root, ds).orderBy("file_path", "clade_name"), 3)
+    return first.withColumn("file_path", F.regexp_extract("file_path", "([^/]+/[^/]+/[^/]+)$", 1))
 
 
 _WAREHOUSES: dict[tuple, list] = {}
@@ -279,8 +385,9 @@ _WAREHOUSES: dict[tuple, list] = {}
 
 def _fixture_catalog(spark, sf) -> list[TableEntry]:
     """Stage the five datasets and the map once per session into a scratch warehouse."""
-    key = (spark.conf.get("spark.app.id", None) or id(spark), sf)
-    if key not in _WAREHOUSES:
+    app = spark.conf.get("spark.app.id", None)  # of this application: a later one doesn't get its tables
+    key = (app, sf)
+    if app is None or key not in _WAREHOUSES:
         fx = Fixtures(spark, sf)
         root = scratch_path(spark, "warehouse")
         entries = []
@@ -297,7 +404,28 @@ def _fixture_catalog(spark, sf) -> list[TableEntry]:
 
 
 def k4(spark, sf):
-    return schema_catalog(spark, _fixture_catalog(spark, sf))
+    """Fields of the staged tables, each with how many rows hold a value."""
+    entries = _fixture_catalog(spark, sf)
+    parts = []
+    for e in entries:
+        names = e.open().columns
+        one = e.open().agg(*[F.count(F.col(c)).alias(c) for c in names])
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("non_null")) for c in names]))
+        parts.append(one.select(F.lit(e.table_id).alias("table_id"), pairs.alias("p")).select("table_id", "p.*"))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.union(p)
+    return schema_catalog(spark, entries).join(counts, ["table_id", "field_name"])
+
+
+def k5_errors(spark, sf):
+    """Profile of a warehouse in which one table is missing and one unreadable: both listed with an error."""
+    broken = scratch_path(spark, "broken")
+    Fixtures(spark, sf).sample_map.write.option("header", True).csv(broken)
+    good = _fixture_catalog(spark, sf)
+    entries = good + [TableEntry("stg_missing", TABLE, lambda: spark.read.parquet(broken + "-nowhere")),
+                      TableEntry("stg_unreadable", TABLE, lambda: spark.read.schema("a int").parquet(broken), path=broken)]
+    return table_profile(spark, entries).select("table_id", "num_rows", F.col("error").isNotNull().alias("failed"))
 
 
 def k5(spark, sf):
@@ -343,10 +471,14 @@ def c4_lenient_casts(spark, sf):
 
 
 def d4_in_param(spark, sf):
-    """``IN UNNEST(@ids)`` as a bound array parameter (no string splicing)."""
-    stg = Fixtures(spark, sf).staged("marker_abundance")
-    return spark.sql("select sample_id, marker_id, abundance from {t} where array_contains(:ids, sample_id)",
-                     args={"ids": F.array(*[F.lit(s) for s in CHOSEN_SAMPLES])}, t=stg)
+    """``IN UNNEST(@ids)``: a list bound as values, which reaches the Parquet scan as ``In``."""
+    return Q.restrict_samples(Fixtures(spark, sf).staged("marker_abundance"), CHOSEN_SAMPLES)
+
+
+def c4_odd_values(spark, sf):
+    """Casts of strings that engines read differently."""
+    return Fixtures(spark, sf).odd_numbers.select("l_orderkey", "l_linenumber", "text", lenient_double("text").alias("as_double"),
+                                                  lenient_long("text").alias("as_long"))
 
 
 def d5_like(spark, sf):
@@ -394,7 +526,13 @@ def f13_distinct(spark, sf):
 def f14_pivot(spark, sf):
     """Kingdom rows of every sample, summed per cell, pivoted wide."""
     long = Q.kingdom_rows(Fixtures(spark, sf).rel_ab).select("sample_id", "clade_name", "relative_abundance")
-    return pivot_wide(long, "sample_id", "clade_name", "relative_abundance", cell="sum")
+    return pivot_wide(long, "sample_id", "clade_name", "relative_abundance", values=KINGDOMS, cell="sum")
+
+
+def f14_unique(spark, sf):
+    """The pivot that refuses duplicate cells, over cells made unique."""
+    long = Q.kingdom_rows(Fixtures(spark, sf).rel_ab).groupBy("sample_id", "clade_name").agg(F.max("relative_abundance").alias("top"))
+    return pivot_wide(long, "sample_id", "clade_name", "top", values=KINGDOMS, cell="unique")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -417,6 +555,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "Q10_approx_distinct_samples": q10,
         "Q11_sampled_scan": q11,
         "Q11b_sampled_whole_samples": q11b,
+        "G5_limit": g5,
+        "Q6_long": q6_long,
         "Q12_kingdom_long": q12,
         "Q13_kingdom_wide": q13,
         "J1_stage_marker_abundance": j1,
@@ -427,6 +567,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "J4r_raw_stage_unknown_list": j4_raw,
         "J5r_raw_stage_viruses_list": j5_raw,
         "J5l_raw_lines_stage_viruses_list": j5_raw_lines,
+        "J1r_raw_run_abundance": j1_run,
+        "J2r_raw_run_presence": j2_run,
+        "J3r_raw_run_rel_ab": j3_run,
+        "D1_key_filter": d1,
+        "A4_file_column": a4,
+        "P2_refresh_staging": p2,
         "J6_load_sample_map": j6,
         "J7_load_accessions": j7,
         "X1_export_marker_abundance": x1,
@@ -434,16 +580,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "X3_export_marker_rel_ab": x3,
         "X4_export_viruses_list": x4,
         "X5_export_csv": x5,
+        "X5_quoted_csv": x5_quoted,
         "K1_layer_counts": k1,
         "K2_key_check_map": k2,
         "K2b_key_check_accessions": k2b,
         "K3_preview_with_provenance": k3,
         "K4_schema_catalog": k4,
         "K5_table_profile": k5,
+        "K5_with_errors": k5_errors,
         "K6_catalog_summary": k6,
         "K7_table_listing": k7,
         "C1_sample_id_from_path": c1_regexp_extract,
         "C4_lenient_casts": c4_lenient_casts,
+        "C4_odd_values": c4_odd_values,
         "D4_in_param": d4_in_param,
         "D5_like": d5_like,
         "D7_not_like": d7_not_like,
@@ -453,6 +602,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "F10_string_agg": f10_string_agg,
         "F13_distinct_samples": f13_distinct,
         "F14_pivot_all_samples": f14_pivot,
+        "F14_unique": f14_unique,
         "G4_topk": g4_topk,
         **(llm_queries.QUERIES | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
@@ -475,15 +625,29 @@ def _cols(name: str) -> list[str]:
     return ["sample_id", *[f.name for f in schemas.DATASETS[name].raw_schema.fields]]
 
 
-def _catalog_rows() -> str:
-    rows = []
-    for ds in schemas.DATASETS.values():
-        for i, f in enumerate(ds.staged_schema().fields):
-            t = {"string": "STRING", "double": "FLOAT", "bigint": "INTEGER"}[f.dataType.simpleString()]
-            rows.append(f"('{ds.stg_table}', {i}, '{f.name}', '{t}', 'NULLABLE')")
-    for i, c in enumerate(MAP_COLS):
-        rows.append(f"('{schemas.SAMPLE_MAP_TABLE}', {i}, '{c}', 'STRING', 'NULLABLE')")
-    return ",\n".join(rows)
+def _catalog_sql() -> str:
+    """Fields of the fixture warehouse with their types, and the values counted in each view."""
+    tables = {ds.stg_table: [(f.name, f.dataType.simpleString()) for f in ds.staged_schema().fields] for ds in schemas.DATASETS.values()}
+    tables[schemas.SAMPLE_MAP_TABLE] = [(c, "string") for c in MAP_COLS]
+    names = {"string": "STRING", "double": "FLOAT", "bigint": "INTEGER"}
+    rows = [f"select '{t}' as table_id, {i} as position, '{c}' as field_name, '{names[kind]}' as field_type, 'NULLABLE' as mode, "
+            f"(select count({c}) from {t}) as non_null" for t, fields in tables.items() for i, (c, kind) in enumerate(fields)]
+    return with_views("\nunion all\n".join(rows), *tables)
+
+
+def _kingdom_cells(agg: str) -> str:
+    """A column for each kingdom, by a conditional aggregate."""
+    return ", ".join(f"""{agg}(case when clade_name = '{k}' then relative_abundance end) as "{k}\"""" for k in KINGDOMS)
+
+
+def _odd_sql() -> str:
+    """The expected casts, spelled out for each odd string."""
+    pick = " ".join(f"when {i} then '{v}'" for i, v in enumerate(ODD_NUMBERS))
+    known = lambda at: " ".join(f"when '{v}' then {pair[at]}" for v, pair in ODD_NUMBERS.items() if pair[at] is not None)
+    return f"""
+with t as (select l_orderkey, l_linenumber, case l_partkey % {len(ODD_NUMBERS)} {pick} end as text from lineitem)
+select l_orderkey, l_linenumber, text, cast(case text {known(0)} end as double) as as_double,
+       cast(case text {known(1)} end as bigint) as as_long from t"""
 
 
 def _profile_sql() -> str:
@@ -532,27 +696,28 @@ select sample_id, count(*) as viral_count, cast(sum(mapping_reads_count) as bigi
 from stg_metaphlan_viruses_list group by sample_id having count(*) > 5
 order by total_viral_reads desc, sample_id limit 50""", "stg_metaphlan_viruses_list"),
         "Q6_presence_comparison": with_views(f"""
-, sample_markers as (
-  select sample_id, marker_id, presence from stg_marker_presence
-  where sample_id in (select sample_id from src_sample_id_map where study_name = '{STUDY}'))
-select marker_id, cast(count_if(presence = 1) as bigint) as present_in_samples,
-       string_agg(case when presence = 1 then sample_id end, ','
-                  order by case when presence = 1 then sample_id end) as samples_with_marker
-from sample_markers group by marker_id having count_if(presence = 1) > 1
-order by present_in_samples desc, marker_id""", "stg_marker_presence", "src_sample_id_map"),
+select marker_id, count(*) as present_in_samples, string_agg(sample_id, ',' order by sample_id) as samples_with_marker
+from stg_marker_presence p
+where presence = 1 and exists (select 1 from src_sample_id_map s where s.sample_id = p.sample_id and s.study_name = '{STUDY}')
+group by marker_id having count(*) > 1
+order by 2 desc, 1""", "stg_marker_presence", "src_sample_id_map"),
+        "Q6_long": with_views(f"""
+select marker_id, sample_id from stg_marker_presence
+where presence = 1 and sample_id in (select sample_id from src_sample_id_map where study_name = '{STUDY}')""",
+            "stg_marker_presence", "src_sample_id_map"),
         "Q7_profiles_with_study": with_views(f"""
-select map.study_name, map.run_ids, map.sample_name, data.sample_id, data.clade_name, data.relative_abundance
-from {rel} as data join src_sample_id_map as map on data.sample_id = map.sample_id
-where map.study_name = '{STUDY}' and data.clade_name like 'k__%'
-order by data.relative_abundance desc nulls last, data.sample_id, data.clade_name limit 100""",
+, members as (select * from src_sample_id_map where study_name = '{STUDY}')
+, profiles as (select * from {rel} where starts_with(clade_name, 'k__'))
+select study_name, run_ids, sample_name, sample_id, clade_name, relative_abundance
+from profiles join members using (sample_id)
+order by relative_abundance desc nulls last, sample_id, clade_name limit 100""",
             rel, "src_sample_id_map"),
         "Q8_study_marker_counts": with_views(f"""
-select map.sample_id, map.run_ids, map.sample_name, map.study_name,
-       cast(count(distinct data.marker_id) as bigint) as marker_count
-from src_sample_id_map as map left join stg_marker_abundance as data on map.sample_id = data.sample_id
-where map.study_name in ({_sql_list(STUDIES)})
-group by map.sample_id, map.run_ids, map.sample_name, map.study_name
-order by marker_count desc, map.sample_id""", "src_sample_id_map", "stg_marker_abundance"),
+, per_sample as (select sample_id, count(distinct marker_id) as n from stg_marker_abundance group by sample_id)
+, members as (select * from src_sample_id_map where study_name in ({_sql_list(STUDIES)}))
+select m.sample_id, run_ids, sample_name, study_name, coalesce(n, 0) as marker_count
+from members m left join per_sample p on p.sample_id = m.sample_id
+order by marker_count desc, m.sample_id""", "src_sample_id_map", "stg_marker_abundance"),
         "Q9_markers_per_sample": with_views("""
 select sample_id, count(*) as marker_count from stg_marker_abundance
 group by sample_id order by sample_id limit 10""", "stg_marker_abundance"),
@@ -563,15 +728,49 @@ where sample_id in (select sample_id from samples)
   and clade_name like 'k__%' and clade_name not like 'k__%|%'
 order by sample_id, relative_abundance desc nulls last""", rel),
         "Q13_kingdom_wide": with_views(f"""
-, samples as (select distinct sample_id from {rel} order by sample_id limit 10)
-, long as (select sample_id, clade_name, relative_abundance from {rel}
-  where sample_id in (select sample_id from samples)
-    and clade_name like 'k__%' and clade_name not like 'k__%|%')
-select * from (pivot long on clade_name using sum(relative_abundance) group by sample_id)""", rel),
+select sample_id, {_kingdom_cells("sum")} from {rel}
+where sample_id in (select distinct sample_id from {rel} order by sample_id limit 10)
+  and clade_name like 'k__%' and clade_name not like 'k__%|%'
+group by sample_id""", rel),
         "F14_pivot_all_samples": with_views(f"""
-, long as (select sample_id, clade_name, relative_abundance from {rel}
-  where clade_name like 'k__%' and clade_name not like 'k__%|%')
-select * from (pivot long on clade_name using sum(relative_abundance) group by sample_id)""", rel),
+select sample_id, {_kingdom_cells("sum")} from {rel}
+where clade_name like 'k__%' and clade_name not like 'k__%|%' group by sample_id""", rel),
+        "F14_unique": with_views(f"""
+select sample_id, {_kingdom_cells("max")} from {rel}
+where clade_name like 'k__%' and clade_name not like 'k__%|%' group by sample_id""", rel),
+        "Q10_approx_distinct_samples": with_views(
+            "select count(distinct sample_id) as exact_samples, true as within_bound from stg_marker_abundance", "stg_marker_abundance"),
+        "Q11_sampled_scan": "select count(*) as total_rows, true as is_subset, true as within_5_sigma from lineitem",
+        "Q11b_sampled_whole_samples": with_views(f"""
+select sample_id, marker_id, abundance from stg_marker_abundance
+where cast('0x' || substr(md5(sample_id), 1, {HASH_DIGITS}) as bigint) < {key_bound(1.0)}""", "stg_marker_abundance"),
+        "G5_limit": "select least(1000, count(*)) as limited_rows from lineitem",
+        "K3_preview_with_provenance": with_views(f"""
+select sample_id || '/{schemas.UNKNOWN_LIST.path_tail}' as file_path, sample_id, clade_name, ncbi_tax_id, relative_abundance
+from raw_unknown order by sample_id, clade_name limit 3""", "raw_unknown"),
+        "A4_file_column": f"""
+select case when l_suppkey % 2 = 0 then '{tag}' else 'other_run' end || '/' || md5(cast(l_suppkey as varchar(20)))
+       || '/{schemas.MARKER_PRESENCE.path_tail}' as file, count(*) as num_rows
+from lineitem group by 1""",
+        "D1_key_filter": with_views("""
+select * from run_stg_marker_presence
+where sample_id in (select md5(cast(s_suppkey as varchar(20))) from supplier where s_suppkey % 2 = 0)""", "run_stg_marker_presence"),
+        "J1r_raw_run_abundance": with_views("select * from run_stg_marker_abundance", "run_stg_marker_abundance"),
+        "J2r_raw_run_presence": with_views("select * from run_stg_marker_presence", "run_stg_marker_presence"),
+        "J3r_raw_run_rel_ab": with_views(f"select * from run_{rel}", f"run_{rel}"),
+        "P2_refresh_staging": """
+select 'stg_marker_abundance' as table_id, false as refreshed, count(*) filter (where l_partkey % 10 = 1) as num_rows from lineitem
+union all select 'stg_marker_presence', true, count(*) from lineitem""",
+        "X5_quoted_csv": """
+select cast(o_orderkey as varchar(20)) as id, o_orderpriority as last,
+       case o_orderkey % 6 when 0 then 'a "b", c ' || cast(o_orderkey as varchar(20)) when 1 then '' when 2 then null
+            when 3 then '""' when 4 then 'two' || chr(10) || 'lines, \\ back' else 'plain' end as text
+from orders""",
+        "C4_odd_values": _odd_sql(),
+        "K5_with_errors": f"""
+with p as ({_profile_sql()})
+select table_id, num_rows, false as failed from p
+union all select 'stg_missing', null, true union all select 'stg_unreadable', null, true""",
         "J1_stage_marker_abundance": _stage_sql("stg_marker_abundance"),
         "J2_stage_marker_presence": _stage_sql("stg_marker_presence"),
         "J3_stage_marker_rel_ab": _stage_sql(rel),
@@ -590,21 +789,19 @@ select * from (pivot long on clade_name using sum(relative_abundance) group by s
             f"select * from stg_marker_abundance where sample_id in ({ids})", "stg_marker_abundance"),
         "K1_layer_counts": with_views(f"""
 , counts as (
-  select 0 as position, 'ext_marker_rel_ab_w_read_stats' as layer, count(*) as num_rows from raw_rel_ab
-  union all select 1, 'src_marker_rel_ab_w_read_stats', count(*) from raw_rel_ab
-  union all select 2, 'stg_marker_rel_ab_w_read_stats', count(*) from {rel})
+  select 0 as position, 'ext_marker_rel_ab_w_read_stats' as layer, count(*) as num_rows from run_raw_rel_ab
+  union all select 1, 'src_marker_rel_ab_w_read_stats', count(*) from run_raw_rel_ab
+  union all select 2, '{rel}', count(*) from run_{rel}
+    where sample_id in (select md5(cast(s_suppkey as varchar(20))) from supplier where s_suppkey % 2 = 0))
 select position, layer, num_rows, lag(num_rows) over (order by position) - num_rows as dropped
-from counts""", rel),
+from counts""", f"run_{rel}"),
         "K2_key_check_map": with_views("""
 select count(*) as total_rows, count(distinct sample_id) as distinct_sample_ids
 from src_sample_id_map""", "src_sample_id_map"),
         "K2b_key_check_accessions": with_views("""
 select count(*) as total_rows, count(distinct Accession) as unique_accessions
 from raw_accessions""", "raw_accessions"),
-        "K4_schema_catalog": f"""
-select * from (values
-{_catalog_rows()}
-) as t(table_id, position, field_name, field_type, mode)""",
+        "K4_schema_catalog": _catalog_sql(),
         "K5_table_profile": _profile_sql(),
         "K6_catalog_summary": f"""
 with p as ({_profile_sql()})
@@ -656,4 +853,5 @@ from src_sample_id_map as map left join stg_marker_abundance as data on map.samp
 group by map.sample_id, map.run_ids, map.sample_name, map.study_name""",
             "src_sample_id_map", "stg_marker_abundance"),
         "F13_distinct_samples": with_views(f"select distinct sample_id from {rel}", rel),
+        **(llm_queries.ORACLES if llm_queries else {}),
     }

@@ -4,7 +4,7 @@ The benchmark tables (orders, lineitem, part, supplier, events) are recast as
 the sample map, the five profile datasets (raw string form and staged form) and
 the accession dump, so that every query in this package runs on data whose
 size grows with the scale factor.  Each builder mirrors one view of
-FIXTURES.md §2; the oracle SQL in ``__spark_entry__`` uses the same views.
+FIXTURES.md §2; ``bench_views.sql`` has the same views as SQL.
 """
 
 from __future__ import annotations
@@ -126,9 +126,35 @@ class Fixtures:
             F.concat(F.lit("ERR"), _s(F.lit(1000000) + F.col("o_orderkey"))).alias("Accession"),
             F.concat(F.lit("ERA"), _s("o_custkey")).alias("Submission"),
             F.when(F.col("o_orderstatus") == "P", F.lit("-")).otherwise(F.col("o_orderstatus")).alias("Status"),
+            F.when(F.col("o_custkey") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit('the "C", '), _s("o_custkey"))).alias("Center"),
             _s("o_custkey").alias("Spots"),
         )
 
+    # Rows by supplier: raw runs of a few hundred files that together hold every row.
+
+    def by_supplier(self, name: str) -> DataFrame:
+        """``sample_id`` (of a supplier) and the raw columns of a dataset made from lineitem, all rows."""
+        li = self.table("lineitem").withColumn("l_orderkey", F.col("l_suppkey"))
+        view = Fixtures(self.spark, self.sf_dir)
+        view._tables = {"lineitem": li, "part": self.table("part")}
+        return getattr(view, self.SOURCES[name])
+
+    @cached_property
+    def quoted_text(self) -> DataFrame:
+        """Texts with quotes, separators, line ends, empty and NULL fields."""
+        o = self.table("orders")
+        k = F.col("o_orderkey") % 6
+        text = (F.when(k == 0, F.concat(F.lit('a "b", c '), _s("o_orderkey"))).when(k == 1, F.lit("")).when(k == 2, F.lit(None))
+                .when(k == 3, F.lit('""')).when(k == 4, F.lit("two\nlines, \\ back")).otherwise(F.lit("plain")))
+        return o.select(_s("o_orderkey").alias("id"), text.alias("text"), F.col("o_orderpriority").alias("last"))
+
+    @cached_property
+    def odd_numbers(self) -> DataFrame:
+        """Strings that casts of different engines disagree on, one for each lineitem row."""
+        li = self.table("lineitem")
+        pick = F.element_at(F.array(*[F.lit(v) for v in ODD_NUMBERS]), (F.col("l_partkey") % len(ODD_NUMBERS) + 1).cast("int"))
+        return li.select("l_orderkey", "l_linenumber", pick.alias("text"))
+
     # Staged forms (the stg_* tables) -------------------------------------
 
     # Source view of each dataset (the src_* layer it is staged from).
@@ -152,11 +178,37 @@ class Fixtures:
         return self.staged("metaphlan_unknown_list")
 
 
-def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None) -> str:
+# Odd numeric strings with the double and the integer that a lenient warehouse cast gives.
+ODD_NUMBERS: dict[str, tuple[float | None, int | None]] = {
+    "1.0d": (None, None), "2f": (None, None), "0x1p3": (None, None), "0X1F": (None, 31), "1.5": (1.5, None),
+    "-0x10": (None, -16), "0x000000000000000000ff": (None, 255), "abc": (None, None), "": (None, None),
+    "12": (12.0, 12), "1e3": (1000.0, None), "-7": (-7.0, -7),
+}
+
+
+def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
+    """Write ``df`` in the layout of a run: ``<root>/<sample id>/<path tail>``, header lines without '#'."""
+    from taxaspark.sources.tables import _file_system
+
+    parts = write_raw_dataset(df, f"{root}.parts-{ds.name}", ds, mark="header")
+    to_path, fs = _file_system(df.sparkSession, parts)
+    for folder in fs.listStatus(to_path(parts)):
+        name = folder.getPath().getName()
+        if not name.startswith("sample_id="):
+            continue
+        file = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+        to = to_path(f"{root}/{name[len('sample_id='):]}/{ds.path_tail}")
+        fs.mkdirs(to.getParent())
+        fs.rename(file, to)
+    return root
+
+
+def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None,
+                      mark: str = "#header") -> str:
     """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
 
     One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
-    ``ds.skip_rows`` header lines (all but the last begin with '#').  Read
+    ``ds.skip_rows`` header lines (all but the last begin with ``mark``).  Read
     them back with ``id_pattern=RAW_ID_PATTERN`` and ``paths=raw_glob(root)``.
     Each sample's rows go to one task (hash exchange on ``sample_id``); the
     header rows are made per sample with ``explode``, not a join.
@@ -165,7 +217,7 @@ def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_line
     cols = [f.name for f in ds.raw_schema.fields]
     data = df.select("sample_id", F.lit(0).alias("_ord"), *[F.col(c).cast("string").alias(c) for c in cols])
     first_text = F.when(F.col("_ord") == -1, F.lit("\t".join(cols))) \
-        .otherwise(F.concat(F.lit("#header "), F.col("_ord").cast("string")))
+        .otherwise(F.concat(F.lit(f"{mark} "), F.col("_ord").cast("string")))
     heads = (df.select("sample_id").distinct()
                .select("sample_id", F.explode(F.sequence(F.lit(-n), F.lit(-1))).alias("_ord"))
                .select("sample_id", "_ord", first_text.alias(cols[0]),

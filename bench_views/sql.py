@@ -1,4 +1,4 @@
-"""The fixture views of ``plans.fixtures`` as SQL, for oracle queries run elsewhere.
+"""The views of ``bench_views.frames`` as SQL, for oracle queries run elsewhere.
 
 Each view is a CTE over the benchmark tables; ``with_views`` puts the views a
 query needs (and their dependencies) in front of it.
@@ -71,14 +71,20 @@ from events""",
 select concat('ERR', cast(1000000 + o_orderkey as varchar(20))) as Accession,
        concat('ERA', cast(o_custkey as varchar(20))) as Submission,
        case when o_orderstatus = 'P' then '-' else o_orderstatus end as Status,
+       case when o_custkey % 3 = 0 then '' else concat('the "C", ', cast(o_custkey as varchar(20))) end as Center,
        cast(o_custkey as varchar(20)) as Spots
 from orders""",
     "src_sra_accessions": """
-select Accession, Submission, nullif(Status, '-') as Status, cast(Spots as bigint) as Spots
+select Accession, Submission, nullif(Status, '-') as Status, Center, cast(Spots as bigint) as Spots
 from raw_accessions""",
 }
 
+# The same datasets by supplier: what the raw runs hold.
+for _name in ("stg_marker_abundance", "stg_marker_presence", "raw_rel_ab", "stg_marker_rel_ab_w_read_stats"):
+    VIEWS[f"run_{_name}"] = VIEWS[_name].replace("l_orderkey", "l_suppkey").replace("from raw_rel_ab", "from run_raw_rel_ab")
+
 DEPENDS = {
+    "run_stg_marker_rel_ab_w_read_stats": ["run_raw_rel_ab"],
     "stg_marker_rel_ab_w_read_stats": ["raw_rel_ab"],
     "stg_metaphlan_unknown_list": ["raw_unknown"],
     "src_sra_accessions": ["raw_accessions"],

@@ -32,10 +32,12 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--accessions")
     ap.add_argument("--catalog-out")
     ap.add_argument("--run-tag", default=DEFAULT_RUN_TAG)
-    ap.add_argument("--layout", default="local", choices=["local", "range", "hex"])
+    ap.add_argument("--layout", default="range", choices=["range", "local"])
     ap.add_argument("--range-partitions", type=int)
     ap.add_argument("--listing", default="recursive", choices=["glob", "recursive"])
-    ap.add_argument("--read-mode", default="wholetext", choices=["wholetext", "lines"])
+    ap.add_argument("--read-mode", default="lines", choices=["lines", "wholetext"])
+    ap.add_argument("--accessions-multiline", action="store_true", help="allow quoted newlines in the dump")
+    ap.add_argument("--accessions-schema", help="column types as DDL; saves the inference pass")
     ap.add_argument("--max-partition-bytes", type=int, help="compressed bytes per staging task")
     ap.add_argument("--datasets", nargs="*", default=list(DATASETS), choices=list(DATASETS))
     return ap
@@ -47,36 +49,50 @@ def config(args) -> P.Config:
                     catalog_out=args.catalog_out, run_tag=args.run_tag, layout=args.layout,
                     range_partitions=args.range_partitions, listing=args.listing,
                     read_mode=args.read_mode, max_partition_bytes=args.max_partition_bytes,
+                    accessions_multiline=args.accessions_multiline, accessions_schema=args.accessions_schema,
                     datasets=tuple(args.datasets))
 
 
+def show_lookups(spark, cfg: P.Config, lookups: dict) -> None:
+    """Key check of each loaded lookup, and some of its rows."""
+    for name, check in lookups.items():
+        if isinstance(check, P.Outcome):
+            print(name, "failed; its old table stays")
+            continue
+        print(name, check.asDict())
+        P.lookup_sample(spark, cfg.warehouse, name).show(truncate=False)
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = parser().parse_args(argv)
     cfg = config(args)
     if spark is None:
         from taxaspark.session import get_session
         spark = get_session(app=f"taxaspark-{args.command}")
+    out = {}
     if args.command == "run-all":
         out = P.run_all(spark, cfg)
-        for name, row in out["lookups"].items():
-            print(name, row.asDict())
+        show_lookups(spark, cfg, out["lookups"])
         for row in out["layers"]:
             print(row.asDict())
         out["catalog"]["summary"].show(truncate=False)
     elif args.command == "stage":
-        for name, path in P.refresh_staging(spark, cfg)["staged"].items():
-            print(name, path)
+        out = {"staged": P.refresh_staging(spark, cfg)["staged"]}
+        for name, made in out["staged"].items():
+            print(name, "failed; its old table stays" if made.error else made.path)
     elif args.command == "load-lookups":
-        for name, row in P.refresh_lookups(spark, cfg).items():
-            print(name, row.asDict())
+        out = P.refresh_lookups(spark, cfg)
+        show_lookups(spark, cfg, out)
     elif args.command == "catalog":
         P.refresh_metadata(spark, cfg)["summary"].show(truncate=False)
     elif args.command == "export":
-        for name, path in P.export_all(spark, cfg).items():
-            print(name, path)
+        out = P.export_all(spark, cfg)
+        for name, made in out.items():
+            print(name, "failed" if made.error else made.path)
     elif args.command == "show-tables":
         from taxaspark.operators.catalog import table_listing, table_profile
-        table_listing(table_profile(spark, P.catalog_entries(spark, cfg))).show(100, truncate=False)
+        listing = table_listing(table_profile(spark, P.catalog_entries(spark, cfg)))
+        listing.show(listing.count(), truncate=False)
     elif args.command == "preview":
         from taxaspark.operators.checks import preview
         raw_views = P.register_src_views(spark, cfg)
@@ -84,7 +100,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for name in names:
             print(name)
             preview(spark.table(name), 3).show(truncate=False)
-    return 0
+    errors = P.failed(out)
+    for message in errors:
+        print("FAILED", message, file=sys.stderr)
+    return 1 if errors else 0
 
 
 if __name__ == "__main__":

@@ -1,6 +1,5 @@
 from taxaspark.functions.columns import (  # noqa: F401
     gt_not_nan,
-    hash_bucket,
     lenient_double,
     lenient_long,
     min_nan_first,

@@ -46,10 +46,10 @@ def null_sentinel(c, sentinel: str = "-") -> Column:
     return F.nullif(_col(c), F.lit(sentinel))
 
 
-# Spark's string->double cast accepts a trailing type suffix ('1.0d', '2f');
-# a warehouse SAFE_CAST does not, so such strings are made NULL first.
+# Spark's string->double cast accepts a trailing type suffix ('1.0d', '2f') and hex floats
+# ('0x1p3'); a warehouse SAFE_CAST does not, so such strings are made NULL first.
 _SUFFIX_RE = r"(?i)[0-9.][df]\s*$"
-_HEX_RE = r"^\s*[+-]?0[xX][0-9a-fA-F]{1,16}\s*$"
+_HEX_RE = r"^\s*[+-]?0[xX]0*[0-9a-fA-F]{1,16}\s*$"
 
 
 def lenient_double(c, source_type: T.DataType | None = None) -> Column:
@@ -61,7 +61,8 @@ def lenient_double(c, source_type: T.DataType | None = None) -> Column:
     # suffix, so the regex runs on almost no rows.
     maybe = col.contains("d") | col.contains("D") | col.contains("f") | col.contains("F")
     suffixed = maybe & col.rlike(_SUFFIX_RE)
-    return F.when(suffixed, F.lit(None).cast(T.DoubleType())).otherwise(col.try_cast(T.DoubleType()))
+    hexed = col.contains("x") | col.contains("X")
+    return F.when(suffixed | hexed, F.lit(None).cast(T.DoubleType())).otherwise(col.try_cast(T.DoubleType()))
 
 
 def lenient_long(c, source_type: T.DataType | None = None) -> Column:
@@ -69,7 +70,7 @@ def lenient_long(c, source_type: T.DataType | None = None) -> Column:
     col = _col(c)
     if source_type is not None and not isinstance(source_type, T.StringType):
         return col.try_cast(T.LongType())
-    magnitude = F.conv(F.regexp_extract(col, r"0[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast(T.LongType())
+    magnitude = F.conv(F.regexp_extract(col, r"0[xX]0*([0-9a-fA-F]+)", 1), 16, 10).try_cast(T.LongType())
     negative = F.regexp_extract(col, r"^\s*([+-]?)0[xX]", 1) == "-"
     hex_value = F.when(negative, -magnitude).otherwise(magnitude)
     # Only strings holding an 'x' can be hex; the regex runs on those alone.
@@ -105,7 +106,3 @@ def ordered_string_agg(c, delimiter: str = ",", order_by: str | None = None) ->
     delim = delimiter.replace("'", "''")
     return F.expr(f"string_agg({expr}, '{delim}') within group (order by {key})")
 
-
-def hash_bucket(c, buckets: int = 100) -> Column:
-    """Deterministic bucket in [0, buckets) of a key, for whole-key sampling."""
-    return F.pmod(F.xxhash64(_col(c)), F.lit(buckets))

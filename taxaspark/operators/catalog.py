@@ -8,6 +8,7 @@ lengths of the table's files, read through the ``binaryFile`` source with only
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +45,14 @@ def type_name(dt: T.DataType) -> str:
 
 @dataclass
 class TableEntry:
-    """One catalog object.  ``df`` reads it; its files lie below ``path``.
+    """One catalog object.  ``df`` is its DataFrame, or opens it when called; its files lie below ``path``.
 
     ``files_glob`` (a file-name pattern) and ``files_regex`` (on the full path)
     pick the table's files there; tables default to ``*.parquet``.
     """
     table_id: str
     table_type: str
-    df: DataFrame
+    df: DataFrame | Callable[[], DataFrame]
     path: str | None = None
     clustering_fields: list[str] = field(default_factory=list)
     view_query: str | None = None
@@ -59,6 +60,9 @@ class TableEntry:
     files_glob: str | None = None
     files_regex: str | None = None
 
+    def open(self) -> DataFrame:
+        return self.df() if callable(self.df) else self.df
+
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField("table_id", T.StringType(), False),
@@ -70,9 +74,18 @@ CATALOG_SCHEMA = T.StructType([
 
 
 def schema_catalog(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
-    """One row per table × field: name, warehouse type and mode."""
-    rows = [(e.table_id, i, f.name, type_name(f.dataType), "NULLABLE" if f.nullable else "REQUIRED")
-            for e in entries for i, f in enumerate(e.df.schema.fields)]
+    """One row per table × field: name, warehouse type and mode.
+
+    A table that can't be opened has no rows here; its error is in the profile.
+    """
+    rows = []
+    for e in entries:
+        try:
+            fields = e.open().schema.fields
+        except Exception:
+            continue
+        rows += [(e.table_id, i, f.name, type_name(f.dataType), "NULLABLE" if f.nullable else "REQUIRED")
+                 for i, f in enumerate(fields)]
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
@@ -117,20 +130,21 @@ def table_profile(spark: SparkSession, entries: list[TableEntry], count_external
     rows = []
     for e in sorted(entries, key=lambda x: x.table_id):
         try:
+            df = e.open()
             num_rows = num_bytes = size_gb = None
             if e.table_type == TABLE or (e.table_type == EXTERNAL and count_external):
-                num_rows = e.df.count()
+                num_rows = df.count()
             if e.table_type in (TABLE, EXTERNAL):
                 if e.path:
                     glob = e.files_glob or ("*.parquet" if e.table_type == TABLE else None)
                     num_bytes = files_bytes(spark, e.path, glob, e.files_regex)
                 size_gb = round(num_bytes / 1024 ** 3, 2) if num_bytes else 0.0
-            rows.append((e.table_id, e.table_type, len(e.df.schema.fields), num_rows, num_bytes, size_gb,
+            rows.append((e.table_id, e.table_type, len(df.schema.fields), num_rows, num_bytes, size_gb,
                          list(e.clustering_fields), e.view_query,
                          json.dumps(e.external_config, sort_keys=True) if e.external_config else None, None))
         except Exception as exc:  # the profile of the other tables goes on
             rows.append((e.table_id, None, None, None, None, None, None, None, None,
-                         f"{type(exc).__name__}: {exc}"[:2000]))
+                         f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
@@ -139,25 +153,26 @@ def catalog_summary(profile: DataFrame) -> DataFrame:
 
     Errored tables count in ``total_tables`` only.  The prefix is the text
     before the first '_' plus '_'; the GB total is the sum of per-table rounded
-    GBs, rounded again.  One aggregation over the profile (one row per table);
-    the per-type and per-prefix counts are built from the collected names.
+    GBs, rounded again.  Tables are counted by (type, prefix) first, so the maps are
+    built from those few groups.
     """
     ok = F.col("error").isNull()
-    prefix = F.concat(F.split(F.col("table_id"), "_").getItem(0), F.lit("_"))
-    agg = profile.agg(
-        F.count(F.lit(1)).alias("total_tables"),
-        F.collect_list(F.when(ok, F.col("table_type"))).alias("_types"),
-        F.collect_list(F.when(ok, prefix)).alias("_prefixes"),
-        F.coalesce(F.sum(F.when(ok, F.col("num_rows"))), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.round(F.coalesce(F.sum(F.when(ok, F.col("size_gb"))), F.lit(0.0)), 2).alias("total_size_gb"),
-    )
-
-    def counts(col: str):
-        keys = F.array_sort(F.array_distinct(F.col(col)))
-        n = F.transform(keys, lambda k: F.size(F.filter(F.col(col), lambda x: x == k)).cast("bigint"))
-        return F.map_from_arrays(keys, n)
-
-    return agg.select("total_tables", counts("_types").alias("by_type"), counts("_prefixes").alias("by_prefix"),
+    prefix = F.when(ok, F.concat(F.split(F.col("table_id"), "_").getItem(0), F.lit("_")))
+    groups = profile.groupBy(F.when(ok, F.col("table_type")).alias("kind"), prefix.alias("prefix")).agg(
+        F.count(F.lit(1)).alias("tables"), F.sum(F.when(ok, F.col("num_rows"))).alias("num_rows"),
+        F.sum(F.when(ok, F.col("size_gb"))).alias("size_gb"))
+    one = groups.agg(
+        F.coalesce(F.sum("tables"), F.lit(0)).cast("bigint").alias("total_tables"),
+        F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "prefix", "tables"))).alias("groups"),
+        F.coalesce(F.sum("num_rows"), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.round(F.coalesce(F.sum("size_gb"), F.lit(0.0)), 2).alias("total_size_gb"))
+
+    def counts(key: str):
+        keys = F.array_sort(F.array_distinct(F.transform("groups", lambda g: g[key])))
+        of = lambda k: F.filter("groups", lambda g: g[key] == k)
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.aggregate(of(k), F.lit(0).cast("bigint"), lambda n, g: n + g["tables"])))
+
+    return one.select("total_tables", counts("kind").alias("by_type"), counts("prefix").alias("by_prefix"),
                       "total_rows", "total_size_gb")
 
 
@@ -167,7 +182,7 @@ def table_listing(profile: DataFrame) -> DataFrame:
 
 
 def write_catalog_json(profile: DataFrame, summary: DataFrame, schema: DataFrame, path: str) -> None:
-    """Write the profile, schema catalog and summary as JSON (one small file each)."""
-    profile.coalesce(1).write.mode("overwrite").json(f"{path}/tables")
-    schema.coalesce(1).write.mode("overwrite").json(f"{path}/schema")
-    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    """Write the profile, schema catalog and summary as JSON lines, in a folder each."""
+    profile.write.mode("overwrite").json(f"{path}/tables")
+    schema.write.mode("overwrite").json(f"{path}/schema")
+    summary.write.mode("overwrite").json(f"{path}/summary")

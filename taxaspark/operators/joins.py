@@ -1,71 +1,20 @@
 """Joins of fact tables with the sample map.
 
-A side is broadcast only after its rows and their data size have been
-measured against a bound; above the bound the join is left to the planner
-(sort-merge or shuffle-hash, with AQE free to switch at runtime from real
-sizes and to split skewed partitions).
+Plain lazy joins: nothing is hinted or measured when a plan is built.  AQE
+broadcasts a side whose real size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+(set in ``session.DEFAULT_CONF``) and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Upper bounds for a side that may be broadcast.  The real sample map holds
-# ~61k rows (~5 MB); a few million short rows still broadcast cheaply.
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
+def semi_join_keys(fact: DataFrame, keys: DataFrame, on: str = "sample_id") -> DataFrame:
+    """Rows of ``fact`` whose ``on`` value appears in ``keys`` (a semi join needs no distinct keys)."""
+    return fact.join(keys.select(on), on, "left_semi")
 
-def _row_bytes(df: DataFrame):
-    """Data size of one row: string / binary lengths plus fixed-width sizes."""
-    size = F.lit(0).cast("long")
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
-        elif isinstance(f.dataType, T.DecimalType):
-            size = size + F.lit(16)
-        else:  # numbers, booleans, dates, timestamps
-            size = size + F.lit(8)
-    return size
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows and ``max_bytes`` of data.
-
-    One parallel aggregate measures both (partial counts per task, no rows
-    gathered in one place; a ``limit`` would funnel rows into a single task).
-    The sides measured here are lookup-sized: the sample map or a set of ids.
-    """
-    m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    if m["n"] <= max_rows and (m["b"] or 0) <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
-
-
-def semi_join_keys(fact: DataFrame, keys: DataFrame, on: str = "sample_id",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``fact`` whose ``on`` value appears in ``keys``.
-
-    A small key side is broadcast as it is (a semi join needs no distinct
-    keys, so no exchange is spent on them); a large one is de-duplicated and
-    joined by the planner.  Measuring the key side runs one small job now.
-    """
-    side, small = bounded_broadcast(keys.select(on), max_rows)
-    return fact.join(side if small else keys.select(on).distinct(), on, "left_semi")
-
-
-def join_sample_map(fact: DataFrame, sample_map: DataFrame, map_columns: list[str],
-                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Inner join ``fact`` ⋈ ``sample_map`` on ``sample_id``.
-
-    Duplicate map keys fan out rows, as a plain SQL join does.  Measuring
-    the map side runs one small job now; the join itself stays lazy.
-    """
-    side, _ = bounded_broadcast(sample_map.select("sample_id", *map_columns), max_rows)
-    return fact.join(side, "sample_id", "inner")
+def join_sample_map(fact: DataFrame, sample_map: DataFrame, map_columns: list[str]) -> DataFrame:
+    """Inner join ``fact`` ⋈ ``sample_map`` on ``sample_id``; duplicate map keys fan out rows, as in SQL."""
+    return fact.join(sample_map.select("sample_id", *map_columns), "sample_id", "inner")

@@ -5,16 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Spark's own bound on pivot values (spark.sql.pivotMaxValues).
-MAX_PIVOT_VALUES = 10_000
-
-
-def pivot_values(df: DataFrame, column: str, max_values: int = MAX_PIVOT_VALUES) -> list:
-    """Sorted distinct values of ``column``; fails above ``max_values``."""
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-              .orderBy(column).limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        raise ValueError(f"pivot column {column!r} has more than {max_values} distinct values")
+def pivot_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct values of ``column``: the column names of a pivot, so they are needed on the driver."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()
     return [r[0] for r in rows]
 
 
@@ -25,7 +18,8 @@ def pivot_wide(df: DataFrame, index: str, column: str, value: str, values: list
     ``cell='unique'`` fails the job when a cell holds more than one row (as a
     pandas pivot refuses duplicate pairs); ``cell='sum'`` adds them up.
     Missing cells are NULL.  The duplicate check runs inside the aggregation,
-    so no extra pass over the data is made.
+    so no extra pass over the data is made.  ``values`` names the columns (rows
+    of other values are left out); without it they are looked up first, an extra pass.
     """
     if cell == "unique":
         msg = F.concat(F.lit("duplicate pivot cell: "), F.col(index).cast("string"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.functions.columns import hash_bucket
+HASH_DIGITS = 15  # hex digits of the key's md5 that decide: shares down to 16 ** -15
 
 
 def sample_rows(df: DataFrame, percent: float, seed: int | None = None) -> DataFrame:
@@ -13,6 +15,11 @@ def sample_rows(df: DataFrame, percent: float, seed: int | None = None) -> DataF
     return df.sample(withReplacement=False, fraction=percent / 100.0, seed=seed)
 
 
+def key_bound(percent: float) -> int:
+    """Keys whose hash lies below this are in a sample of ``percent`` %."""
+    return int(Fraction(str(percent)) * 16 ** HASH_DIGITS / 100)
+
+
 def sample_keys(df: DataFrame, percent: float, key: str = "sample_id") -> DataFrame:
     """Whole-key sample: every row of about ``percent`` % of the keys.
 
@@ -20,4 +27,5 @@ def sample_keys(df: DataFrame, percent: float, key: str = "sample_id") -> DataFr
     (the same samples are picked from every dataset), and on raw scans it
     prunes files because ``sample_id`` is constant per file.
     """
-    return df.where(hash_bucket(key, 10_000) < F.lit(int(round(percent * 100))))
+    digits = F.substring(F.md5(F.col(key).cast("string")), 1, HASH_DIGITS)
+    return df.where(F.conv(digits, 16, 10).cast("long") < F.lit(key_bound(percent)))

@@ -1,4 +1,4 @@
-"""Staging: typed, key-filtered tables written sorted by ``sample_id``."""
+"""Staging: typed, key-filtered tables clustered by ``sample_id``."""
 
 from __future__ import annotations
 
@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions.columns import lenient_double, lenient_long, null_sentinel
 from taxaspark.schemas import DOUBLE, DOUBLE_DASH, KEEP, LONG, Dataset
+from taxaspark.sources.tables import replace_table
 
-LAYOUTS = ("local", "range", "hex")
-HEX_DIGITS = 8  # leading hex digits of the key that choose its partition in the ``hex`` layout
+LAYOUTS = ("range", "local")
+#: Bytes of input that one output partition should hold, and at least hold while cores are left.
+TARGET_BYTES = 256 * 1024 * 1024
+LEAST_BYTES = 4 * 1024 * 1024
 
 
 def staged_columns(src: DataFrame, ds: Dataset) -> list:
@@ -35,50 +38,68 @@ def stage(src: DataFrame, ds: Dataset) -> DataFrame:
     return src.where(F.col("sample_id").isNotNull()).select(*staged_columns(src, ds))
 
 
-def cluster(df: DataFrame, layout: str = "local", partitions: int | None = None,
+def planned_bytes(df: DataFrame) -> int | None:
+    """The planner's estimate of the size of ``df``; None where it can't be asked."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # Spark Connect client
+        return None
+
+
+def partitions_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
+    """Output partitions from input bytes: ``target`` each, and small inputs spread over the cores.
+
+    Without an estimate, the session's shuffle partitions.
+    """
+    size = planned_bytes(df)
+    if size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(min(cores, 1 + size // LEAST_BYTES), -(-size // target), 1)
+
+
+def range_sorted(df: DataFrame, keys: list[str], tie: list[str], partitions: int) -> DataFrame:
+    """Globally sorted on ``keys``: one range exchange, then a sort of each range.
+
+    ``tie``, a row hash and the task a row comes from follow the keys in the
+    range bounds only, so a key with a large share of the rows, even one of identical copies,
+    is cut into several ranges.  A row's task is the same when a task is retried.
+    """
+    spread = "__task"
+    marked = df.withColumn(spread, F.spark_partition_id())
+    bounds = [*keys, *tie, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), spread]
+    return marked.repartitionByRange(partitions, *bounds).sortWithinPartitions(*keys).drop(spread)
+
+
+def cluster(df: DataFrame, layout: str = "range", partitions: int | None = None,
             key: str = "sample_id") -> DataFrame:
     """Order rows for clustered storage on ``key``.
 
-    ``local``: sort inside each task, no shuffle.  When each input task holds
-    whole samples (raw files are one sample each) the row groups get tight
-    ``sample_id`` ranges.  ``range``: range-partition on the key first (a
-    sampling pass plus a full shuffle) so that each output file covers one
-    key range, for few-file lookups (``hex`` does the same for hashed ids
-    without the sampling pass).  A row hash and then a seeded random
-    value follow the key in the range bounds, so a single key holding a large
-    share of the rows, even as identical copies, is split over several
-    consecutive files instead of one oversized task.
+    ``range`` (default): every output file covers one range of keys, so a
+    lookup opens one or two files; costs a sampling pass and a shuffle.
+    ``local``: sort inside each task only, no shuffle; files overlap.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    if layout == "hex":
-        # Hashed (hex) ids are spread evenly, so equal slices of the id space are
-        # equal shares of the rows: the partition comes from the leading digits,
-        # with no sampling pass over the input.  Ids that are not hex all land in
-        # partition 0, and one very large sample stays in one partition; use
-        # ``range`` when that can happen.
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        lead = F.conv(F.substring(F.col(key), 1, HEX_DIGITS), 16, 10).cast("double")
-        pid = F.floor(lead * n / float(16 ** HEX_DIGITS)).cast("int")
-        return df.repartitionById(n, pid).sortWithinPartitions(key)
-    if layout == "range":
-        spread = [F.xxhash64(*[F.col(c) for c in df.columns]), F.rand(17)]
-        df = (df.repartitionByRange(partitions, F.col(key), *spread) if partitions
-              else df.repartitionByRange(F.col(key), *spread))
-    return df.sortWithinPartitions(key)
-
-
-def write_table(df: DataFrame, path: str, layout: str = "local", partitions: int | None = None,
+    if layout == "local":
+        return df.sortWithinPartitions(key)
+    return range_sorted(df, [key], [], partitions or partitions_for(df))
+
+
+def write_table(df: DataFrame, path: str, layout: str = "range", partitions: int | None = None,
                 key: str = "sample_id", bloom: bool = True, compression: str | None = None) -> None:
-    """Full-refresh write of a clustered Parquet table (overwrite).
+    """Full refresh of a clustered Parquet table; the old table stays until the new one is whole.
 
     ``bloom`` asks Parquet for a bloom filter on ``key``.  It is written for
     row groups whose keys outgrow the dictionary; fully dictionary-encoded
     row groups skip it, since dictionary filtering already prunes them exactly.
     """
-    writer = cluster(df, layout, partitions, key).write.mode("overwrite")
-    if bloom:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.parquet(path)
+    def write(to: str) -> None:
+        writer = cluster(df, layout, partitions, key).write
+        if bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        if compression:
+            writer = writer.option("compression", compression)
+        writer.parquet(to)
+
+    replace_table(df.sparkSession, path, write)

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from taxaspark.operators.joins import join_sample_map
+from taxaspark.operators.staging import partitions_for, range_sorted
 from taxaspark.plans.queries import restrict_samples
 from taxaspark.schemas import DATASETS, Dataset
 
-SPLIT_SEED = 17
-
 # The third sort key of each dataset's export.
 EXPORT_SORT_KEY = {
     "marker_abundance": "marker_id",
@@ -22,24 +20,18 @@ EXPORT_SORT_KEY = {
 }
 
 
-def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str) -> DataFrame:
+def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, partitions: int | None = None) -> DataFrame:
     """Staged columns plus ``study_name`` and ``sample_name``, sorted for export.
 
-    The map side is broadcast under a checked size.  The sort is a range
-    exchange on (study, sample name, dataset key); ``sample_id`` and a row hash
-    follow as tie-breaks so that rows sharing the leading keys still spread
-    over several ranges.  A seeded random key comes last: it only orders rows
-    that are identical copies (so the output is the same), and it lets a large
-    group of copies split over several ranges too.  It is recomputed the same
-    way when a task is retried (same seed, same partition).
+    Sorted on (study, sample name, dataset key).  ``sample_id`` and a row hash only
+    shape the ranges, so that a large study or a large group of copies is cut into several.
     """
     ds = DATASETS[ds] if isinstance(ds, str) else ds
-    key = EXPORT_SORT_KEY[ds.name]
     cols = ["sample_id", *[f.name for f in ds.raw_schema.fields]]
-    j = join_sample_map(stg.select(*cols), sample_map, ["study_name", "sample_name"])
-    out = j.select(*cols, "study_name", "sample_name")
-    tie = F.xxhash64(*[F.col(c) for c in out.columns])
-    return out.orderBy("study_name", "sample_name", key, "sample_id", tie, F.rand(SPLIT_SEED))
+    data = stg.select(*cols)
+    joined = join_sample_map(data, sample_map, ["study_name", "sample_name"]).select(*cols, "study_name", "sample_name")
+    return range_sorted(joined, ["study_name", "sample_name", EXPORT_SORT_KEY[ds.name]], ["sample_id"],
+                        partitions or partitions_for(data))
 
 
 def export_parquet(df: DataFrame, path: str, compression: str = "zstd",
@@ -57,7 +49,10 @@ def export_dataset(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, pat
 
 def export_csv(df: DataFrame, path: str, sample_ids: Iterable[str] | None = None,
                header: bool = True) -> None:
-    """CSV with a header line, overwrite; optionally only some samples."""
+    """Standard CSV (quotes doubled) with a header line, overwrite; optionally only some samples.
+
+    NULL is an empty field, an empty string is ``""``.
+    """
     if sample_ids is not None:
         df = restrict_samples(df, sample_ids)
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)

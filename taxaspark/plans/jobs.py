@@ -1,16 +1,19 @@
 """End-to-end jobs: raw files → staged tables → lookups → exports → catalog.
 
-Each step is a Spark job that writes a full-refresh Parquet table; later steps
-read the written tables, never the raw files again.  A lost executor only
-re-runs its tasks: the writers commit through Spark's output committer.
+Each step writes a full-refresh Parquet table beside the old one and switches
+when it is whole; a failed refresh leaves the old table.  One bad dataset does not
+keep the others from being staged, nor one unreadable table the rest of the catalog.
+Exports and the catalog read the written tables; only the layer check reads raw files again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
@@ -23,7 +26,7 @@ from taxaspark.schemas import (
 )
 from taxaspark.sources.lookups import read_accessions, read_sample_map
 from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src
-from taxaspark.sources.tables import table_path
+from taxaspark.sources.tables import read_table, replace_table, table_path
 
 EXPORTED = ("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats", "metaphlan_viruses_list")
 
@@ -37,14 +40,44 @@ class Config:
     accessions_path: str | None = None
     catalog_out: str | None = None
     run_tag: str = DEFAULT_RUN_TAG
-    layout: str = "local"               # or "range" / "hex" (see operators.staging.cluster)
-    range_partitions: int | None = None
+    layout: str = "range"               # or "local" (see operators.staging.cluster)
+    range_partitions: int | None = None  # default: from the input's bytes
     listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
-    read_mode: str = "wholetext"        # or "lines" for raw files over ~2 GB (see sources.raw)
+    read_mode: str = "lines"            # any file size; or "wholetext" (see sources.raw)
     max_partition_bytes: int | None = None  # compressed bytes per staging task (default: Spark's 128 MB)
+    accessions_multiline: bool = False  # quoted newlines in the accession dump; one task a file
+    accessions_schema: str | None = None  # DDL; saves the pass that infers the types
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
+@dataclass
+class Outcome:
+    """What became of one table of a job: where it is, or why it wasn't refreshed."""
+    table: str
+    path: str
+    error: str | None = None
+
+
+def failed(result: dict) -> list[str]:
+    """Messages of all failures in the result of a job (empty: all went well)."""
+    found = []
+    for value in result.values():
+        if isinstance(value, Outcome) and value.error:
+            found.append(f"{value.table}: {value.error}")
+        elif isinstance(value, dict):
+            found += failed(value)
+    return found
+
+
+def _attempt(table: str, path: str, job) -> Outcome:
+    """Run one table's job; its failure is kept, so that the other tables' jobs go on."""
+    try:
+        job()
+        return Outcome(table, path)
+    except Exception as exc:
+        return Outcome(table, path, f"{type(exc).__name__}: {exc}")
+
+
 # Views (src_*) -----------------------------------------------------------
 
 def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
@@ -72,9 +105,11 @@ def register_tables(spark: SparkSession, warehouse: str) -> list[str]:
     names = []
     for name in [ds.stg_table for ds in DATASETS.values()] + [SAMPLE_MAP_TABLE, ACCESSIONS_TABLE]:
         try:
-            df = spark.read.parquet(table_path(warehouse, name))
-        except Exception:  # not written (yet)
-            continue
+            df = read_table(spark, warehouse, name)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc):  # not written (yet); any other fault is the caller's to see
+                continue
+            raise
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
@@ -89,45 +124,40 @@ def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
     can shrink the compressed bytes packed into one task (only for this job).
     """
     out = table_path(cfg.warehouse, ds.stg_table)
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key, None)
-    if cfg.max_partition_bytes:
-        spark.conf.set(key, str(cfg.max_partition_bytes))
-    try:
-        src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-        write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
-    finally:
-        if cfg.max_partition_bytes:
-            if before is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, before)
+    if cfg.max_partition_bytes:  # a session of its own: settings of the caller's stay as they are
+        spark = spark.newSession()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(cfg.max_partition_bytes))
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
+    write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
     return out
 
 
-def stage_all(spark: SparkSession, cfg: Config) -> dict[str, str]:
-    """Stage every dataset; one narrow job each, no shuffle with the local layout."""
-    return {DATASETS[n].stg_table: stage_dataset(spark, cfg, DATASETS[n]) for n in cfg.datasets}
+def stage_all(spark: SparkSession, cfg: Config) -> dict[str, Outcome]:
+    """Stage every dataset, one job each; a dataset that fails keeps its old table and its error is returned."""
+    return {ds.stg_table: _attempt(ds.stg_table, table_path(cfg.warehouse, ds.stg_table),
+                                   lambda ds=ds: stage_dataset(spark, cfg, ds))
+            for ds in (DATASETS[n] for n in cfg.datasets)}
 
 
 def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundance") -> DataFrame:
     """Row counts of ext / src / stg for one dataset (K1).
 
-    ext and src hold the same rows (src only adds ``sample_id``), so one pass
-    over the raw lines counts both; no field is parsed for a count.  The stg
-    count comes from the written table.  ``expected_stg`` (rows with a sample
-    id) shows whether the staged table is current.
+    ext counts the data lines of the files, src the rows parsed from them (every
+    field, so a malformed one fails here as it does in staging), stg the written
+    table.  ``expected_stg`` (rows with a sample id) shows whether the staged table is current.
     """
     ds = DATASETS[name]
-    lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-    raw = lines.agg(F.count(F.lit(1)).alias("n"), F.count("sample_id").alias("keyed"))
+    options = {"listing": cfg.listing, "mode": cfg.read_mode}
+    lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, **options)
+    ext = lines.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(None).cast("bigint").alias("keyed"))
+    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, **options)
+    # A hash of the whole row keeps every column in the scan.
+    src = src.agg(F.count(F.xxhash64(*src.columns)).alias("n"), F.count("sample_id").alias("keyed"))
     stg = spark.read.parquet(table_path(cfg.warehouse, ds.stg_table))
     stg_n = stg.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(None).cast("bigint").alias("keyed"))
-    u = raw.select(F.lit(0).alias("i"), "n", "keyed").unionByName(stg_n.select(F.lit(1).alias("i"), "n", "keyed"))
-    wide = u.agg(F.max(F.when(F.col("i") == 0, F.col("n"))).alias("n0"),
-                 F.max(F.when(F.col("i") == 0, F.col("n"))).alias("n1"),
-                 F.max(F.when(F.col("i") == 1, F.col("n"))).alias("n2"),
-                 F.max(F.when(F.col("i") == 0, F.col("keyed"))).alias("keyed"))
+    parts = [df.select(F.lit(i).alias("i"), "n", "keyed") for i, df in enumerate((ext, src, stg_n))]
+    wide = parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(
+        *[F.max(F.when(F.col("i") == i, F.col("n"))).alias(f"n{i}") for i in range(3)], F.max("keyed").alias("keyed"))
     return stack_layers(wide, [ds.ext_table, ds.src_view, ds.stg_table], "expected_stg", {1: "keyed"})
 
 
@@ -136,79 +166,85 @@ def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundanc
 def load_sample_map(spark: SparkSession, csv_path: str, warehouse: str) -> Row:
     """Sample map CSV → ``src_sample_id_map`` table; returns its key check (K2).
 
-    The check is evaluated now (one row), so it stays valid after a later refresh.
+    The check is evaluated on what was written, before it takes the old table's place.
     """
-    out = table_path(warehouse, SAMPLE_MAP_TABLE)
-    read_sample_map(spark, csv_path).write.mode("overwrite").parquet(out)
-    return key_check(spark.read.parquet(out), "sample_id", "total_rows", "distinct_sample_ids").first()
+    return replace_table(spark, table_path(warehouse, SAMPLE_MAP_TABLE), read_sample_map(spark, csv_path).write.parquet,
+                         lambda df: key_check(df, "sample_id", "total_rows", "distinct_sample_ids").first())
 
 
 def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: bool = False,
-                    max_records_per_file: int = 2_000_000) -> Row:
+                    max_records_per_file: int = 2_000_000, schema=None) -> Row:
     """Accession dump → snappy ``src_sra_accessions`` table; returns its key check.
 
     All columns are written, so a malformed row fails this job.
     """
-    out = table_path(warehouse, ACCESSIONS_TABLE)
-    (read_accessions(spark, path, multiline=multiline).write.mode("overwrite")
-        .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(out))
-    return key_check(spark.read.parquet(out), "Accession", "total_rows", "unique_accessions").first()
+    write = (read_accessions(spark, path, multiline=multiline, schema=schema).write
+             .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet)
+    return replace_table(spark, table_path(warehouse, ACCESSIONS_TABLE), write,
+                         lambda df: key_check(df, "Accession", "total_rows", "unique_accessions").first())
 
 
-def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, Row]:
-    checks = {}
+def lookup_sample(spark: SparkSession, warehouse: str, name: str, n: int = 5) -> DataFrame:
+    """Some rows of a lookup table, to look at after a load."""
+    return read_table(spark, warehouse, name).limit(n)
+
+
+def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, Row | Outcome]:
+    """Load both lookups; a table's key check, or the outcome of a load that failed (its old table stays)."""
+    jobs = {}
     if cfg.sample_map_csv:
-        checks[SAMPLE_MAP_TABLE] = load_sample_map(spark, cfg.sample_map_csv, cfg.warehouse)
+        jobs[SAMPLE_MAP_TABLE] = lambda: load_sample_map(spark, cfg.sample_map_csv, cfg.warehouse)
     if cfg.accessions_path:
-        checks[ACCESSIONS_TABLE] = load_accessions(spark, cfg.accessions_path, cfg.warehouse)
+        schema = T.StructType.fromDDL(cfg.accessions_schema) if cfg.accessions_schema else None
+        jobs[ACCESSIONS_TABLE] = lambda: load_accessions(spark, cfg.accessions_path, cfg.warehouse,
+                                                         cfg.accessions_multiline, schema=schema)
+    checks = {}
+    for table, job in jobs.items():
+        out = _attempt(table, table_path(cfg.warehouse, table), lambda: checks.__setitem__(table, job()))
+        checks.setdefault(table, out)
     return checks
 
 
 # X1-X4 ---------------------------------------------------------------------
 
-def export_all(spark: SparkSession, cfg: Config) -> dict[str, str]:
-    sample_map = spark.read.parquet(table_path(cfg.warehouse, SAMPLE_MAP_TABLE))
-    out = {}
-    for name in EXPORTED:
-        if name not in cfg.datasets:
-            continue
-        stg = spark.read.parquet(table_path(cfg.warehouse, DATASETS[name].stg_table))
-        path = f"{cfg.export_root.rstrip('/')}/{name}"
-        export_dataset(stg, sample_map, name, path)
-        out[name] = path
-    return out
+def export_all(spark: SparkSession, cfg: Config) -> dict[str, Outcome]:
+    """Export every exported dataset; one that fails is reported and the others go on."""
+    def export(name: str, path: str) -> None:
+        export_dataset(read_table(spark, cfg.warehouse, DATASETS[name].stg_table),
+                       read_table(spark, cfg.warehouse, SAMPLE_MAP_TABLE), name, path)
+
+    paths = {n: f"{cfg.export_root.rstrip('/')}/{n}" for n in EXPORTED if n in cfg.datasets}
+    return {n: _attempt(n, p, lambda n=n, p=p: export(n, p)) for n, p in paths.items()}
 
 
 # K4-K7 / P4 ----------------------------------------------------------------
 
 def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
-    """Every ext_*, src_* and stg_* object of the pipeline, plus the lookups."""
+    """Every ext_*, src_* and stg_* object of the pipeline, plus the lookups.
+
+    Nothing is opened here: the profile opens each object by itself and keeps its error.
+    """
+    def raw(scan, ds):
+        return lambda: scan(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
+
+    def table(name, **more):
+        return TableEntry(name, TABLE, lambda: read_table(spark, cfg.warehouse, name),
+                          path=table_path(cfg.warehouse, name), **more)
+
     entries = []
     for name in cfg.datasets:
         ds = DATASETS[name]
-        glob = dataset_glob(cfg.raw_root, ds)
-        entries.append(TableEntry(ds.ext_table, EXTERNAL, scan_ext(spark, cfg.raw_root, ds, cfg.run_tag,
-                                                                   listing=cfg.listing)
-                                  .drop("file_path", "sample_id"), path=cfg.raw_root,
-                                  files_glob=ds.path_tail.rsplit("/", 1)[-1],
+        uris = [dataset_glob(cfg.raw_root, ds)]
+        entries.append(TableEntry(ds.ext_table, EXTERNAL, lambda ds=ds: raw(scan_ext, ds)().drop("file_path", "sample_id"),
+                                  path=cfg.raw_root, files_glob=ds.path_tail.rsplit("/", 1)[-1],
                                   files_regex=layout_regex(cfg.raw_root, ds),
-                                  external_config={"source_uris": [glob], "source_format": "CSV",
-                                                   "compression": "GZIP", "skip_leading_rows": ds.skip_rows,
-                                                   "field_delimiter": "\t"}))
-        entries.append(TableEntry(ds.src_view, VIEW, scan_src(spark, cfg.raw_root, ds, cfg.run_tag,
-                                                               listing=cfg.listing),
+                                  external_config={"source_uris": uris, "num_source_uris": len(uris),
+                                                   "source_format": "CSV", "compression": "GZIP",
+                                                   "skip_leading_rows": ds.skip_rows, "field_delimiter": "\t"}))
+        entries.append(TableEntry(ds.src_view, VIEW, raw(scan_src, ds),
                                   view_query=f"sample_id from path tag '{cfg.run_tag}' + {ds.ext_table}"))
-        stg_path = table_path(cfg.warehouse, ds.stg_table)
-        entries.append(TableEntry(ds.stg_table, TABLE, spark.read.parquet(stg_path), path=stg_path,
-                                  clustering_fields=["sample_id"]))
-    for name in (SAMPLE_MAP_TABLE, ACCESSIONS_TABLE):
-        p = table_path(cfg.warehouse, name)
-        try:
-            df = spark.read.parquet(p)
-        except Exception:
-            continue
-        entries.append(TableEntry(name, TABLE, df, path=p))
-    return entries
+        entries.append(table(ds.stg_table, clustering_fields=["sample_id"]))
+    return entries + [table(n) for n in (SAMPLE_MAP_TABLE, ACCESSIONS_TABLE)]
 
 
 def refresh_metadata(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
@@ -222,12 +258,13 @@ def refresh_metadata(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
 
 
 def run_all(spark: SparkSession, cfg: Config) -> dict:
-    """P1: lookups, staging, layer check, catalog, exports.
+    """P1: lookups, staging, layer check of every staged dataset, catalog, exports.
 
-    Check results come back evaluated (a few rows each); tables are paths.
+    Check results come back evaluated (a few rows each); tables are outcomes (see ``failed``).
     """
     result = {"lookups": load_lookups(spark, cfg), "staged": stage_all(spark, cfg)}
-    result["layers"] = verify_layers(spark, cfg, cfg.datasets[0]).orderBy("position").collect()
+    whole = [n for n in cfg.datasets if not result["staged"][DATASETS[n].stg_table].error]
+    result["layers"] = [row for n in whole for row in verify_layers(spark, cfg, n).orderBy("position").collect()]
     result["catalog"] = refresh_metadata(spark, cfg)
     if cfg.export_root:
         result["exports"] = export_all(spark, cfg)

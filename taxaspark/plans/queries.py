@@ -3,7 +3,7 @@
 Every top-k has a unique tie-break after the ranking column so the result is
 deterministic.  Sample-list parameters accept either a Python list (pushed to
 the Parquet scan as ``IN``) or a DataFrame with a ``sample_id`` column (a
-semi join, broadcast only under a checked size).
+semi join).
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from taxaspark.operators.sampling import sample_keys, sample_rows
 
 SampleSet = Iterable[str] | DataFrame
 
-# Largest id list that is pushed down as ``IN`` (and fetched to the driver in Q12).
+# Largest id list that is pushed down as ``IN`` (and fetched to the driver in Q12); longer
+# ones are semi joined, with the same result.
 MAX_ID_LIST = 10_000
 
 KINGDOM_ANY = "k__%"        # matches every lineage that starts at a kingdom
@@ -41,7 +42,7 @@ def restrict_samples(df: DataFrame, samples: SampleSet | None) -> DataFrame:
     """Rows of the chosen samples.
 
     A short list becomes ``IN`` (pushed to the Parquet scan); a list longer
-    than ``MAX_ID_LIST`` or a DataFrame of ids becomes a size-checked semi join.
+    than ``MAX_ID_LIST`` or a DataFrame of ids becomes a semi join.
     """
     if samples is None:
         return df
@@ -202,13 +203,11 @@ def first_samples(df: DataFrame, n: int) -> DataFrame:
 
 
 def first_sample_ids(df: DataFrame, n: int) -> list[str]:
-    """The ``n`` smallest distinct sample ids as a list (at most ``MAX_ID_LIST``).
+    """The ``n`` smallest distinct sample ids as a list.
 
     Only the ``sample_id`` column is scanned, with partial aggregation and a
     top-n; the list is bounded by ``n``.
     """
-    if n > MAX_ID_LIST:
-        raise ValueError(f"n must be at most {MAX_ID_LIST}; pass a DataFrame of ids instead")
     return [r[0] for r in first_samples(df, n).collect()]
 
 
@@ -224,24 +223,27 @@ def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
     Like the two-step original (distinct ids, then ``IN UNNEST(ids)``): the
     bounded list of the first ``n`` ids is fetched, then pushed to the scan as
     ``IN`` so Parquet statistics and bloom filters on the clustered
-    ``sample_id`` skip all other row groups.  A DataFrame of ids is joined as
-    a (size-checked) broadcast semi join instead.
+    ``sample_id`` skip all other row groups.  More than ``MAX_ID_LIST`` ids, or a
+    DataFrame of ids, are semi joined in one plan instead.
     """
     return (_chosen_kingdom_rows(rel_ab, n_samples, samples)
             .orderBy("sample_id", *nan_low("relative_abundance", ascending=False)))
 
 
 def _chosen_kingdom_rows(rel_ab: DataFrame, n_samples: int, samples: SampleSet | None) -> DataFrame:
-    chosen = samples if samples is not None else first_sample_ids(rel_ab, n_samples)
+    chosen = samples
+    if chosen is None:
+        chosen = first_sample_ids(rel_ab, n_samples) if n_samples <= MAX_ID_LIST else first_samples(rel_ab, n_samples)
     data = restrict_samples(kingdom_rows(rel_ab), chosen)
     return data.select("sample_id", "clade_name", "relative_abundance")
 
 
 def kingdom_composition_wide(rel_ab: DataFrame, n_samples: int = 10, cell: str = "unique",
-                             samples: SampleSet | None = None) -> DataFrame:
+                             samples: SampleSet | None = None, kingdoms: list[str] | None = None) -> DataFrame:
     """The long composition pivoted: one row per sample, one column per kingdom.
 
-    Pivots the unsorted rows: row order is irrelevant to a pivot.
+    Pivots the unsorted rows: row order is irrelevant to a pivot.  ``kingdoms`` names
+    the columns and saves the pass that looks them up.
     """
     rows = _chosen_kingdom_rows(rel_ab, n_samples, samples)
-    return pivot_wide(rows, "sample_id", "clade_name", "relative_abundance", cell=cell)
+    return pivot_wide(rows, "sample_id", "clade_name", "relative_abundance", values=kingdoms, cell=cell)

@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join side is broadcast by its measured size, not by an estimate.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -23,9 +25,8 @@ def get_session(master: str | None = None, app: str = "taxaspark",
                 shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
 
-    On a cluster leave ``master`` unset so spark-submit decides.  A missing
-    ``spark.checkpoint.dir`` is filled with a fresh local folder, which is only
-    meant for local runs and tests.
+    On a cluster leave ``master`` unset so spark-submit decides, and set
+    ``spark.checkpoint.dir`` to a shared folder.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -47,8 +48,8 @@ def get_session(master: str | None = None, app: str = "taxaspark",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a fresh
-    temporary folder created and registered.
+    Read from the session.  Unset, a session on a local master gets a fresh temporary
+    folder, registered for its later calls; on a cluster that folder would not be shared, so it fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -57,11 +58,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect client: only the session conf is visible
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="taxaspark-ckpt-")
         try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+            master = spark.sparkContext.master
+        except Exception:  # Spark Connect client
+            master = "a remote session"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
+        root = tempfile.mkdtemp(prefix="taxaspark-ckpt-")
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -37,10 +37,15 @@ def widen_inferred(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+#: No field of a dump holds this; it keeps Spark from reading empty fields as NULL.
+_NO_MARKER = "\u0000"
+
+
 def read_accessions(spark: SparkSession, path: str, multiline: bool = False,
                     sampling_ratio: float = 1.0, schema: T.StructType | None = None) -> DataFrame:
     """Accession dump: tab-separated with a header, '-' is NULL, types inferred.
 
+    An empty field of a text column is an empty string, of any other column NULL.
     Rows with the wrong number of fields fail the read.  ``multiline=True``
     allows quoted newlines but makes each file a single task; leave it off for
     one huge dump unless the data needs it (a split row then fails loudly).
@@ -50,14 +55,20 @@ def read_accessions(spark: SparkSession, path: str, multiline: bool = False,
     reader = (spark.read
               .option("sep", "\t")
               .option("header", True)
-              .option("nullValue", "-")
               .option("quote", '"')
               .option("escape", '"')
               .option("multiLine", multiline)
               .option("mode", "FAILFAST"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    df = reader.csv(path)
-    return widen_inferred(df) if schema is None else df
+    if schema is None:
+        inferred = (reader.option("nullValue", "-").option("inferSchema", True)
+                    .option("samplingRatio", sampling_ratio).csv(path))
+        schema = widen_inferred(inferred).schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = reader.option("inferSchema", False).option("nullValue", _NO_MARKER).schema(texts).csv(path)
+    cols = []
+    for f in schema.fields:
+        c = F.nullif(F.col(f"`{f.name}`"), F.lit("-"))
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(F.col(f"`{f.name}`").isNull(), F.lit("")).otherwise(c)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return raw.select(*cols)

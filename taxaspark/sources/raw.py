@@ -98,22 +98,23 @@ def line_numberer():
     def number_lines(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         seen = {}
         for batch in batches:
-            paths = batch.column(batch.schema.get_field_index("file_path")).to_pylist()
+            paths = batch.column(batch.schema.get_field_index("file_path"))
             n = len(paths)
-            pos = np.empty(n, dtype=np.int64)
-            start = 0
-            while start < n:
-                p = paths[start]
-                end = start + 1
-                while end < n and paths[end] == p:
-                    end += 1
-                base = seen.get(p, 0)
-                pos[start:end] = np.arange(base, base + end - start)
-                seen[p] = base + end - start
-                start = end
+            if not n:
+                continue
+            # A run of rows is one file: borders are where a path differs from the one before.
+            change = pc.not_equal(paths.slice(1), paths.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            starts = np.append(0, np.flatnonzero(change) + 1)
+            sizes = np.diff(np.append(starts, n))
+            base = np.empty(len(starts), np.int64)
+            for i, (name, size) in enumerate(zip(paths.take(pa.array(starts)).to_pylist(), sizes)):  # one step a file
+                base[i] = seen.get(name, 0)
+                seen[name] = base[i] + size
+            pos = np.arange(n) - np.repeat(starts - base, sizes)
             yield batch.append_column("_pos", pa.array(pos))
     return number_lines
 
@@ -175,7 +176,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_row
     df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
         df = df.where(F.col("sample_id").isin(list(sample_ids)))
-    lines = F.split(F.col("value"), r"\r?\n")
+    lines = F.split(F.col("value"), r"\r\n?|\n")  # as the line reader ends lines
     body = F.slice(lines, skip_rows + 1, F.greatest(F.size(lines) - F.lit(skip_rows), F.lit(0)))
     return (df.select("file_path", "sample_id", F.explode(body).alias("line"))
               .where(F.col("line") != ""))

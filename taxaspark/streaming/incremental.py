@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from taxaspark.operators.staging import stage, write_table
 from taxaspark.schemas import DEFAULT_RUN_TAG, Dataset
-from taxaspark.session import scratch_path
 from taxaspark.sources.raw import dataset_glob, in_layout, parse_lines, scan_lines
 
 
@@ -47,10 +46,10 @@ def stage_new_files(spark: SparkSession, root: str, ds: Dataset, out: str, check
                     max_files_per_trigger: int | None = None, wait: bool = True, listing: str = "recursive"):
     """Stage every raw file not seen before into ``out`` (one ``batch=<id>`` folder per micro-batch).
 
-    ``checkpoint`` defaults to a folder below ``spark.checkpoint.dir``; keep it
-    stable between runs so that processed files are not read again.
+    ``checkpoint`` defaults to the folder ``<out>.checkpoint`` beside ``out``: the same at
+    every call, so that processed files are not read again.
     """
-    checkpoint = checkpoint or scratch_path(spark, f"stream_{ds.name}")
+    checkpoint = checkpoint or f"{out.rstrip('/')}.checkpoint"
     files = raw_file_stream(spark, root, ds, max_files_per_trigger, paths, listing)
     lines = scan_lines(spark, files, ds.skip_rows, run_tag, id_pattern=id_pattern)
     src = parse_lines(lines, ds.raw_schema, keep=("sample_id",))

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
-from taxaspark.plans.fixtures import Fixtures
+from bench_views.frames import Fixtures
 from taxaspark.session import local_path
 from conftest import SF_MID
 
@@ -41,3 +41,16 @@ def test_csv_export_has_header(spark, tmp_dir):
     assert first_lines and all(line == "sample_id,marker_id,abundance" for line in first_lines)
     back = spark.read.schema(stg.schema).option("header", True).csv(out)
     assert back.count() == stg.where(stg.sample_id == sid).count()
+
+
+def test_csv_is_standard(spark, tmp_dir):
+    """Read back by Python's csv module: quotes, separators, line ends, backslashes."""
+    import csv
+    import glob
+
+    from taxaspark.plans.exports import export_csv
+    rows = [("1", 'a "b", c'), ("2", "two\nlines"), ("3", "back\\slash, \\\"q"), ("4", ""), ("5", None)]
+    export_csv(spark.createDataFrame(rows, "id string, text string").coalesce(1), f"{tmp_dir}/c")
+    with open(glob.glob(f"{tmp_dir}/c/part-*")[0], newline="") as f:
+        back = list(csv.reader(f))
+    assert back == [["id", "text"], *[[i, t or ""] for i, t in rows]]

@@ -189,7 +189,7 @@ def test_line_mode_refuses_splittable_files(spark, tmp_dir):
 def test_raw_round_trip_of_whole_rel_ab_table(spark, tmp_dir):
     """Every sample of the sf0.001 rel_ab view as a raw file, then the staging path."""
     from conftest import SF_SMALL
-    from taxaspark.plans.fixtures import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
+    from bench_views.frames import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
     fx = Fixtures(spark, SF_SMALL)
     root = f"{tmp_dir}/raw"
     write_raw_dataset(fx.raw_rel_ab, root, REL)
@@ -229,3 +229,34 @@ def test_run_tag_with_a_space(spark, tmp_dir):
     put(tmp_dir, "s1", AB, heads(4) + "m1\t1\n", tag="run 4")
     df = scan_src(spark, f"{tmp_dir}/run 4", AB, run_tag="run 4")
     assert rows(df) == [("s1", "m1", 1.0)]
+
+
+def test_empty_accession_field_is_empty_text(spark, tmp_dir):
+    p = f"{tmp_dir}/acc.tsv"
+    with open(p, "w") as f:
+        f.write("Accession\tCenter\tSpots\nA1\t\t5\nA2\t-\t-\nA3\tx\t\n")
+    from taxaspark.sources.lookups import read_accessions
+    got = sorted(map(tuple, read_accessions(spark, p).collect()))
+    assert got == [("A1", "", 5), ("A2", None, None), ("A3", "x", None)]
+    short = f"{tmp_dir}/short.tsv"
+    with open(short, "w") as f:
+        f.write("Accession\tCenter\tSpots\nA1\tc\t5\nA2\tc\n")
+    from taxaspark.plans.jobs import load_accessions
+    with pytest.raises(Exception):
+        load_accessions(spark, short, f"{tmp_dir}/wh")
+
+
+def test_both_read_modes_end_lines_alike(spark, tmp_dir):
+    import gzip
+    import os
+
+    from taxaspark import schemas
+    from taxaspark.sources.raw import scan_src
+    ds = schemas.MARKER_ABUNDANCE
+    p = os.path.join(tmp_dir, schemas.DEFAULT_RUN_TAG, "s1", ds.path_tail)
+    os.makedirs(os.path.dirname(p))
+    with gzip.open(p, "wb") as f:
+        f.write(b"#1\r\n#2\n#3\r#4\nm1\t1.0\rm2\t2.0\r\nm3\t3.0\n")
+    root = f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}"
+    both = [sorted(map(tuple, scan_src(spark, root, ds, mode=m).collect())) for m in ("lines", "wholetext")]
+    assert both[0] == both[1] == [("s1", "m1", 1.0), ("s1", "m2", 2.0), ("s1", "m3", 3.0)]

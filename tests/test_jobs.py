@@ -3,6 +3,8 @@
 import gzip
 import os
 
+import pytest
+
 from pyspark.sql import types as T
 
 from taxaspark import schemas
@@ -68,8 +70,10 @@ def test_full_pipeline_twice(spark, tmp_dir):
     assert (acc.total_rows, acc.unique_accessions) == (2, 2)
 
     layers = [tuple(r) for r in r1["layers"]]
-    assert layers == [(0, "ext_marker_abundance", 6, None, None), (1, "src_marker_abundance", 6, 0, 6),
-                      (2, "stg_marker_abundance", 6, 0, None)]
+    assert layers[:3] == [(0, "ext_marker_abundance", 6, None, None), (1, "src_marker_abundance", 6, 0, 6),
+                          (2, "stg_marker_abundance", 6, 0, None)]
+    assert [x[1] for x in layers] == [f"{k}_{d}" for d in schemas.DATASETS for k in ("ext", "src", "stg")]
+    assert not P.failed(r1)
 
     prof = {r.table_id: r for r in r1["catalog"]["profile"].collect()}
     ext = prof["ext_marker_abundance"]
@@ -82,7 +86,7 @@ def test_full_pipeline_twice(spark, tmp_dir):
     assert summary.by_prefix == {"ext_": 5, "src_": 7, "stg_": 5}
     assert os.path.isdir(os.path.join(cfg.catalog_out, "summary"))
 
-    exp = spark.read.parquet(r1["exports"]["marker_abundance"])
+    exp = spark.read.parquet(r1["exports"]["marker_abundance"].path)
     assert exp.columns == ["sample_id", "marker_id", "abundance", "study_name", "sample_name"]
     assert exp.count() == 6
 
@@ -147,3 +151,44 @@ def test_max_partition_bytes_is_scoped(spark, tmp_dir):
     P.stage_all(spark, cfg)
     assert spark.read.parquet(f"{tmp_dir}/wh/stg_marker_abundance").count() == 6
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_a_bad_dataset_keeps_its_old_table(spark, tmp_dir, capsys):
+    from taxaspark.__main__ import main
+    raw = make_tree(tmp_dir)
+    cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh")
+    assert not P.failed(P.stage_all(spark, cfg))
+    before = snapshot(spark, cfg.warehouse)
+    bad = os.path.join(raw, SAMPLES[0], schemas.MARKER_ABUNDANCE.path_tail)
+    with gzip.open(bad, "wt") as f:
+        f.write("#a\n#b\n#c\n#d\nm1\tnot a number\n")
+    out = P.stage_all(spark, cfg)
+    assert [t for t, o in out.items() if o.error] == ["stg_marker_abundance"]
+    assert snapshot(spark, cfg.warehouse) == before
+    assert sorted(n for n in os.listdir(cfg.warehouse)) == sorted(before)  # nothing half written is left
+    args = ["stage", "--raw-root", raw, "--warehouse", cfg.warehouse, "--datasets", "marker_abundance", "marker_presence"]
+    assert main(args, spark=spark) == 1
+    assert "stg_marker_abundance" in capsys.readouterr().err
+
+
+def test_a_died_refresh_is_put_back(spark, tmp_dir):
+    """The old folder set aside by a run that died comes back, and a failing check leaves the table."""
+    from taxaspark.sources.tables import replace_table
+    path = f"{tmp_dir}/t"
+    one, two = spark.range(1), spark.range(2)
+    replace_table(spark, path, one.write.parquet)
+    os.rename(path, f"{path}.old")
+    with pytest.raises(ZeroDivisionError):
+        replace_table(spark, path, two.write.parquet, lambda df: 1 // 0)
+    assert spark.read.parquet(path).count() == 1
+    assert replace_table(spark, path, two.write.parquet, lambda df: df.count()) == 2
+    assert spark.read.parquet(path).count() == 2 and os.listdir(tmp_dir) == ["t"]
+
+
+def test_catalog_goes_on_over_missing_tables(spark, tmp_dir):
+    raw = make_tree(tmp_dir)
+    cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", datasets=("marker_abundance", "marker_presence"))
+    P.stage_dataset(spark, cfg, schemas.MARKER_PRESENCE)
+    prof = {r.table_id: r for r in P.refresh_metadata(spark, cfg)["profile"].collect()}
+    assert prof["stg_marker_presence"].num_rows == 6 and prof["stg_marker_abundance"].error
+    assert prof["src_sra_accessions"].error

@@ -7,7 +7,7 @@ from taxaspark.operators.catalog import TABLE, VIEW, TableEntry, catalog_summary
 from taxaspark.operators.checks import duplicate_keys, key_check, layer_counts
 from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.sampling import sample_keys
-from taxaspark.plans.fixtures import Fixtures
+from bench_views.frames import Fixtures
 from taxaspark.plans.queries import approx_distinct_samples, kingdom_composition_wide
 from conftest import SF_MID, SF_SMALL
 
@@ -91,4 +91,26 @@ def test_preview_puts_provenance_first(spark):
     df = E.queries()["K3_preview_with_provenance"](spark, SF_SMALL)
     rows = df.collect()
     assert df.columns[:2] == ["file_path", "sample_id"] and len(rows) == 3
-    assert all(r.file_path.endswith(".csv.gz") and r.file_path.find(r.sample_id) > 0 for r in rows)
+    assert all(r.file_path.endswith(".tsv.gz") and r.file_path.startswith(r.sample_id) for r in rows)
+
+
+def test_sampling_reaches_any_share(spark):
+    from taxaspark.operators.sampling import key_bound, sample_keys
+    df = spark.range(600_000).select(F.col("id").cast("string").alias("sample_id"))
+    assert 5 <= sample_keys(df, 0.004).count() <= 60  # 24 expected
+    assert key_bound(1e-9) > 0 and sample_keys(df, 100).count() == 600_000
+    assert sample_keys(df, 0.5).join(sample_keys(df, 1.0), "sample_id", "left_anti").isEmpty()
+
+
+def test_pivot_has_no_bound(spark):
+    from taxaspark.operators.pivot import pivot_wide
+    df = spark.range(2).select(F.col("id").alias("i"), F.lit("c10001").alias("c"), F.lit(1).alias("v"))
+    wide = pivot_wide(df, "i", "c", "v", values=[f"c{n}" for n in range(10_002)])
+    assert len(wide.columns) == 10_003 and wide.where("c10001 = 1").count() == 2
+
+
+def test_whole_error_text(spark):
+    def broken():
+        raise ValueError("x" * 5000)
+    rows = table_profile(spark, [TableEntry("t", TABLE, broken)]).collect()
+    assert rows[0].error == "ValueError: " + "x" * 5000

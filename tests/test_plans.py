@@ -10,7 +10,7 @@ from taxaspark.operators import joins
 from taxaspark.operators.staging import cluster, stage, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_frame
-from taxaspark.plans.fixtures import Fixtures
+from bench_views.frames import Fixtures
 from conftest import SF_SMALL
 
 
@@ -44,21 +44,20 @@ def test_local_layout_has_no_exchange(spark):
     assert "rangepartitioning(sample_id" in text
 
 
-def test_map_join_is_broadcast_under_the_bound(spark):
+def test_map_join_is_lazy_and_left_to_the_planner(spark):
     fx = Fixtures(spark, SF_SMALL)
-    j = joins.join_sample_map(fx.staged("marker_abundance"), fx.sample_map, ["study_name"])
-    assert "BroadcastHashJoin" in plan(j)
-
-
-def test_map_join_is_not_broadcast_over_the_bound(spark):
-    fx = Fixtures(spark, SF_SMALL)
-    j = joins.join_sample_map(fx.staged("marker_abundance"), fx.sample_map, ["study_name"], max_rows=10)
-    # no hint: with AQE off the planner must fall back to a shuffle join
+    fact, sample_map = fx.staged("marker_abundance"), fx.sample_map
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    joins.join_sample_map(fact, sample_map, ["study_name"])
+    joins.semi_join_keys(fact, sample_map)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs  # planning ran no job
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    try:  # no hint: a shuffle join, which AQE may turn into a broadcast by its real size
+        j = joins.join_sample_map(fx.staged("marker_abundance"), fx.sample_map, ["study_name"])
         assert "SortMergeJoin" in plan(j) or "ShuffledHashJoin" in plan(j)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_top_markers_has_no_expand(spark):
@@ -141,13 +140,6 @@ def test_bloom_filter_written_for_high_cardinality_keys(spark, tmp_dir):
     assert size(f"{tmp_dir}/a") > size(f"{tmp_dir}/b")
 
 
-def test_broadcast_check_bounds_rows_and_bytes(spark):
-    df = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("wide"))
-    assert joins.bounded_broadcast(df)[1]
-    assert not joins.bounded_broadcast(df, max_rows=999)[1]
-    assert not joins.bounded_broadcast(df, max_bytes=500_000)[1]  # ~1 MB of data
-
-
 def test_first_n_ids_are_pushed_as_in(spark, tmp_dir):
     fx = Fixtures(spark, SF_SMALL)
     p = f"{tmp_dir}/rel"
@@ -157,7 +149,7 @@ def test_first_n_ids_are_pushed_as_in(spark, tmp_dir):
 
 
 def test_range_layout_splits_identical_copies(spark, tmp_dir):
-    copies = spark.range(200_000).select(F.lit("hot").alias("sample_id"), F.lit("m").alias("marker_id"))
+    copies = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("sample_id"), F.lit("m").alias("marker_id"))
     p = f"{tmp_dir}/copies"
     write_table(copies, p, layout="range", partitions=8)
     back = spark.read.parquet(p)
@@ -165,25 +157,29 @@ def test_range_layout_splits_identical_copies(spark, tmp_dir):
     assert back.select(F.input_file_name()).distinct().count() >= 4
 
 
-def test_hex_layout_orders_files_without_sampling(spark, tmp_dir):
-    import pyarrow.parquet as pq
-    import glob
-    import os
+def test_point_lookup_opens_two_files_at_most(spark, tmp_dir):
+    """The default layout clusters the whole table: a sample lies in one or two of many files."""
+    fx = Fixtures(spark, SF_SMALL)
+    p = f"{tmp_dir}/t"
+    write_table(fx.staged("marker_abundance"), p, partitions=12)
+    back = spark.read.parquet(p).select("sample_id", F.input_file_name().alias("file"))
+    assert back.select("file").distinct().count() >= 10
+    assert back.distinct().groupBy("sample_id").count().agg(F.max("count")).first()[0] <= 2
 
-    from taxaspark.session import local_path
+
+def test_partitions_follow_the_input(spark, tmp_dir):
+    from taxaspark.operators.staging import partitions_for
+    spark.range(2_000_000).select(F.md5(F.col("id").cast("string")).alias("sample_id")).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    assert partitions_for(df, 1 << 20) > 40 and partitions_for(df, 1 << 40) <= spark.sparkContext.defaultParallelism
+    assert partitions_for(df.limit(1)) >= 1
+
+
+def test_more_ids_than_a_literal_list(spark):
     fx = Fixtures(spark, SF_SMALL)
-    df = fx.staged("marker_abundance")
-    text = plan(cluster(df, "hex", 4))
-    assert "rangepartitioning" not in text and "Exchange" in text
-    p = f"{tmp_dir}/hex"
-    write_table(df, p, layout="hex", partitions=4)
-    ranges = []
-    for f in sorted(glob.glob(os.path.join(local_path(p), "part-*.parquet"))):
-        col = pq.read_table(f, columns=["sample_id"]).column(0).to_pylist()
-        ranges.append((min(col), max(col)))
-    assert len(ranges) == 4
-    assert all(ranges[i][1] < ranges[i + 1][0] for i in range(3))  # disjoint, in file order
-    assert spark.read.parquet(p).count() == df.count()
+    q = Q.kingdom_composition_long(fx.rel_ab, Q.MAX_ID_LIST + 1)
+    assert "LeftSemi" in plan(q)
+    assert q.count() == Q.kingdom_rows(fx.rel_ab).count()
 
 
 def test_long_id_list_becomes_semi_join(spark):

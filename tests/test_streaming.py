@@ -33,3 +33,12 @@ def test_incremental_staging(spark, tmp_dir, listing):
     # nothing new: nothing added
     stage_new_files(spark, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", AB, out, ckpt, listing=listing)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_default_checkpoint_is_stable(spark, tmp_dir):
+    for i in range(3):
+        put(tmp_dir, f"s{i}", [("m1", 1.0)])
+    root, out = f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", f"{tmp_dir}/stg"
+    stage_new_files(spark, root, AB, out, max_files_per_trigger=1)
+    stage_new_files(spark, root, AB, out)  # nothing new
+    assert spark.read.parquet(out).count() == 3

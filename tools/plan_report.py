@@ -19,7 +19,7 @@ from taxaspark import schemas  # noqa: E402
 from taxaspark.operators.staging import cluster, stage, write_table  # noqa: E402
 from taxaspark.plans import queries as Q  # noqa: E402
 from taxaspark.plans.exports import export_frame  # noqa: E402
-from taxaspark.plans.fixtures import Fixtures  # noqa: E402
+from bench_views.frames import Fixtures  # noqa: E402
 from taxaspark.session import get_session, scratch_path  # noqa: E402
 from taxaspark.sources.raw import scan_src  # noqa: E402
 
