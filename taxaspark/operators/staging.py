@@ -12,7 +12,7 @@ from taxaspark.sources.tables import replace_table
 LAYOUTS = ("range", "local")
 #: Bytes of input that one output partition should hold, and at least hold while cores are left.
 TARGET_BYTES = 256 * 1024 * 1024
-LEAST_BYTES = 4 * 1024 * 1024
+LEAST_BYTES = 1024 * 1024
 
 
 def staged_columns(src: DataFrame, ds: Dataset) -> list:

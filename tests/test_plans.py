@@ -75,7 +75,7 @@ def test_study_counts_shrink_fact_side_before_outer_join(spark):
 
 def test_export_sort_is_a_range_exchange(spark):
     fx = Fixtures(spark, SF_SMALL)
-    text = plan(export_frame(fx.staged("marker_abundance"), fx.sample_map, "marker_abundance"))
+    text = plan(export_frame(fx.staged("marker_abundance"), fx.sample_map, "marker_abundance", partitions=4))
     assert "rangepartitioning(study_name" in text and "BroadcastHashJoin" in text
 
 
