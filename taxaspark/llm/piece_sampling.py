@@ -136,7 +136,7 @@ class Vocabulary:
         rank = np.empty(len(depth), np.int32)
         rank[by_depth] = np.arange(len(depth), dtype=np.int32)
         into = rank[head]
-        order = np.argsort(into)
+        order = np.argsort(into.astype(np.int64) * 256 + (head - tail))  # the edges of a node by piece length
         tail, piece, gain, into = tail[order], piece[order], gain[order], into[order]
         begin = np.searchsorted(into, np.arange(len(depth) + 1, dtype=np.int32))
         total = np.full(len(depth), -np.inf)
@@ -152,10 +152,13 @@ class Vocabulary:
             s = np.add.reduceat(e, group)
             total[by_depth[a:b]] = top + np.log(s)
             share[begin[a]:begin[b]] = e / np.repeat(s, size)
-        run = np.cumsum(share)
-        inner = len(first_node)  # nodes at a word's start come first and have no edges
-        run -= np.repeat((run - share)[begin[inner:-1]], np.diff(begin[inner:]))
-        run[begin[inner + 1:] - 1] = 2.0  # the last edge takes what rounding leaves
+        # Running probabilities of each node by itself, so that they don't depend on the batch.
+        at, size = begin[:-1], np.diff(begin)
+        run = share.copy()
+        for k in range(1, int(size.max())):
+            more = at[size > k] + k
+            run[more] += run[more - 1]
+        run[(at + size - 1)[size > 0]] = 2.0  # the last edge takes what rounding leaves
         return begin[rank], tail, piece, run
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
