@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from taxaspark.llm.common import join_checked, running_sum, text_bytes, written
 
 SHARDS = 16
-ROUNDS = 6
+#: Rounds at most; they end when no row can move (two or three, and one more for each shard that a large group fills).
+ROUNDS = 24
 #: Lower ends of the size classes (bytes) that the unlinked rows are placed by, largest first.
 CLASSES = (32_768, 4_096, 512, 0)
 #: Rows of a slice of a running sum, about.
@@ -58,7 +59,7 @@ def propagate(linked: DataFrame, capacity: int, shards: int = SHARDS, rounds: in
         cells = written(state.groupBy("key", "shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "label_votes")
         # Most members first; between equals the key decides, so that all of them agree.
         rank = F.struct("n", F.xxhash64("key", "shard"))
-        room = _by_shard(free, F.col("shard")) > 0
+        room = _by_shard(free, F.col("shard")) >= F.col("bytes") / F.col("n")  # for one more such row
         best = (cells.groupBy("key").agg(F.max(F.when(room, F.struct(rank.alias("rank"), F.col("shard").alias("to")))).alias("best"))
                 .where("best is not null").select("key", F.col("best.rank").alias("rank"), F.col("best.to").alias("to")))
         wish = (cells.join(best, "key").where((F.col("shard") != F.col("to")) & (rank < F.col("rank")))
