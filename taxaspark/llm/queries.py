@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from taxaspark.llm import quality_rules as R
 from taxaspark.llm.common import table
 from taxaspark.llm.html_tagpath import extract_pages
 from taxaspark.llm.iblt import fingerprint_documents
@@ -85,4 +86,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+
+def quality_rules_sql() -> str:
+    """``op10`` in DuckDB SQL: counts, sketches per group, language and table, fences, verdict."""
+    ratio = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
+             "repeat_words": ("n_repeat_words", "n_words"), "upper": ("n_upper", "word_chars")}
+    value = {k: f"coalesce(1000.0 * {a} / nullif({b}, 0), 0.0)" for k, (a, b) in ratio.items()}
+    each = "\nunion all ".join(f"select lang, source, '{k}' as ratio, {R.RATIOS[k]} as least, cast({v} as double) as v from stats" for k, v in value.items())
+    levels = [("2", "lang, source"), ("1", "lang, null"), ("0", "null, null")]
+    bins = "\nunion all ".join(f"select {n} as level, {keys.split(', ')[0]} as lang, {keys.split(', ')[1]} as source, ratio, least, bin, count(*) as n "
+                               f"from binned group by all" for n, keys in levels)
+    fence = "\n  ".join(f"""and {value[k]} <= coalesce(
+    (select f.fence from fences f where f.level = 2 and f.rows >= {R.MIN_ROWS} and f.ratio = '{k}' and f.lang is not distinct from s.lang and f.source is not distinct from s.source),
+    (select f.fence from fences f where f.level = 1 and f.rows >= {R.MIN_ROWS} and f.ratio = '{k}' and f.lang is not distinct from s.lang),
+    (select f.fence from fences f where f.level = 0 and f.ratio = '{k}'))""" for k in ratio)
+    white = r"[^\x20\x09-\x0D]"
+    return f"""
+with texts as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text from documents),
+split as (select *, regexp_extract_all(text, '{white}+') as words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{white}')) as lines from texts),
+windows as (select rid, i, list_slice(words, i, i + 4) as w from split, unnest(range(1, len(words) - 3)) as t(i)),
+again as (select rid, i from (select rid, i, count(*) over (partition by rid, w) as n from windows) where n > 1),
+covered as (select rid, count(distinct i + k) as n_repeat_words from again, unnest(range(5)) as t(k) group by rid),
+stats as (select rid, doc_id, lang, source, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+  coalesce(n_repeat_words, 0) as n_repeat_words, len(lines) as n_lines, len(regexp_extract_all(text, '[A-Z]')) as n_upper
+  from split left join covered using (rid)),
+binned as (select lang, source, ratio, least, case when v <= 0 then -1 else greatest(0, ceil(ln(v) / ln({R.GAMMA}))) end as bin from ({each})),
+sketches as ({bins}),
+running as (select *, sum(n) over (partition by level, lang, source, ratio order by bin) as upto,
+  sum(n) over (partition by level, lang, source, ratio) as total, case when bin < 0 then 0.0 else pow({R.GAMMA}, bin) end as v from sketches),
+quartiles as (select level, lang, source, ratio, any_value(least) as least, max(total) as rows,
+  min(v) filter (where upto >= 0.25 * total) as q25, min(v) filter (where upto >= 0.75 * total) as q75 from running group by level, lang, source, ratio),
+fences as (select *, q75 + {R.SPREAD} * greatest(q75 - q25, least) as fence from quartiles)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+  cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words,
+  n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)
+  {fence} as kept
+from stats s"""
+
+
+#: Where SQL can express the operator; the others are held against brute force in tests/llm.
+ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules_sql()}
