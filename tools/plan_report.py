@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import io
 import os
+import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -19,14 +20,14 @@ from taxaspark import schemas  # noqa: E402
 from taxaspark.operators.staging import cluster, stage, write_table  # noqa: E402
 from taxaspark.plans import queries as Q  # noqa: E402
 from taxaspark.plans.exports import export_frame  # noqa: E402
-from bench_views.frames import Fixtures  # noqa: E402
+from bench_views.frames import Fixtures, write_run  # noqa: E402
 from taxaspark.session import get_session, scratch_path  # noqa: E402
 from taxaspark.sources.raw import scan_src  # noqa: E402
 
 NOTES = {
     "J staging (raw files → stg)": (
-        "One stage, no exchange: wholetext scan → split/slice/explode → from_csv → casts → local sort → "
-        "write. Each task holds whole samples (one gzip file = one sample, never split)."),
+        "Line scan → line numbers by Arrow batch → header skip → from_csv → casts → one range exchange on the sample id "
+        "(with a row hash and the task behind it) → sort → write. Files are never held whole."),
     "Q1 point lookup": (
         "EqualTo(sample_id) pushed into the Parquet scan: row groups are skipped by min/max, dictionary "
         "and (where written) bloom filter on the clustered key."),
@@ -35,21 +36,21 @@ NOTES = {
         "first exchange, then on marker; no Expand. A hot marker or sample costs one partial row per task. "
         "TakeOrderedAndProject keeps k rows per task."),
     "Q6 presence comparison": (
-        "The sample set (a study's samples) is measured, then broadcast as a left semi join; the aggregate "
+        "The sample set (a study's samples) is a left semi join, broadcast by size; the aggregate "
         "is partial before the exchange. string_agg groups are bounded by the chosen samples."),
     "Q7 profiles with study": (
-        "Study filter on the map before the join (pushed to its scan); the filtered map is broadcast after a "
-        "row/byte check. LIKE 'k__%' has '_' wildcards, so it stays a filter in the scan stage rather than "
+        "Study filter on the map before the join (pushed to its scan); the filtered map is broadcast by "
+        "size. LIKE 'k__%' has '_' wildcards, so it stays a filter in the scan stage rather than "
         "a Parquet prefix filter. Top-k per task, then merged."),
     "Q8 study marker counts": (
-        "Fact side cut by a broadcast semi join on the studies' samples and reduced to one row per sample "
+        "Fact side cut by a semi join on the studies' samples and reduced to one row per sample "
         "(two-level distinct count) before the outer join with the map: no fan-out is shuffled."),
     "Q12 kingdom composition": (
         "The first n ids are fetched (bounded by n) and pushed to the scan as In(...): only the row groups "
         "holding them are read."),
     "X1 export": (
-        "Broadcast map join, then one range exchange on (study, sample name, marker, sample id, row hash, "
-        "seeded random): part files are globally ordered; shared leading keys and identical copies still "
+        "Map join, then one range exchange on (study, sample name, marker, sample id, row hash, task) and a sort of "
+        "the first three: part files are globally ordered; shared leading keys and identical copies still "
         "spread over ranges."),
 }
 
@@ -75,13 +76,8 @@ def main():
     smap = t[schemas.SAMPLE_MAP_TABLE]
     study = smap.where("study_name = '5-LOW'").select("sample_id")
 
-    raw_demo = os.path.join(scratch_path(spark, "plan_raw").replace("file:", ""), schemas.DEFAULT_RUN_TAG)
-    import gzip
-    p = os.path.join(raw_demo, "s1", schemas.MARKER_ABUNDANCE.path_tail)
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    with gzip.open(p, "wt") as f:
-        f.write("#a\n#b\n#c\n#d\nm1\t1\n")
-    staging = cluster(stage(scan_src(spark, raw_demo, schemas.MARKER_ABUNDANCE), schemas.MARKER_ABUNDANCE))
+    raw = write_run(fx.by_supplier("marker_abundance"), f"{scratch_path(spark, 'plan_raw')}/{schemas.DEFAULT_RUN_TAG}", schemas.MARKER_ABUNDANCE)
+    staging = cluster(stage(scan_src(spark, raw, schemas.MARKER_ABUNDANCE, mode="lines"), schemas.MARKER_ABUNDANCE))
 
     plans = {
         "J staging (raw files → stg)": staging,
@@ -100,7 +96,7 @@ def main():
            ""]
     for title, df in plans.items():
         text = plan_text(df)
-        text = "\n".join(line if len(line) < 400 else line[:400] + " ..." for line in text.splitlines())
+        text = re.sub(r"file:/[^ ,\]]*/(?=(?:stg|src)_)|file:/[^ ,\]]*/(?=" + schemas.DEFAULT_RUN_TAG + ")", "", text)
         out += [f"## {title}", "", NOTES[title], "", "```", text, "```", ""]
     os.makedirs("docs", exist_ok=True)
     with open("docs/PLANS.md", "w") as f:
