@@ -244,10 +244,10 @@ def _two_runs(spark, sf, name):
     ds = schemas.DATASETS[name]
     top = scratch_path(spark, "runs")
     rows = Fixtures(spark, sf).by_supplier(name)
-    even = [r[0] for r in Fixtures(spark, sf).table("supplier").where("s_suppkey % 2 = 0").select(F.md5(F.col("s_suppkey").cast("string"))).collect()]
+    even = Fixtures(spark, sf).table("supplier").where("s_suppkey % 2 = 0").select(F.md5(F.col("s_suppkey").cast("string")).alias("sample_id"))
     globs = []
-    for folder, part in ((schemas.DEFAULT_RUN_TAG, rows.where(F.col("sample_id").isin(even))), ("other_run", rows.where(~F.col("sample_id").isin(even)))):
-        globs.append(f"{write_run(part, f'{top}/{folder}', ds)}/*/{ds.path_tail}")
+    for folder, how in ((schemas.DEFAULT_RUN_TAG, "left_semi"), ("other_run", "left_anti")):
+        globs.append(f"{write_run(rows.join(even, 'sample_id', how), f'{top}/{folder}', ds)}/*/{ds.path_tail}")
     return (scan_ext(spark, top, ds, paths=globs, mode="lines"), scan_src(spark, top, ds, paths=globs, mode="lines"))
 
 
