@@ -230,10 +230,15 @@ def near_links(distinct: DataFrame, bits: int = MAX_BITS, sample: int = SAMPLE,
     routed = written(distinct.select("fp").mapInArrow(send, "leaf int, fp long, own boolean"), "vp_routed")
     # At most one row for each leaf of the routing tree, itself bounded by the sample.
     sizes = routed.where("own").groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(2 * leaf)).cast("int").alias("chunks"))
+    # A large leaf is a grid of tasks: one chunk of its own fingerprints against one chunk of all that visit it.
+    every = F.sequence(F.lit(0), F.col("chunks") - 1)
+    cell = lambda a, b, own: F.struct(a.alias("chunk"), b.alias("asks"), F.lit(own).alias("own"))
+    asking = lambda cells: F.transform(cells, lambda i: cell(i, F.col("mine"), False))
+    owned = F.concat(F.transform(every, lambda j: cell(F.col("mine"), j, True)), asking(F.filter(every, lambda i: i != F.col("mine"))))
     dealt = (routed.join(F.broadcast(sizes), "leaf")
              .withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("leaf", "chunk", "fp", (F.col("own") & (F.col("mine") == F.col("chunk"))).alias("own")))
+             .select("leaf", "fp", F.explode(F.when(F.col("own"), owned).otherwise(asking(every))).alias("c"))
+             .select("leaf", "fp", "c.chunk", "c.asks", "c.own"))
 
     def compare(group: pa.Table) -> pa.Table:
         fps = group.column("fp").to_numpy().view(np.uint64)
@@ -244,7 +249,7 @@ def near_links(distinct: DataFrame, bits: int = MAX_BITS, sample: int = SAMPLE,
         tied = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"a": fps[tied].view(np.int64), "b": fps[labels[tied]].view(np.int64)})
 
-    return dealt.groupBy("leaf", "chunk").applyInArrow(compare, "a long, b long")
+    return dealt.groupBy("leaf", "chunk", "asks").applyInArrow(compare, "a long, b long")
 
 
 def document_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS,
