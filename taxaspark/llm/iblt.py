@@ -164,7 +164,8 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     low, high = ends["low"] or 0, ends["high"] or 0
     width = max(1, -(-(high - low + 1) // buckets))
     mixed = F.xxhash64("text")
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), -1 - F.pmod(mixed, F.lit(buckets))).cast("long")
+    # The last value is never used: it makes the column non-null, so that no branch below filters it and all share one shuffle.
+    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), -1 - F.pmod(mixed, F.lit(buckets)), F.lit(0)).cast("long")
     rows = docs.withColumn("bucket", bucket).withColumn("mixed", mixed)
     follow = W.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "mixed")
     steps = rows.select("bucket", "doc_id", "text", "set", F.lead("text").over(follow).alias("next_text"),
@@ -176,9 +177,11 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     return steps.where("next_text is not null").select("doc_id", "text", "set", "next_text", "next_set").union(wrapped)
 
 
-def fingerprint_documents(docs: DataFrame, bucket_rows: int = 4_096) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, bucket_rows: int = 1_024) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # A cast that does nothing would hide that the branches of ``with_next`` read the same rows.
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType.simpleString() == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
     buckets = max(1, -(-docs.count() // bucket_rows))
     half = "cast(floor(length(text) / 2) as int)"
     edited = F.expr(f"concat(substring(text, 1, length(text) - {half}), substring(next_text, 1, {half}))")
