@@ -10,9 +10,10 @@ from taxaspark.schemas import DOUBLE, DOUBLE_DASH, KEEP, LONG, Dataset
 from taxaspark.sources.tables import replace_table
 
 LAYOUTS = ("range", "local")
-#: Bytes of input that one output partition should hold, and at least hold while cores are left.
+#: Bytes of input that one output partition should hold.  Smaller inputs are cut into a few parts
+#: all the same, of at least so many bytes, so that one task needn't do it all.
 TARGET_BYTES = 256 * 1024 * 1024
-LEAST_BYTES = 1024 * 1024
+FEW_PARTS, LEAST_BYTES = 8, 16 * 1024
 
 
 def staged_columns(src: DataFrame, ds: Dataset) -> list:
@@ -47,7 +48,7 @@ def planned_bytes(df: DataFrame) -> int | None:
 
 
 def partitions_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
-    """Output partitions from input bytes: ``target`` each, and small inputs spread over the cores.
+    """Output partitions from input bytes: ``target`` each, and a few for small inputs.
 
     Without an estimate, the session's shuffle partitions.
     """
@@ -55,7 +56,7 @@ def partitions_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
     if size is None:
         return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(min(cores, 1 + size // LEAST_BYTES), -(-size // target), 1)
+    return max(min(cores, FEW_PARTS, 1 + size // LEAST_BYTES), -(-size // target), 1)
 
 
 def range_sorted(df: DataFrame, keys: list[str], tie: list[str], partitions: int) -> DataFrame:
