@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import text_bytes, written
+from taxaspark.llm.common import fresh, text_bytes, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -253,22 +253,26 @@ def near_links(distinct: DataFrame, bits: int = MAX_BITS, sample: int = SAMPLE,
 
 
 def document_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS,
-                        sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``."""
-    marked = written(docs.select("doc_id", fingerprint(text_bytes(), shingle).alias("fp")), "simhash")
+                        sample: int = SAMPLE, leaf: int = LEAF, row: str | None = None) -> DataFrame:
+    """(doc_id, fp, root, component_id) of every row of ``docs``, and its row key if a column ``row`` holds one.
+
+    ``root`` is a fingerprint that names the component alone; ids can repeat or be null.
+    """
+    keys = [F.col(row).alias("row")] if row else []
+    marked = written(docs.select("doc_id", *keys, fingerprint(text_bytes(), shingle).alias("fp")), "simhash")
+    names = marked.columns + ["root", "component_id"]
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "simhash_distinct")
     roots = star_components(near_links(distinct, bits, sample, leaf))
     grouped = written(distinct.join(roots, distinct["fp"] == roots["node"], "left")
                       .select("fp", "first", "copies", F.coalesce("root", "fp").alias("root")), "simhash_groups")
     least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(grouped.join(least, "root").select("fp", "copies", "component_id"), "simhash_components")
+    named = written(grouped.join(least, "root").select("fp", "copies", "root", "component_id"), "simhash_components")
     # At most 1000 fingerprints can hold over a thousandth of the rows each: those are
     # broadcast, so that their copies needn't meet in one task.
     total = marked.count()
-    hot = named.where(F.col("copies") > F.lit(max(total // 1000, 1000))).select("fp", "component_id")
-    cold = marked.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(named.select("fp", "component_id"), "fp")
-    return (cold.select("doc_id", "fp", "component_id")
-            .union(marked.join(F.broadcast(hot), "fp").select("doc_id", "fp", "component_id")))
+    hot = named.where(F.col("copies") > F.lit(max(total // 1000, 1000))).select("fp", "root", "component_id")
+    cold = marked.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(named.select("fp", "root", "component_id"), "fp")
+    return cold.select(names).union(marked.join(F.broadcast(hot), "fp").select(names))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -278,18 +282,15 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` from each component (its smallest id), columns unchanged.
+    """One row of ``docs`` from each component (with its smallest id), columns unchanged.
 
-    Rows that repeat the id that stays are reduced to one of them; rows without an
-    id that form a component of their own are kept.
+    Rows are told apart by a key of their own, so ids may repeat or be null: a component
+    whose ids are all null keeps one of its rows, and one id in two components stays in both.
     """
-    parts = written(document_components(docs, **options), "simhash_documents")
-    first = (parts.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("doc_id").agg(F.count("*").alias("rows")))
-    first = written(first.select(F.col("doc_id").alias("__stays"), "rows"), "simhash_first")
-    meet = docs["doc_id"].eqNullSafe(F.col("__stays"))
-    # Ids are hashed, texts aren't sorted; the same join at every size, so its cost grows with the input.
-    kept = docs.join(first.where("rows = 1").hint("shuffle_hash"), meet, "left_semi")
-    if first.where("rows > 1").isEmpty():
-        return kept
-    return kept.union(docs.join(first.where("rows > 1").hint("shuffle_hash"), meet, "left_semi").dropDuplicates(["doc_id"]))
+    row = fresh(docs, "__row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash_rows")
+    parts = document_components(rows, row=row, **options)
+    first = written(parts.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                    .groupBy("root").agg(F.min("row").alias(row)).select(row), "simhash_first")
+    # Row keys are hashed, texts aren't sorted; the same join at every size, so its cost grows with the input.
+    return rows.join(first.hint("shuffle_hash"), row, "left_semi").select(docs.columns)

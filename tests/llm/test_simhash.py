@@ -76,6 +76,20 @@ def test_keep_one_of_each_group(docs):
     assert got.isna().sum() <= 1
 
 
+def test_keep_one_with_null_and_repeated_ids(spark, words):
+    """Texts without an id, and one id on several texts: one row of each component stays, whatever its id."""
+    rng = np.random.default_rng(11)
+    a, b, c, d, e, f = (" ".join(rng.choice(words, 40)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, b), (None, b.upper()),  # two components without an id
+            (7, c), (7, d), (7, d),  # one id in two components
+            (3, e), (None, e), (9, e), (8, f)]  # a null id beside others
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as __row", "2 as row", "3 as root").repartition(3)
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.text.lower(), r.doc_id or 0, r["__row"], r.row, r.root) for r in kept.collect())
+    assert got == sorted((t, i, 1, 2, 3) for t, i in [(a, 0), (b, 0), (c, 7), (d, 7), (e, 3), (f, 8)])
+
+
 def test_hot_fingerprint_and_empty(spark, no_docs):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2500, "the same words here again")
                                   .otherwise(F.concat(F.lit("other "), F.repeat(F.sha1(F.col("id").cast("string")), 3))).alias("text"))
