@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from taxaspark.llm import packing, quality_classifier, quality_rules, simhash_vptree
 from taxaspark.llm.common import table, written
-from taxaspark.llm.queries import byte_bpe_files
+from taxaspark.llm.queries import byte_bpe_added, byte_bpe_files
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences."""
-    return packing.pack_documents(docs, *byte_bpe_files())
+    return packing.pack_documents(docs, *byte_bpe_files(), added=byte_bpe_added())
 
 
 STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("simhash_near_dedup", near_dedup),

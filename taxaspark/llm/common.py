@@ -103,10 +103,11 @@ def per_worker(key, make):
     return kept[key]
 
 
-def byte_bpe(ranks_path: str, pattern: str):
+def byte_bpe(ranks_path: str, pattern: str, added: dict[str, int] | None = None):
     """Byte-level BPE encoder from a rank file; ids equal those of the JSON vocabulary it was made from.
 
-    Strings of special tokens inside a text are ordinary text.
+    ``added`` holds that vocabulary's added tokens: their strings inside a text become
+    their ids.  Without it such strings are ordinary text.
     """
     import base64
 
@@ -115,6 +116,6 @@ def byte_bpe(ranks_path: str, pattern: str):
     def load():
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
 
-    return per_worker(("byte_bpe", ranks_path, pattern), load)
+    return per_worker(("byte_bpe", ranks_path, pattern, *sorted((added or {}).items())), load)

@@ -130,17 +130,19 @@ class Packer:
         return out
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False,
+                   added: dict[str, int] | None = None) -> DataFrame:
     """Pieces of every document: columns of ``PIECE``, and the ids themselves if asked for.
 
-    ``sequence_id`` and ``step_group`` hold the task in their upper bits.
+    ``sequence_id`` and ``step_group`` hold the task in their upper bits; ``added`` are the
+    vocabulary's added tokens, whose strings are ordinary text without it.
     """
     names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids
 
     def pack(batches):
         from pyspark import TaskContext
 
-        encoder, task = byte_bpe(ranks_path, pattern), TaskContext.get().partitionId() << 40
+        encoder, task = byte_bpe(ranks_path, pattern, added), TaskContext.get().partitionId() << 40
         packer, tokens, held, sequence, step = Packer(), [], 0, 0, 0  # tokens: (doc_id, ids)
 
         def rows():
@@ -171,7 +173,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: boo
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encoder.encode_to_numpy(text.as_py() or ""), END).astype("<u4")
+                ids = np.append(encoder.encode_to_numpy(text.as_py() or "", allowed_special="all"), END).astype("<u4")
                 tokens.append((doc_id, ids))
                 packer.add(len(tokens) - 1, 0, len(ids))
                 held += len(ids)

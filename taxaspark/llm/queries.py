@@ -30,12 +30,22 @@ def byte_bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def byte_bpe_added() -> dict[str, int]:
+    """Added tokens of the same vocabulary's JSON file, which the rank file leaves out, with their ids."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), *byte_bpe_files())
+    return pack_documents(table(spark, sf_dir, "documents"), *byte_bpe_files(), added=byte_bpe_added())
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from taxaspark.llm.packing import CONTEXT, TIERS, Packer, pack_documents
-from taxaspark.llm.queries import byte_bpe_files
+from taxaspark.llm.queries import byte_bpe_files, op2_packing
 
 
 def check(pieces):
@@ -44,6 +45,26 @@ def test_pieces_hold_each_id_once(docs, pdf):
             assert tuple(r.ids) == ids[r.start:r.start + r.length] and r.doc_tokens == len(ids)
 
 
+@pytest.mark.parametrize("pack", ["query", "pipeline"])
+def test_ids_equal_the_default_encoder(spark, tmp_path, pack):
+    """Without any setting of the library's encoder: the added token's string is its id."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y  <|endoftext|>  z", "<|endoftext |> <|endoftext|", "plain words", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    if pack == "query":
+        got = op2_packing(spark, str(tmp_path))
+    else:
+        got = corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [(i, hf.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in enumerate(texts)]
+    assert want[0][1] == [64, 220, 50256, 275, 1]
+    whole = {}
+    for r in got.collect():
+        assert r.doc_tokens == len(want[r.doc_id][1])
+        assert r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][1][r.start:r.start + r.length], "<u4").tobytes())
+        whole[r.doc_id] = whole.get(r.doc_id, 0) + r.length
+    assert whole == {i: len(ids) for i, ids in want}
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_packer_on_random_lengths(seed):
     rng = np.random.default_rng(seed)
