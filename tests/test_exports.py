@@ -9,7 +9,7 @@ from taxaspark.operators.joins import join_sample_map
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
 from bench_views.frames import Fixtures
 from taxaspark.session import local_path
-from conftest import SF_MID
+from testdata_paths import SF_MID
 
 
 def test_export_is_zstd_sorted_and_complete(spark, tmp_dir):

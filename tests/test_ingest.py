@@ -188,7 +188,7 @@ def test_line_mode_refuses_splittable_files(spark, tmp_dir):
 
 def test_raw_round_trip_of_whole_rel_ab_table(spark, tmp_dir):
     """Every sample of the sf0.001 rel_ab view as a raw file, then the staging path."""
-    from conftest import SF_SMALL
+    from testdata_paths import SF_SMALL
     from bench_views.frames import RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset
     fx = Fixtures(spark, SF_SMALL)
     root = f"{tmp_dir}/raw"

@@ -9,7 +9,7 @@ from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.sampling import sample_keys
 from bench_views.frames import Fixtures
 from taxaspark.plans.queries import approx_distinct_samples, kingdom_composition_wide
-from conftest import SF_MID, SF_SMALL
+from testdata_paths import SF_MID, SF_SMALL
 
 LONG = "sample_id string, clade_name string, relative_abundance double"
 

@@ -11,7 +11,7 @@ from taxaspark.operators.staging import cluster, stage, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_frame
 from bench_views.frames import Fixtures
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 def plan(df, mode="formatted"):

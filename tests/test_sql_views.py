@@ -10,7 +10,7 @@ from taxaspark.operators.staging import write_table
 from taxaspark.plans import jobs as P
 from taxaspark.plans import queries as Q
 from bench_views.frames import Fixtures
-from conftest import SF_MID
+from testdata_paths import SF_MID
 
 
 @pytest.fixture(scope="module")
