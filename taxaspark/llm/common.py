@@ -119,3 +119,38 @@ def byte_bpe(ranks_path: str, pattern: str, added: dict[str, int] | None = None)
         return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
 
     return per_worker(("byte_bpe", ranks_path, pattern, *sorted((added or {}).items())), load)
+
+
+def hot_bound(rows: int, least: int = 100_000, keys: int = 10_000) -> int:
+    """Rows from which a key is hot: at most ``keys`` keys can have more, so a table of them may be broadcast."""
+    return max(least, -(-rows // keys))
+
+
+def numbered(df: DataFrame, part: list[str], order: list[str], out: str, least: int = 100_000) -> DataFrame:
+    """``df`` with ``out``: 0, 1, 2, ... within each ``part`` (columns without nulls) by ``order``, nulls first.
+
+    Parts up to ``hot_bound`` rows are numbered in a window each.  The rows of larger ones are dealt to
+    ranges of the order, numbered inside their range and moved up by the ranges before.  Such parts are at most
+    10,000, so the semi join with them and the range counts (ranges + parts) are broadcast.
+    ``df`` must give the same rows each time.
+    """
+    from pyspark.sql import Window as W
+
+    bound = hot_bound(df.count(), least)
+    hot = written(df.groupBy(*part).agg(F.count("*").alias("__n")).where(F.col("__n") > bound).select(*part), "hot_parts")
+    one = F.row_number().over(W.partitionBy(*part).orderBy(*order)) - 1
+    if hot.isEmpty():
+        return df.withColumn(out, one.cast("long"))
+    cool = df.join(F.broadcast(hot), part, "left_anti").withColumn(out, one.cast("long"))
+    keys = [F.col(c) for c in [*part, *order, "__task"]]  # the task spreads repeated rows
+    rows = (df.join(F.broadcast(hot), part, "left_semi").withColumn("__task", F.spark_partition_id())
+            .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__task")
+            .withColumn("__at", F.monotonically_increasing_id()))
+    rows = written(rows, "hot_ranges").withColumn("__range", F.shiftright("__at", 33))
+    counts = rows.groupBy(*part, "__range").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.partitionBy(*part).orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
+    counts = counts.select(*part, "__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    inner = F.row_number().over(W.partitionBy(*part, "__range").orderBy("__at")) - 1
+    spread = (rows.withColumn("__inner", inner).join(F.broadcast(counts), [*part, "__range"])
+              .withColumn(out, F.col("__before") + F.col("__inner")))
+    return cool.unionByName(spread.select(*cool.columns))

@@ -13,6 +13,7 @@ from taxaspark.llm.iblt import fingerprint_documents
 from taxaspark.llm.lm_maxent import lm_scores
 from taxaspark.llm.packing import pack_documents
 from taxaspark.llm.piece_sampling import sample_pieces
+from taxaspark.llm.prefix_trie import conversation_trie
 from taxaspark.llm.quality_classifier import quality_scores
 from taxaspark.llm.quality_rules import quality_rules
 from taxaspark.llm.sharding_lpa import shard_documents
@@ -83,6 +84,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_packing": op2_packing,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_sampling": op8_sentencepiece_sampling,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 
@@ -137,5 +143,36 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
 from stats s"""
 
 
+def prefix_trie_sql() -> str:
+    """``op11`` in DuckDB SQL: sequences as lists, subtrees by comparing their beginnings."""
+    return """
+with turns as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+  row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i from conversations where conv_id is not null),
+bits as (select conv_id, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(cast(conv_id as varchar), ''),
+    lambda ch: [cast(ascii(ch) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end) as crc
+  from (select distinct conv_id from turns)),
+heads as (select conv_id, xor(crc, 4294967295) % 9 as h from bits),
+rebuilt as (select h.conv_id, t.i, 0 as own, t.role, t.text from heads h join turns t on t.conv_id = h.conv_id - h.conv_id % 5 and t.i <= h.h
+  union all select h.conv_id, t.i, 1, t.role, t.text from heads h join turns t on t.conv_id = h.conv_id and t.i > h.h),
+steps as (select conv_id, row_number() over w as depth, strlen(text) as n_bytes,
+  list(sha256(strlen(role) || ':' || role || text)) over (partition by conv_id order by own, i rows unbounded preceding) as seq
+  from rebuilt window w as (partition by conv_id order by own, i)),
+paths as (select conv_id, depth, n_bytes, seq from steps
+  union all select conv_id, 0, 0, cast([] as varchar[]) from heads),
+lengths as (select conv_id, max(depth) as length from paths group by conv_id),
+nodes as (select p.seq, min(p.depth) as depth, min(p.conv_id) as conv_id, count(*) as n_convs, min(n_bytes) as n_bytes,
+  coalesce(string_agg(cast(p.conv_id as varchar), ',' order by p.conv_id) filter (where l.length = p.depth), '') as ends
+  from paths p join lengths l using (conv_id) group by p.seq),
+children as (select seq[1:depth - 1] as up, count(*) as n from nodes where depth > 0 group by up),
+counted as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c on c.up = n.seq),
+below as (select seq[1:k] as top, n_children, (n_convs - 1) * n_bytes as saved from counted, unnest(range(depth + 1)) as t(k)),
+sums as (select top, count(*) filter (where n_children = 0) as n_leaves, sum(saved) as saved from below group by top)
+select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+  cast(s.saved as bigint) as saved_tokens, sha256(n.ends) as ends_sha256
+from counted n join sums s on s.top = n.seq left join nodes p on n.depth > 0 and p.seq = n.seq[1:n.depth - 1]"""
+
+
 #: Where SQL can express the operator; the others are held against brute force in tests/llm.
-ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules_sql()}
+ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules_sql(), "op11_prefix_trie": prefix_trie_sql()}
