@@ -154,3 +154,17 @@ def numbered(df: DataFrame, part: list[str], order: list[str], out: str, least:
     spread = (rows.withColumn("__inner", inner).join(F.broadcast(counts), [*part, "__range"])
               .withColumn(out, F.col("__before") + F.col("__inner")))
     return cool.unionByName(spread.select(*cool.columns))
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], least: int = 100_000) -> DataFrame:
+    """Inner equi join of a written table with one of at most one row a key; a hot key of ``left`` meets in no one task.
+
+    Keys with more than ``hot_bound`` left rows are at most 10,000, so their right rows are broadcast; all
+    others are shuffled.  Null keys match nothing.
+    """
+    bound = hot_bound(left.count(), least)
+    hot = written(left.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > bound).select(*keys), "hot_keys")
+    if hot.isEmpty():
+        return left.join(right, keys)
+    few = written(right.join(F.broadcast(hot), keys, "left_semi"), "hot_rows")
+    return left.join(F.broadcast(few), keys).unionByName(left.join(F.broadcast(hot), keys, "left_anti").join(right, keys))

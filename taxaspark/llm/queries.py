@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from taxaspark.llm import license_diagonals as D
+from taxaspark.llm import phrase_stripes as S
 from taxaspark.llm import quality_rules as R
 from taxaspark.llm.common import table
 from taxaspark.llm.html_tagpath import extract_pages
 from taxaspark.llm.iblt import fingerprint_documents
+from taxaspark.llm.license_diagonals import license_scan
 from taxaspark.llm.lm_maxent import lm_scores
 from taxaspark.llm.packing import pack_documents
+from taxaspark.llm.phrase_stripes import collocations
 from taxaspark.llm.piece_sampling import sample_pieces
 from taxaspark.llm.prefix_trie import conversation_trie
 from taxaspark.llm.quality_classifier import quality_scores
@@ -88,6 +92,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_packing": op2_packing,
@@ -100,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_license_scans": op12_license_scans,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 
@@ -174,5 +188,57 @@ select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id,
 from counted n join sums s on s.top = n.seq left join nodes p on n.depth > 0 and p.seq = n.seq[1:n.depth - 1]"""
 
 
+def license_scan_sql() -> str:
+    """``op12`` in DuckDB SQL: k-grams joined on their words, diagonals, the strongest of neighbours, verified spans."""
+    def quoted(x):
+        return "null" if x is None else str(x).lower() if isinstance(x, bool) else str(x) if isinstance(x, int) else "'" + x + "'"
+
+    grams = ",\n".join("(" + ", ".join(map(quoted, r)) + ")" for r in D.gram_rows(D.templates()))
+    reach = D.GAP
+    return f"""
+with grams(template, label, phrase, size, k, place, t0, t1, t2) as (values {grams}),
+texts as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^{D.SEPARATORS}]+') as w from documents),
+each as (select rid, i - 1 as pos, w[i] as w0, w[i + 1] as w1, w[i + 2] as w2 from texts, unnest(range(1, len(w) + 1)) as t(i)),
+hits as (select rid, template, label, phrase, size, k, place, pos from each join grams
+  on w0 = t0 and w1 = t1 and (t2 is null or w2 = t2)),
+lines as (select rid, template, label, phrase, size, k, pos - place as diagonal, list(place) as places, count(*) as votes,
+  min(pos) as low, max(pos + k - 1) as high from hits group by all),
+stretched as (select *, diagonal * case when phrase then {reach + 1} else 1 end as d from lines),
+merged as (select rid, label, phrase, size, k, votes, diagonal, flatten(list(places) over near) as places, min(low) over near as first,
+  max(high) over near as last, max((votes, -diagonal)) over near as best from stretched
+  window near as (partition by rid, template order by d range between {reach} preceding and {reach} following)),
+verified as (select rid, label, phrase, first, cast(len(list_distinct(flatten(list_transform(places, lambda p: range(p, p + k))))) as double)
+  / greatest(size, last - first + 1) as likeness from merged where best = (votes, -diagonal)),
+marks as (select * from verified where likeness >= {D.LEAST})
+select any_value(t.doc_id) as doc_id, cast(any_value(len(t.w)) as bigint) as n_words, count(*) filter (where phrase) as n_base,
+  cast(min(first) filter (where phrase) as bigint) as first_word, cast(max(first) filter (where phrase) as bigint) as last_word,
+  coalesce(string_agg(distinct label, ',' order by label) filter (where phrase), '') as base_labels,
+  coalesce(string_agg(distinct label, ',' order by label), '') as labels, coalesce(max(likeness), 0.0) as score
+from texts t left join marks m using (rid) group by t.rid"""
+
+
+def collocations_sql() -> str:
+    """``op13`` in DuckDB SQL: every phrase counted, cuts scored, phrases inside as frequent longer ones dropped."""
+    return f"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+split as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+sizes as (select lang, cast(sum(len(w)) as bigint) as n from split group by lang),
+counts as (select lang, m, list_slice(w, i, i + m - 1) as w, count(*) as f from split, unnest(range(1, 5)) as s(m),
+  unnest(range(1, len(w) - m + 2)) as t(i) group by all having count(*) >= {S.LEAST}),
+cuts as (select c.lang, c.w, c.f as a, k, l.f as l, r.f as r,
+  cast((2000000 * cast(c.f as hugeint)) // (cast(l.f as hugeint) + r.f) as bigint) as score
+  from counts c, unnest(range(1, c.m)) as t(k) join counts l on l.lang = c.lang and l.w = c.w[1:k] join counts r on r.lang = c.lang and r.w = c.w[k + 1:]),
+lowest as (select lang, w, a, min((score, k, l, r)) as cut from cuts group by lang, w, a),
+inside as (select lang, list_slice(w, i, i + n - 1) as w, f from counts, unnest(range(2, m)) as s(n), unnest(range(1, m - n + 2)) as t(i) where m > 2),
+longest as (select lang, w, max(f) as f from inside group by lang, w),
+kept as (select o.lang, array_to_string(o.w, ' ') as phrase, a, cut[1] as score, cut[3] as l, cut[4] as r from lowest o
+  left join longest g on g.lang = o.lang and g.w = o.w where not coalesce(100 * cast(g.f as hugeint) >= {S.SUBSUMED} * cast(a as hugeint), false)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= {S.TOP}"""
+
+
 #: Where SQL can express the operator; the others are held against brute force in tests/llm.
-ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules_sql(), "op11_prefix_trie": prefix_trie_sql()}
+ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules_sql(), "op11_prefix_trie": prefix_trie_sql(),
+                           "op12_license_scans": license_scan_sql(), "op13_phrase_collocations": collocations_sql()}
