@@ -39,13 +39,14 @@ from taxaspark.operators.checks import key_check, layer_counts, preview
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.sampling import HASH_DIGITS, key_bound
-from taxaspark.operators.staging import stage, write_table
+from taxaspark.operators.staging import stage, staged_rows, write_table
 from taxaspark.plans import queries as Q
-from taxaspark.plans.exports import export_csv, export_frame, export_parquet
+from taxaspark.plans.exports import export_csv, export_dataset
 from taxaspark.plans import jobs
 from taxaspark.session import scratch_path
-from taxaspark.sources.lookups import read_accessions, read_sample_map
 from taxaspark.sources.raw import scan_ext, scan_src
+from taxaspark.sources.snapshots import folder
+from taxaspark.sources.tables import open_table, read_table
 
 try:  # the training-data operators can be left out of an installation
     import corpus_pipeline
@@ -169,7 +170,7 @@ def _staged_roundtrip(spark, sf, name):
     ds = schemas.DATASETS[name]
     path = scratch_path(spark, ds.stg_table)
     write_table(fx.staged(name), path)
-    return spark.read.parquet(path)
+    return open_table(spark, path)
 
 
 def j1(spark, sf):
@@ -202,7 +203,7 @@ def _raw_stage_roundtrip(spark, sf, name, mode="wholetext"):
     src = scan_src(spark, root, ds, paths=raw_glob(root), id_pattern=RAW_ID_PATTERN, mode=mode)
     out = scratch_path(spark, ds.stg_table)
     write_table(stage(src, ds), out)
-    return spark.read.parquet(out)
+    return open_table(spark, out)
 
 
 def j4_raw(spark, sf):
@@ -224,7 +225,7 @@ def _run_roundtrip(spark, sf, name):
     root = f"{scratch_path(spark, 'run')}/{schemas.DEFAULT_RUN_TAG}"
     write_run(Fixtures(spark, sf).by_supplier(name), root, ds)
     cfg = jobs.Config(raw_root=root, warehouse=scratch_path(spark, "run_warehouse"))
-    return spark.read.parquet(jobs.stage_dataset(spark, cfg, ds))
+    return open_table(spark, jobs.stage_dataset(spark, cfg, ds))
 
 
 def j1_run(spark, sf):
@@ -270,26 +271,26 @@ def p2(spark, sf):
     top = scratch_path(spark, "refresh")
     cfg = jobs.Config(raw_root=f"{top}/{schemas.DEFAULT_RUN_TAG}", warehouse=f"{top}/warehouse",
                       datasets=("marker_abundance", "marker_presence"))
-    few = fx.by_supplier("marker_abundance").where("marker_id like '%1'")
-    write_run(few, cfg.raw_root, schemas.MARKER_ABUNDANCE)
+    abundance = fx.by_supplier("marker_abundance")
+    write_run(abundance, cfg.raw_root, schemas.MARKER_ABUNDANCE)
     write_run(fx.by_supplier("marker_presence").where("presence = 1"), cfg.raw_root, schemas.MARKER_PRESENCE)
     jobs.stage_all(spark, cfg)
     cfg.raw_root = f"{top}/again/{schemas.DEFAULT_RUN_TAG}"
-    write_run(few.withColumn("abundance", F.lit("not a number")), cfg.raw_root, schemas.MARKER_ABUNDANCE)
+    write_run(abundance.withColumn("abundance", F.lit("not a number")), cfg.raw_root, schemas.MARKER_ABUNDANCE)
     write_run(fx.by_supplier("marker_presence"), cfg.raw_root, schemas.MARKER_PRESENCE)
     out = jobs.stage_all(spark, cfg)
-    parts = [spark.read.parquet(o.path).agg(F.count("*").alias("num_rows")).select(
+    parts = [open_table(spark, o.path).agg(F.count("*").alias("num_rows")).select(
         F.lit(o.table).alias("table_id"), F.lit(o.error is None).alias("refreshed"), "num_rows") for o in out.values()]
     return parts[0].union(parts[1])
 
 
 def j6(spark, sf):
-    """Sample map written as CSV, loaded back through the lookup loader."""
+    """Sample map written as CSV, loaded back by the lookup job."""
     csv = scratch_path(spark, "sample_id_map_csv")
     Fixtures(spark, sf).sample_map.write.option("header", True).option("escape", '"').csv(csv)
-    out = scratch_path(spark, schemas.SAMPLE_MAP_TABLE)
-    read_sample_map(spark, csv).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    warehouse = scratch_path(spark, "map")
+    jobs.load_sample_map(spark, csv, warehouse)
+    return read_table(spark, warehouse, schemas.SAMPLE_MAP_TABLE)
 
 
 def j7(spark, sf):
@@ -299,7 +300,21 @@ def j7(spark, sf):
         .option("escape", '"').option("emptyValue", "").csv(tsv))
     warehouse = scratch_path(spark, "accessions")
     jobs.load_accessions(spark, tsv, warehouse)
-    return spark.read.parquet(f"{warehouse}/{schemas.ACCESSIONS_TABLE}")
+    return read_table(spark, warehouse, schemas.ACCESSIONS_TABLE)
+
+
+def j7_multiline(spark, sf):
+    """A dump whose fields hold line ends (LF and CRLF), doubled quotes and separators, in blocks of 16 KB."""
+    tsv = scratch_path(spark, "sra_accessions_tsv")
+    k = F.col("Spots").cast("int") % 7
+    texts = (F.when(k == 0, F.concat(F.lit('two\nlines "'), F.col("Spots"), F.lit('"'))).when(k == 1, F.lit('crlf\r\nand\ttab\n\n'))
+             .when(k == 2, F.lit('"\n"')).otherwise(F.col("Center")))
+    rows = Fixtures(spark, sf).raw_accessions.withColumn("Center", texts).coalesce(1)
+    kept = {"header": True, "sep": "\t", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**kept).csv(tsv)
+    warehouse = scratch_path(spark, "accessions")
+    jobs.load_accessions(spark, tsv, warehouse, block_bytes=16 * 1024)
+    return read_table(spark, warehouse, schemas.ACCESSIONS_TABLE)
 
 
 # ---------------------------------------------------------------- exports
@@ -307,8 +322,8 @@ def j7(spark, sf):
 def _export_roundtrip(spark, sf, name):
     fx = Fixtures(spark, sf)
     path = scratch_path(spark, f"export_{name}")
-    export_parquet(export_frame(fx.staged(name), fx.sample_map, name), path)
-    return spark.read.parquet(path)
+    export_dataset(fx.staged(name), fx.sample_map, name, path)
+    return open_table(spark, path)
 
 
 def x1(spark, sf):
@@ -327,6 +342,95 @@ def x4(spark, sf):
     return _export_roundtrip(spark, sf, "metaphlan_viruses_list")
 
 
+def b3_manifests(spark, sf):
+    """What the manifest of each export says: rows, order of the files' key ranges, and the ends of all keys."""
+    fx = Fixtures(spark, sf)
+    rows = []
+    for name in jobs.EXPORTED:
+        made = export_dataset(fx.staged(name), fx.sample_map, name, scratch_path(spark, f"export_{name}"))
+        rows.append((name, made.rows, made.ordered(), made.files[0]["first"][0], made.files[-1]["last"][0]))
+    return spark.createDataFrame(rows, "dataset string, num_rows long, ordered boolean, first_study string, last_study string")
+
+
+def b3_failed_export(spark, sf):
+    """An export that fails midway: what was exported before is still there."""
+    fx = Fixtures(spark, sf)
+    path = scratch_path(spark, "export_kept")
+    export_dataset(fx.staged("marker_abundance"), fx.sample_map, "marker_abundance", path)
+    broken = F.when(F.col("marker_id") == "M7", F.raise_error(F.lit("unreadable row"))).otherwise(F.col("abundance"))
+    out = jobs.attempt("marker_abundance", path, lambda: export_dataset(
+        fx.staged("marker_abundance").withColumn("abundance", broken), fx.sample_map, "marker_abundance", path))
+    return open_table(spark, path).withColumn("failed", F.lit(out.error is not None))
+
+
+def b2_views(spark, sf):
+    """SQL over the registered src_ views of a raw run and over its registered tables."""
+    fx = Fixtures(spark, sf)
+    top = scratch_path(spark, "views")
+    cfg = jobs.Config(raw_root=f"{top}/{schemas.DEFAULT_RUN_TAG}", warehouse=f"{top}/warehouse", datasets=("marker_presence",))
+    write_run(fx.by_supplier("marker_presence"), cfg.raw_root, schemas.MARKER_PRESENCE)
+    jobs.stage_all(spark, cfg)
+    session = spark.newSession()  # views of its own
+    jobs.register_src_views(session, cfg)
+    jobs.register_tables(session, cfg.warehouse)
+    return session.sql("""select 'src' as layer, presence, count(*) as num_rows, count(distinct sample_id) as samples from src_marker_presence
+        group by presence union all select 'stg', presence, count(*), count(distinct sample_id) from stg_marker_presence group by presence""")
+
+
+def _whole_run(spark, sf, bad=()):
+    """A raw run of three datasets with its lookups, and the job's settings; files of ``bad`` hold a line that doesn't parse."""
+    fx = Fixtures(spark, sf)
+    top = scratch_path(spark, "whole_run")
+    cfg = jobs.Config(raw_root=f"{top}/{schemas.DEFAULT_RUN_TAG}", warehouse=f"{top}/warehouse", export_root=f"{top}/exports",
+                      sample_map_csv=f"{top}/map", accessions_path=f"{top}/accessions", catalog_out=f"{top}/catalog",
+                      datasets=("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats"))
+    columns = {"marker_abundance": "abundance", "marker_presence": "presence"}
+    for name in cfg.datasets:
+        rows = fx.by_supplier(name)
+        if name in bad:
+            rows = rows.withColumn(columns[name], F.lit("not a number"))
+        write_run(rows, cfg.raw_root, schemas.DATASETS[name])
+    samples = fx.table("supplier").select(F.md5(F.col("s_suppkey").cast("string")).alias("sample_id"), F.lit("R").alias("run_ids"),
+                                          F.lit("S").alias("sample_name"), F.lit("A").alias("study_name"))
+    samples.write.option("header", True).csv(cfg.sample_map_csv)
+    fx.raw_accessions.write.option("header", True).option("sep", "\t").option("escape", '"').option("emptyValue", "").csv(cfg.accessions_path)
+    return cfg
+
+
+def p1(spark, sf):
+    """The whole job with one bad dataset: every other table, layer and export is made, and the failures are told."""
+    cfg = _whole_run(spark, sf, bad=("marker_presence",))
+    out = jobs.run_all(spark, cfg)
+    rows = [("lookup", k, None if isinstance(v, jobs.Outcome) else v["total_rows"]) for k, v in out["lookups"].items()]
+    rows += [("staged", k, None if v.error else open_table(spark, v.path).count()) for k, v in out["staged"].items()]
+    rows += [("layer", r["layer"], r["num_rows"]) for r in out["layers"]]
+    rows += [("export", k, None if v.error else open_table(spark, v.path).count()) for k, v in out["exports"].items()]
+    rows += [("catalog", r["table_id"], r["num_rows"]) for r in out["catalog"]["profile"].where("table_type = 'TABLE'").collect()]
+    return spark.createDataFrame(rows, "step string, name string, num_rows long")
+
+
+def p3(spark, sf):
+    """Refresh of the lookups where the sample map's file is bad the second time: its old table stays."""
+    cfg = _whole_run(spark, sf)
+    first = jobs.refresh_lookups(spark, cfg)
+    cfg.sample_map_csv = cfg.accessions_path
+    second = jobs.refresh_lookups(spark, cfg)
+    rows = [(k, isinstance(first[k], jobs.Outcome), isinstance(second[k], jobs.Outcome), read_table(spark, cfg.warehouse, k).count())
+            for k in (schemas.SAMPLE_MAP_TABLE, schemas.ACCESSIONS_TABLE)]
+    return spark.createDataFrame(rows, "table_id string, failed_first boolean, failed_second boolean, num_rows long")
+
+
+def p4(spark, sf):
+    """The catalog as JSON: the profile read back from what was published."""
+    cfg = _whole_run(spark, sf)
+    jobs.refresh_staging(spark, cfg)
+    jobs.load_sample_map(spark, cfg.sample_map_csv, cfg.warehouse)
+    jobs.refresh_metadata(spark, cfg)
+    kinds = "table_id string, table_type string, num_fields int, num_rows long, view_query string, error string"
+    back = spark.read.schema(kinds).json(f"{folder(spark, cfg.catalog_out)}/tables")
+    return back.select("table_id", "table_type", "num_fields", "num_rows", F.col("error").isNotNull().alias("failed"))
+
+
 def x5(spark, sf):
     stg = Fixtures(spark, sf).staged("marker_abundance")
     path = scratch_path(spark, "export_csv")
@@ -337,7 +441,7 @@ def x5(spark, sf):
 def _read_csv(spark, schema, path):
     """Standard CSV: doubled quotes, line ends inside quotes, an empty field is NULL and ``""`` is empty."""
     mark = "\u0001"
-    df = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("emptyValue", mark).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("emptyValue", mark).csv(folder(spark, path))
     return df.select(*[F.when(F.col(f.name) == mark, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
                        if f.dataType.simpleString() == "string" else F.col(f.name) for f in schema.fields])
 
@@ -353,12 +457,21 @@ def x5_quoted(spark, sf):
 # ---------------------------------------------------------------- checks / catalog
 
 def k1(spark, sf):
-    """Layers over raw files of two runs, one of which has no sample ids; stg is the written table."""
+    """Layers of raw files of two runs, one of which has no sample ids, as the staging job counted them."""
+    ds = schemas.MARKER_REL_AB
+    _, src = _two_runs(spark, sf, ds.name)
+    cfg = jobs.Config(raw_root="", warehouse=scratch_path(spark, "layers"))
+    write_table(staged_rows(src, ds), f"{cfg.warehouse}/{ds.stg_table}", count_rows=True)
+    return jobs.verify_layers(spark, cfg, ds.name).drop("expected_stg")
+
+
+def k1_recount(spark, sf):
+    """The same layers, each counted by itself: the raw files once more, and the written table."""
     ds = schemas.MARKER_REL_AB
     ext, src = _two_runs(spark, sf, ds.name)
     path = scratch_path(spark, ds.stg_table)
     write_table(stage(src, ds), path)
-    return layer_counts([(ds.ext_table, ext), (ds.src_view, src), (ds.stg_table, spark.read.parquet(path))])
+    return layer_counts([(ds.ext_table, ext), (ds.src_view, src), (ds.stg_table, open_table(spark, path))])
 
 
 def k2(spark, sf):
@@ -399,7 +512,7 @@ def _fixture_catalog(spark, sf) -> list[TableEntry]:
         fx.sample_map.write.mode("overwrite").parquet(p)
         entries.append((schemas.SAMPLE_MAP_TABLE, p, []))
         _WAREHOUSES[key] = entries
-    return [TableEntry(n, TABLE, spark.read.parquet(p), path=p, clustering_fields=c)
+    return [TableEntry(n, TABLE, open_table(spark, p), path=p, clustering_fields=c)
             for n, p, c in _WAREHOUSES[key]]
 
 
@@ -575,13 +688,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "P2_refresh_staging": p2,
         "J6_load_sample_map": j6,
         "J7_load_accessions": j7,
+        "J7_multiline": j7_multiline,
         "X1_export_marker_abundance": x1,
         "X2_export_marker_presence": x2,
         "X3_export_marker_rel_ab": x3,
         "X4_export_viruses_list": x4,
         "X5_export_csv": x5,
         "X5_quoted_csv": x5_quoted,
+        "B2_views": b2_views,
+        "B3_failed_export": b3_failed_export,
+        "B3_manifests": b3_manifests,
+        "P1_run_all": p1,
+        "P3_refresh_lookups": p3,
+        "P4_refresh_metadata": p4,
         "K1_layer_counts": k1,
+        "K1_recount": k1_recount,
         "K2_key_check_map": k2,
         "K2b_key_check_accessions": k2b,
         "K3_preview_with_provenance": k3,
@@ -665,6 +786,17 @@ def _profile_sql() -> str:
     return with_views("\nunion all\n".join(parts), *views)
 
 
+def _layers_sql(rel: str) -> str:
+    return with_views(f"""
+, counts as (
+  select 0 as position, 'ext_marker_rel_ab_w_read_stats' as layer, count(*) as num_rows from run_raw_rel_ab
+  union all select 1, 'src_marker_rel_ab_w_read_stats', count(*) from run_raw_rel_ab
+  union all select 2, '{rel}', count(*) from run_{rel}
+    where sample_id in (select md5(cast(s_suppkey as varchar(20))) from supplier where s_suppkey % 2 = 0))
+select position, layer, num_rows, lag(num_rows) over (order by position) - num_rows as dropped
+from counts""", f"run_{rel}")
+
+
 def oracle_sql() -> dict[str, str]:
     ids = _sql_list(CHOSEN_SAMPLES)
     tag = schemas.DEFAULT_RUN_TAG
@@ -759,13 +891,45 @@ where sample_id in (select md5(cast(s_suppkey as varchar(20))) from supplier whe
         "J2r_raw_run_presence": with_views("select * from run_stg_marker_presence", "run_stg_marker_presence"),
         "J3r_raw_run_rel_ab": with_views(f"select * from run_{rel}", f"run_{rel}"),
         "P2_refresh_staging": """
-select 'stg_marker_abundance' as table_id, false as refreshed, count(*) filter (where l_partkey % 10 = 1) as num_rows from lineitem
+select 'stg_marker_abundance' as table_id, false as refreshed, count(*) as num_rows from lineitem
 union all select 'stg_marker_presence', true, count(*) from lineitem""",
         "X5_quoted_csv": """
 select cast(o_orderkey as varchar(20)) as id, o_orderpriority as last,
        case o_orderkey % 6 when 0 then 'a "b", c ' || cast(o_orderkey as varchar(20)) when 1 then '' when 2 then null
             when 3 then '""' when 4 then 'two' || chr(10) || 'lines, \\ back' else 'plain' end as text
 from orders""",
+        "B2_views": with_views("""
+select 'src' as layer, presence, count(*) as num_rows, count(distinct sample_id) as samples from run_stg_marker_presence group by presence
+union all select 'stg', presence, count(*), count(distinct sample_id) from run_stg_marker_presence group by presence""",
+                               "run_stg_marker_presence"),
+        "B3_failed_export": f"select *, true as failed from ({_export_sql('stg_marker_abundance', _cols('marker_abundance'))})",
+        "B3_manifests": with_views("\nunion all ".join(f"""
+select '{n}' as dataset, count(*) as num_rows, true as ordered, min(study_name) as first_study, max(study_name) as last_study
+from stg_{n} join src_sample_id_map using (sample_id)""" for n in jobs.EXPORTED), *[f"stg_{n}" for n in jobs.EXPORTED], "src_sample_id_map"),
+        "P1_run_all": """
+with n as (select (select count(*) from lineitem) as abundance, (select count(*) from lineitem join part on l_partkey = p_partkey) as rel,
+  (select count(*) from supplier) as samples, (select count(*) from orders) as accessions)
+select unnest(['lookup', 'lookup', 'staged', 'staged', 'staged', 'layer', 'layer', 'layer', 'layer', 'layer', 'layer', 'export', 'export', 'export',
+    'catalog', 'catalog', 'catalog', 'catalog']) as step,
+  unnest(['src_sample_id_map', 'src_sra_accessions', 'stg_marker_abundance', 'stg_marker_presence', 'stg_marker_rel_ab_w_read_stats',
+    'ext_marker_abundance', 'src_marker_abundance', 'stg_marker_abundance', 'ext_marker_rel_ab_w_read_stats', 'src_marker_rel_ab_w_read_stats',
+    'stg_marker_rel_ab_w_read_stats', 'marker_abundance', 'marker_presence', 'marker_rel_ab_w_read_stats', 'src_sample_id_map',
+    'src_sra_accessions', 'stg_marker_abundance', 'stg_marker_rel_ab_w_read_stats']) as name,
+  unnest([samples, accessions, abundance, null, rel, abundance, abundance, abundance, rel, rel, rel, abundance, null, rel,
+    samples, accessions, abundance, rel]) as num_rows from n""",
+        "P3_refresh_lookups": """
+select 'src_sample_id_map' as table_id, false as failed_first, true as failed_second, count(*) as num_rows from supplier
+union all select 'src_sra_accessions', false, false, count(*) from orders""",
+        "P4_refresh_metadata": """
+with n as (select (select count(*) from lineitem) as rows, (select count(*) from lineitem join part on l_partkey = p_partkey) as rel,
+  (select count(*) from supplier) as samples)
+select unnest(['ext_marker_abundance', 'ext_marker_presence', 'ext_marker_rel_ab_w_read_stats', 'src_marker_abundance', 'src_marker_presence',
+    'src_marker_rel_ab_w_read_stats', 'stg_marker_abundance', 'stg_marker_presence', 'stg_marker_rel_ab_w_read_stats', 'src_sample_id_map',
+    'src_sra_accessions']) as table_id,
+  unnest(['EXTERNAL', 'EXTERNAL', 'EXTERNAL', 'VIEW', 'VIEW', 'VIEW', 'TABLE', 'TABLE', 'TABLE', 'TABLE', null]) as table_type,
+  unnest([2, 2, 5, 3, 3, 6, 3, 3, 6, 4, null]) as num_fields,
+  unnest([null, null, null, null, null, null, rows, rows, rel, samples, null]) as num_rows,
+  unnest([false, false, false, false, false, false, false, false, false, false, true]) as failed from n""",
         "C4_odd_values": _odd_sql(),
         "K5_with_errors": f"""
 with p as ({_profile_sql()})
@@ -781,20 +945,18 @@ union all select 'stg_missing', null, true union all select 'stg_unreadable', nu
         "J5l_raw_lines_stage_viruses_list": _stage_sql("stg_metaphlan_viruses_list"),
         "J6_load_sample_map": with_views("select * from src_sample_id_map", "src_sample_id_map"),
         "J7_load_accessions": with_views("select * from src_sra_accessions", "src_sra_accessions"),
+        "J7_multiline": with_views("""
+select Accession, Submission, Status, Spots, case Spots % 7 when 0 then 'two' || chr(10) || 'lines "' || Spots || '"'
+  when 1 then 'crlf' || chr(13) || chr(10) || 'and' || chr(9) || 'tab' || chr(10) || chr(10) when 2 then '"' || chr(10) || '"' else Center end as Center
+from src_sra_accessions""", "src_sra_accessions"),
         "X1_export_marker_abundance": _export_sql("stg_marker_abundance", _cols("marker_abundance")),
         "X2_export_marker_presence": _export_sql("stg_marker_presence", _cols("marker_presence")),
         "X3_export_marker_rel_ab": _export_sql(rel, _cols("marker_rel_ab_w_read_stats")),
         "X4_export_viruses_list": _export_sql("stg_metaphlan_viruses_list", _cols("metaphlan_viruses_list")),
         "X5_export_csv": with_views(
             f"select * from stg_marker_abundance where sample_id in ({ids})", "stg_marker_abundance"),
-        "K1_layer_counts": with_views(f"""
-, counts as (
-  select 0 as position, 'ext_marker_rel_ab_w_read_stats' as layer, count(*) as num_rows from run_raw_rel_ab
-  union all select 1, 'src_marker_rel_ab_w_read_stats', count(*) from run_raw_rel_ab
-  union all select 2, '{rel}', count(*) from run_{rel}
-    where sample_id in (select md5(cast(s_suppkey as varchar(20))) from supplier where s_suppkey % 2 = 0))
-select position, layer, num_rows, lag(num_rows) over (order by position) - num_rows as dropped
-from counts""", f"run_{rel}"),
+        "K1_layer_counts": _layers_sql(rel),
+        "K1_recount": _layers_sql(rel),
         "K2_key_check_map": with_views("""
 select count(*) as total_rows, count(distinct sample_id) as distinct_sample_ids
 from src_sample_id_map""", "src_sample_id_map"),

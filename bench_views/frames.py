@@ -188,10 +188,11 @@ ODD_NUMBERS: dict[str, tuple[float | None, int | None]] = {
 
 def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
     """Write ``df`` in the layout of a run: ``<root>/<sample id>/<path tail>``, header lines without '#'."""
-    from taxaspark.sources.tables import _file_system
+    from taxaspark.sources.snapshots import FileAccess
 
     parts = write_raw_dataset(df, f"{root}.parts-{ds.name}", ds, mark="header")
-    to_path, fs = _file_system(df.sparkSession, parts)
+    access = FileAccess(df.sparkSession, parts)
+    to_path, fs = access.to, access.fs
     for folder in fs.listStatus(to_path(parts)):
         name = folder.getPath().getName()
         if not name.startswith("sample_id="):

@@ -36,8 +36,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--range-partitions", type=int)
     ap.add_argument("--listing", default="recursive", choices=["glob", "recursive"])
     ap.add_argument("--read-mode", default="lines", choices=["lines", "wholetext"])
-    ap.add_argument("--accessions-multiline", action="store_true", help="allow quoted newlines in the dump")
-    ap.add_argument("--accessions-schema", help="column types as DDL; saves the inference pass")
+    ap.add_argument("--accessions-one-line-rows", action="store_true", help="the dump has no quoted newlines (saves a pass)")
+    ap.add_argument("--accessions-schema", help="column types as DDL; nothing is inferred")
     ap.add_argument("--max-partition-bytes", type=int, help="compressed bytes per staging task")
     ap.add_argument("--datasets", nargs="*", default=list(DATASETS), choices=list(DATASETS))
     return ap
@@ -49,7 +49,7 @@ def config(args) -> P.Config:
                     catalog_out=args.catalog_out, run_tag=args.run_tag, layout=args.layout,
                     range_partitions=args.range_partitions, listing=args.listing,
                     read_mode=args.read_mode, max_partition_bytes=args.max_partition_bytes,
-                    accessions_multiline=args.accessions_multiline, accessions_schema=args.accessions_schema,
+                    accessions_multiline=not args.accessions_one_line_rows, accessions_schema=args.accessions_schema,
                     datasets=tuple(args.datasets))
 
 
@@ -75,7 +75,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         show_lookups(spark, cfg, out["lookups"])
         for row in out["layers"]:
             print(row.asDict())
-        out["catalog"]["summary"].show(truncate=False)
+        if "summary" in out["catalog"]:
+            out["catalog"]["summary"].show(truncate=False)
     elif args.command == "stage":
         out = {"staged": P.refresh_staging(spark, cfg)["staged"]}
         for name, made in out["staged"].items():

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaspark.sources.snapshots import folder, publish
+
 TABLE, VIEW, EXTERNAL = "TABLE", "VIEW", "EXTERNAL"
 
 # Warehouse names of the column types in use.
@@ -137,7 +139,8 @@ def table_profile(spark: SparkSession, entries: list[TableEntry], count_external
             if e.table_type in (TABLE, EXTERNAL):
                 if e.path:
                     glob = e.files_glob or ("*.parquet" if e.table_type == TABLE else None)
-                    num_bytes = files_bytes(spark, e.path, glob, e.files_regex)
+                    path = folder(spark, e.path) if e.table_type == TABLE else e.path
+                    num_bytes = files_bytes(spark, path, glob, e.files_regex)
                 size_gb = round(num_bytes / 1024 ** 3, 2) if num_bytes else 0.0
             rows.append((e.table_id, e.table_type, len(df.schema.fields), num_rows, num_bytes, size_gb,
                          list(e.clustering_fields), e.view_query,
@@ -182,7 +185,13 @@ def table_listing(profile: DataFrame) -> DataFrame:
 
 
 def write_catalog_json(profile: DataFrame, summary: DataFrame, schema: DataFrame, path: str) -> None:
-    """Write the profile, schema catalog and summary as JSON lines, in a folder each."""
-    profile.write.mode("overwrite").json(f"{path}/tables")
-    schema.write.mode("overwrite").json(f"{path}/schema")
-    summary.write.mode("overwrite").json(f"{path}/summary")
+    """Publish the profile, schema catalog and summary at ``path`` as JSON lines, in a folder each.
+
+    All three change at once; a failure leaves the old ones (see ``sources.snapshots``).
+    """
+    def write(to: str) -> None:
+        profile.write.json(f"{to}/tables")
+        schema.write.json(f"{to}/schema")
+        summary.write.json(f"{to}/summary")
+
+    publish(profile.sparkSession, path, write)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from taxaspark.functions.columns import lenient_double, lenient_long, null_sentinel
@@ -39,6 +39,11 @@ def stage(src: DataFrame, ds: Dataset) -> DataFrame:
     return src.where(F.col("sample_id").isNotNull()).select(*staged_columns(src, ds))
 
 
+def staged_rows(src: DataFrame, ds: Dataset) -> DataFrame:
+    """``stage`` before rows without a sample id are dropped."""
+    return src.select(*staged_columns(src, ds))
+
+
 def planned_bytes(df: DataFrame) -> int | None:
     """The planner's estimate of the size of ``df``; None where it can't be asked."""
     try:
@@ -87,20 +92,37 @@ def cluster(df: DataFrame, layout: str = "range", partitions: int | None = None,
     return range_sorted(df, [key], [], partitions or partitions_for(df))
 
 
-def write_table(df: DataFrame, path: str, layout: str = "range", partitions: int | None = None,
-                key: str = "sample_id", bloom: bool = True, compression: str | None = None) -> None:
-    """Full refresh of a clustered Parquet table; the old table stays until the new one is whole.
+def write_clustered(df: DataFrame, to: str, layout: str = "range", partitions: int | None = None, key: str = "sample_id",
+                    bloom: bool = True, compression: str | None = None, mode: str = "errorifexists",
+                    counted: Observation | None = None) -> None:
+    """Writes ``df`` clustered on ``key`` as plain Parquet files into the folder ``to``.
 
     ``bloom`` asks Parquet for a bloom filter on ``key``.  It is written for
     row groups whose keys outgrow the dictionary; fully dictionary-encoded
     row groups skip it, since dictionary filtering already prunes them exactly.
+
+    With ``counted``, rows whose key is null are counted and then dropped: ``rows`` and ``keyed`` are taken in
+    the tasks that write, behind the exchange.  A stage that writes counts each partition once,
+    also if tasks fail, are repeated or run twice; the range bounds' sampling pass counts nothing.
+    """
+    df = cluster(df, layout, partitions, key)
+    if counted is not None:
+        df = df.observe(counted, F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).where(F.col(key).isNotNull())
+    writer = df.write.mode(mode)
+    if bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(to)
+
+
+def write_table(df: DataFrame, path: str, layout: str = "range", partitions: int | None = None,
+                key: str = "sample_id", bloom: bool = True, compression: str | None = None, count_rows: bool = False) -> None:
+    """Full refresh of a clustered Parquet table; readers see the old table until the new one is whole.
+
+    ``count_rows`` drops rows whose key is null and keeps in the manifest how many rows came
+    in (``rows``) and how many had a key (``keyed``); see ``write_clustered``.
     """
-    def write(to: str) -> None:
-        writer = cluster(df, layout, partitions, key).write
-        if bloom:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-        if compression:
-            writer = writer.option("compression", compression)
-        writer.parquet(to)
-
-    replace_table(df.sparkSession, path, write)
+    counted = Observation() if count_rows else None
+    replace_table(df.sparkSession, path, lambda to: write_clustered(df, to, layout, partitions, key, bloom, compression, counted=counted),
+                  keys=[key], counts=(lambda: dict(counted.get)) if counted else None)

@@ -10,6 +10,7 @@ from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.staging import partitions_for, range_sorted
 from taxaspark.plans.queries import restrict_samples
 from taxaspark.schemas import DATASETS, Dataset
+from taxaspark.sources.snapshots import Manifest, publish
 
 # The third sort key of each dataset's export.
 EXPORT_SORT_KEY = {
@@ -30,29 +31,43 @@ def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, parti
     cols = ["sample_id", *[f.name for f in ds.raw_schema.fields]]
     data = stg.select(*cols)
     joined = join_sample_map(data, sample_map, ["study_name", "sample_name"]).select(*cols, "study_name", "sample_name")
-    return range_sorted(joined, ["study_name", "sample_name", EXPORT_SORT_KEY[ds.name]], ["sample_id"],
+    return range_sorted(joined, export_keys(ds), ["sample_id"],
                         partitions or partitions_for(data))
 
 
+def export_keys(ds: Dataset | str) -> list[str]:
+    """Sort keys of a dataset's export."""
+    return ["study_name", "sample_name", EXPORT_SORT_KEY[ds if isinstance(ds, str) else ds.name]]
+
+
+def _refuse_overlap(made: Manifest) -> None:
+    if not made.ordered():
+        raise ValueError(f"files of the export overlap in {made.keys}")
+
+
 def export_parquet(df: DataFrame, path: str, compression: str = "zstd",
-                   max_records_per_file: int | None = None) -> None:
-    """Overwrite ``path`` with Parquet part files; part order follows the sort."""
-    w = df.write.mode("overwrite").option("compression", compression)
+                   max_records_per_file: int | None = None, keys: list[str] | None = None) -> Manifest:
+    """Publish ``df`` at ``path`` as Parquet part files whose order follows the sort; a failure leaves the old export.
+
+    Given the sort ``keys``, the manifest lists each file's first and last key, and files whose
+    ranges overlap refuse the export.
+    """
+    w = df.write.option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+    return publish(df.sparkSession, path, w.parquet, keys or [], accept=_refuse_overlap if keys else None)[0]
 
 
-def export_dataset(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, path: str) -> None:
-    export_parquet(export_frame(stg, sample_map, ds), path)
+def export_dataset(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, path: str) -> Manifest:
+    return export_parquet(export_frame(stg, sample_map, ds), path, keys=export_keys(ds))
 
 
 def export_csv(df: DataFrame, path: str, sample_ids: Iterable[str] | None = None,
-               header: bool = True) -> None:
-    """Standard CSV (quotes doubled) with a header line, overwrite; optionally only some samples.
+               header: bool = True) -> Manifest:
+    """Publish standard CSV (quotes doubled) with a header line at ``path``; optionally only some samples.
 
-    NULL is an empty field, an empty string is ``""``.
+    NULL is an empty field, an empty string is ``""``.  A failure leaves the old export.
     """
     if sample_ids is not None:
         df = restrict_samples(df, sample_ids)
-    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+    return publish(df.sparkSession, path, df.write.option("header", header).option("escape", '"').csv)[0]

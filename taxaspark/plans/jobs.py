@@ -1,9 +1,9 @@
 """End-to-end jobs: raw files → staged tables → lookups → exports → catalog.
 
-Each step writes a full-refresh Parquet table beside the old one and switches
-when it is whole; a failed refresh leaves the old table.  One bad dataset does not
+Each step publishes a full-refresh Parquet table (``sources.snapshots``): readers see the old one
+until the new one is whole, and a failed refresh leaves it.  One bad dataset does not
 keep the others from being staged, nor one unreadable table the rest of the catalog.
-Exports and the catalog read the written tables; only the layer check reads raw files again.
+Raw files are read by staging alone: the layer check goes by the rows counted there.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
 )
 from taxaspark.operators.checks import key_check, stack_layers
-from taxaspark.operators.staging import stage, write_table
+from taxaspark.operators.staging import staged_rows, write_table
 from taxaspark.plans.exports import export_dataset
 from taxaspark.schemas import (
     ACCESSIONS_TABLE, DATASETS, DEFAULT_RUN_TAG, SAMPLE_MAP_TABLE, Dataset,
 )
+from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
 from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src
-from taxaspark.sources.tables import read_table, replace_table, table_path
+from taxaspark.sources.snapshots import FileAccess, latest
+from taxaspark.sources.tables import open_table, read_table, replace_table, table_path
 
 EXPORTED = ("marker_abundance", "marker_presence", "marker_rel_ab_w_read_stats", "metaphlan_viruses_list")
 
@@ -45,8 +47,8 @@ class Config:
     listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
     read_mode: str = "lines"            # any file size; or "wholetext" (see sources.raw)
     max_partition_bytes: int | None = None  # compressed bytes per staging task (default: Spark's 128 MB)
-    accessions_multiline: bool = False  # quoted newlines in the accession dump; one task a file
-    accessions_schema: str | None = None  # DDL; saves the pass that infers the types
+    accessions_multiline: bool = True   # look for quoted newlines in the accession dump (one pass more)
+    accessions_schema: str | None = None  # DDL; saves the text copy that the types are inferred with
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
@@ -69,7 +71,7 @@ def failed(result: dict) -> list[str]:
     return found
 
 
-def _attempt(table: str, path: str, job) -> Outcome:
+def attempt(table: str, path: str, job) -> Outcome:
     """Run one table's job; its failure is kept, so that the other tables' jobs go on."""
     try:
         job()
@@ -128,37 +130,44 @@ def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
         spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(cfg.max_partition_bytes))
     src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-    write_table(stage(src, ds), out, cfg.layout, cfg.range_partitions)
+    write_table(staged_rows(src, ds), out, cfg.layout, cfg.range_partitions, count_rows=True)
     return out
 
 
 def stage_all(spark: SparkSession, cfg: Config) -> dict[str, Outcome]:
     """Stage every dataset, one job each; a dataset that fails keeps its old table and its error is returned."""
-    return {ds.stg_table: _attempt(ds.stg_table, table_path(cfg.warehouse, ds.stg_table),
+    return {ds.stg_table: attempt(ds.stg_table, table_path(cfg.warehouse, ds.stg_table),
                                    lambda ds=ds: stage_dataset(spark, cfg, ds))
             for ds in (DATASETS[n] for n in cfg.datasets)}
 
 
-def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundance") -> DataFrame:
+def verify_layers(spark: SparkSession, cfg: Config, name: str = "marker_abundance", recount: bool = False) -> DataFrame:
     """Row counts of ext / src / stg for one dataset (K1).
 
-    ext counts the data lines of the files, src the rows parsed from them (every
-    field, so a malformed one fails here as it does in staging), stg the written
-    table.  ``expected_stg`` (rows with a sample id) shows whether the staged table is current.
+    ext and src are the rows that the staging job parsed (a malformed line fails it, so each line is one row)
+    and ``expected_stg`` those with a sample id, as that job counted them; stg are the rows read back from the
+    published files.  No raw file is opened.  ``recount`` reads the raw files as they are now instead,
+    lines and parsed rows apart, which also shows whether the staged table is current.
     """
     ds = DATASETS[name]
+    names = [ds.ext_table, ds.src_view, ds.stg_table]
+    made = latest(spark, table_path(cfg.warehouse, ds.stg_table))
+    if made and made.counts and not recount:
+        rows, keyed = made.counts["rows"], made.counts["keyed"]
+        wide = spark.createDataFrame([(rows, rows, made.rows, keyed)], "n0 long, n1 long, n2 long, keyed long")
+        return stack_layers(wide, names, "expected_stg", {1: "keyed"})
     options = {"listing": cfg.listing, "mode": cfg.read_mode}
     lines = dataset_lines(spark, cfg.raw_root, ds, cfg.run_tag, **options)
     ext = lines.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(None).cast("bigint").alias("keyed"))
     src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, **options)
     # A hash of the whole row keeps every column in the scan.
     src = src.agg(F.count(F.xxhash64(*src.columns)).alias("n"), F.count("sample_id").alias("keyed"))
-    stg = spark.read.parquet(table_path(cfg.warehouse, ds.stg_table))
+    stg = open_table(spark, table_path(cfg.warehouse, ds.stg_table))
     stg_n = stg.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(None).cast("bigint").alias("keyed"))
     parts = [df.select(F.lit(i).alias("i"), "n", "keyed") for i, df in enumerate((ext, src, stg_n))]
     wide = parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(
         *[F.max(F.when(F.col("i") == i, F.col("n"))).alias(f"n{i}") for i in range(3)], F.max("keyed").alias("keyed"))
-    return stack_layers(wide, [ds.ext_table, ds.src_view, ds.stg_table], "expected_stg", {1: "keyed"})
+    return stack_layers(wide, names, "expected_stg", {1: "keyed"})
 
 
 # J6 / J7 / P3 --------------------------------------------------------------
@@ -169,19 +178,26 @@ def load_sample_map(spark: SparkSession, csv_path: str, warehouse: str) -> Row:
     The check is evaluated on what was written, before it takes the old table's place.
     """
     return replace_table(spark, table_path(warehouse, SAMPLE_MAP_TABLE), read_sample_map(spark, csv_path).write.parquet,
-                         lambda df: key_check(df, "sample_id", "total_rows", "distinct_sample_ids").first())
+                         lambda df: key_check(df, "sample_id", "total_rows", "distinct_sample_ids").first(), ["sample_id"])
 
 
-def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: bool = False,
-                    max_records_per_file: int = 2_000_000, schema=None) -> Row:
+def load_accessions(spark: SparkSession, path: str, warehouse: str, multiline: bool = True,
+                    max_records_per_file: int = 2_000_000, schema=None, block_bytes: int | None = None) -> Row:
     """Accession dump → snappy ``src_sra_accessions`` table; returns its key check.
 
     All columns are written, so a malformed row fails this job.
     """
-    write = (read_accessions(spark, path, multiline=multiline, schema=schema).write
-             .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet)
-    return replace_table(spark, table_path(warehouse, ACCESSIONS_TABLE), write,
-                         lambda df: key_check(df, "Accession", "total_rows", "unique_accessions").first())
+    scratch = scratch_path(spark, "accession_texts")
+
+    def write(to: str) -> None:
+        rows = read_accessions(spark, path, multiline, schema, scratch, block_bytes)
+        rows.write.option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(to)
+
+    try:
+        return replace_table(spark, table_path(warehouse, ACCESSIONS_TABLE), write,
+                             lambda df: key_check(df, "Accession", "total_rows", "unique_accessions").first())
+    finally:
+        FileAccess(spark, scratch).delete(scratch)
 
 
 def lookup_sample(spark: SparkSession, warehouse: str, name: str, n: int = 5) -> DataFrame:
@@ -200,7 +216,7 @@ def load_lookups(spark: SparkSession, cfg: Config) -> dict[str, Row | Outcome]:
                                                          cfg.accessions_multiline, schema=schema)
     checks = {}
     for table, job in jobs.items():
-        out = _attempt(table, table_path(cfg.warehouse, table), lambda: checks.__setitem__(table, job()))
+        out = attempt(table, table_path(cfg.warehouse, table), lambda: checks.__setitem__(table, job()))
         checks.setdefault(table, out)
     return checks
 
@@ -214,7 +230,7 @@ def export_all(spark: SparkSession, cfg: Config) -> dict[str, Outcome]:
                        read_table(spark, cfg.warehouse, SAMPLE_MAP_TABLE), name, path)
 
     paths = {n: f"{cfg.export_root.rstrip('/')}/{n}" for n in EXPORTED if n in cfg.datasets}
-    return {n: _attempt(n, p, lambda n=n, p=p: export(n, p)) for n, p in paths.items()}
+    return {n: attempt(n, p, lambda n=n, p=p: export(n, p)) for n, p in paths.items()}
 
 
 # K4-K7 / P4 ----------------------------------------------------------------
@@ -260,12 +276,18 @@ def refresh_metadata(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
 def run_all(spark: SparkSession, cfg: Config) -> dict:
     """P1: lookups, staging, layer check of every staged dataset, catalog, exports.
 
-    Check results come back evaluated (a few rows each); tables are outcomes (see ``failed``).
+    Check results come back evaluated (a few rows each); tables, layer checks and the catalog are
+    outcomes (see ``failed``), and a step that fails keeps no later one from running.
     """
-    result = {"lookups": load_lookups(spark, cfg), "staged": stage_all(spark, cfg)}
-    whole = [n for n in cfg.datasets if not result["staged"][DATASETS[n].stg_table].error]
-    result["layers"] = [row for n in whole for row in verify_layers(spark, cfg, n).orderBy("position").collect()]
-    result["catalog"] = refresh_metadata(spark, cfg)
+    result = {"lookups": load_lookups(spark, cfg), "staged": stage_all(spark, cfg), "layers": [], "layer_checks": {}, "catalog": {}}
+    for ds in (DATASETS[n] for n in cfg.datasets):
+        if not result["staged"][ds.stg_table].error:
+            result["layer_checks"][ds.name] = attempt(
+                f"layers of {ds.name}", table_path(cfg.warehouse, ds.stg_table),
+                lambda ds=ds: result["layers"].extend(verify_layers(spark, cfg, ds.name).orderBy("position").collect()))
+    made = attempt("catalog", cfg.catalog_out or "", lambda: result["catalog"].update(refresh_metadata(spark, cfg)))
+    if made.error:
+        result["catalog"]["failure"] = made
     if cfg.export_root:
         result["exports"] = export_all(spark, cfg)
     return result

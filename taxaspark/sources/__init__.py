@@ -1,4 +1,4 @@
-from taxaspark.sources.lookups import read_accessions, read_sample_map, widen_inferred  # noqa: F401
+from taxaspark.sources.lookups import read_accessions, read_sample_map  # noqa: F401
 from taxaspark.sources.raw import (  # noqa: F401
     dataset_glob,
     dataset_lines,
@@ -8,4 +8,4 @@ from taxaspark.sources.raw import (  # noqa: F401
     scan_lines,
     scan_src,
 )
-from taxaspark.sources.tables import read_table, table_path  # noqa: F401
+from taxaspark.sources.tables import open_table, read_table, table_path  # noqa: F401

@@ -2,73 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaspark.schemas import SAMPLE_MAP_SCHEMA
+from taxaspark.session import scratch_path
+from taxaspark.sources.inference import resolved, summary
+from taxaspark.sources.quoted import read_quoted
 
 
-def read_sample_map(spark: SparkSession, path: str) -> DataFrame:
+def read_sample_map(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
     """Sample map CSV: comma, one header line, quoted newlines, UTF-8, declared schema.
 
-    ``multiLine`` keeps a quoted newline inside one row; a malformed row fails.
+    Quoted newlines stay inside their row, and the file is read in blocks all the same (``sources.quoted``);
+    a malformed row fails.
     """
-    return (spark.read.schema(SAMPLE_MAP_SCHEMA)
-            .option("header", True)
-            .option("multiLine", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("encoding", "UTF-8")
-            .option("mode", "FAILFAST")
-            .csv(path))
-
-
-def widen_inferred(df: DataFrame) -> DataFrame:
-    """Map inferred integer/float types onto 64-bit ones (INT64 / FLOAT64)."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast(T.LongType())
-        elif isinstance(f.dataType, T.FloatType):
-            c = c.cast(T.DoubleType())
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return read_quoted(spark, path, ",", SAMPLE_MAP_SCHEMA, block_bytes)
 
 
 #: No field of a dump holds this; it keeps Spark from reading empty fields as NULL.
 _NO_MARKER = "\u0000"
 
 
-def read_accessions(spark: SparkSession, path: str, multiline: bool = False,
-                    sampling_ratio: float = 1.0, schema: T.StructType | None = None) -> DataFrame:
-    """Accession dump: tab-separated with a header, '-' is NULL, types inferred.
+def _reader(spark: SparkSession):
+    return (spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+            .option("mode", "FAILFAST"))
+
+
+def accession_texts(spark: SparkSession, path: str, multiline: bool = True, names: list[str] | None = None,
+                    block_bytes: int | None = None) -> DataFrame:
+    """All fields of an accession dump as text; an empty field is NULL.  Rows with the wrong number of fields fail.
 
-    An empty field of a text column is an empty string, of any other column NULL.
-    Rows with the wrong number of fields fail the read.  ``multiline=True``
-    allows quoted newlines but makes each file a single task; leave it off for
-    one huge dump unless the data needs it (a split row then fails loudly).
-    ``sampling_ratio`` < 1 shortens the inference pass.  A given ``schema``
-    skips inference altogether.
+    Quoted newlines are allowed and read in parallel; ``multiline=False`` leaves out the pass
+    that looks for them (a split row then fails loudly).
     """
-    reader = (spark.read
-              .option("sep", "\t")
-              .option("header", True)
-              .option("quote", '"')
-              .option("escape", '"')
-              .option("multiLine", multiline)
-              .option("mode", "FAILFAST"))
-    if schema is None:
-        inferred = (reader.option("nullValue", "-").option("inferSchema", True)
-                    .option("samplingRatio", sampling_ratio).csv(path))
-        schema = widen_inferred(inferred).schema
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = reader.option("inferSchema", False).option("nullValue", _NO_MARKER).schema(texts).csv(path)
+    names = names or _reader(spark).csv(path).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    if multiline:
+        return read_quoted(spark, path, "\t", texts, block_bytes)
+    return _reader(spark).option("nullValue", _NO_MARKER).schema(texts).csv(path)
+
+
+def accession_columns(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text fields to their types: '-' is NULL; an empty field is an empty string in a text column, else NULL."""
     cols = []
     for f in schema.fields:
         c = F.nullif(F.col(f"`{f.name}`"), F.lit("-"))
         if isinstance(f.dataType, T.StringType):
             c = F.when(F.col(f"`{f.name}`").isNull(), F.lit("")).otherwise(c)
         cols.append(c.cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    return texts.select(*cols)
+
+
+def read_accessions(spark: SparkSession, path: str, multiline: bool = True, schema: T.StructType | None = None,
+                    scratch: str | None = None, block_bytes: int | None = None) -> DataFrame:
+    """Accession dump: tab-separated with a header, '-' is NULL, types inferred; the dump is read once.
+
+    Without a ``schema`` the fields are written to the folder ``scratch`` as text, and that job notes
+    the kinds of values of each column (``sources.inference``: an OR, so a task that runs twice changes
+    nothing); the typed rows then come from there.  See ``accession_texts`` and ``accession_columns``.
+    """
+    texts = accession_texts(spark, path, multiline, schema and schema.names, block_bytes)
+    if schema is None:
+        scratch = scratch or scratch_path(spark, "accession_texts")
+        kinds = Observation()
+        values = [F.nullif(F.col(f"`{c}`"), F.lit("-")) for c in texts.columns]
+        texts.observe(kinds, *summary(values)).write.parquet(scratch)
+        schema = resolved(texts.columns, kinds.get)
+        texts = spark.read.schema(texts.schema).parquet(scratch)
+    return accession_columns(texts, schema)

@@ -1,65 +1,32 @@
-"""Materialised tables: scans, and full refreshes that never lose the old table."""
+"""Materialised tables: scans, and full refreshes that readers never see half done."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from taxaspark.sources.snapshots import folder, publish
+
 
 def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name}"
 
 
-def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(warehouse, name))
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table published at ``path`` (or a plain Parquet folder there)."""
+    return spark.read.parquet(folder(spark, path))
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop path class and file system of ``path``; None on a client without a JVM (Spark Connect)."""
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    except Exception:
-        return None, None
-    to_path = jvm.org.apache.hadoop.fs.Path
-    return to_path, to_path(path).getFileSystem(conf)
+def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    return open_table(spark, table_path(warehouse, name))
 
 
-def replace_table(spark: SparkSession, path: str, write: Callable[[str], None],
-                  check: Callable[[DataFrame], object] | None = None):
-    """Full refresh: write beside ``path``, read back, check, then switch; returns what ``check`` returns.
+def replace_table(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[DataFrame], object] | None = None,
+                  keys: list[str] | None = None, counts: Callable[[], dict] | None = None):
+    """Full refresh: write beside, read back, check, then switch; returns what ``check`` returns.
 
-    Until the new folder is whole and checked, ``path`` holds the old table; a
-    failure leaves it as it was.  The old folder is set aside by a rename
-    and dropped only when the new one is in place; if a run dies in between, the
-    next refresh puts it back first.
+    ``path`` stands for the old table until the new one is whole and checked; a failure leaves it
+    as it was (see ``snapshots``).
     """
-    path = path.rstrip("/")
-    new, old = f"{path}.new-{uuid.uuid4().hex[:12]}", f"{path}.old"
-    to_path, fs = _file_system(spark, path)
-    if fs is not None and fs.exists(to_path(old)):
-        if fs.exists(to_path(path)):
-            fs.delete(to_path(old), True)
-        else:
-            fs.rename(to_path(old), to_path(path))
-    try:
-        write(new)
-        fresh = spark.read.parquet(new)
-        result = check(fresh) if check else None
-    except Exception:
-        if fs is not None:
-            fs.delete(to_path(new), True)
-        raise
-    if fs is None:  # no renames on this client: copy what has been written and checked
-        fresh.write.mode("overwrite").parquet(path)
-        return result
-    parent = to_path(path).getParent()
-    fs.mkdirs(parent)
-    if fs.exists(to_path(path)) and not fs.rename(to_path(path), to_path(old)):
-        raise OSError(f"could not set aside {path}")
-    if not fs.rename(to_path(new), to_path(path)):
-        fs.rename(to_path(old), to_path(path))
-        raise OSError(f"could not switch {path} to {new}")
-    fs.delete(to_path(old), True)
-    return result
+    return publish(spark, path, write, keys or [], check, counts)[1]

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.operators.staging import stage, write_table
+from taxaspark.operators.staging import stage, write_clustered
 from taxaspark.schemas import DEFAULT_RUN_TAG, Dataset
 from taxaspark.sources.raw import dataset_glob, in_layout, parse_lines, scan_lines
 
@@ -55,7 +55,7 @@ def stage_new_files(spark: SparkSession, root: str, ds: Dataset, out: str, check
     src = parse_lines(lines, ds.raw_schema, keep=("sample_id",))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_table(stage(batch, ds), f"{out.rstrip('/')}/batch={batch_id:012d}")
+        write_clustered(stage(batch, ds), f"{out.rstrip('/')}/batch={batch_id:012d}", mode="overwrite")
 
     query = (src.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint)

@@ -9,6 +9,8 @@ from taxaspark.operators.joins import join_sample_map
 from taxaspark.plans.exports import export_csv, export_frame, export_parquet
 from bench_views.frames import Fixtures
 from taxaspark.session import local_path
+from taxaspark.sources.snapshots import folder
+from taxaspark.sources.tables import open_table
 from testdata_paths import SF_MID
 
 
@@ -17,7 +19,7 @@ def test_export_is_zstd_sorted_and_complete(spark, tmp_dir):
     stg = fx.staged("marker_presence")
     out = f"{tmp_dir}/x"
     export_parquet(export_frame(stg, fx.sample_map, "marker_presence"), out)
-    parts = sorted(glob.glob(os.path.join(local_path(out), "part-*.parquet")))
+    parts = sorted(glob.glob(os.path.join(local_path(folder(spark, out)), "part-*.parquet")))
     assert len(parts) > 1
     keys = []
     for p in parts:
@@ -27,7 +29,7 @@ def test_export_is_zstd_sorted_and_complete(spark, tmp_dir):
         keys.extend((r["study_name"], r["sample_name"], r["marker_id"]) for r in t)
     assert keys == sorted(keys)
     joined = join_sample_map(stg, fx.sample_map, ["study_name", "sample_name"]).count()
-    assert len(keys) == joined == spark.read.parquet(out).count()
+    assert len(keys) == joined == open_table(spark, out).count()
 
 
 def test_csv_export_has_header(spark, tmp_dir):
@@ -36,10 +38,10 @@ def test_csv_export_has_header(spark, tmp_dir):
     sid = stg.first().sample_id
     out = f"{tmp_dir}/csv"
     export_csv(stg, out, sample_ids=[sid])
-    files = glob.glob(os.path.join(local_path(out), "part-*.csv"))
+    files = glob.glob(os.path.join(local_path(folder(spark, out)), "part-*.csv"))
     first_lines = [open(f).readline().strip() for f in files if os.path.getsize(f)]
     assert first_lines and all(line == "sample_id,marker_id,abundance" for line in first_lines)
-    back = spark.read.schema(stg.schema).option("header", True).csv(out)
+    back = spark.read.schema(stg.schema).option("header", True).csv(folder(spark, out))
     assert back.count() == stg.where(stg.sample_id == sid).count()
 
 
@@ -51,6 +53,6 @@ def test_csv_is_standard(spark, tmp_dir):
     from taxaspark.plans.exports import export_csv
     rows = [("1", 'a "b", c'), ("2", "two\nlines"), ("3", "back\\slash, \\\"q"), ("4", ""), ("5", None)]
     export_csv(spark.createDataFrame(rows, "id string, text string").coalesce(1), f"{tmp_dir}/c")
-    with open(glob.glob(f"{tmp_dir}/c/part-*")[0], newline="") as f:
+    with open(glob.glob(f"{local_path(folder(spark, f'{tmp_dir}/c'))}/part-*")[0], newline="") as f:
         back = list(csv.reader(f))
     assert back == [["id", "text"], *[[i, t or ""] for i, t in rows]]

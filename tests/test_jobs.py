@@ -3,12 +3,12 @@
 import gzip
 import os
 
-import pytest
-
 from pyspark.sql import types as T
 
 from taxaspark import schemas
 from taxaspark.plans import jobs as P
+from taxaspark.sources.snapshots import folder
+from taxaspark.sources.tables import open_table
 
 SAMPLES = ["aa01", "bb02", "cc03"]
 
@@ -41,7 +41,7 @@ def make_tree(root):
 def snapshot(spark, warehouse):
     out = {}
     for ds in schemas.DATASETS.values():
-        df = spark.read.parquet(f"{warehouse}/{ds.stg_table}")
+        df = open_table(spark, f"{warehouse}/{ds.stg_table}")
         out[ds.stg_table] = sorted(map(repr, df.collect()))
     return out
 
@@ -58,9 +58,9 @@ def test_full_pipeline_twice(spark, tmp_dir):
 
     # staged schemas equal the declared ones
     for ds in schemas.DATASETS.values():
-        got = spark.read.parquet(f"{cfg.warehouse}/{ds.stg_table}").schema
+        got = open_table(spark, f"{cfg.warehouse}/{ds.stg_table}").schema
         assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in ds.staged_schema()]
-    rel = spark.read.parquet(f"{cfg.warehouse}/stg_marker_rel_ab_w_read_stats")
+    rel = open_table(spark, f"{cfg.warehouse}/stg_marker_rel_ab_w_read_stats")
     assert rel.count() == 6 and rel.where("coverage is null").count() == 3
     assert rel.where("relative_abundance is null").count() == 3
 
@@ -84,9 +84,9 @@ def test_full_pipeline_twice(spark, tmp_dir):
     assert summary.total_tables == 17
     assert summary.by_type == {"EXTERNAL": 5, "TABLE": 7, "VIEW": 5}
     assert summary.by_prefix == {"ext_": 5, "src_": 7, "stg_": 5}
-    assert os.path.isdir(os.path.join(cfg.catalog_out, "summary"))
+    assert os.path.isdir(os.path.join(folder(spark, cfg.catalog_out), "summary"))
 
-    exp = spark.read.parquet(r1["exports"]["marker_abundance"].path)
+    exp = open_table(spark, r1["exports"]["marker_abundance"].path)
     assert exp.columns == ["sample_id", "marker_id", "abundance", "study_name", "sample_name"]
     assert exp.count() == 6
 
@@ -112,8 +112,8 @@ def test_recursive_listing_matches_glob(spark, tmp_dir):
     b = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wb", datasets=("marker_abundance",), listing="recursive")
     P.stage_all(spark, a)
     P.stage_all(spark, b)
-    ra = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/wa/stg_marker_abundance").collect()))
-    rb = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/wb/stg_marker_abundance").collect()))
+    ra = sorted(map(tuple, open_table(spark, f"{tmp_dir}/wa/stg_marker_abundance").collect()))
+    rb = sorted(map(tuple, open_table(spark, f"{tmp_dir}/wb/stg_marker_abundance").collect()))
     assert ra == rb and len(ra) == 6
 
 
@@ -122,7 +122,7 @@ def test_range_layout(spark, tmp_dir):
     cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", layout="range", range_partitions=2,
                    datasets=("marker_abundance",))
     P.stage_all(spark, cfg)
-    df = spark.read.parquet(f"{cfg.warehouse}/stg_marker_abundance")
+    df = open_table(spark, f"{cfg.warehouse}/stg_marker_abundance")
     assert df.count() == 6
     assert isinstance(df.schema["abundance"].dataType, T.DoubleType)
 
@@ -140,7 +140,7 @@ def test_command_line(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "distinct_sample_ids" in out and "stg_marker_abundance" in out
     assert "ext_marker_abundance" in out and "file_path" in out
-    assert spark.read.parquet(f"{tmp_dir}/exp/marker_abundance").count() == 6
+    assert open_table(spark, f"{tmp_dir}/exp/marker_abundance").count() == 6
 
 
 def test_max_partition_bytes_is_scoped(spark, tmp_dir):
@@ -149,7 +149,7 @@ def test_max_partition_bytes_is_scoped(spark, tmp_dir):
     cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", datasets=("marker_abundance",),
                    max_partition_bytes=1024)
     P.stage_all(spark, cfg)
-    assert spark.read.parquet(f"{tmp_dir}/wh/stg_marker_abundance").count() == 6
+    assert open_table(spark, f"{tmp_dir}/wh/stg_marker_abundance").count() == 6
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
@@ -171,20 +171,6 @@ def test_a_bad_dataset_keeps_its_old_table(spark, tmp_dir, capsys):
     assert "stg_marker_abundance" in capsys.readouterr().err
 
 
-def test_a_died_refresh_is_put_back(spark, tmp_dir):
-    """The old folder set aside by a run that died comes back, and a failing check leaves the table."""
-    from taxaspark.sources.tables import replace_table
-    path = f"{tmp_dir}/t"
-    one, two = spark.range(1), spark.range(2)
-    replace_table(spark, path, one.write.parquet)
-    os.rename(path, f"{path}.old")
-    with pytest.raises(ZeroDivisionError):
-        replace_table(spark, path, two.write.parquet, lambda df: 1 // 0)
-    assert spark.read.parquet(path).count() == 1
-    assert replace_table(spark, path, two.write.parquet, lambda df: df.count()) == 2
-    assert spark.read.parquet(path).count() == 2 and os.listdir(tmp_dir) == ["t"]
-
-
 def test_catalog_goes_on_over_missing_tables(spark, tmp_dir):
     raw = make_tree(tmp_dir)
     cfg = P.Config(raw_root=raw, warehouse=f"{tmp_dir}/wh", datasets=("marker_abundance", "marker_presence"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from taxaspark import schemas
 from taxaspark.operators import joins
 from taxaspark.operators.staging import cluster, stage, write_table
+from taxaspark.sources.snapshots import folder
+from taxaspark.sources.tables import open_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_frame
 from bench_views.frames import Fixtures
@@ -25,7 +27,7 @@ def test_point_lookup_is_pushed_to_parquet(spark, tmp_dir):
     fx = Fixtures(spark, SF_SMALL)
     p = f"{tmp_dir}/stg"
     write_table(fx.staged("marker_abundance"), p)
-    q = Q.sample_rows_for(spark.read.parquet(p), "abc")
+    q = Q.sample_rows_for(open_table(spark, p), "abc")
     text = plan(q)
     assert "PushedFilters: [IsNotNull(sample_id), EqualTo(sample_id,abc)]" in text
 
@@ -120,7 +122,7 @@ def test_range_layout_splits_a_hot_sample(spark, tmp_dir):
     p = f"{tmp_dir}/t"
     write_table(hot.unionByName(cold), p, layout="range", partitions=8)
     files = [f for f in glob.glob(os.path.join(local_path(p), "part-*.parquet"))]
-    back = spark.read.parquet(p)
+    back = open_table(spark, p)
     assert back.count() == 201_000
     hot_files = back.where(F.col("sample_id") == "hot").select(F.input_file_name()).distinct().count()
     assert len(files) >= 4 and hot_files >= 4
@@ -134,7 +136,7 @@ def test_bloom_filter_written_for_high_cardinality_keys(spark, tmp_dir):
     df = spark.range(500_000).select(F.md5(F.col("id").cast("string")).alias("sample_id")).coalesce(1)
 
     def size(p):
-        return sum(os.path.getsize(f) for f in glob.glob(os.path.join(local_path(p), "*.parquet")))
+        return sum(os.path.getsize(f) for f in glob.glob(os.path.join(local_path(folder(spark, p)), "*.parquet")))
     write_table(df, f"{tmp_dir}/a", bloom=True)
     write_table(df, f"{tmp_dir}/b", bloom=False)
     assert size(f"{tmp_dir}/a") > size(f"{tmp_dir}/b")
@@ -144,7 +146,7 @@ def test_first_n_ids_are_pushed_as_in(spark, tmp_dir):
     fx = Fixtures(spark, SF_SMALL)
     p = f"{tmp_dir}/rel"
     write_table(fx.rel_ab, p)
-    text = plan(Q.kingdom_composition_long(spark.read.parquet(p), 5))
+    text = plan(Q.kingdom_composition_long(open_table(spark, p), 5))
     assert "In(sample_id," in text
 
 
@@ -152,7 +154,7 @@ def test_range_layout_splits_identical_copies(spark, tmp_dir):
     copies = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("sample_id"), F.lit("m").alias("marker_id"))
     p = f"{tmp_dir}/copies"
     write_table(copies, p, layout="range", partitions=8)
-    back = spark.read.parquet(p)
+    back = open_table(spark, p)
     assert back.count() == 200_000
     assert back.select(F.input_file_name()).distinct().count() >= 4
 
@@ -162,7 +164,7 @@ def test_point_lookup_opens_two_files_at_most(spark, tmp_dir):
     fx = Fixtures(spark, SF_SMALL)
     p = f"{tmp_dir}/t"
     write_table(fx.staged("marker_abundance"), p, partitions=12)
-    back = spark.read.parquet(p).select("sample_id", F.input_file_name().alias("file"))
+    back = open_table(spark, p).select("sample_id", F.input_file_name().alias("file"))
     assert back.select("file").distinct().count() >= 10
     assert back.distinct().groupBy("sample_id").count().agg(F.max("count")).first()[0] <= 2
 

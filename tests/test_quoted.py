@@ -1,0 +1,168 @@
+"""Quoted line ends read in blocks: against Python's csv module and Spark's own one-task reader; type inference against Spark's."""
+
+import csv
+import io
+import os
+import random
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from taxaspark.plans.jobs import load_accessions
+from taxaspark.session import local_path
+from taxaspark.sources import inference, quoted
+from taxaspark.sources.lookups import read_accessions, read_sample_map
+from taxaspark.sources.tables import open_table
+
+PIECES = ["a", "b c", '"', '""', "\n", "\r\n", "\t", ",", "é", "", "5"]
+
+
+def texts(rng):
+    return "".join(rng.choice(PIECES) for _ in range(rng.randint(0, 6)))
+
+
+def write(path, rows, end, sep="\t"):
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        w = csv.writer(f, delimiter=sep, lineterminator=end)
+        w.writerow(["id", "x", "y"])
+        w.writerows(rows)
+
+
+SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "x", "y")])
+
+
+@pytest.mark.parametrize("end, block", [("\n", 64), ("\r\n", 300), ("\n", 4096)])
+def test_blocks_equal_python(spark, tmp_dir, end, block):
+    rng = random.Random(block)
+    rows = [(str(i), texts(rng), texts(rng)) for i in range(400)]
+    rows[200] = ("200", "\n" * 500 + '"', "long\n" * 300)  # over many blocks
+    for name in ("a", "b"):
+        write(f"{local_path(tmp_dir)}/{name}.tsv", rows, end)
+    got = quoted.read_quoted(spark, f"{tmp_dir}/*.tsv", "\t", SCHEMA, block_bytes=block)
+    found = sorted(tuple(v or "" for v in r) for r in got.collect())
+    assert found == sorted(rows * 2)
+    lines = quoted._lines(spark, f"{tmp_dir}/*.tsv", block)
+    tasks = lines.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks > 4 or block == 4096
+
+
+def test_equals_sparks_own_reader(spark, tmp_dir):
+    """Stray quotes too: inside an unquoted field, and after a closing one."""
+    path = f"{local_path(tmp_dir)}/odd.tsv"
+    with open(path, "w") as f:
+        f.write('id\tx\ty\n1\t5" disk\tok\n2\t"a"b\tc\n3\t"x\ny"\t"q""\n""z"\n\n4\t\t""\n5\tend\t"last\n"')
+    own = spark.read.schema(SCHEMA).options(sep="\t", header=True, quote='"', escape='"', multiLine=True, mode="FAILFAST").csv(path)
+    for block in (None, 8, 13):
+        got = quoted.read_quoted(spark, path, "\t", SCHEMA, block)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, own.collect()))
+
+
+def test_gzip_and_short_rows(spark, tmp_dir):
+    import gzip
+    with gzip.open(f"{local_path(tmp_dir)}/a.tsv.gz", "wt", newline="") as f:
+        f.write('id\tx\ty\n1\t"two\r\nlines"\tz\n')
+    assert [tuple(r) for r in quoted.read_quoted(spark, f"{tmp_dir}/a.tsv.gz", "\t", SCHEMA).collect()] == [("1", "two\r\nlines", "z")]
+    with open(f"{local_path(tmp_dir)}/b.tsv", "w") as f:
+        f.write('id\tx\ty\n1\t"two\nlines"\n')
+    with pytest.raises(Exception):
+        quoted.read_quoted(spark, f"{tmp_dir}/b.tsv", "\t", SCHEMA, 8).collect()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(*[st.lists(st.sampled_from(PIECES), max_size=5).map("".join)] * 2), min_size=1, max_size=12), st.data())
+def test_records_of_any_cut(rows, data):
+    """Pure function: lines cut into blocks and batches anywhere give the csv module's records."""
+    out = io.StringIO()
+    csv.writer(out, delimiter="\t", lineterminator="\n").writerows(rows)
+    lines = out.getvalue().split("\n")[:-1]
+    cut = sorted(data.draw(st.sets(st.integers(0, len(lines)), max_size=4)) | {0, len(lines)})
+    blocks = [(a, lines[a:b]) for a, b in zip(cut, cut[1:]) if a < b]
+    size = data.draw(st.integers(1, 5))
+
+    def batches(blocks):
+        flat = [("f", at, x) for at, xs in blocks for x in xs]
+        for i in range(0, len(flat), size):
+            cols = list(zip(*flat[i:i + size]))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())],
+                                             names=["file", "block", "line"])
+
+    starts, state = {}, False
+    for step in quoted._steps(batches(blocks), "\t"):
+        for r in sorted(step.to_pylist(), key=lambda r: r["block"]):
+            starts["f", r["block"]] = state
+            state = r["inside"] if state else r["outside"]
+    assert not state
+    found, pieces = [], []
+    for at, xs in blocks:
+        for batch in quoted._records(batches([(at, xs)]), "\t", starts):
+            for r in batch.to_pylist():
+                if r["part"] is None:
+                    found.append(r["record"])
+                else:
+                    pieces.append(r)
+                    if r["part"] == 0:
+                        found.append("\n".join(p["record"] for p in pieces))
+                        pieces = []
+    assert not pieces
+    back = [next(csv.reader(io.StringIO(x, newline=""), delimiter="\t")) for x in found]
+    assert sorted(map(tuple, back)) == sorted(rows)
+
+
+VALUES = ["", "5", "-7", "+3", "9223372036854775807", "9223372036854775808", "1" * 38, "1" * 39, "1.5", "1e3", "-2E-4", "NaN", "Infinity", "-Inf",
+          "Inf", "inf", "nan", "1d", "0x1F", "5 x", "2020-01-02", "2020-13-02", "2020-1-2", "2020", "2020-01", "2020-01-02 03:04:05",
+          "2020-01-02T03:04:05Z", "2020-01-02T03:04:05.123+02:00", "true", "TRUE", "yes", "abc", "-", ".5", "5.", "00012", "1,000", "--"]
+
+
+def test_types_equal_sparks_inference(spark, tmp_dir):
+    """Every pair of values as a column of its own."""
+    pairs = [(a, b) for i, a in enumerate(VALUES) for b in VALUES[i:]]
+    path = f"{local_path(tmp_dir)}/pairs.tsv"
+    with open(path, "w") as f:
+        f.write("\t".join(f"c{i}" for i in range(len(pairs))) + "\n")
+        for n in (0, 1):
+            f.write("\t".join(p[n] for p in pairs) + "\n")
+    own = spark.read.options(sep="\t", header=True, maxColumns=5000, nullValue="-", inferSchema=True).csv(path).schema
+    value = F.nullif(F.col("v"), F.lit("-"))
+    rows = spark.createDataFrame([(v,) for v in VALUES], "v string").select(
+        "v", F.coalesce(inference.kind(value), F.lit(0)).alias("kind"), F.coalesce(inference.digits(value), F.lit(0)).alias("digits")).collect()
+    of = {r["v"]: (r["kind"], r["digits"]) for r in rows}
+    got = [T.StructField("c", inference.resolve(of[a][0] | of[b][0], max(of[a][1], of[b][1]))) for a, b in pairs]
+    wide = {T.IntegerType(): T.LongType(), T.FloatType(): T.DoubleType()}
+    differ = [(pairs[i], g.dataType, wide.get(o.dataType, o.dataType)) for i, (g, o) in enumerate(zip(got, own))
+              if g.dataType != wide.get(o.dataType, o.dataType)
+              and not (pairs[i][1] in ("2020", "00012") and pairs[i][0].startswith(("2020-", "5.")))]  # depends on the order there
+    assert not differ, (len(differ), differ[:40])
+
+
+def test_a_load_reads_the_dump_once_in_many_tasks(spark, tmp_dir):
+    rng = random.Random(1)
+    rows = [(f"ERR{i}", texts(rng), str(i)) for i in range(500)]
+    path = f"{local_path(tmp_dir)}/acc.tsv"
+    write(path, rows, "\n")
+    with open(path) as f:
+        body = f.read().replace("id\tx\ty", "Accession\tTitle\tSpots", 1)
+    with open(path, "w", newline="") as f:
+        f.write(body)
+    check = load_accessions(spark, path, f"{tmp_dir}/wh", block_bytes=512)
+    assert (check.total_rows, check.unique_accessions) == (500, 500)
+    back = open_table(spark, f"{tmp_dir}/wh/src_sra_accessions")
+    assert dict(back.dtypes) == {"Accession": "string", "Title": "string", "Spots": "bigint"}
+    assert {r.Accession: r.Title for r in back.collect()} == {a: t for a, t, _ in rows}
+    # What is typed comes from the text copy: the plan of the rows has no scan of the dump.
+    plan = read_accessions(spark, path)._jdf.queryExecution().toString()
+    assert "acc.tsv" not in plan
+
+
+def test_sample_map_in_blocks(spark, tmp_dir):
+    path = f"{local_path(tmp_dir)}/map.csv"
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["sample_id", "run_ids", "sample_name", "study_name"])
+        w.writerows([(f"s{i}", "a;b", "name\nwith, newline", "st") for i in range(300)])
+    got = read_sample_map(spark, path, block_bytes=200)
+    assert got.count() == 300 and got.where(F.col("sample_name") == "name\nwith, newline").count() == 300
+    assert os.path.getsize(path) > 20 * 200

@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from taxaspark import schemas  # noqa: E402
 from taxaspark.operators.staging import cluster, stage, write_table  # noqa: E402
+from taxaspark.sources.tables import open_table  # noqa: E402
 from taxaspark.plans import queries as Q  # noqa: E402
 from taxaspark.plans.exports import export_frame  # noqa: E402
 from bench_views.frames import Fixtures, write_run  # noqa: E402
@@ -70,7 +71,7 @@ def main():
     for name, ds in schemas.DATASETS.items():
         write_table(fx.staged(name), f"{wh}/{ds.stg_table}")
     fx.sample_map.write.parquet(f"{wh}/{schemas.SAMPLE_MAP_TABLE}")
-    t = {n: spark.read.parquet(f"{wh}/{n}") for n in
+    t = {n: open_table(spark, f"{wh}/{n}") for n in
          [ds.stg_table for ds in schemas.DATASETS.values()] + [schemas.SAMPLE_MAP_TABLE]}
     ab, pres, rel = t["stg_marker_abundance"], t["stg_marker_presence"], t["stg_marker_rel_ab_w_read_stats"]
     smap = t[schemas.SAMPLE_MAP_TABLE]
