@@ -15,7 +15,8 @@ pieces going on to the next chunk: nothing is shuffled, memory does not grow wit
 the partition, and a lost task is packed again alone.
 
 Defined cases: null text is an empty one, which has just the end id; repeated
-rows are packed each; an empty table gives no pieces; other columns aren't read.
+rows are packed each; pieces of equal length are taken in the order they came; an empty table gives no
+pieces; other columns aren't read.  A text of any length is encoded whole, in the memory of one task, and cut into windows.
 """
 
 from __future__ import annotations
@@ -131,18 +132,18 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False,
-                   added: dict[str, int] | None = None) -> DataFrame:
+                   added: dict[str, int] | None = None, json_path: str | None = None) -> DataFrame:
     """Pieces of every document: columns of ``PIECE``, and the ids themselves if asked for.
 
     ``sequence_id`` and ``step_group`` hold the task in their upper bits; ``added`` are the
-    vocabulary's added tokens, whose strings are ordinary text without it.
+    vocabulary's added tokens, whose strings are ordinary text without it; see ``common.byte_bpe``.
     """
     names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids
 
     def pack(batches):
         from pyspark import TaskContext
 
-        encoder, task = byte_bpe(ranks_path, pattern, added), TaskContext.get().partitionId() << 40
+        encode, task = byte_bpe(ranks_path, pattern, added, json_path), TaskContext.get().partitionId() << 40
         packer, tokens, held, sequence, step = Packer(), [], 0, 0, 0  # tokens: (doc_id, ids)
 
         def rows():
@@ -173,7 +174,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: boo
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encoder.encode_to_numpy(text.as_py() or "", allowed_special="all"), END).astype("<u4")
+                ids = np.append(encode(text.as_py() or ""), END).astype("<u4")
                 tokens.append((doc_id, ids))
                 packer.add(len(tokens) - 1, 0, len(ids))
                 held += len(ids)

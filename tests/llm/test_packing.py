@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from taxaspark.llm.packing import CONTEXT, TIERS, Packer, pack_documents
-from taxaspark.llm.queries import byte_bpe_files, op2_packing
+from taxaspark.llm.queries import byte_bpe_added, byte_bpe_files, op2_packing
 
 
 def check(pieces):
@@ -99,3 +99,18 @@ def test_steps_are_balanced(docs):
 
 def test_no_rows(no_docs):
     assert pack_documents(no_docs, *byte_bpe_files()).count() == 0
+
+
+def test_long_runs_equal_the_default_encoder(spark):
+    """Runs of white space beyond what the rank file's pattern takes, and other long runs, before and after letters."""
+    runs = [" ", "\n", "\t", " \t", "\r\n", "\u00a0", "x", "7", "!"]
+    texts = [b + r * (n // len(r)) + a for r in runs for n in (1, 100_000, 1_000_000) for b, a in (("", ""), ("a", "b"))]
+    texts.append("a <|endoftext|>" + " " * 1_000_000 + "<|endoftext|> b")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {}
+    for r in pack_documents(df, *byte_bpe_files(), with_ids=True, added=byte_bpe_added()).toLocalIterator():
+        got.setdefault(r.doc_id, []).append((r.start, r.ids))
+    for i, t in enumerate(texts):
+        ids = [x for _, part in sorted(got[i]) for x in part]
+        assert ids == hf.encode(t, add_special_tokens=False).ids + [1], repr(t[:5])
