@@ -1,11 +1,11 @@
 """Phrase collocations from stripes.
 
-A stripe is a prefix of up to three words with a counter of the words that follow it, and the number
-of times the prefix occurs.  Tasks make the stripes of some megabytes of text at once; stripes of one
+A stripe is a prefix of up to three words with a counter of the words that follow it.  Tasks make the
+stripes of some megabytes of text at once, each packed into two strings; stripes of one
 prefix are shuffled together and their counters added element by element.  One merged structure then gives
 
 - extensions: the counter's entries are the counts of phrases one word longer,
-- prefix totals: how often the first part of a phrase occurs,
+- prefix totals: a prefix is itself an entry, of the stripe of all its words but the last,
 - subsumption maxima: the largest entry is the most frequent phrase that the prefix begins.
 
 A part of a phrase occurs at least as often as the phrase, so stripes are made in three passes and only for
@@ -15,7 +15,8 @@ let too much through (more rows travel, the counts are the same) but never too l
 
 The stripe of a frequent prefix is split by a hash of the next word: the words above 1/10,000 of all
 are listed (so at most 10,000), and a prefix of only such words gets ``PARTS`` stripes.  The empty prefix, whose counter is
-the vocabulary, gets ``WORD_PARTS``.  A task holds the words of ``FLUSH`` bytes of text, or of one longer document.
+the vocabulary (and has the number of all words under the empty word), gets ``WORD_PARTS``.  A task holds the words
+of ``FLUSH`` bytes of text, or of one longer document.
 
 Defined cases: null text is empty, a null language is ``und``; repeated rows count each; an empty table
 gives an empty result; other columns aren't read.  Ties in score and count go by the phrase's UTF-8 bytes,
@@ -24,13 +25,13 @@ ties between cuts to the shorter first part.  Texts of any length are read whole
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -41,13 +42,14 @@ SUBSUMED = 80  # percent
 TOP = 2000
 PARTS = 256
 WORD_PARTS = 1024
-FLUSH = 8 << 20
+FLUSH = 16 << 20
 #: Bits of the array of frequent phrases: 16 a phrase, within these bounds (at most 32 MB).
 BITS = (1 << 20, 1 << 28)
 
-STRIPE = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("prefix", pa.string()), ("part", pa.int32()),
-                    ("next", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-DDL = "lang string, size int, prefix string, part int, next array<string>, counts array<bigint>"
+#: ``key`` is language, tab, prefix (words hold no tab); ``next`` the words after it and ``counts`` their numbers,
+#: both joined by spaces; null counts are all 1.
+STRIPE = pa.schema([("key", pa.string()), ("part", pa.int32()), ("next", pa.string()), ("counts", pa.string())])
+DDL = "key string, part int, next string, counts string"
 
 #: Byte by byte: A-Z in lower case, a tab as space, the ends of pieces as 0xFF (no byte of UTF-8).
 BREAK = b"\xff"
@@ -60,8 +62,8 @@ def coded(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, int]:
     line = line.replace(BREAK, b" \xff ").strip(b" ")
     line = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(line)], "<i8")), pa.py_buffer(line)])
     found = pc.ascii_split_whitespace(line).values.dictionary_encode()
-    words = found.dictionary.cast(pa.large_binary())
-    return words, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.index(pa.scalar(BREAK, pa.large_binary())).as_py()
+    words = found.dictionary.cast(pa.large_binary()).cast(pa.binary())
+    return words, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.index(pa.scalar(BREAK, pa.binary())).as_py()
 
 
 def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -82,30 +84,22 @@ def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def joined(*words: pa.Array) -> pa.Array:
-    return words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", words[0].type))
+def joined(by: bytes, *words) -> pa.Array:
+    return words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, pa.scalar(by, pa.binary()))
 
 
-def stripes(lang: str, size: int, prefixes: pa.Array, totals: np.ndarray, prefix: np.ndarray, nexts: np.ndarray, counts: np.ndarray,
-            parts: np.ndarray, words: pa.Array) -> pa.RecordBatch:
-    """Rows of the counters {(prefix, next): count}, dealt to ``parts``; a null next word in part 0 holds the prefix's total."""
-    n = len(prefixes)
-    prefix = np.concatenate([np.arange(n), prefix])
-    parts = np.concatenate([np.zeros(n, np.int64), parts])
-    nexts = np.concatenate([np.full(n, -1), nexts])
-    counts = np.concatenate([totals, counts])
+def stripes(lang: str, prefixes: pa.Array, prefix: np.ndarray, nexts: pa.Array, counts: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
+    """Rows of the counters {(prefix, next): count}, dealt to ``parts``."""
     order = np.lexsort((parts, prefix))
-    prefix, parts = prefix[order], parts[order]
+    prefix, parts, counts = prefix[order], parts[order], counts[order]
     starts = np.flatnonzero(np.r_[True, (np.diff(prefix) != 0) | (np.diff(parts) != 0)])
     offsets = pa.array(np.r_[starts, len(prefix)], pa.int32())
-    at = nexts[order]
-    following = words.take(pa.array(np.where(at < 0, 0, at), mask=at < 0)).cast(pa.binary()).view(pa.string())
-    rows = len(starts)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang], pa.string()).take(pa.array(np.zeros(rows, np.int64))), pa.array(np.full(rows, size), pa.int32()),
-         prefixes.take(pa.array(prefix[starts])).cast(pa.binary()).view(pa.string()), pa.array(parts[starts], pa.int32()),
-         pa.ListArray.from_arrays(offsets, following), pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64()))],
-        schema=STRIPE)
+    following = pc.binary_join(pa.ListArray.from_arrays(offsets, nexts.take(pa.array(order))), b" ")
+    numbers = pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()).cast(pa.string())), " ")
+    ones = pa.array(np.maximum.reduceat(counts, starts) == 1)
+    key = joined(b"\t", pa.scalar(lang.encode(), pa.binary()), prefixes.take(pa.array(prefix[starts])))
+    return pa.RecordBatch.from_arrays([key.view(pa.string()), pa.array(parts[starts], pa.int32()), following.view(pa.string()),
+                                       pc.if_else(ones, pa.scalar(None, pa.string()), numbers)], schema=STRIPE)
 
 
 def text_stripes(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None, hot: frozenset, parts: int):
@@ -117,8 +111,9 @@ def text_stripes(lang: str, texts: list[bytes], size: int, bits: np.ndarray | No
     if size == 0:
         tally = np.bincount(code[real], minlength=v)
         known = np.flatnonzero(tally)
-        deal = (hashes[known] % np.uint64(WORD_PARTS)).astype(np.int64)
-        yield stripes(lang, 0, pa.array([b""], pa.large_binary()), tally.sum()[None], np.zeros(len(known), np.int64), known, tally[known], deal, words)
+        deal = np.r_[0, (hashes[known] % np.uint64(WORD_PARTS)).astype(np.int64)]
+        nexts = pa.concat_arrays([pa.array([b""], pa.binary()), words.take(pa.array(known))])
+        yield stripes(lang, pa.array([b""], pa.binary()), np.zeros(len(known) + 1, np.int64), nexts, np.r_[tally.sum(), tally[known]], deal)
         return
     wide = np.fromiter((w in hot for w in listed), bool, v)
     deal = (hashes % np.uint64(parts)).astype(np.int64)
@@ -141,18 +136,19 @@ def text_stripes(lang: str, texts: list[bytes], size: int, bits: np.ndarray | No
     for size in (size,) if size == 1 else (2, 3):
         if not len(spelt):
             return
-        totals = np.bincount(at[at >= 0], minlength=len(spelt))
         starts = np.flatnonzero((at[:-size] >= 0) & follows[size:])
         longer, which, n = np.unique(at[starts] * v + code[starts + size], return_inverse=True, return_counts=True)
+        if not len(longer):
+            return
         prefix, then = longer // v, longer % v
         part = np.where(wide[spelt].all(axis=1)[prefix], deal[then], 0)
-        yield stripes(lang, size, joined(*[words.take(pa.array(c)) for c in spelt.T]), totals, prefix, then, n, part, words)
+        yield stripes(lang, joined(b" ", *[words.take(pa.array(c)) for c in spelt.T]), prefix, words.take(pa.array(then)), n, part)
         at[:] = -1
         at[starts] = which
         spelt = np.concatenate([spelt[prefix], then[:, None]], 1)
 
 
-def make_stripes(batches, size: int, bits: bytes | None = None, hot: frozenset = frozenset(), parts: int = PARTS):
+def make_stripes(batches, size: int, bits: bytes | None = None, hot: frozenset = frozenset(), parts: int = PARTS, flush: int = FLUSH):
     """Arrow task: (lang, text) rows to stripes, some megabytes of text at a time."""
     bits = None if bits is None else np.frombuffer(bits, np.uint8)
     kept, held = {}, 0
@@ -161,7 +157,7 @@ def make_stripes(batches, size: int, bits: bytes | None = None, hot: frozenset =
             text = text.as_py()
             kept.setdefault(lang, []).append(text)
             held += len(text)
-            if held >= FLUSH:
+            if held >= flush:
                 for k, texts in kept.items():
                     yield from text_stripes(k, texts, size, bits, hot, parts)
                 kept, held = {}, 0
@@ -170,14 +166,17 @@ def make_stripes(batches, size: int, bits: bytes | None = None, hot: frozenset =
 
 
 def merged(stripe_rows: DataFrame, least: int) -> DataFrame:
-    """(lang, size, prefix, next, n): counters of equal prefixes added up, entries from ``least`` on; next is null for the total.
+    """(lang, prefix, next, n): counters of equal prefixes added up, entries from ``least`` on, and the empty word's.
 
-    Only stripes are shuffled, by prefix and part; the counters are opened and summed where they arrive.
+    Only packed stripes are shuffled, by prefix and part; the counters are opened and summed where they arrive.
     """
-    key = ["lang", "size", "prefix", "part"]
-    entries = stripe_rows.repartition(*key).select(*key, F.inline(F.arrays_zip("next", "counts")))
-    entries = entries.groupBy(*key, "next").agg(F.sum("counts").alias("n"))
-    return written(entries.where((F.col("n") >= least) | (F.col("size") == 0) & F.col("next").isNull()).drop("part"), "phrase_stripes")
+    counter = F.arrays_zip(F.split("next", " ").alias("next"), F.coalesce(F.split("counts", " "), F.array().cast("array<string>")).alias("n"))
+    entries = (stripe_rows.repartition("key", "part").select("key", "part", F.inline(counter))
+               .groupBy("key", "part", "next").agg(F.sum(F.coalesce(F.col("n").cast("bigint"), F.lit(1))).alias("n"))
+               .where((F.col("n") >= least) | (F.col("next") == "")))
+    prefix = F.substring_index("key", "\t", -1)
+    lang = F.expr("substring(key, 1, length(key) - length(substring_index(key, '\t', -1)) - 1)")
+    return written(entries.select(lang.alias("lang"), prefix.alias("prefix"), "next", "n"), "phrase_stripes")
 
 
 def _bit_places(batches, bits: int):
@@ -203,30 +202,36 @@ def bit_array(phrases: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, parts: int = PARTS) -> tuple[DataFrame, DataFrame]:
-    """((lang, size, phrase, n) of phrases of up to three words, stripe entries of 2 to 4 words): all with ``least`` occurrences."""
+def phrase_counts(docs: DataFrame, least: int = LEAST, parts: int = PARTS, flush: int = FLUSH) -> tuple[DataFrame, list[DataFrame]]:
+    """((lang, n) of all words, [(lang, prefix, next, n) of words, of pairs, of longer phrases]): all with ``least`` occurrences."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    words = merged(texts.mapInArrow(partial(make_stripes, size=0), DDL), least)
-    totals = words.where("next is null")
+
+    def counted(**how):
+        return merged(texts.mapInArrow(partial(make_stripes, flush=flush, **how), DDL), least)
+
+    first = counted(size=0)
+    totals, words = first.where("next = ''").select("lang", "n"), first.where("next != ''")
     every = totals.agg(F.sum("n")).first()[0] or 0
-    listed = words.where("next is not null").select("lang", F.col("next").alias("phrase"), "n")
-    hot = frozenset(r[0].encode() for r in listed.where(F.col("n") > every / 10_000).select("phrase").collect())
-    pairs = merged(texts.mapInArrow(partial(make_stripes, size=1, bits=bit_array(listed), hot=hot, parts=parts), DDL), least)
-    phrase = F.concat_ws(" ", "prefix", "next").alias("phrase")
-    found = pairs.where("next is not null").select("lang", phrase)
-    longer = merged(texts.mapInArrow(partial(make_stripes, size=2, bits=bit_array(found), hot=hot, parts=parts), DDL), least)
-    both = pairs.unionByName(longer)
-    return totals.select("lang", "n"), both
+    hot = frozenset(r[0].encode() for r in words.where(F.col("n") > every / 10_000).select("next").collect())
+    pairs = counted(size=1, bits=bit_array(words.select("lang", F.col("next").alias("phrase"))), hot=hot, parts=parts)
+    spelt = pairs.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"))
+    return totals, [words, pairs, counted(size=2, bits=bit_array(spelt), hot=hot, parts=parts)]
+
+
+def cut_score() -> Column:
+    """floor(2,000,000 a / (l + r)), exact beyond 64 bits."""
+    return F.expr("cast(cast(2000000 * cast(a as decimal(20, 0)) as decimal(30, 0)) div (cast(l as decimal(20, 0)) + r) as bigint)")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED, top: int = TOP, parts: int = PARTS,
-                 hot_rows: int = 100_000) -> DataFrame:
+                 flush: int = FLUSH, hot_rows: int = 100_000) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases of 2 to 4 words."""
-    totals, entries = phrase_counts(docs, least, parts)
-    known = written(entries.where("next is null").select("lang", F.col("prefix").alias("part"), F.col("n").alias("f")), "phrase_totals")
-    found = written(entries.where("next is not null").select("lang", "prefix", (F.col("size") + 1).alias("size"),
-                                                             F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a")), "phrases")
+    totals, (single, *more) = phrase_counts(docs, least, parts, flush)
     words = F.split("phrase", " ")
+    found = reduce(DataFrame.unionByName, more).select("lang", "prefix", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a"))
+    found = written(found.withColumn("size", F.size(words)), "phrases")
+    known = found.where("size < 4").select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")).unionByName(
+        single.select("lang", F.col("next").alias("part"), F.col("n").alias("f")))
 
     def cut(first, n):
         return F.array_join(F.slice("w", first, n), " ")
@@ -239,8 +244,7 @@ def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED,
     counted = join_unique(sides, known, ["lang", "part"], hot_rows)
     scored = counted.groupBy("lang", "phrase", "a", "k").agg(F.max(F.when(F.col("left"), F.col("f"))).alias("l"),
                                                              F.max(F.when(~F.col("left"), F.col("f"))).alias("r"))
-    score = F.expr("cast(cast(2000000 * cast(a as decimal(20, 0)) as decimal(30, 0)) div (cast(l as decimal(20, 0)) + r) as bigint)")
-    lowest = (scored.select("lang", "phrase", "a", F.struct(score.alias("score"), "k", "l", "r").alias("cut"))
+    lowest = (scored.select("lang", "phrase", "a", F.struct(cut_score().alias("score"), "k", "l", "r").alias("cut"))
               .groupBy("lang", "phrase", "a").agg(F.min("cut").alias("cut")).select("lang", "phrase", "a", "cut.score", "cut.l", "cut.r"))
     # The most frequent longer phrase: of those that it begins, the stripe's largest entry; of the others, each names what it holds.
     begun = found.where("size > 2").groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("a").alias("longest"))
