@@ -18,7 +18,7 @@ and one aggregate inside the partition of its document, without a shuffle.
 Defined cases: null text is empty; two empty sets are alike (1.0), an empty one
 and another aren't (0.0); texts of the same set have the same fingerprint; repeated rows are rows
 of their own, each followed by the next row in order of id and text; an empty table gives an empty
-result; other columns aren't read.
+result; other columns aren't read.  Texts of any length are read whole; ids may be any 64-bit numbers.
 """
 
 from __future__ import annotations
@@ -29,13 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import written
+from taxaspark.llm.common import hot_bound, written
 
 WORDS = 32
 TABLES = 3
 #: Cells of one table of the smallest sketch.
 CELLS = 8
 GROWTH = 4
+#: Parts that the ids are cut into at most.
+MOST_CUTS = 4096
 #: Passes over the three tables in one peeling; what they leave is tried again larger.
 PASSES = 4
 
@@ -153,20 +155,45 @@ def following(numbers: DataFrame, per_task: int = 1_024) -> DataFrame:
             .select("bucket", F.coalesce("then", "next_start", F.lit(first)).cast("long").alias("then")))
 
 
+def places(docs: DataFrame, buckets: int) -> Column:
+    """A number for each row of (doc_id, mixed) that rises with doc_id and cuts the rows into about ``buckets`` parts.
+
+    Cuts are quantiles of the ids (at most ``MOST_CUTS``), so ids may lie anywhere.  An id with more rows than two
+    parts is cut by slices of ``mixed`` (the hash of the text), and so are rows without an id, which come first; of
+    those, the copies of one text that hold more than ``hot_bound`` rows are dealt by scan task.
+    """
+    buckets = max(1, min(buckets, MOST_CUTS))
+    found = docs.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [i / buckets for i in range(buckets)], 10 * buckets).alias("cuts")).first()
+    many = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > max(1, 2 * found["n"] // buckets))
+    many = [r["doc_id"] for r in many.collect()]  # at most half as many as parts
+    wide = [i for i in many if i is not None]
+    bounds = sorted({*(found["cuts"] or []), *wide}) or [0]
+    groups = [bounds[i:i + 64] for i in range(0, len(bounds), 64)]
+    heads = F.split(F.lit(",".join(str(g[0]) for g in groups)), ",").cast("array<bigint>")
+    inner = F.transform(F.split(F.lit(";".join(",".join(map(str, g)) for g in groups)), ";"), lambda g: F.split(g, ",").cast("array<bigint>"))
+    upto = lambda values: F.size(F.filter(values, lambda x: x <= F.col("doc_id")))
+    group = F.greatest(upto(heads), F.lit(1))
+    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise((group - 1) * 64 + upto(F.element_at(inner, group)) + 1).cast("long")
+    sliced = F.col("doc_id").isNull() | F.col("doc_id").isin(wide) if wide else F.col("doc_id").isNull()
+    number = place * 4097 + F.when(sliced, F.shiftright("mixed", 52) + 2048).otherwise(F.lit(4096))
+    if many:
+        copies = docs.groupBy("doc_id", "mixed").agg(F.count("*").alias("n")).where(F.col("n") > hot_bound(found["n"]))
+        hot = [r["mixed"] for r in copies.select("mixed").distinct().collect()]  # at most 10,000
+        if hot:
+            number = number * 64 + F.when(sliced & F.col("mixed").isin(hot), 1 + F.pmod(F.spark_partition_id(), F.lit(63))).otherwise(F.lit(0))
+    return F.coalesce(number, F.lit(0)).cast("long")
+
+
 def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows (doc_id, text, set) with next_text and next_set of the row next by ascending id; the first follows the last.
 
-    Ids are cut into ``buckets`` ranges of equal width; inside a range the next row is one window
-    step away, and the first row of the next range follows its last.  Rows without an id come
-    first, in order of a hash.  The texts are shuffled once.
+    Inside a part of ``places`` the next row is one window step away, and the first row of the next part follows its last.
+    Rows of one id are in order of their part and a hash; those without an id come first.  The texts are shuffled once.
     """
-    ends = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    low, high = ends["low"] or 0, ends["high"] or 0
-    width = max(1, -(-(high - low + 1) // buckets))
     mixed = F.xxhash64("text")
-    # The last value is never used: it makes the column non-null, so that no branch below filters it and all share one shuffle.
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), -1 - F.pmod(mixed, F.lit(buckets)), F.lit(0)).cast("long")
-    rows = docs.withColumn("bucket", bucket).withColumn("mixed", mixed)
+    # The last value of ``places`` is never used: it makes the column non-null, so that no branch below filters it and all share one shuffle.
+    rows = docs.withColumn("mixed", mixed)
+    rows = rows.withColumn("bucket", places(docs.select("doc_id", mixed.alias("mixed")), buckets))
     follow = W.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "mixed")
     steps = rows.select("bucket", "doc_id", "text", "set", F.lead("text").over(follow).alias("next_text"),
                         F.lead("set").over(follow).alias("next_set"), F.lag("mixed").over(follow).alias("before"))

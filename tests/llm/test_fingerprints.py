@@ -87,3 +87,38 @@ def test_no_rows_and_one_row(no_docs, spark):
 def test_no_python_in_the_plan(docs):
     plan = I.fingerprint_documents(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("kind", ["wide", "clustered", "hot id", "no ids", "copies"])
+def test_next_document_whatever_the_ids(spark, kind, monkeypatch):
+    """Ids at the ends of 64 bits, one outlier, a third of the rows with one id, none at all, a third one repeated row."""
+    monkeypatch.setattr(I, "hot_bound", lambda n: 50)
+    n = 600
+    ids = {"wide": [-2**63 + 5, 2**63 - 9, *range(-5 * 10**18, 5 * 10**18, 10**19 // (n - 2))][:n],
+           "clustered": [*range(n - 1), 2**62], "hot id": [7 if i % 3 == 0 else i for i in range(n)],
+           "no ids": [None] * n, "copies": [7 if i % 3 == 0 else i for i in range(n)]}[kind]
+    texts = ["the same copy" if kind == "copies" and i % 3 == 0 else f"text {i * 7919 % n}" for i in range(len(ids))]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(5).cache()
+    rows = I.with_next(df.withColumn("set", F.array(F.lit(1).cast("long"))), 20)
+    got = [(r.doc_id, r.text, r.next_text) for r in rows.select("doc_id", "text", "next_text").collect()]
+    # One cycle through all rows, whose ids never fall but once.
+    assert len(got) == len(ids) and sorted(g[2] for g in got) == sorted(texts) == sorted(g[1] for g in got)
+    at = {t: (i is not None, i or 0) for i, t in zip(ids, texts)}
+    falls = [1 for _, t, u in got if at[u] < at[t]]
+    assert len(falls) == (1 if len(set(ids)) > 1 else 0)
+    if kind != "copies":
+        then, seen, t = {t: u for _, t, u in got}, 0, got[0][1]
+        while seen < len(got):
+            t, seen = then[t], seen + 1
+            if t == got[0][1]:
+                break
+        assert seen == len(got)
+    part = I.places(df.withColumn("mixed", F.xxhash64("text")).select("doc_id", "mixed"), 20)
+    sizes = df.withColumn("mixed", F.xxhash64("text")).groupBy(part.alias("p")).count().toPandas()["count"]
+    assert sizes.max() <= 80
+
+
+def test_long_texts(spark):
+    rows = [(1, "w " * 500_000), (2, "x" * 1_000_000), (3, " " * 1_000_000), (4, "line\n" * 200_000)]
+    got = {r.doc_id: r for r in I.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_chars for i in (1, 2, 3, 4)] == [1_000_000] * 4
