@@ -15,7 +15,8 @@ The vocabulary has ranks in place of log-probabilities (a BPE model); a piece of
 
 Defined cases: null or empty text has no pieces and decodes to ''; the space mark itself, if a text holds it, is
 spelled in bytes, so that decoding gives it back; repeated rows are encoded alike; an
-empty table gives an empty result; other columns aren't read.
+empty table gives an empty result; other columns aren't read.  Texts and words of any length are encoded
+whole (a word takes one step a character).
 """
 
 from __future__ import annotations
@@ -50,6 +51,30 @@ def within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
+def word_hashes(chars: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each word: its letters by pseudo-random factors of their places (no powers, whose sums cancel for some words)."""
+    factors = mix(np.arange(1, int(length.max()) + 1).astype(U64) * BASE) | U64(1)
+    return mix(np.add.reduceat((chars.astype(U64) + U64(1)) * factors[within(length)], start))
+
+
+def distinct_words(chars: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a word of each kind, the kind of every word), by hash and checked letter by letter.
+
+    Words that share a hash with another one are told apart by their letters.
+    """
+    _, some, which = np.unique(word_hashes(chars, start, length), return_index=True, return_inverse=True)
+    like = some[which]
+    at = np.minimum(np.repeat(start[like], length) + within(length), len(chars) - 1)
+    other = np.flatnonzero((length != length[like]) | np.logical_or.reduceat(chars != chars[at], start))
+    more: dict[bytes, int] = {}
+    for w in other.tolist():
+        which[w] = more.setdefault(chars[start[w]:start[w] + length[w]].tobytes(), len(some) + len(more))
+    if more:
+        kinds, first = np.unique(which[other], return_index=True)
+        some = np.concatenate([some, other[first]])
+    return some, which
+
+
 class Vocabulary:
     """Pieces of a SentencePiece model, with a hash table of all their prefixes."""
 
@@ -178,13 +203,7 @@ class Vocabulary:
         start = np.flatnonzero(head)
         length = np.diff(np.append(start, len(chars)))
         row = np.repeat(np.arange(len(texts)), size)[start]
-        # Distinct words by hash; a shared hash is checked letter by letter.
-        offset = within(length)
-        powers = np.multiply.accumulate(np.full(int(length.max()), BASE, U64))
-        word = mix(np.add.reduceat((chars.astype(U64) + U64(1)) * powers[offset], start))
-        _, some, which = np.unique(word, return_index=True, return_inverse=True)
-        if (length != length[some][which]).any() or (chars != chars[np.repeat(start[some][which], length) + offset]).any():
-            raise ValueError("two words share a hash")
+        some, which = distinct_words(chars, start, length)
         n = length[some]
         begin, tail, piece, run = self.lattice(chars[np.repeat(start[some], n) + within(n)], n)
         origin = (np.cumsum(n + 1) - n - 1)[which]
