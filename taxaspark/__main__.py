@@ -35,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--layout", default="range", choices=["range", "local"])
     ap.add_argument("--range-partitions", type=int)
     ap.add_argument("--listing", default="recursive", choices=["glob", "recursive"])
-    ap.add_argument("--read-mode", default="lines", choices=["lines", "wholetext"])
+    ap.add_argument("--read-mode", default="auto", choices=["auto", "lines", "wholetext"])
     ap.add_argument("--accessions-one-line-rows", action="store_true", help="the dump has no quoted newlines (saves a pass)")
     ap.add_argument("--accessions-schema", help="column types as DDL; nothing is inferred")
     ap.add_argument("--max-partition-bytes", type=int, help="compressed bytes per staging task")

@@ -45,7 +45,7 @@ class Config:
     layout: str = "range"               # or "local" (see operators.staging.cluster)
     range_partitions: int | None = None  # default: from the input's bytes
     listing: str = "recursive"          # distributed listing; "glob" lists per folder on the driver
-    read_mode: str = "lines"            # any file size; or "wholetext" (see sources.raw)
+    read_mode: str = "auto"             # by file size; or "lines", "wholetext" (see sources.raw)
     max_partition_bytes: int | None = None  # compressed bytes per staging task (default: Spark's 128 MB)
     accessions_multiline: bool = True   # look for quoted newlines in the accession dump (one pass more)
     accessions_schema: str | None = None  # DDL; saves the text copy that the types are inferred with

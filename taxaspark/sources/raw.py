@@ -7,8 +7,9 @@ declared schema.  Everything stays in the JVM, the header skip is exact
 ``_metadata.file_path`` is a per-file constant, so a filter on it prunes files
 at listing time.
 
-Limit: a single raw file must fit in one value (~2 GB uncompressed); the
-line mode (``mode='lines'``) lifts it.
+Limit: a single raw file must fit in one value (~2 GB uncompressed).  The
+line mode (``mode='lines'``) lifts it, with a Python step that numbers lines; ``mode='auto'`` takes
+that way only for files that are large enough to pass the limit.
 """
 
 from __future__ import annotations
@@ -193,7 +194,46 @@ def parse_lines(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
                                                                for f in schema.fields])
 
 
-READ_MODES = ("wholetext", "lines")
+READ_MODES = ("wholetext", "lines", "auto")
+#: gzip expands at most 1,032 times, so a file below this many bytes is below 2 GiB as text.
+WHOLE_BYTES = 2_000_000
+
+
+def _text(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None, listing: str, whole: bool) -> DataFrame:
+    """``file_path``, ``size`` and ``value`` (the file, or one line of it) of a dataset's files."""
+    reader = spark.read
+    if paths is None and listing == "recursive":
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+    where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
+    files = reader.text(where, wholetext=whole).select(F.col("_metadata.file_path").alias("file_path"),
+                                                       F.col("_metadata.file_size").alias("size"), "value")
+    return files.where(in_layout(root, ds)) if paths is None and listing == "recursive" else files
+
+
+def has_large_files(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None = None, listing: str = "recursive",
+                    bound: int = WHOLE_BYTES) -> bool:
+    """Whether any file has ``bound`` bytes or more, from the listing alone (the length is compared there)."""
+    reader = spark.read.format("binaryFile")
+    if paths is None and listing == "recursive":
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+    where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
+    return not reader.load(where).where(F.col("length") >= bound).select("path").isEmpty()
+
+
+def dataset_lines_routed(spark: SparkSession, root: str, ds: Dataset, run_tag: str, sample_ids: Iterable[str] | None,
+                         paths: str | list[str] | None, id_pattern: str | None, listing: str, bound: int = WHOLE_BYTES) -> DataFrame:
+    """Data lines, each file by the way that its size allows: below ``bound`` bytes in the JVM, else line by line.
+
+    The size is a constant of a file, so a route opens its own files only; without a file of ``bound``
+    bytes there is no Python step in the plan.
+    """
+    sample_ids = None if sample_ids is None else list(sample_ids)
+    small = _text(spark, root, ds, paths, listing, True).where(F.col("size") < bound).select("file_path", "value")
+    lines = scan_lines(spark, small, ds.skip_rows, run_tag, sample_ids, id_pattern)
+    if not has_large_files(spark, root, ds, paths, listing, bound):
+        return lines
+    large = _text(spark, root, ds, paths, listing, False).where(F.col("size") >= bound).select("file_path", F.col("value").alias("line"))
+    return lines.unionByName(scan_lines_streamed(spark, large, ds.skip_rows, run_tag, sample_ids, id_pattern))
 
 
 def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
@@ -202,10 +242,14 @@ def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DE
     """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``).
 
     ``mode='wholetext'`` (default) stays in the JVM; ``mode='lines'`` handles
-    files beyond the ~2 GB single-value limit.
+    files beyond the ~2 GB single-value limit; ``mode='auto'`` chooses by each file's size.
     """
     if mode not in READ_MODES:
         raise ValueError(f"mode must be one of {READ_MODES}")
+    if listing not in LISTINGS:
+        raise ValueError(f"listing must be one of {LISTINGS}")
+    if mode == "auto":
+        return dataset_lines_routed(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
     if mode == "lines":
         if paths is None:
             paths = read_lines(spark, root, ds) if listing == "recursive" else dataset_glob(root, ds)

@@ -260,3 +260,31 @@ def test_both_read_modes_end_lines_alike(spark, tmp_dir):
     root = f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}"
     both = [sorted(map(tuple, scan_src(spark, root, ds, mode=m).collect())) for m in ("lines", "wholetext")]
     assert both[0] == both[1] == [("s1", "m1", 1.0), ("s1", "m2", 2.0), ("s1", "m3", 3.0)]
+
+
+@pytest.mark.parametrize("listing", ["recursive", "glob"])
+def test_routes_by_size_give_the_same_rows(spark, tmp_dir, listing):
+    """Small files in the JVM, large ones line by line; without a large one no Python step."""
+    from taxaspark.sources.raw import dataset_lines, dataset_lines_routed, has_large_files
+    put(tmp_dir, "small", AB, heads(4) + "m1\t1\r\nm2\t2\n\n")
+    put(tmp_dir, "large", AB, heads(4) + "".join(f"m{i * 7919 % 10007}\t{i}\n" for i in range(5000)))
+    root = f"{tmp_dir}/{TAG}"
+    want = rows(dataset_lines(spark, root, AB, mode="wholetext", listing=listing))
+    routed = dataset_lines_routed(spark, root, AB, TAG, None, None, None, listing, bound=1000)
+    assert has_large_files(spark, root, AB, listing=listing, bound=1000) and not has_large_files(spark, root, AB, listing=listing)
+    assert rows(routed) == want and len(want) == 5002
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan(routed)
+    auto = scan_src(spark, root, AB, mode="auto", listing=listing)
+    assert "MapInArrow" not in plan(auto) and auto.count() == 5002
+    only = dataset_lines_routed(spark, root, AB, TAG, ["small"], None, None, listing, bound=1000)
+    assert [r[1] for r in rows(only)] == ["small"] * 2
+    # The large file isn't opened by the small files' route: it may even be unreadable.
+    put(tmp_dir, "large", AB, b"not gzip" * 1000, raw=True)
+    assert _small_route(spark, root, listing) == 2
+
+
+def _small_route(spark, root, listing):
+    from taxaspark.sources.raw import _text
+    return _text(spark, root, AB, None, listing, True).where(F.col("size") < 1000).selectExpr("explode(split(value, '\n')) as line").where(
+        "line like 'm%'").count()

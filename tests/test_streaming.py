@@ -42,3 +42,13 @@ def test_default_checkpoint_is_stable(spark, tmp_dir):
     stage_new_files(spark, root, AB, out, max_files_per_trigger=1)
     stage_new_files(spark, root, AB, out)  # nothing new
     assert spark.read.parquet(out).count() == 3
+
+
+def test_the_stream_carries_names_only(spark, tmp_dir):
+    """Files of any size: each micro-batch reads its files as the batch job does, here line by line; odd names too."""
+    for sample in ("s 1+x", "a[b]{c}", "s3"):
+        put(tmp_dir, sample, [(f"m{i}", float(i)) for i in range(50)])
+    root, out = f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", f"{tmp_dir}/stg"
+    stage_new_files(spark, root, AB, out, mode="lines")
+    got = spark.read.parquet(out).groupBy("sample_id").count().collect()
+    assert {r["sample_id"]: r["count"] for r in got} == {"s 1+x": 50, "a[b]{c}": 50, "s3": 50}
