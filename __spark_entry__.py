@@ -38,20 +38,24 @@ from taxaspark.operators.catalog import (
 from taxaspark.operators.checks import key_check, layer_counts, preview
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.pivot import pivot_wide
-from taxaspark.operators.sampling import HASH_DIGITS, key_bound
+from taxaspark.operators import companions
+from taxaspark.operators.companions import open_companion
+from taxaspark.operators.sampling import HASH_DIGITS, key_bound, sample_blocks
 from taxaspark.operators.staging import stage, staged_rows, write_table
 from taxaspark.plans import queries as Q
 from taxaspark.plans.exports import export_csv, export_dataset
 from taxaspark.plans import jobs
 from taxaspark.session import scratch_path
 from taxaspark.sources.raw import scan_ext, scan_src
-from taxaspark.sources.snapshots import folder
+from taxaspark.sources.snapshots import folder, latest
 from taxaspark.sources.tables import open_table, read_table
 
 try:  # the training-data operators can be left out of an installation
     import corpus_pipeline
     from taxaspark.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as exc:
+    if exc.name not in ("corpus_pipeline", "taxaspark.llm"):  # something else is missing
+        raise
     corpus_pipeline = llm_queries = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -138,6 +142,72 @@ def q11(spark, sf):
                     (F.abs(k - 0.01 * n) <= 5 * F.sqrt(0.01 * 0.99 * n)).alias("within_5_sigma"))
 
 
+def _published(spark, sf, name, companions=None, **how):
+    """A staged table published with its companions; its path."""
+    path = scratch_path(spark, schemas.DATASETS[name].stg_table)
+    write_table(Fixtures(spark, sf).staged(name), path, companions=companions, **how)
+    return path
+
+
+def _bitmap_counts(spark, path):
+    codes = open_companion(spark, path, "sample_codes")
+    return open_table(spark, path), companions.sample_counts(companions.bitmaps(open_table(spark, path), codes, "marker_id"), "marker_id")
+
+
+def q2_bitmaps(spark, sf):
+    """Q2 with the sample counts taken from bitmaps of sample codes."""
+    table, counts = _bitmap_counts(spark, _published(spark, sf, "marker_abundance", {"sample_codes": companions.sample_codes}))
+    return Q.top_markers_by_mean(table, k=20, counts=counts)
+
+
+def q2b_bitmaps(spark, sf):
+    table, counts = _bitmap_counts(spark, _published(spark, sf, "marker_abundance", {"sample_codes": companions.sample_codes}))
+    return Q.top_markers_by_samples(table, k=10, counts=counts)
+
+
+def q4_names(spark, sf):
+    """Q4 with the pattern resolved in the table's names."""
+    path = _published(spark, sf, "marker_rel_ab_w_read_stats", {"names_clade_name": companions.names("clade_name")})
+    return Q.samples_with_taxon(open_table(spark, path), TAXON_LIKE, 10.0, k=100, names=open_companion(spark, path, "names_clade_name"))
+
+
+def q12_names(spark, sf):
+    path = _published(spark, sf, "marker_rel_ab_w_read_stats", {"names_clade_name": companions.names("clade_name")})
+    return Q.kingdom_composition_long(open_table(spark, path), 10, names=open_companion(spark, path, "names_clade_name"))
+
+
+def q10_sketches(spark, sf):
+    """Distinct samples and markers over two tables from their stored sketches alone, next to the exact counts."""
+    names = ("marker_abundance", "marker_presence")
+    paths = [_published(spark, sf, n, companions.for_dataset(schemas.DATASETS[n])) for n in names]
+    kept = [open_companion(spark, p, "sketches") for p in paths]
+    rows = open_table(spark, paths[0]).select("sample_id", "marker_id").union(open_table(spark, paths[1]).select("sample_id", "marker_id"))
+    out = []
+    for column in ("sample_id", "marker_id"):
+        both = companions.estimated_distinct(kept, column, "estimate").unionByName(
+            rows.agg(F.count_distinct(column).alias("exact")), allowMissingColumns=True)
+        one = both.agg(F.max("estimate").alias("estimate"), F.max("exact").alias("exact"))
+        out.append(one.select(F.lit(column).alias("column_name"), "exact",
+                              (F.abs(F.col("estimate") - F.col("exact")) <= 0.03 * F.col("exact")).alias("within_bound")))
+    return out[0].union(out[1])
+
+
+def g7_blocks(spark, sf):
+    """A 25 % block sample: only rows of the table, a size within five standard deviations, and other files unread."""
+    path = _published(spark, sf, "marker_abundance", partitions=64)
+    table = open_table(spark, path)
+    sample = sample_blocks(table, 25.0, seed=7)
+    files = {f["name"]: f["rows"] for f in latest(spark, path).files}
+    spread = sum(n * n for n in files.values())
+    keys = table.columns
+    taken = sample.groupBy(*keys).agg(F.count("*").alias("taken"))
+    both = table.groupBy(*keys).agg(F.count("*").alias("there")).join(taken, keys, "full")
+    n, k = F.sum("there"), F.sum(F.coalesce("taken", F.lit(0)))
+    subset = F.sum(F.when(F.col("taken") > F.coalesce("there", F.lit(0)), 1).otherwise(0)) == 0
+    return both.agg(n.alias("total_rows"), subset.alias("is_subset"),
+                    (F.abs(k - 0.25 * n) <= 5 * F.sqrt(F.lit(0.25 * 0.75 * spread))).alias("within_5_sigma"))
+
+
 def g5(spark, sf):
     """Limit without an order: as many rows as asked for, all from the table."""
     stg = Fixtures(spark, sf).staged("marker_abundance")
@@ -695,6 +765,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "X4_export_viruses_list": x4,
         "X5_export_csv": x5,
         "X5_quoted_csv": x5_quoted,
+        "Q2_bitmaps": q2_bitmaps,
+        "Q2b_bitmaps": q2b_bitmaps,
+        "Q4_names": q4_names,
+        "Q10_sketches": q10_sketches,
+        "Q12_names": q12_names,
+        "G7_block_sample": g7_blocks,
         "B2_views": b2_views,
         "B3_failed_export": b3_failed_export,
         "B3_manifests": b3_manifests,
@@ -801,7 +877,7 @@ def oracle_sql() -> dict[str, str]:
     ids = _sql_list(CHOSEN_SAMPLES)
     tag = schemas.DEFAULT_RUN_TAG
     rel = "stg_marker_rel_ab_w_read_stats"
-    return {
+    found = {
         "Q1_sample_lookup": with_views(
             f"select * from stg_marker_abundance where sample_id = '{POINT_SAMPLE}'", "stg_marker_abundance"),
         "Q2_top_markers_by_mean": with_views("""
@@ -1015,5 +1091,13 @@ from src_sample_id_map as map left join stg_marker_abundance as data on map.samp
 group by map.sample_id, map.run_ids, map.sample_name, map.study_name""",
             "src_sample_id_map", "stg_marker_abundance"),
         "F13_distinct_samples": with_views(f"select distinct sample_id from {rel}", rel),
+        "Q10_sketches": """
+select 'sample_id' as column_name, count(distinct l_orderkey) as exact, true as within_bound from lineitem
+union all select 'marker_id', count(distinct l_partkey), true from lineitem""",
+        "G7_block_sample": "select count(*) as total_rows, true as is_subset, true as within_5_sigma from lineitem",
         **(llm_queries.ORACLES if llm_queries else {}),
     }
+    # The same results by other means.
+    same = {"Q2_bitmaps": "Q2_top_markers_by_mean", "Q2b_bitmaps": "Q2b_top_markers_by_samples", "Q4_names": "Q4_samples_with_taxon",
+            "Q12_names": "Q12_kingdom_long"}
+    return found | {key: found[of] for key, of in same.items()}

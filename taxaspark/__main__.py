@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--read-mode", default="auto", choices=["auto", "lines", "wholetext"])
     ap.add_argument("--accessions-one-line-rows", action="store_true", help="the dump has no quoted newlines (saves a pass)")
     ap.add_argument("--accessions-schema", help="column types as DDL; nothing is inferred")
+    ap.add_argument("--companions", action="store_true", help="publish names and sketches with each staged table")
     ap.add_argument("--max-partition-bytes", type=int, help="compressed bytes per staging task")
     ap.add_argument("--datasets", nargs="*", default=list(DATASETS), choices=list(DATASETS))
     return ap
@@ -49,7 +50,7 @@ def config(args) -> P.Config:
                     catalog_out=args.catalog_out, run_tag=args.run_tag, layout=args.layout,
                     range_partitions=args.range_partitions, listing=args.listing,
                     read_mode=args.read_mode, max_partition_bytes=args.max_partition_bytes,
-                    accessions_multiline=not args.accessions_one_line_rows, accessions_schema=args.accessions_schema,
+                    accessions_multiline=not args.accessions_one_line_rows, accessions_schema=args.accessions_schema, companions=args.companions,
                     datasets=tuple(args.datasets))
 
 

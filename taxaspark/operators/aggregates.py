@@ -16,19 +16,19 @@ from taxaspark.functions.columns import min_nan_first
 
 def value_stats(df: DataFrame, key: str | list[str], value: str, distinct_of: str = "sample_id",
                 count_name: str = "sample_count", prefix: str | None = None,
-                approx_rsd: float | None = None) -> DataFrame:
+                approx_rsd: float | None = None, count: bool = True) -> DataFrame:
     """Per ``key``: distinct ``distinct_of`` count, mean, max and min of ``value``.
 
     ``min`` returns NaN when any value is NaN, like the warehouse does.
     ``approx_rsd`` swaps the exact distinct count for HyperLogLog++ with that
     relative standard deviation: one aggregation level and one exchange
-    instead of two, for very large tables.
+    instead of two, for very large tables; ``count=False`` leaves the count out.
     """
     p = prefix or value
     distinct = (F.approx_count_distinct(distinct_of, approx_rsd) if approx_rsd
                 else F.count_distinct(distinct_of))
     return df.groupBy(key).agg(
-        distinct.alias(count_name),
+        *([distinct.alias(count_name)] if count else []),
         F.avg(value).alias(f"avg_{p}"),
         F.max(value).alias(f"max_{p}"),
         min_nan_first(value).alias(f"min_{p}"),

@@ -58,7 +58,7 @@ def partitions_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
     Without an estimate, the session's shuffle partitions.
     """
     size = planned_bytes(df)
-    if size is None:
+    if size is None or size >= 1 << 60:  # of some sources the planner knows no size and says the largest number
         return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cores = df.sparkSession.sparkContext.defaultParallelism
     return max(min(cores, FEW_PARTS, 1 + size // LEAST_BYTES), -(-size // target), 1)
@@ -117,12 +117,14 @@ def write_clustered(df: DataFrame, to: str, layout: str = "range", partitions: i
 
 
 def write_table(df: DataFrame, path: str, layout: str = "range", partitions: int | None = None,
-                key: str = "sample_id", bloom: bool = True, compression: str | None = None, count_rows: bool = False) -> None:
+                key: str = "sample_id", bloom: bool = True, compression: str | None = None, count_rows: bool = False,
+                companions: dict | None = None) -> None:
     """Full refresh of a clustered Parquet table; readers see the old table until the new one is whole.
 
     ``count_rows`` drops rows whose key is null and keeps in the manifest how many rows came
-    in (``rows``) and how many had a key (``keyed``); see ``write_clustered``.
+    in (``rows``) and how many had a key (``keyed``); see ``write_clustered``.  ``companions`` are small
+    tables published with it (``operators.companions``).
     """
     counted = Observation() if count_rows else None
     replace_table(df.sparkSession, path, lambda to: write_clustered(df, to, layout, partitions, key, bloom, compression, counted=counted),
-                  keys=[key], counts=(lambda: dict(counted.get)) if counted else None)
+                  keys=[key], counts=(lambda: dict(counted.get)) if counted else None, companions=companions)

@@ -19,6 +19,7 @@ from taxaspark.operators.catalog import (
     EXTERNAL, TABLE, VIEW, TableEntry, catalog_summary, schema_catalog, table_profile, write_catalog_json,
 )
 from taxaspark.operators.checks import key_check, stack_layers
+from taxaspark.operators.companions import for_dataset
 from taxaspark.operators.staging import staged_rows, write_table
 from taxaspark.plans.exports import export_dataset
 from taxaspark.schemas import (
@@ -49,6 +50,7 @@ class Config:
     max_partition_bytes: int | None = None  # compressed bytes per staging task (default: Spark's 128 MB)
     accessions_multiline: bool = True   # look for quoted newlines in the accession dump (one pass more)
     accessions_schema: str | None = None  # DDL; saves the text copy that the types are inferred with
+    companions: bool = False            # publish names and sketches with each staged table (operators.companions)
     datasets: tuple[str, ...] = field(default_factory=lambda: tuple(DATASETS))
 
 
@@ -130,7 +132,8 @@ def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
         spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(cfg.max_partition_bytes))
     src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-    write_table(staged_rows(src, ds), out, cfg.layout, cfg.range_partitions, count_rows=True)
+    write_table(staged_rows(src, ds), out, cfg.layout, cfg.range_partitions, count_rows=True,
+                companions=for_dataset(ds) if cfg.companions else None)
     return out
 
 

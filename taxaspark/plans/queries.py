@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions.columns import gt_not_nan, ordered_string_agg
 from taxaspark.operators.aggregates import count_if, value_stats
+from taxaspark.operators.companions import with_names
 from taxaspark.operators.joins import join_sample_map, semi_join_keys
 from taxaspark.operators.pivot import pivot_wide
 from taxaspark.operators.sampling import sample_keys, sample_rows
@@ -65,23 +66,32 @@ def sample_rows_for(stg: DataFrame, sample_id: str, limit: int | None = None) ->
 
 # Q2 / Q2b ------------------------------------------------------------------
 
+def _marker_stats(abundance: DataFrame, approx_rsd: float | None, counts: DataFrame | None) -> DataFrame:
+    """Statistics of each marker; its samples are counted, estimated, or taken from ``counts`` (marker_id, sample_count)."""
+    if counts is None:
+        return value_stats(abundance, "marker_id", "abundance", prefix="abundance", approx_rsd=approx_rsd)
+    return value_stats(abundance, "marker_id", "abundance", prefix="abundance", count=False).join(
+        counts.withColumnRenamed("marker_id", "counted"), F.col("marker_id").eqNullSafe(F.col("counted"))).drop("counted")
+
+
 def top_markers_by_mean(abundance: DataFrame, k: int = 20, digits: int | None = 6,
-                        approx_rsd: float | None = None) -> DataFrame:
+                        approx_rsd: float | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Markers ranked by mean abundance: sample count, mean, max, min.
 
     Ranked on the exact mean; ``digits`` only rounds the reported value.
-    ``approx_rsd`` makes ``sample_count`` an HLL estimate (cheaper at scale).
+    ``approx_rsd`` makes ``sample_count`` an HLL estimate (cheaper at scale); ``counts`` are exact ones
+    kept as bitmaps (``companions.sample_counts``), which leaves one level of aggregation.
     """
-    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance", approx_rsd=approx_rsd)
+    s = _marker_stats(abundance, approx_rsd, counts)
     top = s.orderBy(*nan_low("avg_abundance", ascending=False), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
     return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance", "min_abundance")
 
 
 def top_markers_by_samples(abundance: DataFrame, k: int = 10, digits: int | None = 6,
-                           approx_rsd: float | None = None) -> DataFrame:
-    """Markers ranked by the number of samples that carry them (HLL estimate with ``approx_rsd``)."""
-    s = value_stats(abundance, "marker_id", "abundance", prefix="abundance", approx_rsd=approx_rsd)
+                           approx_rsd: float | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Markers ranked by the number of samples that carry them (HLL estimate with ``approx_rsd``, exact from ``counts``)."""
+    s = _marker_stats(abundance, approx_rsd, counts)
     top = s.orderBy(F.desc("sample_count"), "marker_id").limit(k)
     avg = F.round("avg_abundance", digits) if digits is not None else F.col("avg_abundance")
     return top.select("marker_id", "sample_count", avg.alias("avg_abundance"), "max_abundance")
@@ -99,9 +109,15 @@ def sample_profiles(rel_ab: DataFrame, samples: SampleSet, clade_like: str = KIN
 # Q4 ------------------------------------------------------------------------
 
 def samples_with_taxon(rel_ab: DataFrame, clade_like: str = "%Bacteroides%", threshold: float = 10.0,
-                       k: int = 100) -> DataFrame:
-    """Samples where a taxon pattern exceeds a relative abundance threshold."""
-    df = rel_ab.where(F.col("clade_name").like(clade_like) & gt_not_nan("relative_abundance", threshold))
+                       k: int = 100, names: DataFrame | None = None) -> DataFrame:
+    """Samples where a taxon pattern exceeds a relative abundance threshold.
+
+    Given the table's ``names`` (``operators.companions``), the pattern is matched there, and
+    the scan gets the names it stands for.
+    """
+    taxa = rel_ab.where(F.col("clade_name").like(clade_like)) if names is None else with_names(
+        rel_ab, "clade_name", names.where(F.col("name").like(clade_like)))
+    df = taxa.where(gt_not_nan("relative_abundance", threshold))
     return (df.select("sample_id", "clade_name", "relative_abundance")
               .orderBy(F.desc("relative_abundance"), "sample_id", "clade_name").limit(k))
 
@@ -211,13 +227,15 @@ def first_sample_ids(df: DataFrame, n: int) -> list[str]:
     return [r[0] for r in first_samples(df, n).collect()]
 
 
-def kingdom_rows(rel_ab: DataFrame) -> DataFrame:
-    """Rows at kingdom level only: ``k__X`` without a deeper rank."""
+def kingdom_rows(rel_ab: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Rows at kingdom level only: ``k__X`` without a deeper rank; with the table's ``names`` the few that are."""
+    if names is not None:
+        return with_names(rel_ab, "clade_name", names.where(F.col("name").like(KINGDOM_ANY) & ~F.col("name").like(KINGDOM_DEEPER)))
     return rel_ab.where(F.col("clade_name").like(KINGDOM_ANY) & ~F.col("clade_name").like(KINGDOM_DEEPER))
 
 
 def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
-                             samples: SampleSet | None = None) -> DataFrame:
+                             samples: SampleSet | None = None, names: DataFrame | None = None) -> DataFrame:
     """Kingdom-level rows (``k__X`` without deeper ranks) of ``n`` samples.
 
     Like the two-step original (distinct ids, then ``IN UNNEST(ids)``): the
@@ -226,15 +244,15 @@ def kingdom_composition_long(rel_ab: DataFrame, n_samples: int = 10,
     ``sample_id`` skip all other row groups.  More than ``MAX_ID_LIST`` ids, or a
     DataFrame of ids, are semi joined in one plan instead.
     """
-    return (_chosen_kingdom_rows(rel_ab, n_samples, samples)
+    return (_chosen_kingdom_rows(rel_ab, n_samples, samples, names)
             .orderBy("sample_id", *nan_low("relative_abundance", ascending=False)))
 
 
-def _chosen_kingdom_rows(rel_ab: DataFrame, n_samples: int, samples: SampleSet | None) -> DataFrame:
+def _chosen_kingdom_rows(rel_ab: DataFrame, n_samples: int, samples: SampleSet | None, names: DataFrame | None = None) -> DataFrame:
     chosen = samples
     if chosen is None:
         chosen = first_sample_ids(rel_ab, n_samples) if n_samples <= MAX_ID_LIST else first_samples(rel_ab, n_samples)
-    data = restrict_samples(kingdom_rows(rel_ab), chosen)
+    data = restrict_samples(kingdom_rows(rel_ab, names), chosen)
     return data.select("sample_id", "clade_name", "relative_abundance")
 
 

@@ -167,11 +167,13 @@ def describe(df: DataFrame, keys: list[str]) -> tuple[int, list[dict]]:
 
 def publish(spark: SparkSession, path: str, write: Callable[[str], object], keys: list[str] | None = None,
             check: Callable[[DataFrame], object] | None = None, counts: Callable[[], dict] | None = None,
-            accept: Callable[[Manifest], None] | None = None, keep: int = KEEP) -> tuple[Manifest, object]:
+            accept: Callable[[Manifest], None] | None = None, keep: int = KEEP,
+            companions: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> tuple[Manifest, object]:
     """Writes a folder and makes it what ``path`` stands for; (its manifest, what ``check`` returned).
 
     ``write`` gets the new folder.  Given ``keys`` (may be empty), the folder is Parquet: it is read back,
     ``check`` sees it, and the manifest lists its files with their ranges of ``keys``.  ``counts`` is asked after the write.
+    ``companions`` are tables made from it, written inside the folder as ``_<name>``, which Parquet readers of the folder skip.
     ``accept`` may refuse the manifest by raising.  Any failure leaves what was published before.
     """
     path = path.rstrip("/")
@@ -185,6 +187,8 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], object], keys
             made.keys = list(keys)
             made.rows, made.files = describe(fresh, made.keys)
             result = check(fresh) if check else None
+            for name, make in (companions or {}).items():
+                make(fresh).write.parquet(f"{path}/{made.folder}/_{name}")
         made.counts = counts() if counts else {}
         if accept:
             accept(made)

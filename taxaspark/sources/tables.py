@@ -23,10 +23,11 @@ def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
 
 
 def replace_table(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[DataFrame], object] | None = None,
-                  keys: list[str] | None = None, counts: Callable[[], dict] | None = None):
+                  keys: list[str] | None = None, counts: Callable[[], dict] | None = None,
+                  companions: dict[str, Callable[[DataFrame], DataFrame]] | None = None):
     """Full refresh: write beside, read back, check, then switch; returns what ``check`` returns.
 
     ``path`` stands for the old table until the new one is whole and checked; a failure leaves it
     as it was (see ``snapshots``).
     """
-    return publish(spark, path, write, keys or [], check, counts)[1]
+    return publish(spark, path, write, keys or [], check, counts, companions=companions)[1]
