@@ -14,7 +14,8 @@ rows meet in one task; the driver sees one row a shard.
 
 Defined cases: null text is empty and has size 1; repeated rows are rows of their
 own (and linked to each other); an empty table gives an empty result; other columns
-aren't read.
+aren't read.  Texts of any length count by their bytes and are known by a digest; of shards with as many rows of a
+key the one with the larger hash wins.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from taxaspark.llm.common import join_checked, running_sum, text_bytes, written
 
 SHARDS = 16
-#: Rounds at most; they end when no row can move (two or three, and one more for each shard that a large group fills).
-ROUNDS = 24
 #: Lower ends of the size classes (bytes) that the unlinked rows are placed by, largest first.
 CLASSES = (32_768, 4_096, 512, 0)
 #: Rows of a slice of a running sum, about.
@@ -44,17 +43,24 @@ def _loads(state: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
+def _places(state: DataFrame) -> int:
+    """A number that changes if any row changes its shard."""
+    return state.agg(F.sum(F.pmod(F.xxhash64("rid", "shard"), F.lit(1 << 40)))).first()[0]
+
+
 def _by_shard(values: list, shard: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), shard + 1)
 
 
-def propagate(linked: DataFrame, capacity: int, shards: int = SHARDS, rounds: int = ROUNDS, slices: int = 64) -> DataFrame:
+def propagate(linked: DataFrame, capacity: int, shards: int = SHARDS, slices: int = 64) -> DataFrame:
     """(rid, key, size, shard) of rows (rid, key, size), whose rows of a key are drawn to one shard.
 
-    No round lets a shard take in more bytes than it has free.
+    No round lets a shard take in more bytes than it has free.  Rounds go on until no row can move: two or three, and one
+    more for each shard that a large group fills.  They end, as a row only moves to a shard with as many of its
+    key's rows or more, so the sum of the squares of these counts rises.
     """
     state = written(linked.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int")), "labels")
-    for _ in range(rounds):
+    while True:
         free = [max(0, capacity - b) for b in _loads(state, shards)]
         cells = written(state.groupBy("key", "shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "label_votes")
         # Most members first; between equals the key decides, so that all of them agree.
@@ -78,7 +84,9 @@ def propagate(linked: DataFrame, capacity: int, shards: int = SHARDS, rounds: in
         part = running_sum(part, ["key", "shard"], [F.col("rid")], F.col("size"), "start", slices)
         part = part.select("rid", "key", "size", F.when(F.col("start") + F.col("size") <= F.col("quota"), F.col("to"))
                            .otherwise(F.col("shard")).alias("shard"))
-        state = written(whole.union(part), "labels")
+        before, state = state, written(whole.union(part), "labels")
+        if _places(before) == _places(state):  # the first row of each move that fits in part was too large
+            break
     return state
 
 
@@ -115,7 +123,7 @@ def fill(free_rows: DataFrame, loads: list[int], shards: int, slices: int) -> li
     return placed
 
 
-def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(rid, shard) of every row of (rid, size, key): near equal bytes, rows of a key together.
 
     ``rid`` must be unique and ``rows`` a table that gives the same rows each time.
@@ -125,7 +133,7 @@ def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     capacity = (total["b"] or 0) // shards
     groups = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     marked = written(join_checked(rows, written(groups, "link_groups"), ["key"]), "shard_rows")
-    state = propagate(marked.where("members is not null").select("rid", "key", "size"), capacity, shards, rounds, slices)
+    state = propagate(marked.where("members is not null").select("rid", "key", "size"), capacity, shards, slices)
     stay, over = release(state, capacity, shards, slices)
     loose = marked.where("members is null").select("rid", "size")
     if over is not None:
@@ -134,13 +142,13 @@ def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     return reduce(DataFrame.union, parts).select("rid", "shard")
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row; equal texts are linked."""
     text = text_bytes()
     rows = written(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                                (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                                F.unhex(F.sha2(text, 256)).alias("key")), "shard_sizes")
-    placed = balanced_shards(rows.select("rid", "size", "key"), shards, rounds)
+    placed = balanced_shards(rows.select("rid", "size", "key"), shards)
     full = written(rows.drop("key").join(placed, "rid"), "shard_placed")
     slots = running_sum(full, ["shard"], [F.col("rid")], F.lit(1).cast("long"), "slot", _slices(full.count()))
     return slots.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
