@@ -18,8 +18,8 @@ def pivot_wide(df: DataFrame, index: str, column: str, value: str, values: list
     ``cell='unique'`` fails the job when a cell holds more than one row (as a
     pandas pivot refuses duplicate pairs); ``cell='sum'`` adds them up.
     Missing cells are NULL.  The duplicate check runs inside the aggregation,
-    so no extra pass over the data is made.  ``values`` names the columns (rows
-    of other values are left out); without it they are looked up first, an extra pass.
+    so no extra pass over the data is made.  ``values`` names the columns; a row of any other
+    value fails the job.  Without it they are looked up first, an extra pass.
     """
     if cell == "unique":
         msg = F.concat(F.lit("duplicate pivot cell: "), F.col(index).cast("string"),
@@ -32,4 +32,8 @@ def pivot_wide(df: DataFrame, index: str, column: str, value: str, values: list
     cells = df.groupBy(index, column).agg(cell_value.alias("_cell"))
     if values is None:
         values = pivot_values(df, column)
+    else:
+        other = F.col(column).isNotNull() & ~F.col(column).isin(values)
+        unknown = F.raise_error(F.concat(F.lit("value without a pivot column: "), F.col(column).cast("string")))
+        cells = cells.withColumn(column, F.when(other, unknown.cast("string")).otherwise(F.col(column)))
     return cells.groupBy(index).pivot(column, values).agg(F.first("_cell"))

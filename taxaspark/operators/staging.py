@@ -48,7 +48,7 @@ def planned_bytes(df: DataFrame) -> int | None:
     """The planner's estimate of the size of ``df``; None where it can't be asked."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # Spark Connect client
+    except AttributeError:  # a Spark Connect client has no plan to ask
         return None
 
 

@@ -40,7 +40,7 @@ def get_session(master: str | None = None, app: str = "taxaspark",
     spark = b.getOrCreate()
     try:
         spark.sparkContext.setLogLevel("ERROR")
-    except Exception:  # Spark Connect client: no SparkContext
+    except AttributeError:  # a Spark Connect client has no SparkContext
         pass
     return spark
 
@@ -55,12 +55,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect client: only the session conf is visible
+        except AttributeError:  # a Spark Connect client sees the session's settings only
             root = None
     if not root:
         try:
             master = spark.sparkContext.master
-        except Exception:  # Spark Connect client
+        except AttributeError:  # a Spark Connect client
             master = "a remote session"
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")

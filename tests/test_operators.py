@@ -114,3 +114,11 @@ def test_whole_error_text(spark):
         raise ValueError("x" * 5000)
     rows = table_profile(spark, [TableEntry("t", TABLE, broken)]).collect()
     assert rows[0].error == "ValueError: " + "x" * 5000
+
+
+def test_a_value_without_a_pivot_column_fails(spark):
+    df = spark.createDataFrame([("s1", "a", 1.0), ("s1", None, 2.0), ("s2", "b", 3.0)], "i string, c string, v double")
+    wide = pivot_wide(df, "i", "c", "v", values=["a", "b"], cell="sum")
+    assert sorted(map(tuple, wide.collect())) == [("s1", 1.0, None), ("s2", None, 3.0)]
+    with pytest.raises(Exception, match="without a pivot column: b"):
+        pivot_wide(df, "i", "c", "v", values=["a"], cell="sum").collect()
