@@ -10,7 +10,8 @@ Model size is fixed (``FEATURES`` weights and ``CAL_BINS`` bins), so what reache
 driver doesn't depend on the table.  Defined cases: null text is empty, and an
 empty text is scored like any other; several labels of one document are
 averaged; without any usable label every score is 1 (nothing is known to be
-bad); repeated rows are scored each; an empty table gives an empty result.
+bad); repeated rows are scored each; an empty table gives an empty result.  Texts of any length are
+read whole; rows of one raw score share one calibrated score.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Documents are joined with the fences and filtered.
 Defined cases: null text counts as empty; null language or source is a group of
 its own; an empty text has 0 in every count and fails the base rule; repeated
 rows are counted and judged each; an empty table gives an empty result; other
-columns of the input are not read (``quality_rules``) or passed on (``keep_good``).
+columns of the input are not read (``quality_rules``) or passed on (``keep_good``).  Texts of any length are
+read whole; a ratio equal to its fence is kept.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ star contraction joins the forests to components.
 Defined cases: null or empty text has fingerprint 0 and is linked like any
 other; a text shorter than one shingle is hashed whole; a null id never names a
 component unless all its ids are null; repeated rows share a fingerprint; an
-empty table gives an empty result; other columns of the input are not read.
+empty table gives an empty result; other columns of the input are not read.  Texts of any length are
+read whole, in the memory of one task; a bit set in exactly half the shingles is 0.
 """
 
 from __future__ import annotations
