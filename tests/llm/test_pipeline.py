@@ -55,4 +55,4 @@ def test_run_gives_the_last_stage(spark, stages):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 14))
