@@ -121,7 +121,7 @@ def test_range_layout_splits_a_hot_sample(spark, tmp_dir):
                                     F.col("id").cast("string").alias("marker_id"))
     p = f"{tmp_dir}/t"
     write_table(hot.unionByName(cold), p, layout="range", partitions=8)
-    files = [f for f in glob.glob(os.path.join(local_path(p), "part-*.parquet"))]
+    files = [f for f in glob.glob(os.path.join(local_path(folder(spark, p)), "part-*.parquet"))]
     back = open_table(spark, p)
     assert back.count() == 201_000
     hot_files = back.where(F.col("sample_id") == "hot").select(F.input_file_name()).distinct().count()
