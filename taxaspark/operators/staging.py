@@ -10,9 +10,9 @@ from taxaspark.schemas import DOUBLE, DOUBLE_DASH, KEEP, LONG, Dataset
 from taxaspark.sources.tables import replace_table
 
 LAYOUTS = ("range", "local")
-#: Bytes of input that one output partition should hold.  Smaller inputs are cut into a few parts
-#: all the same, of at least so many bytes, so that one task needn't do it all.
-TARGET_BYTES = 256 * 1024 * 1024
+#: Bytes of input (compressed files: some ten times that as rows) that one output partition should hold.
+#: Smaller inputs are cut into a few parts all the same, of at least so many bytes, so that one task needn't do it all.
+TARGET_BYTES = 32 * 1024 * 1024
 FEW_PARTS, LEAST_BYTES = 8, 16 * 1024
 
 
@@ -45,9 +45,13 @@ def staged_rows(src: DataFrame, ds: Dataset) -> DataFrame:
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """The planner's estimate of the size of ``df``; None where it can't be asked."""
+    """Bytes of all inputs that ``df`` reads, as the planner knows them; None where it can't be asked.
+
+    The inputs' sum, not the plan's own estimate: that of a join is the product of its sides.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:  # a Spark Connect client has no plan to ask
         return None
 

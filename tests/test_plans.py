@@ -177,6 +177,18 @@ def test_partitions_follow_the_input(spark, tmp_dir):
     assert partitions_for(df.limit(1)) >= 1
 
 
+def test_a_joins_partitions_follow_the_sum_of_its_inputs(spark, tmp_dir):
+    """The planner's estimate of a join is the product of both sides."""
+    from taxaspark.operators.staging import partitions_for
+    ids = spark.range(200_000).select("id", F.md5(F.col("id").cast("string")).alias("sample_id"))
+    for name in ("a", "b"):
+        ids.write.parquet(f"{tmp_dir}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_dir}/{name}") for name in ("a", "b"))
+    few = partitions_for(a, 1 << 20)
+    assert few <= partitions_for(a.join(b, "id").drop(b.sample_id), 1 << 20) <= 2 * few + 1
+    assert partitions_for(a.select("id"), 1 << 20) == few  # columns that are left out don't shrink the rows made from the rest
+
+
 def test_more_ids_than_a_literal_list(spark):
     fx = Fixtures(spark, SF_SMALL)
     q = Q.kingdom_composition_long(fx.rel_ab, Q.MAX_ID_LIST + 1)
