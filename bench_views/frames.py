@@ -186,21 +186,32 @@ ODD_NUMBERS: dict[str, tuple[float | None, int | None]] = {
 }
 
 
+#: Files that the driver renames at once.
+RENAMES = 32
+
+
 def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
     """Write ``df`` in the layout of a run: ``<root>/<sample id>/<path tail>``, header lines without '#'."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from taxaspark.sources.snapshots import FileAccess
 
     parts = write_raw_dataset(df, f"{root}.parts-{ds.name}", ds, mark="header")
     access = FileAccess(df.sparkSession, parts)
     to_path, fs = access.to, access.fs
-    for folder in fs.listStatus(to_path(parts)):
-        name = folder.getPath().getName()
-        if not name.startswith("sample_id="):
-            continue
-        file = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
-        to = to_path(f"{root}/{name[len('sample_id='):]}/{ds.path_tail}")
+
+    found = access.jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(to_path(f"{parts}/sample_id=*/part-*")))
+
+    def rename(i: int) -> None:
+        file = found[i]
+        to = to_path(f"{root}/{file.getParent().getName()[len('sample_id='):]}/{ds.path_tail}")
         fs.mkdirs(to.getParent())
-        fs.rename(file, to)
+        if not fs.rename(file, to):
+            raise OSError(f"{file} can't be renamed to {to}")
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        for _ in pool.map(rename, range(len(found))):
+            pass
     return root
 
 
@@ -230,8 +241,10 @@ def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_line
         parts = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # no SparkContext on a Spark Connect client
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Each task moves its own files into place: the driver would move them one by one.
     (rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
          .write.mode("overwrite").partitionBy("sample_id")
+         .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
          .option("sep", "\t").option("quote", '"').option("escape", '"')
          .option("compression", "gzip").csv(root))
     return root

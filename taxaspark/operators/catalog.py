@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaspark.sources.raw import few_listing_tasks
 from taxaspark.sources.snapshots import folder, publish
 
 TABLE, VIEW, EXTERNAL = "TABLE", "VIEW", "EXTERNAL"
@@ -63,7 +64,10 @@ class TableEntry:
     files_regex: str | None = None
 
     def open(self) -> DataFrame:
-        return self.df() if callable(self.df) else self.df
+        """Opened once: profile and schema then list its files once."""
+        if callable(self.df):
+            self.df = self.df()
+        return self.df
 
 
 CATALOG_SCHEMA = T.StructType([
@@ -100,7 +104,8 @@ def files_bytes(spark: SparkSession, path: str, glob: str | None = None, regex:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", "length")
+    with few_listing_tasks(spark):
+        files = reader.load(path).select("path", "length")
     if regex:  # matched against the decoded path (file paths are URIs)
         files = files.where(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))).rlike(regex))
     row = files.agg(F.sum("length").alias("b")).first()

@@ -9,6 +9,7 @@ Raw files are read by staging alone: the layer check goes by the rows counted th
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,7 +28,7 @@ from taxaspark.schemas import (
 )
 from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
-from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src
+from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src, src_of
 from taxaspark.sources.snapshots import FileAccess, latest
 from taxaspark.sources.tables import open_table, read_table, replace_table, table_path
 
@@ -94,8 +95,7 @@ def register_src_views(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]
     for name in cfg.datasets:
         ds = DATASETS[name]
         ext = scan_ext(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-        src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-        for view, df in ((ds.ext_table, ext), (ds.src_view, src)):
+        for view, df in ((ds.ext_table, ext), (ds.src_view, src_of(ext, ds))):
             df.createOrReplaceTempView(view)
             views[view] = df
     return views
@@ -243,8 +243,8 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
 
     Nothing is opened here: the profile opens each object by itself and keeps its error.
     """
-    def raw(scan, ds):
-        return lambda: scan(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing)
+    def raw(ds):
+        return cache(lambda: scan_ext(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing))  # listed once for both layers
 
     def table(name, **more):
         return TableEntry(name, TABLE, lambda: read_table(spark, cfg.warehouse, name),
@@ -254,13 +254,14 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
     for name in cfg.datasets:
         ds = DATASETS[name]
         uris = [dataset_glob(cfg.raw_root, ds)]
-        entries.append(TableEntry(ds.ext_table, EXTERNAL, lambda ds=ds: raw(scan_ext, ds)().drop("file_path", "sample_id"),
+        ext = raw(ds)
+        entries.append(TableEntry(ds.ext_table, EXTERNAL, lambda ext=ext: ext().drop("file_path", "sample_id"),
                                   path=cfg.raw_root, files_glob=ds.path_tail.rsplit("/", 1)[-1],
                                   files_regex=layout_regex(cfg.raw_root, ds),
                                   external_config={"source_uris": uris, "num_source_uris": len(uris),
                                                    "source_format": "CSV", "compression": "GZIP",
                                                    "skip_leading_rows": ds.skip_rows, "field_delimiter": "\t"}))
-        entries.append(TableEntry(ds.src_view, VIEW, raw(scan_src, ds),
+        entries.append(TableEntry(ds.src_view, VIEW, lambda ext=ext, ds=ds: src_of(ext(), ds),
                                   view_query=f"sample_id from path tag '{cfg.run_tag}' + {ds.ext_table}"))
         entries.append(table(ds.stg_table, clustering_fields=["sample_id"]))
     return entries + [table(n) for n in (SAMPLE_MAP_TABLE, ACCESSIONS_TABLE)]

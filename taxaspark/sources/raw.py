@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,29 @@ def dataset_glob(root: str, ds: Dataset) -> str:
 LISTINGS = ("glob", "recursive")
 
 
+LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+#: The most tasks that list folders.  Spark's default is one for each of up to 10,000 folders, and
+#: starting a task takes longer than listing a sample's folder.
+LISTING_TASKS = 400
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Folders are listed, when a reader is made in here, by ``LISTING_TASKS`` tasks at most; the setting is put back."""
+    kept = spark.conf.get(LISTING_KEY)
+    spark.conf.set(LISTING_KEY, str(min(int(kept), LISTING_TASKS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_KEY, kept)
+
+
+def _read_text(spark: SparkSession, reader, where: str | list[str], whole: bool = False) -> DataFrame:
+    # ``text()`` has its own ``wholetext`` argument, which overrides an option.
+    with few_listing_tasks(spark):
+        return reader.text(where, wholetext=whole)
+
+
 def _strip_scheme(path: str) -> str:
     for prefix in ("file://", "file:"):
         if path.startswith(prefix):
@@ -74,13 +98,11 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
     """
     if listing not in LISTINGS:
         raise ValueError(f"listing must be one of {LISTINGS}")
-    # ``text()`` has its own ``wholetext`` argument, which overrides an option.
     if listing == "glob":
-        files = spark.read.text(dataset_glob(root, ds), wholetext=True)
+        files = _read_text(spark, spark.read, dataset_glob(root, ds), whole=True)
     else:
-        files = (spark.read.option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-                 .text(root, wholetext=True))
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+        files = _read_text(spark, reader, root, whole=True)
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     if listing == "recursive":
         df = df.where(in_layout(root, ds))
@@ -135,7 +157,7 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame,
     if isinstance(paths, DataFrame):  # from ``read_lines``: file_path, line
         df = paths
     else:
-        files = spark.read.text(paths)
+        files = _read_text(spark, spark.read, paths)
         df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
     df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
@@ -150,9 +172,8 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame,
 
 def read_lines(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
     """Line-mode counterpart of ``read_files(listing='recursive')``: ``file_path``, ``line``."""
-    files = (spark.read.option("recursiveFileLookup", True)
-             .option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-             .text(root))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+    files = _read_text(spark, reader, root)
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
     return df.where(in_layout(root, ds))
 
@@ -171,8 +192,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str] | DataFrame, skip_row
     if isinstance(paths, DataFrame):
         df = paths
     else:
-        # ``text()`` has its own ``wholetext`` argument, which overrides an option.
-        files = spark.read.text(paths, wholetext=True)
+        files = _read_text(spark, spark.read, paths, whole=True)
         df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     df = df.withColumn("sample_id", sample_id_from_path("file_path", run_tag, id_pattern))
     if sample_ids is not None:
@@ -205,8 +225,8 @@ def _text(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] |
     if paths is None and listing == "recursive":
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
     where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
-    files = reader.text(where, wholetext=whole).select(F.col("_metadata.file_path").alias("file_path"),
-                                                       F.col("_metadata.file_size").alias("size"), "value")
+    files = _read_text(spark, reader, where, whole).select(F.col("_metadata.file_path").alias("file_path"),
+                                                           F.col("_metadata.file_size").alias("size"), "value")
     return files.where(in_layout(root, ds)) if paths is None and listing == "recursive" else files
 
 
@@ -217,7 +237,9 @@ def has_large_files(spark: SparkSession, root: str, ds: Dataset, paths: str | li
     if paths is None and listing == "recursive":
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
     where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
-    return not reader.load(where).where(F.col("length") >= bound).select("path").isEmpty()
+    with few_listing_tasks(spark):
+        files = reader.load(where)
+    return not files.where(F.col("length") >= bound).select("path").isEmpty()
 
 
 def dataset_lines_routed(spark: SparkSession, root: str, ds: Dataset, run_tag: str, sample_ids: Iterable[str] | None,
@@ -270,5 +292,9 @@ def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
              id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
-    ext = scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
+    return src_of(scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode), ds)
+
+
+def src_of(ext: DataFrame, ds: Dataset) -> DataFrame:
+    """The ``src_*`` layer of an ``ext_*`` layer: the files aren't listed again."""
     return ext.select("sample_id", *[f.name for f in ds.raw_schema.fields])

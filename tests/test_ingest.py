@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from bench_views.frames import write_run
 from taxaspark import schemas
 from taxaspark.operators.checks import key_check
 from taxaspark.operators.joins import join_sample_map
@@ -288,3 +289,58 @@ def _small_route(spark, root, listing):
     from taxaspark.sources.raw import _text
     return _text(spark, root, AB, None, listing, True).where(F.col("size") < 1000).selectExpr("explode(split(value, '\n')) as line").where(
         "line like 'm%'").count()
+
+
+def _run_of(spark, tmp_dir, samples):
+    rows = spark.range(samples * 2).select(F.md5((F.col("id") % samples).cast("string")).alias("sample_id"),
+                                           F.concat(F.lit("M"), F.col("id")).alias("marker_id"), F.lit("1").alias("presence"))
+    return rows, write_run(rows, f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", schemas.MARKER_PRESENCE)
+
+
+def test_a_runs_files_are_moved_side_by_side(spark, tmp_dir, monkeypatch):
+    """One after the other took most of the time of a run with many samples."""
+    import threading
+
+    from taxaspark.sources import snapshots
+
+    class Seen:
+        def __init__(self, fs):
+            self.fs, self.threads = fs, set()
+
+        def __getattr__(self, name):
+            if name == "rename":
+                self.threads.add(threading.get_ident())
+            return getattr(self.fs, name)
+
+    seen = []
+
+    class Access(snapshots.FileAccess):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.fs = Seen(self.fs)
+            seen.append(self.fs)
+
+    monkeypatch.setattr(snapshots, "FileAccess", Access)
+    rows, root = _run_of(spark, tmp_dir, 50)
+    assert len(seen[0].threads) > 4
+    back = scan_src(spark, root, schemas.MARKER_PRESENCE)
+    assert sorted((r.sample_id, r.marker_id) for r in back.collect()) == sorted((r.sample_id, r.marker_id) for r in rows.collect())
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_dir, monkeypatch):
+    from taxaspark.sources import raw
+
+    monkeypatch.setattr(raw, "LISTING_TASKS", 3)
+    rows, root = _run_of(spark, tmp_dir, 50)
+    kept = spark.conf.get(raw.LISTING_KEY)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listed", "listed")
+    try:
+        src = scan_src(spark, root, schemas.MARKER_PRESENCE, mode="auto")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(raw.LISTING_KEY) == kept
+    assert src.count() == rows.count()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listed") for s in tracker.getJobInfo(j).stageIds]
+    listing = [s.numTasks for s in stages if s and s.name.startswith(("text at", "load at"))]
+    assert listing and max(listing) == 3

@@ -178,3 +178,21 @@ def test_catalog_goes_on_over_missing_tables(spark, tmp_dir):
     prof = {r.table_id: r for r in P.refresh_metadata(spark, cfg)["profile"].collect()}
     assert prof["stg_marker_presence"].num_rows == 6 and prof["stg_marker_abundance"].error
     assert prof["src_sra_accessions"].error
+
+
+def test_the_catalog_lists_each_datasets_files_once(spark, tmp_dir, monkeypatch):
+    """Profile and schema of ext_ and src_ come from one scan."""
+    from bench_views.frames import write_run
+
+    rows = spark.createDataFrame([("s1", "M1", "1"), ("s2", "M1", "0")], "sample_id string, marker_id string, presence string")
+    cfg = P.Config(raw_root=f"{tmp_dir}/{schemas.DEFAULT_RUN_TAG}", warehouse=f"{tmp_dir}/wh", datasets=("marker_presence",))
+    write_run(rows, cfg.raw_root, schemas.MARKER_PRESENCE)
+    scans, scan = [], P.scan_ext
+    monkeypatch.setattr(P, "scan_ext", lambda *a, **k: scans.append(1) or scan(*a, **k))
+    made = P.refresh_metadata(spark, cfg)
+    fields = {(r.table_id, r.field_name) for r in made["schema"].collect()}
+    assert fields == {("ext_marker_presence", "marker_id"), ("ext_marker_presence", "presence"),
+                      *(("src_marker_presence", c) for c in ("sample_id", "marker_id", "presence"))}
+    assert len(scans) == 1
+    P.register_src_views(spark.newSession(), cfg)
+    assert len(scans) == 2
