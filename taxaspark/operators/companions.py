@@ -79,11 +79,13 @@ def sample_codes(df: DataFrame) -> DataFrame:
 def bitmaps(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
     """(column, bucket, bitmap): the samples that have each value, 32,768 codes a bitmap.
 
-    One aggregation whose state is the bitmap itself; a value of very many rows is one bitmap a task and bucket.
+    One aggregation whose state is the bitmap itself.  Rows are dealt by value and bucket first: as rows
+    they are some dozens of bytes, while a bitmap for each value, bucket and task is 4 KB, whatever it holds.
+    A value of very many rows is spread over its buckets.
     """
     rows = df.select(column, "sample_id").join(codes, "sample_id")
-    return rows.groupBy(column, F.bitmap_bucket_number("code").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bitmap"))
+    places = rows.select(column, F.bitmap_bucket_number("code").alias("bucket"), F.bitmap_bit_position("code").alias("position"))
+    return places.repartition(column, "bucket").groupBy(column, "bucket").agg(F.bitmap_construct_agg("position").alias("bitmap"))
 
 
 def united(tables: list[DataFrame], column: str) -> DataFrame:

@@ -77,6 +77,18 @@ def test_bitmaps_count_exactly(spark, tmp_dir):
     assert maps.select("bucket").distinct().count() <= 2 * spark.sparkContext.defaultParallelism
 
 
+def test_no_bitmap_is_shuffled(spark, tmp_dir):
+    """Bitmaps of few samples each are 4 KB apiece: rows go over the network, bitmaps stay in the task that counts them."""
+    rows = spark.range(20_000).select(F.concat(F.lit("s"), F.col("id")).alias("sample_id"), F.concat(F.lit("m"), F.col("id") % 9000).alias("marker_id"))
+    write_table(rows, f"{tmp_dir}/t", companions={"sample_codes": C.sample_codes})
+    maps = C.bitmaps(open_table(spark, f"{tmp_dir}/t"), C.open_companion(spark, f"{tmp_dir}/t", "sample_codes"), "marker_id")
+    counts = C.sample_counts(maps, "marker_id", "n")
+    assert counts.agg(F.sum("n"), F.count("*")).first()[:] == (20_000, 9000)
+    shuffled = [x for x in plan(counts).splitlines() if "Exchange hashpartitioning" in x]
+    steps = plan(counts).split("Exchange hashpartitioning")
+    assert shuffled and not any("bitmap_construct_agg" in below.split("\n", 2)[1] for below in steps[1:])
+
+
 def test_a_block_sample_opens_its_files_only(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     write_table(spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("sample_id")), path, partitions=40)
