@@ -48,12 +48,25 @@ def ends_inside(line: str, inside: bool, sep: str, quote: str = QUOTE) -> bool:
         inside = False
 
 
+#: Bytes that one task reads at least, where blocks are smaller.
+TASK_BYTES = 32 * 1024 * 1024
+
+
 def _lines(spark: SparkSession, path: str | list[str], block_bytes: int | None) -> DataFrame:
-    """(file, block, line): lines in order within a block of a file; CR stays at a line's end."""
+    """(file, block, line): lines in order within a block of a file; CR stays at a line's end.
+
+    Many small blocks share a task; of a small input every core has a few tasks all the same.
+    """
     if block_bytes:  # a session of its own: settings of the caller's stay as they are
         spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
     text = spark.read.option("lineSep", "\n").text(path)
+    if block_bytes and block_bytes < TASK_BYTES:
+        from taxaspark.operators.staging import planned_bytes
+
+        size = planned_bytes(text)
+        if size is not None:
+            text = text.select("value", "_metadata").coalesce(max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
 
 
@@ -90,7 +103,7 @@ def _steps(batches, sep: str):
                                      names=["file", "block", "outside", "inside"])
 
 
-def _records(batches, sep: str, starts: dict):
+def _records(batches, sep: str, starts: BlockStarts | dict):
     """Records of each block; ``part`` is null for a whole one, else a fragment: 0 ends a record, 1 goes on, 2 begins one."""
     import numpy as np
     import pyarrow as pa
@@ -157,17 +170,40 @@ def _records(batches, sep: str, starts: dict):
         yield out
 
 
-def block_starts(lines: DataFrame, sep: str) -> dict:
-    """{(file, block): does it start inside a quoted field}; the driver sees one row a block."""
+class BlockStarts:
+    """``starts[file, block]``: does it start inside a quoted field.
+
+    Every task gets this, so it holds the numbers of such blocks alone, eight bytes each.
+    """
+
+    def __init__(self, inside: dict[str, list[int]]):
+        import numpy as np
+
+        self.inside = {file: np.array(blocks, np.int64) for file, blocks in inside.items()}  # sorted
+
+    def __getitem__(self, place: tuple[str, int]) -> bool:
+        blocks = self.inside.get(place[0])
+        if blocks is None:
+            return False
+        at = int(blocks.searchsorted(place[1]))
+        return at < len(blocks) and int(blocks[at]) == place[1]
+
+    def __bool__(self) -> bool:
+        return bool(self.inside)
+
+
+def block_starts(lines: DataFrame, sep: str) -> BlockStarts:
+    """The blocks that start inside a quoted field; the driver sees one row a block."""
     from functools import partial
 
     steps = lines.mapInArrow(partial(_steps, sep=sep), "file string, block long, outside boolean, inside boolean")
-    merged, state, at = {}, False, None
+    found, state, at = {}, False, None
     for file, block, outside, inside in sorted(tuple(r) for r in steps.collect()):
         state = state if file == at else False
-        merged[file, block] = state
+        if state:
+            found.setdefault(file, []).append(block)
         state, at = (inside if state else outside), file
-    return merged
+    return BlockStarts(found)
 
 
 def quoted_records(spark: SparkSession, path: str | list[str], sep: str, block_bytes: int | None = None) -> DataFrame:
@@ -178,7 +214,7 @@ def quoted_records(spark: SparkSession, path: str | list[str], sep: str, block_b
     starts = block_starts(lines, sep)
     found = lines.mapInArrow(partial(_records, sep=sep, starts=starts),
                              "file string, block long, part int, record string, header boolean")
-    if not any(starts.values()):
+    if not starts:
         whole = found.select("file", "record", "header")
     else:
         # Fragments: two a block at most.  A record is one value whatever its number of fragments.

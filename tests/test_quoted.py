@@ -143,7 +143,7 @@ def test_a_load_reads_the_dump_once_in_many_tasks(spark, tmp_dir):
     rows = [(f"ERR{i}", texts(rng), str(i)) for i in range(500)]
     path = f"{local_path(tmp_dir)}/acc.tsv"
     write(path, rows, "\n")
-    with open(path) as f:
+    with open(path, newline="") as f:
         body = f.read().replace("id\tx\ty", "Accession\tTitle\tSpots", 1)
     with open(path, "w", newline="") as f:
         f.write(body)
@@ -166,3 +166,22 @@ def test_sample_map_in_blocks(spark, tmp_dir):
     got = read_sample_map(spark, path, block_bytes=200)
     assert got.count() == 300 and got.where(F.col("sample_name") == "name\nwith, newline").count() == 300
     assert os.path.getsize(path) > 20 * 200
+
+
+def test_many_small_blocks_share_tasks(spark, tmp_dir, monkeypatch):
+    """A task's start and the list of open blocks that it gets cost more than a small block."""
+    import pickle
+
+    path = f"{local_path(tmp_dir)}/many.csv"
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["sample_id", "run_ids", "sample_name", "study_name"])
+        w.writerows([(f"s{i}", "a;b", "name\r\nwith, \"newline\"\n", "st") for i in range(4000)])
+    lines = quoted._lines(spark, path, 200)
+    blocks = lines.select("block").distinct().count()
+    assert blocks > 500
+    assert lines.select(F.spark_partition_id().alias("p")).distinct().count() <= 4 * spark.sparkContext.defaultParallelism
+    starts = quoted.block_starts(lines, ",")
+    assert starts and len(pickle.dumps(starts)) < 10 * blocks + 2000
+    got = read_sample_map(spark, path, block_bytes=200)
+    assert {(r.sample_id, r.sample_name) for r in got.collect()} == {(f"s{i}", "name\r\nwith, \"newline\"\n") for i in range(4000)}
