@@ -9,13 +9,15 @@ FIXTURES.md §2; ``bench_views.sql`` has the same views as SQL.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark import schemas
-from taxaspark.operators.staging import stage
+from taxaspark.operators.staging import planned_bytes, stage
+from taxaspark.session import local_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -196,6 +198,9 @@ def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
 
     from taxaspark.sources.snapshots import FileAccess
 
+    if on_local_files(df.sparkSession, root):
+        write_sample_files(df, root, ds, "{}/" + ds.path_tail, mark="header")
+        return root
     parts = write_raw_dataset(df, f"{root}.parts-{ds.name}", ds, mark="header")
     access = FileAccess(df.sparkSession, parts)
     to_path, fs = access.to, access.fs
@@ -215,18 +220,22 @@ def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
     return root
 
 
-def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None,
-                      mark: str = "#header") -> str:
-    """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
+def on_local_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is on a mounted file system, which tasks can write to without Hadoop."""
+    from taxaspark.sources.snapshots import FileAccess
 
-    One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
-    ``ds.skip_rows`` header lines (all but the last begin with ``mark``).  Read
-    them back with ``id_pattern=RAW_ID_PATTERN`` and ``paths=raw_glob(root)``.
-    Each sample's rows go to one task (hash exchange on ``sample_id``); the
+    return FileAccess(spark, path).fs.getScheme() == "file"
+
+
+def raw_rows(df: DataFrame, ds: schemas.Dataset, header_lines: int | None, mark: str) -> DataFrame:
+    """``sample_id`` and the raw columns as texts, headers included: each sample's rows in one task, in order.
+
+    The rows are dealt by a hash exchange on ``sample_id``; the
     header rows are made per sample with ``explode``, not a join.
     """
     n = ds.skip_rows if header_lines is None else header_lines
     cols = [f.name for f in ds.raw_schema.fields]
+    df = df.withColumn("sample_id", F.nullif("sample_id", F.lit("")))  # both have the folder of no name: one file
     data = df.select("sample_id", F.lit(0).alias("_ord"), *[F.col(c).cast("string").alias(c) for c in cols])
     first_text = F.when(F.col("_ord") == -1, F.lit("\t".join(cols))) \
         .otherwise(F.concat(F.lit(f"{mark} "), F.col("_ord").cast("string")))
@@ -241,12 +250,90 @@ def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_line
         parts = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # no SparkContext on a Spark Connect client
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = planned_bytes(df)
+    if size is not None and size < 1 << 60:
+        parts = max(parts, -(-size // TASK_BYTES))
+    return rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
+
+
+#: Bytes of the inputs (Parquet: some ten times that as rows) that one task writes as samples.
+TASK_BYTES = 16 * 1024 * 1024
+CSV = {"sep": "\t", "quote": '"', "escape": '"'}
+
+
+def write_sample_files(df: DataFrame, root: str, ds: schemas.Dataset, tail: str, header_lines: int | None = None,
+                       mark: str = "#header") -> None:
+    """One gzipped TSV per sample at ``<root>/<tail>``, whose ``{}`` is the sample's folder; for mounted file systems.
+
+    Tasks write the files where they belong; with Spark's writer a file took longer than its rows, and the driver had to move it.
+    A file appears whole, under its name; a task that is repeated replaces it.
+    """
+    cols = [f.name for f in ds.raw_schema.fields]
+    top = local_path(root)
+
+    def write(batches):
+        import gzip
+        import os
+        import uuid
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last, temp, out, files = "", None, None, 0  # no folder's name is empty
+
+        def folder_name(sample_id: str | None) -> str:
+            """As ``partitionBy`` names it: characters that paths can't hold are %XX."""
+            odd = "\"#%'*/:=?\\\x7f{[]^"
+            return "".join(f"%{ord(c):02X}" if c < " " or c in odd else c for c in sample_id or "__HIVE_DEFAULT_PARTITION__")
+
+        def done() -> None:
+            if out is not None:
+                out.close()
+                os.replace(temp, os.path.join(top, tail.format(last)))
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            lines = batch.column(1)
+            offsets = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset:lines.offset + len(lines) + 1]
+            text = memoryview(lines.buffers()[2])
+            runs, i = pc.run_end_encode(batch.column(0)), 0
+            for sample, j in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                name = folder_name(sample)
+                if name != last:
+                    done()
+                    to = os.path.join(top, tail.format(name))
+                    os.makedirs(os.path.dirname(to), exist_ok=True)
+                    last, files = name, files + 1
+                    temp = os.path.join(os.path.dirname(to), f".{uuid.uuid4().hex}.tmp")
+                    out = gzip.open(temp, "wb", compresslevel=6)
+                out.write(text[offsets[i]:offsets[j]])
+                i = j
+        done()
+        yield pa.RecordBatch.from_arrays([pa.array([files])], ["files"])
+
+    line = F.concat(F.to_csv(F.struct(*cols), CSV), F.lit("\n"))
+    rows = raw_rows(df, ds, header_lines, mark).select("sample_id", line.alias("line"))
+    os.makedirs(top, exist_ok=True)
+    rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None,
+                      mark: str = "#header") -> str:
+    """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
+
+    One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
+    ``ds.skip_rows`` header lines (all but the last begin with ``mark``).  Read
+    them back with ``id_pattern=RAW_ID_PATTERN`` and ``paths=raw_glob(root)``.
+    """
+    if on_local_files(df.sparkSession, root):
+        write_sample_files(df, root, ds, "sample_id={}/part-0.csv.gz", header_lines, mark)
+        return root
     # Each task moves its own files into place: the driver would move them one by one.
-    (rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
-         .write.mode("overwrite").partitionBy("sample_id")
+    (raw_rows(df, ds, header_lines, mark).write.mode("overwrite").partitionBy("sample_id")
          .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-         .option("sep", "\t").option("quote", '"').option("escape", '"')
-         .option("compression", "gzip").csv(root))
+         .options(**CSV).option("compression", "gzip").csv(root))
     return root
 
 

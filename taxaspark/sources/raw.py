@@ -48,9 +48,13 @@ LISTING_TASKS = 400
 
 @contextmanager
 def few_listing_tasks(spark: SparkSession):
-    """Folders are listed, when a reader is made in here, by ``LISTING_TASKS`` tasks at most; the setting is put back."""
+    """Folders are listed, when a reader is made in here, by ``LISTING_TASKS`` tasks at most, and four a core; the setting is put back."""
     kept = spark.conf.get(LISTING_KEY)
-    spark.conf.set(LISTING_KEY, str(min(int(kept), LISTING_TASKS)))
+    try:
+        most = min(LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on a Spark Connect client
+        most = LISTING_TASKS
+    spark.conf.set(LISTING_KEY, str(min(int(kept), most)))
     try:
         yield
     finally:

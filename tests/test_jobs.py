@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from taxaspark import schemas
 from taxaspark.plans import jobs as P
+from taxaspark.session import local_path
 from taxaspark.sources.snapshots import folder
 from taxaspark.sources.tables import open_table
 
@@ -196,3 +197,48 @@ def test_the_catalog_lists_each_datasets_files_once(spark, tmp_dir, monkeypatch)
     assert len(scans) == 1
     P.register_src_views(spark.newSession(), cfg)
     assert len(scans) == 2
+
+
+def test_tasks_write_a_run_where_it_belongs(spark, tmp_dir):
+    """The files hold what Spark's CSV writer writes, under its folder names, and nothing is moved afterwards."""
+    from bench_views.frames import CSV, raw_rows, write_raw_dataset, write_run
+
+    ds = schemas.MARKER_PRESENCE
+    values = ["M1", "", None, 'a "b"', "tab\there", "two\nlines", " blank ", "#x", "\u00e9"]
+    rows = [(s, v, v) for s in ("s1", "a/b%", "", None) for v in values]
+    df = spark.createDataFrame(rows * 3000, "sample_id string, marker_id string, presence string")
+    root = local_path(write_run(df, f"{tmp_dir}/runs/{schemas.DEFAULT_RUN_TAG}", ds))
+    assert os.listdir(os.path.dirname(root)) == [schemas.DEFAULT_RUN_TAG]  # no folder that files were moved from
+    by_spark = f"{local_path(tmp_dir)}/by_spark"
+    raw_rows(df, ds, None, "header").write.partitionBy("sample_id").options(**CSV).option("compression", "gzip").csv(by_spark)
+    folders = {n[len("sample_id="):] for n in os.listdir(by_spark) if n.startswith("sample_id=")}
+    assert set(os.listdir(root)) == folders == {"s1", "a%2Fb%25", "__HIVE_DEFAULT_PARTITION__"}
+
+    def lines(folder, files):
+        return sorted(b"".join(gzip.open(os.path.join(folder, f)).read() for f in files).split(b"\n"))
+
+    for name in folders:
+        theirs = f"{by_spark}/sample_id={name}"
+        mine = os.path.join(root, name, os.path.dirname(ds.path_tail))
+        assert os.listdir(mine) == [os.path.basename(ds.path_tail)]
+        assert lines(mine, os.listdir(mine)) == lines(theirs, [f for f in os.listdir(theirs) if f.startswith("part-")])
+    top = local_path(write_raw_dataset(df.where("sample_id = 's1'"), f"{tmp_dir}/raw", ds))
+    with gzip.open(f"{top}/sample_id=s1/part-0.csv.gz", "rt") as f:
+        assert f.readline() == f'"#header -{ds.skip_rows}"\t\n'
+
+
+def test_a_listing_has_four_tasks_a_core_at_most(spark):
+    from taxaspark.sources import raw
+
+    with raw.few_listing_tasks(spark):
+        assert int(spark.conf.get(raw.LISTING_KEY)) <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_two_runs_are_listed_once_and_their_names_cut_without_a_regex(spark, monkeypatch):
+    import __spark_entry__ as e
+
+    scans, scan = [], e.scan_ext
+    monkeypatch.setattr(e, "scan_ext", lambda *a, **k: scans.append(1) or scan(*a, **k))
+    monkeypatch.setattr(e, "scan_src", lambda *a, **k: scans.append(1), raising=False)
+    plan = e.a4(spark, e.SF_SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(scans) == 1 and "substring_index" in plan and "]+)$" not in plan
