@@ -12,7 +12,7 @@ from taxaspark.sources.tables import replace_table
 LAYOUTS = ("range", "local")
 #: Bytes of input (compressed files: some ten times that as rows) that one output partition should hold.
 #: Smaller inputs are cut into a few parts all the same, of at least so many bytes, so that one task needn't do it all.
-TARGET_BYTES = 32 * 1024 * 1024
+TARGET_BYTES = 16 * 1024 * 1024
 FEW_PARTS, LEAST_BYTES = 8, 16 * 1024
 
 

@@ -10,7 +10,7 @@ find either the folder before or the one after.  The last ``KEEP`` folders stay,
 still use them; folders that no manifest names (of jobs that died) go after ``ORPHAN_HOURS``.
 A folder without manifests is read as it is.
 
-Nothing but names goes through the driver; the manifests' figures come from one aggregate over the written files.
+Nothing but names goes through the driver; the manifests' figures come from one pass over the written files.
 """
 
 from __future__ import annotations
@@ -155,11 +155,50 @@ def folder(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/{found.folder}" if found else path
 
 
+def batch_ends(keys: list[str]):
+    """A ``mapInArrow`` function: of each run of rows of one file in a batch, its rows and its first and last key (nulls first).
+
+    Returned as a closure so it is shipped to the Python workers by value.
+    """
+    def ends(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            run = pc.run_end_encode(batch.column("name"))
+            begin = 0
+            for name, end in zip(run.values.to_pylist(), run.run_ends.to_pylist()):
+                rows = batch.slice(begin, end - begin)
+                out = [pa.array([name]), pa.array([end - begin], pa.int64())]
+                if keys:
+                    order = pc.sort_indices(rows, sort_keys=[(k, "ascending") for k in keys], null_placement="at_start")
+                    both = [rows.take(order[at:at + 1]).select(keys) for at in (0, len(rows) - 1)]
+                    out += [pa.StructArray.from_arrays(b.columns, names=keys) for b in both]
+                begin = end
+                yield pa.RecordBatch.from_arrays(out, ["name", "rows", "first", "last"][:len(out)])
+
+    return ends
+
+
+def file_ends(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(name, rows, first, last) of each file of written Parquet.
+
+    Spark aggregates texts by sorting all rows, so tasks first take the ends of each batch as it comes;
+    what is aggregated is some rows a file.
+    """
+    rows = df.select(F.col("_metadata.file_name").alias("name"), *keys)
+    if not keys:
+        return rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    kind = rows.select(F.struct(*keys).alias("k")).schema["k"].dataType.simpleString()
+    ends = rows.mapInArrow(batch_ends(keys), f"name string, rows long, first {kind}, last {kind}")
+    return ends.groupBy("name").agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
 def describe(df: DataFrame, keys: list[str]) -> tuple[int, list[dict]]:
-    """(rows, files) of written Parquet: each file's rows and first and last key, by one aggregate over the key columns."""
-    name = F.regexp_extract("_metadata.file_path", "([^/]+)$", 1)
-    ends = [F.min(F.struct(*keys)).alias("first"), F.max(F.struct(*keys)).alias("last")] if keys else []
-    found = df.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("rows"), *ends).orderBy("name").collect()  # one row a file
+    """(rows, files) of written Parquet: each file's rows and first and last key, by one pass over the key columns."""
+    found = file_ends(df, keys).orderBy("name").collect()  # one row a file
     files = [{"name": r["name"], "rows": r["rows"], "first": list(r["first"]) if keys else [], "last": list(r["last"]) if keys else []}
              for r in found]
     return sum(f["rows"] for f in files), files

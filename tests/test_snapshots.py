@@ -144,3 +144,21 @@ def test_rows_are_counted_once_whatever_fails(tmp_dir):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", RETRIES, root, f"{tmp_dir}/t"], capture_output=True, text=True, timeout=240)
     assert [x for x in out.stdout.splitlines() if x.startswith("COUNTED")] == ["COUNTED 3000 2000 2000"] * 2, out.stderr[-2000:]
+
+
+def test_the_manifest_takes_each_files_ends_without_sorting_its_rows(spark, tmp_dir):
+    """Nulls come first; the rows that Spark aggregates are those of batches, not of the table."""
+    rows = [(None, "x"), ("b", None), ("b", "a"), ("", "z"), ("\u00e9", "m"), ("a", "q"), ("a", "b")]
+    path = f"{tmp_dir}/t"
+    for i, part in enumerate((rows, rows[1:3], rows[3:])):
+        spark.createDataFrame(part, "k string, m string").coalesce(1).write.mode("append").parquet(path)
+    df = spark.read.parquet(path)
+    plan = S.file_ends(df, ["k", "m"])._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract" not in plan
+    n, files = S.describe(df, ["k", "m"])
+    assert n == 13
+    place = lambda key: [(v is not None, (v or "").encode()) for v in key]
+    want = sorted((len(p), list(min(p, key=place)), list(max(p, key=place))) for p in ([list(r) for r in rows], [list(r) for r in rows[1:3]]))
+    assert sorted((f["rows"], f["first"], f["last"]) for f in files if f["rows"] != 4) == want
+    assert [(f["first"], f["last"]) for f in files if f["rows"] == 4] == [(["", "z"], ["\u00e9", "m"])]
+    assert S.describe(df, [])[0] == 13
