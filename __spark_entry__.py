@@ -16,6 +16,7 @@ import hashlib
 import os
 import sys
 from collections.abc import Callable
+from functools import partial
 
 # The package sits next to this file; make it importable however this file is loaded.
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -25,7 +26,8 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bench_views.frames import ODD_NUMBERS, RAW_ID_PATTERN, Fixtures, raw_glob, write_raw_dataset, write_run
+from bench_views import frames
+from bench_views.frames import ODD_NUMBERS, RAW_ID_PATTERN, Fixtures, raw_glob
 from bench_views.sql import with_views
 from taxaspark import schemas
 from taxaspark.functions.columns import (
@@ -58,6 +60,10 @@ except ModuleNotFoundError as exc:
         raise
     corpus_pipeline = llm_queries = None
 
+# The scratch folder is shared with the tasks.
+write_run = partial(frames.write_run, in_place=True)
+write_raw_dataset = partial(frames.write_raw_dataset, in_place=True)
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # Fixed query parameters (FIXTURES.md §3).

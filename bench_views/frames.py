@@ -192,13 +192,16 @@ ODD_NUMBERS: dict[str, tuple[float | None, int | None]] = {
 RENAMES = 32
 
 
-def write_run(df: DataFrame, root: str, ds: schemas.Dataset) -> str:
-    """Write ``df`` in the layout of a run: ``<root>/<sample id>/<path tail>``, header lines without '#'."""
+def write_run(df: DataFrame, root: str, ds: schemas.Dataset, in_place: bool = False) -> str:
+    """Write ``df`` in the layout of a run: ``<root>/<sample id>/<path tail>``, header lines without '#'.
+
+    ``in_place``: where ``root`` is on a file system that tasks have mounted, they write the files there; else the driver moves them.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
     from taxaspark.sources.snapshots import FileAccess
 
-    if on_local_files(df.sparkSession, root):
+    if in_place and on_local_files(df.sparkSession, root):
         write_sample_files(df, root, ds, "{}/" + ds.path_tail, mark="header")
         return root
     parts = write_raw_dataset(df, f"{root}.parts-{ds.name}", ds, mark="header")
@@ -320,14 +323,15 @@ def write_sample_files(df: DataFrame, root: str, ds: schemas.Dataset, tail: str,
 
 
 def write_raw_dataset(df: DataFrame, root: str, ds: schemas.Dataset, header_lines: int | None = None,
-                      mark: str = "#header") -> str:
+                      mark: str = "#header", in_place: bool = False) -> str:
     """Write ``df`` (``sample_id`` + the raw columns) as raw per-sample files.
 
     One gzipped TSV per sample under ``<root>/sample_id=<id>/``, starting with
     ``ds.skip_rows`` header lines (all but the last begin with ``mark``).  Read
     them back with ``id_pattern=RAW_ID_PATTERN`` and ``paths=raw_glob(root)``.
+    ``in_place`` as for ``write_run``.
     """
-    if on_local_files(df.sparkSession, root):
+    if in_place and on_local_files(df.sparkSession, root):
         write_sample_files(df, root, ds, "sample_id={}/part-0.csv.gz", header_lines, mark)
         return root
     # Each task moves its own files into place: the driver would move them one by one.

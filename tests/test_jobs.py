@@ -207,7 +207,7 @@ def test_tasks_write_a_run_where_it_belongs(spark, tmp_dir):
     values = ["M1", "", None, 'a "b"', "tab\there", "two\nlines", " blank ", "#x", "\u00e9"]
     rows = [(s, v, v) for s in ("s1", "a/b%", "", None) for v in values]
     df = spark.createDataFrame(rows * 3000, "sample_id string, marker_id string, presence string")
-    root = local_path(write_run(df, f"{tmp_dir}/runs/{schemas.DEFAULT_RUN_TAG}", ds))
+    root = local_path(write_run(df, f"{tmp_dir}/runs/{schemas.DEFAULT_RUN_TAG}", ds, in_place=True))
     assert os.listdir(os.path.dirname(root)) == [schemas.DEFAULT_RUN_TAG]  # no folder that files were moved from
     by_spark = f"{local_path(tmp_dir)}/by_spark"
     raw_rows(df, ds, None, "header").write.partitionBy("sample_id").options(**CSV).option("compression", "gzip").csv(by_spark)
@@ -222,7 +222,7 @@ def test_tasks_write_a_run_where_it_belongs(spark, tmp_dir):
         mine = os.path.join(root, name, os.path.dirname(ds.path_tail))
         assert os.listdir(mine) == [os.path.basename(ds.path_tail)]
         assert lines(mine, os.listdir(mine)) == lines(theirs, [f for f in os.listdir(theirs) if f.startswith("part-")])
-    top = local_path(write_raw_dataset(df.where("sample_id = 's1'"), f"{tmp_dir}/raw", ds))
+    top = local_path(write_raw_dataset(df.where("sample_id = 's1'"), f"{tmp_dir}/raw", ds, in_place=True))
     with gzip.open(f"{top}/sample_id=s1/part-0.csv.gz", "rt") as f:
         assert f.readline() == f'"#header -{ds.skip_rows}"\t\n'
 
