@@ -16,6 +16,7 @@ import hashlib
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 # The package sits next to this file; make it importable however this file is loaded.
@@ -580,11 +581,10 @@ def _fixture_catalog(spark, sf) -> list[TableEntry]:
     if app is None or key not in _WAREHOUSES:
         fx = Fixtures(spark, sf)
         root = scratch_path(spark, "warehouse")
-        entries = []
-        for name, ds in schemas.DATASETS.items():
-            p = f"{root}/{ds.stg_table}"
-            write_table(fx.staged(name), p)
-            entries.append((ds.stg_table, p, ["sample_id"]))
+        staged = {f"{root}/{ds.stg_table}": fx.staged(name) for name, ds in schemas.DATASETS.items()}
+        with ThreadPoolExecutor(len(staged)) as pool:  # side by side: one table's few tasks don't fill the cores
+            list(pool.map(lambda p: write_table(staged[p], p), staged))
+        entries = [(p.rsplit("/", 1)[-1], p, ["sample_id"]) for p in staged]
         p = f"{root}/{schemas.SAMPLE_MAP_TABLE}"
         fx.sample_map.write.mode("overwrite").parquet(p)
         entries.append((schemas.SAMPLE_MAP_TABLE, p, []))

@@ -185,12 +185,17 @@ def batch_ends(keys: list[str]):
 def file_ends(df: DataFrame, keys: list[str]) -> DataFrame:
     """(name, rows, first, last) of each file of written Parquet.
 
-    Spark aggregates texts by sorting all rows, so tasks first take the ends of each batch as it comes;
-    what is aggregated is some rows a file.
+    Spark aggregates texts by sorting all rows, unless some aggregate holds an object: with one key a set of one
+    constant (``kept``) makes it go by hash, without Python.  With more keys tasks first take the ends of each batch
+    as it comes; what is aggregated is some rows a file.
     """
     rows = df.select(F.col("_metadata.file_name").alias("name"), *keys)
     if not keys:
         return rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    if len(keys) == 1:
+        key = F.struct(*keys)
+        return rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"),
+                                        F.collect_set(F.lit(0)).alias("kept"))
     kind = rows.select(F.struct(*keys).alias("k")).schema["k"].dataType.simpleString()
     ends = rows.mapInArrow(batch_ends(keys), f"name string, rows long, first {kind}, last {kind}")
     return ends.groupBy("name").agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))

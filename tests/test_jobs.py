@@ -242,3 +242,41 @@ def test_two_runs_are_listed_once_and_their_names_cut_without_a_regex(spark, mon
     monkeypatch.setattr(e, "scan_src", lambda *a, **k: scans.append(1), raising=False)
     plan = e.a4(spark, e.SF_SMOKE)._jdf.queryExecution().optimizedPlan().toString()
     assert len(scans) == 1 and "substring_index" in plan and "]+)$" not in plan
+
+
+def test_raw_files_get_their_header_without_another_pass(spark, tmp_dir):
+    """The input is computed once; each file starts with the header lines, as Spark's writer would put them."""
+    from pyspark.sql import functions as F
+
+    from bench_views.frames import write_run
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def sample(i):
+        seen.add(1)
+        return f"s{i % 5}"
+
+    ds = schemas.MARKER_PRESENCE
+    df = spark.range(0, 200, 1, 4).select(sample("id").alias("sample_id"), F.concat(F.lit("M"), F.col("id")).alias("marker_id"),
+                                          (F.col("id") % 2).alias("presence"))
+    write_run(df, tmp_dir, ds, in_place=True)
+    assert seen.value == 200
+    for i in range(5):
+        with gzip.open(f"{tmp_dir}/s{i}/{ds.path_tail}", "rt") as f:
+            lines = f.read().splitlines()
+        heads = [f"header -{k}\t" for k in range(ds.skip_rows, 1, -1)] + ['"marker_id\tpresence"\t']
+        assert lines[:ds.skip_rows] == heads
+        assert sorted(lines[ds.skip_rows:]) == sorted(f"M{k}\t{k % 2}" for k in range(i, 200, 5))
+
+
+def test_catalog_tables_are_staged_side_by_side(spark, monkeypatch):
+    from threading import Barrier
+
+    import __spark_entry__ as E
+
+    together = Barrier(len(schemas.DATASETS), timeout=20)
+    monkeypatch.setattr(E, "_WAREHOUSES", {})
+    write = E.write_table
+    monkeypatch.setattr(E, "write_table", lambda df, path: (together.wait(), write(df, path)))
+    assert len(E._fixture_catalog(spark, "/root/testdata/sf0.001")) == len(schemas.DATASETS) + 1

@@ -162,3 +162,15 @@ def test_the_manifest_takes_each_files_ends_without_sorting_its_rows(spark, tmp_
     assert sorted((f["rows"], f["first"], f["last"]) for f in files if f["rows"] != 4) == want
     assert [(f["first"], f["last"]) for f in files if f["rows"] == 4] == [(["", "z"], ["\u00e9", "m"])]
     assert S.describe(df, [])[0] == 13
+
+
+def test_ends_of_one_key_are_taken_by_hash_without_python(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    parts = ([("b",), (None,), ("é",), ("",)], [(None,), (None,)], [("a",)])
+    for part in parts:
+        spark.createDataFrame(part, "k string").coalesce(1).write.mode("append").parquet(path)
+    df = spark.read.parquet(path)
+    plan = S.file_ends(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "MapInArrow" not in plan
+    n, files = S.describe(df, ["k"])
+    assert n == 7 and sorted((f["rows"], f["first"], f["last"]) for f in files) == [(1, ["a"], ["a"]), (2, [None], [None]), (4, [None], ["é"])]
