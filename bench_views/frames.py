@@ -230,6 +230,15 @@ def on_local_files(spark: SparkSession, path: str) -> bool:
     return FileAccess(spark, path).fs.getScheme() == "file"
 
 
+def header_rows(df: DataFrame, ds: schemas.Dataset, n: int, mark: str) -> DataFrame:
+    """``df`` (rows of any number) with ``_ord`` from -n to -1 and the raw columns of as many header lines."""
+    cols = [f.name for f in ds.raw_schema.fields]
+    first_text = F.when(F.col("_ord") == -1, F.lit("\t".join(cols))) \
+        .otherwise(F.concat(F.lit(f"{mark} "), F.col("_ord").cast("string")))
+    return (df.select("*", F.explode(F.sequence(F.lit(-n), F.lit(-1))).alias("_ord"))
+              .select("*", first_text.alias(cols[0]), *[F.lit(None).cast("string").alias(c) for c in cols[1:]]))
+
+
 def raw_rows(df: DataFrame, ds: schemas.Dataset, header_lines: int | None, mark: str) -> DataFrame:
     """``sample_id`` and the raw columns as texts, headers included: each sample's rows in one task, in order.
 
@@ -240,13 +249,7 @@ def raw_rows(df: DataFrame, ds: schemas.Dataset, header_lines: int | None, mark:
     cols = [f.name for f in ds.raw_schema.fields]
     df = df.withColumn("sample_id", F.nullif("sample_id", F.lit("")))  # both have the folder of no name: one file
     data = df.select("sample_id", F.lit(0).alias("_ord"), *[F.col(c).cast("string").alias(c) for c in cols])
-    first_text = F.when(F.col("_ord") == -1, F.lit("\t".join(cols))) \
-        .otherwise(F.concat(F.lit(f"{mark} "), F.col("_ord").cast("string")))
-    heads = (df.select("sample_id").distinct()
-               .select("sample_id", F.explode(F.sequence(F.lit(-n), F.lit(-1))).alias("_ord"))
-               .select("sample_id", "_ord", first_text.alias(cols[0]),
-                       *[F.lit(None).cast("string").alias(c) for c in cols[1:]])) if n > 0 else None
-    rows = data if heads is None else data.unionByName(heads)
+    rows = data if n <= 0 else data.unionByName(header_rows(df.select("sample_id").distinct(), ds, n, mark))
     # An explicit count keeps AQE from coalescing the exchange: the work here is
     # one file per sample, so it should spread over every core, not over bytes.
     try:
@@ -256,7 +259,8 @@ def raw_rows(df: DataFrame, ds: schemas.Dataset, header_lines: int | None, mark:
     size = planned_bytes(df)
     if size is not None and size < 1 << 60:
         parts = max(parts, -(-size // TASK_BYTES))
-    return rows.repartition(parts, "sample_id").sortWithinPartitions("sample_id", "_ord").drop("_ord")
+    order = ["sample_id", "_ord"] if n > 0 else ["sample_id"]
+    return rows.repartition(parts, "sample_id").sortWithinPartitions(*order).drop("_ord")
 
 
 #: Bytes of the inputs (Parquet: some ten times that as rows) that one task writes as samples.
@@ -273,6 +277,10 @@ def write_sample_files(df: DataFrame, root: str, ds: schemas.Dataset, tail: str,
     """
     cols = [f.name for f in ds.raw_schema.fields]
     top = local_path(root)
+    line = F.concat(F.to_csv(F.struct(*cols), CSV), F.lit("\n"))
+    n = ds.skip_rows if header_lines is None else header_lines
+    heads = header_rows(df.sparkSession.range(1), ds, n, mark).orderBy("_ord").select(line.alias("line")).collect() if n > 0 else []
+    head = "".join(r["line"] for r in heads).encode()  # the same in every file: no rows for it
 
     def write(batches):
         import gzip
@@ -310,14 +318,14 @@ def write_sample_files(df: DataFrame, root: str, ds: schemas.Dataset, tail: str,
                     os.makedirs(os.path.dirname(to), exist_ok=True)
                     last, files = name, files + 1
                     temp = os.path.join(os.path.dirname(to), f".{uuid.uuid4().hex}.tmp")
-                    out = gzip.open(temp, "wb", compresslevel=6)
+                    out = gzip.open(temp, "wb", compresslevel=1)
+                    out.write(head)
                 out.write(text[offsets[i]:offsets[j]])
                 i = j
         done()
         yield pa.RecordBatch.from_arrays([pa.array([files])], ["files"])
 
-    line = F.concat(F.to_csv(F.struct(*cols), CSV), F.lit("\n"))
-    rows = raw_rows(df, ds, header_lines, mark).select("sample_id", line.alias("line"))
+    rows = raw_rows(df, ds, 0, mark).select("sample_id", line.alias("line"))
     os.makedirs(top, exist_ok=True)
     rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
 
