@@ -195,3 +195,18 @@ def test_held_contexts_have_their_own_counts(spark):
     held = dict(zip(part.contexts.tolist(), part.total[:-1]))
     assert 0 < len(part.pairs) <= 3000 < len(whole.pairs) and all(exact[k] == n for k, n in held.items())
     assert min(held.values()) > max(n for k, n in exact.items() if k not in held)
+
+
+def test_contexts_that_a_model_does_not_hold_count_all_the_same(spark):
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 6, 8))
+    ends = [".com/a", ".net/es/b", ".org/c"]
+    rows = [(i, f"http://{word()}{ends[i % 3]}{word()}", "") for i in range(600)]
+    rows += [rows[2], rows[2], (1000, None, ""), (1001, "", ""), (None, "http://é.org/", "")]
+    df = pages(spark, rows)
+    key = lambda r: (str(r.page_id), r.difference)
+    want = sorted(U.judge_urls(df, RULES).collect(), key=key)
+    for most in (3000, 1):
+        got = sorted(U.judge_urls(df, RULES, most=most).collect(), key=key)
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r.difference for r in got], [r.difference for r in want], rtol=1e-12, atol=1e-12)
