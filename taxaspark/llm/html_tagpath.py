@@ -8,7 +8,8 @@ the text length, punctuation and link text of all its nodes are added up; the
 two ratios (characters a node, and punctuation marks a node) are fused by multiplication, smoothed a little over
 the means of the path's ancestors and weighed by the share of text outside links; paths
 below a share of the page's mean are dropped.  A heading goes with the text that follows it.
-If the page marks an ``article`` or ``main`` element, only paths inside it compete, against a lower floor.
+If the page marks an ``article`` or ``main`` element, only paths inside it compete, against the same floor; lists, tables and
+quotations there that follow kept text go with it, since their short items have low ratios wherever they stand.
 
 Defined cases: null or empty html gives ''; unclosed, misnested and unknown
 tags are read the way browsers do; markup with no main text gives ''; if the class words
@@ -26,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A path scoring below this share of its page's mean is boilerplate: on pages that
-#: mark their article, and on others.
-SHARES = (0.0001, 0.4)
+#: A path scoring below this share of its page's mean is boilerplate.
+SHARE = 0.4
 #: Weight of a path's own ratio; the rest is that of its ancestors.
 OWN = 0.95
 
 # HTML element kinds and words of boilerplate blocks.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li dt dd td th caption figcaption pre blockquote".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
 NEVER = frozenset("head script style title textarea noscript iframe template nav footer aside form select option "
@@ -113,7 +114,7 @@ class Page:
     """Text nodes of one page, in order, with the block path of each."""
 
     def __init__(self, html: str, use_names: bool = True):
-        self.parent, self.marked, self.heading, self.whole = [-1], [False], [False], [True]  # by path; 0 is the root
+        self.parent, self.marked, self.heading, self.whole, self.item = [-1], [False], [False], [True], [False]  # by path; 0 is the root
         self.nodes: list[tuple[int, str, bool]] = []  # path (-1: a break between blocks), text, in a link
         self._number: dict[tuple[int, str], int] = {}
         self._read(html, use_names)
@@ -126,6 +127,7 @@ class Page:
             self.marked.append(marks or self.marked[parent])
             self.heading.append(label.split(".", 1)[0] in HEADINGS)
             self.whole.append(label.split(".", 1)[0] in ("html", "body"))
+            self.item.append(label.split(".", 1)[0] in ITEMS or self.item[parent])
         return self._number[key]
 
     def common(self, a: int, b: int) -> int:
@@ -216,11 +218,12 @@ def scores(page: Page) -> tuple[dict[int, float], float, bool]:
     return ({p: (OWN * fused[p] + (1 - OWN) * smooth[p]) * (1 - links[p] / n) for p, n in length.items()}, smooth[0], marked)
 
 
-def kept_nodes(page: Page, shares: tuple[float, float] = SHARES) -> list[bool]:
-    """Which nodes are main text: those of paths at or above the floor, headings that such text follows, and what
-    stands between two such nodes inside a container of both that is smaller than the page (cells of a table, short items)."""
+def kept_nodes(page: Page, share: float = SHARE) -> list[bool]:
+    """Which nodes are main text: those of paths at or above the floor, headings that such text follows, what
+    stands between two such nodes inside a container of both that is smaller than the page (cells of a table, short items),
+    and items that follow the last such node in a marked article."""
     found, mean, marked = scores(page)
-    floor = (shares[0] if marked else shares[1]) * mean
+    floor = share * mean
     keep = {p for p, s in found.items() if s >= floor}
     out = [p in keep for p, _, _ in page.nodes]
     after = -1
@@ -236,34 +239,40 @@ def kept_nodes(page: Page, shares: tuple[float, float] = SHARES) -> list[bool]:
         if out[i] and not text.isspace():
             if waiting and last is not None:
                 around = page.common(last, p)
+                if marked and around in (last, p):  # blocks of one path stand beside each other in its parent
+                    around = max(page.parent[around], 0)
                 for j in waiting:
                     out[j] = not page.whole[around] and page.common(around, page.nodes[j][0]) == around
             last, waiting = p, []
         elif found.get(p, 0) > 0 and not text.isspace():
             waiting.append(i)
+    for j in waiting if marked and last is not None else []:
+        if not page.item[page.nodes[j][0]]:
+            break
+        out[j] = True
     return out
 
 
-def main_text(html: str, shares: tuple[float, float] = SHARES) -> str:
+def main_text(html: str, share: float = SHARE) -> str:
     for use_names in (True, False):
         page = Page(html, use_names)
-        keep = kept_nodes(page, shares)
+        keep = kept_nodes(page, share)
         text = " ".join("".join(" " if p < 0 else t for (p, t, _), k in zip(page.nodes, keep) if p < 0 or k).split())
         if text:
             return text
     return ""
 
 
-def extract(html: Column, shares: tuple[float, float] = SHARES) -> Column:
+def extract(html: Column, share: float = SHARE) -> Column:
     """Main text of an html column."""
 
     @F.arrow_udf("string")
     def read(pages: pa.Array) -> pa.Array:
-        return pa.array([main_text(p.as_py() or "", shares) for p in pages], pa.string())
+        return pa.array([main_text(p.as_py() or "", share) for p in pages], pa.string())
 
     return read(html)
 
 
-def extract_pages(pages: DataFrame, shares: tuple[float, float] = SHARES) -> DataFrame:
+def extract_pages(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``."""
-    return pages.select("page_id", "url", extract(F.col("html"), shares).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return pages.select("page_id", "url", extract(F.col("html"), share).alias("text")).withColumn("n_chars", F.length("text").cast("long"))

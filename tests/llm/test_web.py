@@ -210,3 +210,14 @@ def test_contexts_that_a_model_does_not_hold_count_all_the_same(spark):
         got = sorted(U.judge_urls(df, RULES, most=most).collect(), key=key)
         assert [r[:5] for r in got] == [r[:5] for r in want]
         assert np.allclose([r.difference for r in got], [r.difference for r in want], rtol=1e-12, atol=1e-12)
+
+
+LONG = "A paragraph of the text, which goes on for a while, as such paragraphs do, and then some more. It ends here, at last."
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<main>%s</main>", "<main><div>%s</div></main>"])
+def test_ratios_decide_inside_a_marked_article(wrap):
+    """Short blocks of their own paths are dropped there too; headings, lists, tables and quotations go with the text."""
+    body = f"""<div class=top><span>12 min</span></div><h1>Title</h1><p>{LONG}</p><div class=in>short one</div><p>{LONG}</p><ul><li>step one<li>step two</ul>
+        <blockquote>so they say</blockquote><div class=bottom><div>Read more</div></div>"""
+    assert H.main_text(PAGE % (wrap % body)) == f"Title {LONG} short one {LONG} step one step two so they say"
