@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from taxaspark.operators.joins import join_sample_map
 from taxaspark.operators.staging import partitions_for, range_sorted
@@ -20,6 +21,21 @@ EXPORT_SORT_KEY = {
     "metaphlan_viruses_list": "mv_group_cluster",
 }
 
+#: Rows that one task sorts, about: bytes of files say little of them where files are compressed well.
+TASK_ROWS = 1 << 20
+SHUFFLE_KEY = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def least_shuffle_partitions(spark: SparkSession, least: int):
+    """Joins that run in here are dealt to ``least`` tasks or more (AQE puts small ones together); the setting is put back."""
+    kept = spark.conf.get(SHUFFLE_KEY)
+    spark.conf.set(SHUFFLE_KEY, str(max(int(kept), least)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_KEY, kept)
+
 
 def export_frame(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, partitions: int | None = None) -> DataFrame:
     """Staged columns plus ``study_name`` and ``sample_name``, sorted for export.
@@ -59,7 +75,10 @@ def export_parquet(df: DataFrame, path: str, compression: str = "zstd",
 
 
 def export_dataset(stg: DataFrame, sample_map: DataFrame, ds: Dataset | str, path: str) -> Manifest:
-    return export_parquet(export_frame(stg, sample_map, ds), path, keys=export_keys(ds))
+    """Publish ``export_frame`` at ``path``; its tasks grow with the staged rows, which are counted first (columns aren't read for it)."""
+    parts = max(partitions_for(stg), -(-stg.count() // TASK_ROWS))
+    with least_shuffle_partitions(stg.sparkSession, parts):
+        return export_parquet(export_frame(stg, sample_map, ds, parts), path, keys=export_keys(ds))
 
 
 def export_csv(df: DataFrame, path: str, sample_ids: Iterable[str] | None = None,

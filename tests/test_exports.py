@@ -56,3 +56,17 @@ def test_csv_is_standard(spark, tmp_dir):
     with open(glob.glob(f"{local_path(folder(spark, f'{tmp_dir}/c'))}/part-*")[0], newline="") as f:
         back = list(csv.reader(f))
     assert back == [["id", "text"], *[[i, t or ""] for i, t in rows]]
+
+
+def test_tasks_of_an_export_grow_with_its_rows(spark, tmp_dir, monkeypatch):
+    """A file that compresses well says little of its rows."""
+    from taxaspark.plans import exports
+
+    rows = spark.range(0, 5000, 1, 1).selectExpr("'s' as sample_id", "concat('m', id % 500) as marker_id", "1.0d as abundance")
+    rows.write.parquet(f"{tmp_dir}/stg")
+    samples = spark.createDataFrame([("s", "r", "n", "A")], "sample_id string, run_ids string, sample_name string, study_name string")
+    monkeypatch.setattr(exports, "TASK_ROWS", 100, raising=False)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    made = exports.export_dataset(spark.read.parquet(f"{tmp_dir}/stg"), samples, "marker_abundance", f"{tmp_dir}/out")
+    assert made.rows == 5000 and len(made.files) >= 25 and max(f["rows"] for f in made.files) <= 500
+    assert spark.conf.get("spark.sql.shuffle.partitions") == kept
