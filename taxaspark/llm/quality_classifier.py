@@ -115,30 +115,41 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_STATS)
 
 
-def _normal_equations(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y over all rows: one sum a partition, then 16 sums, then one."""
+def _equation_sums(train: DataFrame, model: Model) -> DataFrame:
+    """Sums of Z'Z and Z'y: one a partition, then at most 16; a partition without rows adds none."""
     d = FEATURES + 1
 
     def partial(batches):
-        a, b = np.zeros((d, d)), np.zeros(d)
+        a, b, rows = np.zeros((d, d)), np.zeros(d), 0
         for x in batches:
             z = model.fourier(_matrix(x.column("f")))
             a += z.T @ z
             b += z.T @ x.column("y").to_numpy()
+            rows += x.num_rows
+        if not rows:
+            return
         from pyspark import TaskContext
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 16]), pa.array([a.tobytes()]),
                                           pa.array([b.tobytes()])], ["k", "a", "b"])
 
     def add(batches):
-        a, b = np.zeros(d * d), np.zeros(d)
+        a, b, rows = np.zeros(d * d), np.zeros(d), 0
         for x in batches:
             for p, q in zip(x.column("a"), x.column("b")):
                 a += np.frombuffer(p.as_py())
                 b += np.frombuffer(q.as_py())
-        yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([a.tobytes()]), pa.array([b.tobytes()])], ["k", "a", "b"])
+            rows += x.num_rows
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([a.tobytes()]), pa.array([b.tobytes()])], ["k", "a", "b"])
 
     kind = "k long, a binary, b binary"
-    sums = (train.select("f", "y").mapInArrow(partial, kind).repartition(16, "k").mapInArrow(add, kind).collect())
+    return train.select("f", "y").mapInArrow(partial, kind).repartition(16, "k").mapInArrow(add, kind)
+
+
+def _normal_equations(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Z'Z and Z'y over all rows."""
+    d = FEATURES + 1
+    sums = _equation_sums(train, model).collect()
     return (np.sum([np.frombuffer(r.a) for r in sums], axis=0).reshape(d, d),
             np.sum([np.frombuffer(r.b) for r in sums], axis=0))
 

@@ -104,6 +104,18 @@ def test_normal_equations_equal_one_matrix(spark):
     assert np.allclose(a, z.T @ z) and np.allclose(b, z.T @ p.y)
 
 
+def test_partitions_without_rows_send_no_sums(spark, monkeypatch):
+    """However many partitions there are, the driver gets 16 sums at most."""
+    rng = np.random.default_rng(2)
+    rows = [([float(v) for v in rng.normal(size=C.N_STATS)], float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "f array<double>, y double").repartition(40)
+    deal = type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, n, *keys: deal(self, 64 if keys else n, *keys))
+    model = C.Model(np.zeros(C.N_STATS), np.ones(C.N_STATS))
+    assert 0 < C._equation_sums(df, model).count() <= 16
+    assert C._equation_sums(df.where("y < 0"), model).count() == 0
+
+
 def test_isotonic_fit_equals_brute_force():
     rng = np.random.default_rng(0)
     y, n = rng.random(40), rng.integers(1, 9, 40).astype(float)
