@@ -79,6 +79,60 @@ def test_gradient_steps_raise_the_likelihood(docs):
     assert fit[1] > fit[0]
 
 
+def after(text, model):
+    """log10 of each class after the last two words of ``text``, by the table of words, and that word's key."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    keys, first = L.tokens(raw, np.array([0, len(raw)]))
+    at, word = L.words_before(keys, first)
+    context = L.contexts(keys, first)[at[-1]]
+    x = model.class_log10[context].astype(float) * np.log(10)
+    row = model.words.where(f"key = {word[-1:].view(np.int64)[0]}").first()
+    if row:
+        x[np.frombuffer(row.classes, np.uint8)] += np.frombuffer(row.weights, np.float32)
+    return (x - np.log(np.exp(x).sum())) / np.log(10), int(word[-1])
+
+
+def test_every_word_before_has_own_weights(spark):
+    """900 words, many more than buckets, that each foretell the ending of the next one."""
+    ends = ["qa", "ze", "xi", "jo", "vu", "ky"]
+    # The last letters give the class; all words before end alike.
+    lines = [f"start w{i}n {'b' * (j % 3)}t{ends[i % 6]} " * 4 for i in range(900) for j in range(3)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    model = L.train(df)
+    assert model.words.count() == 1 + 900 + 3 * 6
+    hashed = []
+    for i in range(0, 900, 90):
+        keys, _ = L.tokens(np.frombuffer(f"t{ends[i % 6]}".encode(), np.uint8), np.array([0, 3]))
+        p, word = after(f"start w{i}n", model)
+        assert 10 ** p[int(keys[0]) % L.CLASSES] > 0.6 and (10 ** p).sum() == pytest.approx(1)
+        begin, _ = L.tokens(np.frombuffer(b"start", np.uint8), np.array([0, 5]))
+        skip = 1 + int(begin[0] >> np.uint64(7)) % (L.SKIP - 1)
+        hashed.append(10.0 ** model.class_log10[L.context_after(np.array([word], np.uint64), skip)[0], int(keys[0]) % L.CLASSES])
+    assert np.mean(hashed) < 0.5  # what the buckets alone know
+
+
+def test_scores_hold_the_weights_of_words(docs, texts, monkeypatch):
+    """Held in memory, joined, and one by one from the table."""
+    model = L.train(docs)
+    key = ["doc_id", "n_tokens", "n_known", "score"]
+    a = L.score_documents(docs, model).toPandas()[key].sort_values(key)
+    assert len(model.word_keys) and len(model.word_keys) == model.words.count()
+    model.hold_words(L.head_cut(model.words, L.F.octet_length("classes") + L.SKIP, 40 * L.CLASSES))
+    assert 0 < len(model.word_keys) < model.words.count()
+    b = L.score_documents(docs, model).toPandas()[key].sort_values(key)
+    model.hold_words(None)
+    c = L.score_documents(docs, model).toPandas()[key].sort_values(key)
+    assert np.allclose(a.fillna(-1), b.fillna(-1)) and np.allclose(a.fillna(-1), c.fillna(-1))
+    text = texts[0]
+    words, want, counts = text.split(), 0.0, {r.key: r.n for r in model.counts.collect()}
+    keys, first = L.tokens(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    for i, k in enumerate(keys):
+        c = int(k) % L.CLASSES
+        p = after(" ".join(words[max(0, i - 2):i]), model)[0] if i else model.class_log10[0].astype(float)
+        want += p[c] + math.log10(counts[int(k.view(np.int64))] - model.discount[c]) - model.class_total[c]
+    assert a[a.doc_id == 0].score.iloc[0] == pytest.approx(want, rel=1e-4)
+
+
 def test_words_seen_once_keep_a_probability(spark):
     """Classes of many words seen once and none seen twice: the discount leaves each of them a count."""
     df = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(400))) for i in range(10)], "doc_id long, text string")
