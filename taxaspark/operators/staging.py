@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.functions.columns import lenient_double, lenient_long, null_sentinel
@@ -61,10 +61,14 @@ def partitions_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
 
     Without an estimate, the session's shuffle partitions.
     """
-    size = planned_bytes(df)
+    return partitions_of(df.sparkSession, planned_bytes(df), target)
+
+
+def partitions_of(spark: SparkSession, size: int | None, target: int = TARGET_BYTES) -> int:
+    """``partitions_for`` inputs of ``size`` bytes in all."""
     if size is None or size >= 1 << 60:  # of some sources the planner knows no size and says the largest number
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
     return max(min(cores, FEW_PARTS, 1 + size // LEAST_BYTES), -(-size // target), 1)
 
 

@@ -21,14 +21,16 @@ from taxaspark.operators.catalog import (
 )
 from taxaspark.operators.checks import key_check, stack_layers
 from taxaspark.operators.companions import for_dataset
-from taxaspark.operators.staging import staged_rows, write_table
+from taxaspark.operators.staging import partitions_of, planned_bytes, staged_rows, write_table
 from taxaspark.plans.exports import export_dataset
 from taxaspark.schemas import (
     ACCESSIONS_TABLE, DATASETS, DEFAULT_RUN_TAG, SAMPLE_MAP_TABLE, Dataset,
 )
 from taxaspark.session import scratch_path
 from taxaspark.sources.lookups import read_accessions, read_sample_map
-from taxaspark.sources.raw import dataset_glob, dataset_lines, layout_regex, scan_ext, scan_src, src_of
+from taxaspark.sources.raw import (
+    dataset_glob, dataset_lines, folder_groups, layout_regex, many_files_a_task, one_by_one, scan_ext, scan_src, src_of,
+)
 from taxaspark.sources.snapshots import FileAccess, latest
 from taxaspark.sources.tables import open_table, read_table, replace_table, table_path
 
@@ -126,17 +128,44 @@ def stage_dataset(spark: SparkSession, cfg: Config, ds: Dataset) -> str:
 
     gzip input expands several times when read, so ``cfg.max_partition_bytes``
     can shrink the compressed bytes packed into one task (only for this job).
+
+    The driver holds about 1 KB for each file of a listing.  Beyond ``sources.raw.FOLDERS`` sample folders they are listed
+    and read group by group into a scratch folder, from which the table is then written, so each raw file is read once.
     """
     out = table_path(cfg.warehouse, ds.stg_table)
     if cfg.max_partition_bytes:  # a session of its own: settings of the caller's stay as they are
         spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(cfg.max_partition_bytes))
-    src = scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode)
-    write_table(staged_rows(src, ds), out, cfg.layout, cfg.range_partitions, count_rows=True,
-                companions=for_dataset(ds) if cfg.companions else None)
+    groups = raw_groups(spark, cfg)
+
+    def rows(folders: list[str] | None) -> DataFrame:
+        return staged_rows(scan_src(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, mode=cfg.read_mode, folders=folders), ds)
+
+    def write(df: DataFrame, partitions: int | None) -> None:
+        write_table(df, out, cfg.layout, partitions, count_rows=True, companions=for_dataset(ds) if cfg.companions else None)
+
+    if groups == [None]:
+        write(rows(None), cfg.range_partitions)
+        return out
+    scratch, sizes = scratch_path(spark, ds.stg_table), []
+    try:
+        for folders in one_by_one(groups):
+            some = rows(folders)
+            sizes.append(planned_bytes(some))
+            with many_files_a_task(spark):
+                some.write.mode("append").parquet(scratch)
+        size = None if None in sizes else sum(sizes)
+        write(spark.read.schema(some.schema).parquet(scratch), cfg.range_partitions or partitions_of(spark, size))
+    finally:
+        FileAccess(spark, scratch).delete(scratch)
     return out
 
 
+def raw_groups(spark: SparkSession, cfg: Config) -> list[list[str] | None]:
+    """Sample folders that are listed at once (``sources.raw.folder_groups``); a glob is expanded as a whole."""
+    return folder_groups(spark, cfg.raw_root) if cfg.listing == "recursive" else [None]
+
+
 def stage_all(spark: SparkSession, cfg: Config) -> dict[str, Outcome]:
     """Stage every dataset, one job each; a dataset that fails keeps its old table and its error is returned."""
     return {ds.stg_table: attempt(ds.stg_table, table_path(cfg.warehouse, ds.stg_table),

@@ -14,8 +14,9 @@ that way only for files that are large enough to pass the limit.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from taxaspark.functions.columns import sample_id_from_path
 from taxaspark.schemas import DEFAULT_RUN_TAG, Dataset
+from taxaspark.sources.snapshots import FileAccess
 
 CSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
@@ -46,19 +48,92 @@ LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTING_TASKS = 400
 
 
+#: Bytes of the driver's memory in which Spark keeps what the listings of all readers found, 250 MB by default.  A reader
+#: looks for its own entries alone, so what one that isn't in use any more has left there is never used again.
+KEPT_KEY = "spark.sql.hive.filesourcePartitionFileCacheSize"
+
+
 @contextmanager
 def few_listing_tasks(spark: SparkSession):
-    """Folders are listed, when a reader is made in here, by ``LISTING_TASKS`` tasks at most, and four a core; the setting is put back."""
-    kept = spark.conf.get(LISTING_KEY)
+    """Folders are listed, when a reader is made in here, by ``LISTING_TASKS`` tasks at most, and four a core, and the driver
+    forgets what they hold with the reader; the settings are put back."""
     try:
         most = min(LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism)
     except Exception:  # no SparkContext on a Spark Connect client
         most = LISTING_TASKS
-    spark.conf.set(LISTING_KEY, str(min(int(kept), most)))
+    with held(spark, {LISTING_KEY: str(min(int(spark.conf.get(LISTING_KEY)), most)), KEPT_KEY: "0"}):
+        yield
+
+
+@contextmanager
+def held(spark: SparkSession, settings: dict[str, str]):
+    """The session has these settings in here; they are put back."""
+    kept = {k: spark.conf.get(k) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(LISTING_KEY, kept)
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+#: Folders whose files the driver knows at once.  It keeps about 1 KB for each file below them, of all datasets, in each
+#: listing that a plan in use holds.
+FOLDERS = 8192
+
+
+def folder_groups(spark: SparkSession, root: str) -> list[list[str] | None]:
+    """What lies right below ``root``, by name, in groups of ``FOLDERS`` to be listed one after the other; ``[None]`` if one listing will do.
+
+    The driver then holds the names alone, and the files of a group or two (see ``one_by_one``).  Names that Spark's own listing skips are left out.
+    """
+    names = [n for n in FileAccess(spark, root).below(root) if not _skipped(n)]
+    return [names[i:i + FOLDERS] for i in range(0, len(names), FOLDERS)] if len(names) > FOLDERS else [None]
+
+
+def one_by_one(groups: list[list[str] | None]) -> Iterator[list[str] | None]:
+    """The groups, each once the plans of the one before can be forgotten.
+
+    PySpark notes where a column was made by way of Python's stack frames, which keep each other and the frames' DataFrames alive
+    until Python looks for such cycles; the JVM keeps a plan, with its listing, for as long.
+    """
+    for folders in groups:
+        yield folders
+        if folders is not None:
+            gc.collect()
+
+
+def _skipped(name: str) -> bool:
+    """Whether Spark's recursive listing passes over this name."""
+    hidden = name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+    return hidden and not name.startswith(("_common_metadata", "_metadata"))
+
+
+def folder_paths(root: str, names: list[str]) -> list[str]:
+    """Paths of a group's folders for a reader: what a path pattern would read into them is escaped."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", f"{root.rstrip('/')}/{n}") for n in names]
+
+
+OPEN_KEY = "spark.sql.files.openCostInBytes"
+#: Bytes that opening a raw file counts as.  With Spark's 4 MB a task of 16 MB takes four files of some KB, and the
+#: driver keeps a record of each task of its last 1,000 stages.
+OPEN_BYTES = 256 * 1024
+
+
+def many_files_a_task(spark: SparkSession):
+    """A context: jobs that run in it read small files in fewer tasks."""
+    return held(spark, {OPEN_KEY: str(OPEN_BYTES)})
+
+
+def _listed(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None, listing: str, folders: list[str] | None):
+    """A reader for a dataset's files, and the paths that it is to list."""
+    if paths is not None:
+        return spark.read, paths
+    if listing != "recursive":
+        return spark.read, dataset_glob(root, ds)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
+    return reader, root if folders is None else folder_paths(root, folders)
 
 
 def _read_text(spark: SparkSession, reader, where: str | list[str], whole: bool = False) -> DataFrame:
@@ -89,7 +164,7 @@ def in_layout(root: str, ds: Dataset, c: str = "file_path"):
     return decoded_path(c).rlike(layout_regex(root, ds))
 
 
-def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob") -> DataFrame:
+def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob", folders: list[str] | None = None) -> DataFrame:
     """One row per raw file of ``ds``: ``file_path`` and its whole text ``value``.
 
     ``glob`` expands ``<root>/*/<tail>`` on the driver, one directory listing
@@ -98,15 +173,12 @@ def read_files(spark: SparkSession, root: str, ds: Dataset, listing: str = "glob
     keeps files named like the tail, then keeps only the exact
     ``<root>/<one folder>/<tail>`` layout; that path filter is applied while
     listing, so other files are never opened.  Prefer ``recursive`` for tens
-    of thousands of sample folders on object storage.
+    of thousands of sample folders on object storage.  ``folders`` (names from ``folder_groups``)
+    restricts a recursive listing to these sample folders.
     """
     if listing not in LISTINGS:
         raise ValueError(f"listing must be one of {LISTINGS}")
-    if listing == "glob":
-        files = _read_text(spark, spark.read, dataset_glob(root, ds), whole=True)
-    else:
-        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-        files = _read_text(spark, reader, root, whole=True)
+    files = _read_text(spark, *_listed(spark, root, ds, None, listing, folders), whole=True)
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
     if listing == "recursive":
         df = df.where(in_layout(root, ds))
@@ -174,10 +246,9 @@ def scan_lines_streamed(spark: SparkSession, paths: str | list[str] | DataFrame,
                     .select("file_path", "sample_id", "line"))
 
 
-def read_lines(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, ds: Dataset, folders: list[str] | None = None) -> DataFrame:
     """Line-mode counterpart of ``read_files(listing='recursive')``: ``file_path``, ``line``."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-    files = _read_text(spark, reader, root)
+    files = _read_text(spark, *_listed(spark, root, ds, None, "recursive", folders))
     df = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
     return df.where(in_layout(root, ds))
 
@@ -223,80 +294,79 @@ READ_MODES = ("wholetext", "lines", "auto")
 WHOLE_BYTES = 2_000_000
 
 
-def _text(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None, listing: str, whole: bool) -> DataFrame:
+def _text(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None, listing: str, whole: bool,
+          folders: list[str] | None = None) -> DataFrame:
     """``file_path``, ``size`` and ``value`` (the file, or one line of it) of a dataset's files."""
-    reader = spark.read
-    if paths is None and listing == "recursive":
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-    where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
-    files = _read_text(spark, reader, where, whole).select(F.col("_metadata.file_path").alias("file_path"),
-                                                           F.col("_metadata.file_size").alias("size"), "value")
+    files = _read_text(spark, *_listed(spark, root, ds, paths, listing, folders), whole)
+    files = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"), "value")
     return files.where(in_layout(root, ds)) if paths is None and listing == "recursive" else files
 
 
 def has_large_files(spark: SparkSession, root: str, ds: Dataset, paths: str | list[str] | None = None, listing: str = "recursive",
-                    bound: int = WHOLE_BYTES) -> bool:
-    """Whether any file has ``bound`` bytes or more, from the listing alone (the length is compared there)."""
-    reader = spark.read.format("binaryFile")
-    if paths is None and listing == "recursive":
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ds.path_tail.rsplit("/", 1)[-1])
-    where = paths if paths is not None else root if listing == "recursive" else dataset_glob(root, ds)
+                    bound: int = WHOLE_BYTES, folders: list[str] | None = None) -> bool:
+    """Whether any file has ``bound`` bytes or more, from the listing alone: smaller files are dropped there and have no task."""
+    reader, where = _listed(spark, root, ds, paths, listing, folders)
     with few_listing_tasks(spark):
-        files = reader.load(where)
-    return not files.where(F.col("length") >= bound).select("path").isEmpty()
+        files = reader.format("binaryFile").load(where)
+    return not files.where(F.col("_metadata.file_size") >= bound).select("path").isEmpty()
 
 
 def dataset_lines_routed(spark: SparkSession, root: str, ds: Dataset, run_tag: str, sample_ids: Iterable[str] | None,
-                         paths: str | list[str] | None, id_pattern: str | None, listing: str, bound: int = WHOLE_BYTES) -> DataFrame:
+                         paths: str | list[str] | None, id_pattern: str | None, listing: str, bound: int = WHOLE_BYTES,
+                         folders: list[str] | None = None) -> DataFrame:
     """Data lines, each file by the way that its size allows: below ``bound`` bytes in the JVM, else line by line.
 
     The size is a constant of a file, so a route opens its own files only; without a file of ``bound``
     bytes there is no Python step in the plan.
     """
     sample_ids = None if sample_ids is None else list(sample_ids)
-    small = _text(spark, root, ds, paths, listing, True).where(F.col("size") < bound).select("file_path", "value")
+    small = _text(spark, root, ds, paths, listing, True, folders).where(F.col("size") < bound).select("file_path", "value")
     lines = scan_lines(spark, small, ds.skip_rows, run_tag, sample_ids, id_pattern)
-    if not has_large_files(spark, root, ds, paths, listing, bound):
+    if not has_large_files(spark, root, ds, paths, listing, bound, folders):
         return lines
-    large = _text(spark, root, ds, paths, listing, False).where(F.col("size") >= bound).select("file_path", F.col("value").alias("line"))
+    large = _text(spark, root, ds, paths, listing, False, folders).where(F.col("size") >= bound).select("file_path", F.col("value").alias("line"))
     return lines.unionByName(scan_lines_streamed(spark, large, ds.skip_rows, run_tag, sample_ids, id_pattern))
 
 
 def dataset_lines(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
                   sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-                  id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
+                  id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext",
+                  folders: list[str] | None = None) -> DataFrame:
     """Unparsed data lines of one dataset (``file_path``, ``sample_id``, ``line``).
 
     ``mode='wholetext'`` (default) stays in the JVM; ``mode='lines'`` handles
     files beyond the ~2 GB single-value limit; ``mode='auto'`` chooses by each file's size.
+    ``folders`` (names from ``folder_groups``) restricts a recursive listing to these sample folders.
     """
     if mode not in READ_MODES:
         raise ValueError(f"mode must be one of {READ_MODES}")
     if listing not in LISTINGS:
         raise ValueError(f"listing must be one of {LISTINGS}")
     if mode == "auto":
-        return dataset_lines_routed(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing)
+        return dataset_lines_routed(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, folders=folders)
     if mode == "lines":
         if paths is None:
-            paths = read_lines(spark, root, ds) if listing == "recursive" else dataset_glob(root, ds)
+            paths = read_lines(spark, root, ds, folders) if listing == "recursive" else dataset_glob(root, ds)
         return scan_lines_streamed(spark, paths, ds.skip_rows, run_tag, sample_ids, id_pattern)
-    source = paths if paths is not None else read_files(spark, root, ds, listing)
+    source = paths if paths is not None else read_files(spark, root, ds, listing, folders)
     return scan_lines(spark, source, ds.skip_rows, run_tag, sample_ids, id_pattern)
 
 
 def scan_ext(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext",
+             folders: list[str] | None = None) -> DataFrame:
     """The ``ext_*`` layer: raw typed rows plus their source ``file_path``."""
-    lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode)
+    lines = dataset_lines(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode, folders)
     return parse_lines(lines, ds.raw_schema, keep=("file_path", "sample_id"))
 
 
 def scan_src(spark: SparkSession, root: str, ds: Dataset, run_tag: str = DEFAULT_RUN_TAG,
              sample_ids: Iterable[str] | None = None, paths: str | list[str] | None = None,
-             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext") -> DataFrame:
+             id_pattern: str | None = None, listing: str = "recursive", mode: str = "wholetext",
+             folders: list[str] | None = None) -> DataFrame:
     """The ``src_*`` layer: ``sample_id`` from the path, then the raw columns."""
-    return src_of(scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode), ds)
+    return src_of(scan_ext(spark, root, ds, run_tag, sample_ids, paths, id_pattern, listing, mode, folders), ds)
 
 
 def src_of(ext: DataFrame, ds: Dataset) -> DataFrame:

@@ -16,6 +16,7 @@ Nothing but names goes through the driver; the manifests' figures come from one
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
 from collections.abc import Callable
@@ -25,11 +26,15 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from taxaspark.session import local_path
+
 KEEP = 3
 ORPHAN_HOURS = 72
 DATA, MANIFESTS = "data", "_manifest"
 #: Schemes whose rename is atomic and fails if the target exists.
 RENAMING = ("hdfs", "viewfs", "webhdfs")
+#: Names that come from the JVM in one text.
+NAMES = 10_000
 
 
 @dataclass
@@ -66,6 +71,28 @@ class FileAccess:
                 return []
             raise
 
+    def below(self, path: str) -> list[str]:
+        """Names of what lies in a folder, sorted, of which there may be very many; empty if there is no such folder."""
+        if self.fs.getScheme() == "file":
+            try:
+                with os.scandir(local_path(path)) as found:
+                    return sorted(e.name for e in found if e.is_dir() or e.is_file())  # not a link to nowhere
+            except (FileNotFoundError, NotADirectoryError):
+                return []
+        try:
+            found = self.jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self.fs.listStatus(self.to(path)))
+        except Py4JJavaError as exc:
+            if exc.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+                return []
+            raise
+        names, n = [], len(found)
+        for at in range(0, n, NAMES):  # a call for each name would take longer than the listing
+            top = found[at].getParent().toString().rstrip("/") + "/"
+            some = self.jvm.java.util.Collections.singletonList(found[at:at + NAMES]).toArray()
+            text = self.jvm.java.util.Arrays.deepToString(some)  # [[<top>name, <top>name]]
+            names += text[2 + len(top):-2].split(f", {top}")  # no name holds a slash
+        return sorted(names)
+
     def read(self, path: str) -> str | None:
         try:
             stream = self.fs.open(self.to(path))

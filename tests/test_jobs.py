@@ -280,3 +280,79 @@ def test_catalog_tables_are_staged_side_by_side(spark, monkeypatch):
     write = E.write_table
     monkeypatch.setattr(E, "write_table", lambda df, path: (together.wait(), write(df, path)))
     assert len(E._fixture_catalog(spark, "/root/testdata/sf0.001")) == len(schemas.DATASETS) + 1
+
+
+ODD_SAMPLES = ["aa01", "b [1]", "c{x,y}", "d*?", "e+%20", "_gone", ".gone", "k=v", "_k=v"]
+
+
+def odd_tree(root, ds=schemas.MARKER_PRESENCE):
+    raw = os.path.join(root, schemas.DEFAULT_RUN_TAG)
+    for i, s in enumerate(ODD_SAMPLES):
+        p = os.path.join(raw, s, ds.path_tail)
+        os.makedirs(os.path.dirname(p))
+        with gzip.open(p, "wt") as f:
+            f.write("#\n" * ds.skip_rows + f"m{i}\t{i}\nm\t1\n")
+    with open(os.path.join(raw, "a file"), "w") as f:
+        f.write("not a folder")
+    os.symlink(os.path.join(raw, "nowhere"), os.path.join(raw, "a link"))
+    return raw
+
+
+def test_many_folders_are_listed_and_staged_in_groups(spark, tmp_dir, monkeypatch):
+    """The driver never knows the files of more than a group; the table, its counts and its parts are those of one listing."""
+    from taxaspark.session import scratch_path
+    from taxaspark.sources import raw
+    from taxaspark.sources.snapshots import latest
+
+    ds = schemas.MARKER_PRESENCE
+    root = odd_tree(local_path(tmp_dir))
+    one, many = (P.Config(raw_root=root, warehouse=f"{tmp_dir}/{w}", datasets=(ds.name,)) for w in ("one", "many"))
+    P.stage_all(spark, one)
+    listed, read = [], raw._read_text
+    monkeypatch.setattr(raw, "_read_text", lambda *a, **k: listed.append(df := read(*a, **k)) or df)
+    monkeypatch.setattr(raw, "FOLDERS", 2)
+    scratch = os.path.dirname(local_path(scratch_path(spark, "x")))
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    kept = {k: spark.conf.get(k) for k in (raw.LISTING_KEY, raw.KEPT_KEY, raw.OPEN_KEY)}
+    for mode in ("auto", "lines", "wholetext"):
+        many.read_mode = mode
+        assert not P.failed(P.stage_all(spark, many))
+        assert len(listed) >= 4 and max(len(df.inputFiles()) for df in listed) <= 2
+        listed.clear()
+        tables = [f"{c.warehouse}/{ds.stg_table}" for c in (one, many)]
+        rows = [sorted(map(tuple, open_table(spark, t).collect())) for t in tables]
+        assert rows[0] == rows[1] and len(rows[0]) == 14 and {r[0] for r in rows[0]} == {*ODD_SAMPLES} - {"_gone", ".gone"}
+        made = [latest(spark, t) for t in tables]
+        assert made[0].counts == made[1].counts == {"rows": 14, "keyed": 14}
+    assert {k: spark.conf.get(k) for k in kept} == kept
+    assert set(os.listdir(scratch)) == before  # no row is left beside the table
+    with gzip.open(os.path.join(root, "k=v", ds.path_tail), "wt") as f:
+        f.write("#\n" * ds.skip_rows + "m\tnot a number\n")
+    assert P.failed(P.stage_all(spark, many))
+    assert sorted(map(tuple, open_table(spark, tables[1]).collect())) == rows[0]
+    assert set(os.listdir(scratch)) == before
+    many.raw_root = f"{tmp_dir}/nowhere"
+    assert "PATH_NOT_FOUND" in P.failed(P.stage_all(spark, many))[0]
+
+
+def test_listings_are_forgotten_with_their_readers(spark, tmp_dir):
+    """Spark's shared cache keeps 250 MB of the driver's memory for entries that no other reader looks at."""
+    from taxaspark.sources import raw
+
+    with raw.few_listing_tasks(spark):
+        assert spark.conf.get(raw.KEPT_KEY) == "0"
+    assert spark.conf.get(raw.KEPT_KEY) != "0"
+
+
+def test_names_below_a_folder_that_only_hadoop_reads(spark, tmp_dir, monkeypatch):
+    from taxaspark.sources import snapshots
+
+    os.makedirs(f"{local_path(tmp_dir)}/a, b")
+    names = ["a, b", *[f"s{i}, /x".replace("/", "_") for i in range(7)]]
+    for n in names[1:]:
+        os.makedirs(f"{local_path(tmp_dir)}/{n}")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.names.link./in", f"file://{local_path(tmp_dir)}")
+    monkeypatch.setattr(snapshots, "NAMES", 3)
+    for path in ("viewfs://names/in", f"file://{local_path(tmp_dir)}", tmp_dir):
+        files = snapshots.FileAccess(spark, path)
+        assert files.below(path) == sorted(names) and files.below(f"{path}/nowhere") == []
