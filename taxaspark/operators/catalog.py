@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaspark.sources.raw import few_listing_tasks
+from taxaspark.sources.raw import few_listing_tasks, folder_groups, folder_paths, many_files_a_task, one_by_one
 from taxaspark.sources.snapshots import folder, publish
 
 TABLE, VIEW, EXTERNAL = "TABLE", "VIEW", "EXTERNAL"
@@ -51,7 +51,8 @@ class TableEntry:
     """One catalog object.  ``df`` is its DataFrame, or opens it when called; its files lie below ``path``.
 
     ``files_glob`` (a file-name pattern) and ``files_regex`` (on the full path)
-    pick the table's files there; tables default to ``*.parquet``.
+    pick the table's files there; tables default to ``*.parquet``.  Where opening ``df`` takes a listing of very many files,
+    ``like`` opens something with the same fields, and ``count`` its rows.
     """
     table_id: str
     table_type: str
@@ -62,6 +63,11 @@ class TableEntry:
     external_config: dict | None = None
     files_glob: str | None = None
     files_regex: str | None = None
+    like: Callable[[], DataFrame] | None = None
+    count: Callable[[], int] | None = None
+
+    def fields(self) -> list[T.StructField]:
+        return (self.like() if self.like else self.open()).schema.fields
 
     def open(self) -> DataFrame:
         """Opened once: profile and schema then list its files once."""
@@ -87,7 +93,7 @@ def schema_catalog(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
     rows = []
     for e in entries:
         try:
-            fields = e.open().schema.fields
+            fields = e.fields()
         except Exception:
             continue
         rows += [(e.table_id, i, f.name, type_name(f.dataType), "NULLABLE" if f.nullable else "REQUIRED")
@@ -98,18 +104,21 @@ def schema_catalog(spark: SparkSession, entries: list[TableEntry]) -> DataFrame:
 def files_bytes(spark: SparkSession, path: str, glob: str | None = None, regex: str | None = None) -> int:
     """Total bytes of the files below ``path`` whose name matches ``glob`` and path ``regex``.
 
-    Listed recursively by Spark's (distributed) file listing; only ``path``
-    and ``length`` are selected, so file contents are never read.
+    Listed recursively by Spark's (distributed) file listing, a group of folders after the other where there are very
+    many; only ``path`` and ``length`` are selected, so file contents are never read.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    with few_listing_tasks(spark):
-        files = reader.load(path).select("path", "length")
-    if regex:  # matched against the decoded path (file paths are URIs)
-        files = files.where(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))).rlike(regex))
-    row = files.agg(F.sum("length").alias("b")).first()
-    return int(row["b"] or 0)
+    total = 0
+    for folders in one_by_one(folder_groups(spark, path)):
+        with few_listing_tasks(spark):
+            files = reader.load(path if folders is None else folder_paths(path, folders)).select("path", "length")
+        if regex:  # matched against the decoded path (file paths are URIs)
+            files = files.where(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))).rlike(regex))
+        with many_files_a_task(spark):
+            total += files.agg(F.sum("length").alias("b")).first()["b"] or 0
+    return int(total)
 
 
 PROFILE_SCHEMA = T.StructType([
@@ -137,17 +146,17 @@ def table_profile(spark: SparkSession, entries: list[TableEntry], count_external
     rows = []
     for e in sorted(entries, key=lambda x: x.table_id):
         try:
-            df = e.open()
+            num_fields = len(e.fields())
             num_rows = num_bytes = size_gb = None
             if e.table_type == TABLE or (e.table_type == EXTERNAL and count_external):
-                num_rows = df.count()
+                num_rows = e.count() if e.count else e.open().count()
             if e.table_type in (TABLE, EXTERNAL):
                 if e.path:
                     glob = e.files_glob or ("*.parquet" if e.table_type == TABLE else None)
                     path = folder(spark, e.path) if e.table_type == TABLE else e.path
                     num_bytes = files_bytes(spark, path, glob, e.files_regex)
                 size_gb = round(num_bytes / 1024 ** 3, 2) if num_bytes else 0.0
-            rows.append((e.table_id, e.table_type, len(df.schema.fields), num_rows, num_bytes, size_gb,
+            rows.append((e.table_id, e.table_type, num_fields, num_rows, num_bytes, size_gb,
                          list(e.clustering_fields), e.view_query,
                          json.dumps(e.external_config, sort_keys=True) if e.external_config else None, None))
         except Exception as exc:  # the profile of the other tables goes on

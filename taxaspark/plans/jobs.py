@@ -272,8 +272,16 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
 
     Nothing is opened here: the profile opens each object by itself and keeps its error.
     """
-    def raw(ds):
-        return cache(lambda: scan_ext(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing))  # listed once for both layers
+    groups = cache(lambda: raw_groups(spark, cfg))
+
+    def scan(ds, folders=None):
+        return scan_ext(spark, cfg.raw_root, ds, cfg.run_tag, listing=cfg.listing, folders=folders)
+
+    def like(ds):  # for both layers; of very many folders one is listed
+        return cache(lambda: scan(ds, groups()[0] and groups()[0][:1]))
+
+    def rows(ds):
+        return sum(scan(ds, folders).count() for folders in one_by_one(groups()))
 
     def table(name, **more):
         return TableEntry(name, TABLE, lambda: read_table(spark, cfg.warehouse, name),
@@ -283,14 +291,15 @@ def catalog_entries(spark: SparkSession, cfg: Config) -> list[TableEntry]:
     for name in cfg.datasets:
         ds = DATASETS[name]
         uris = [dataset_glob(cfg.raw_root, ds)]
-        ext = raw(ds)
+        ext, some = cache(lambda ds=ds: scan(ds)), like(ds)  # the whole is listed if somebody opens it
         entries.append(TableEntry(ds.ext_table, EXTERNAL, lambda ext=ext: ext().drop("file_path", "sample_id"),
+                                  like=lambda some=some: some().drop("file_path", "sample_id"), count=lambda ds=ds: rows(ds),
                                   path=cfg.raw_root, files_glob=ds.path_tail.rsplit("/", 1)[-1],
                                   files_regex=layout_regex(cfg.raw_root, ds),
                                   external_config={"source_uris": uris, "num_source_uris": len(uris),
                                                    "source_format": "CSV", "compression": "GZIP",
                                                    "skip_leading_rows": ds.skip_rows, "field_delimiter": "\t"}))
-        entries.append(TableEntry(ds.src_view, VIEW, lambda ext=ext, ds=ds: src_of(ext(), ds),
+        entries.append(TableEntry(ds.src_view, VIEW, lambda ext=ext, ds=ds: src_of(ext(), ds), like=lambda some=some, ds=ds: src_of(some(), ds),
                                   view_query=f"sample_id from path tag '{cfg.run_tag}' + {ds.ext_table}"))
         entries.append(table(ds.stg_table, clustering_fields=["sample_id"]))
     return entries + [table(n) for n in (SAMPLE_MAP_TABLE, ACCESSIONS_TABLE)]

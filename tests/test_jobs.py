@@ -335,6 +335,33 @@ def test_many_folders_are_listed_and_staged_in_groups(spark, tmp_dir, monkeypatc
     assert "PATH_NOT_FOUND" in P.failed(P.stage_all(spark, many))[0]
 
 
+def test_the_catalog_never_lists_more_than_a_group(spark, tmp_dir, monkeypatch):
+    from taxaspark.operators import catalog
+    from taxaspark.sources import raw
+
+    cfg = P.Config(raw_root=odd_tree(local_path(tmp_dir)), warehouse=f"{tmp_dir}/wh", datasets=("marker_presence",))
+    P.stage_all(spark, cfg)
+    keys = ("table_id", "num_fields", "num_rows", "num_bytes", "error")
+
+    def profile(count_external):
+        entries = P.catalog_entries(spark, cfg)
+        made = catalog.table_profile(spark, entries, count_external)
+        fields = sorted(map(tuple, catalog.schema_catalog(spark, entries).collect()))
+        return sorted(map(str, made.where("table_id like '%marker_presence'").select(*keys).collect())), fields
+
+    want = [profile(c) for c in (False, True)]
+    assert any("num_rows=14" in r and "ext_" in r for r in want[1][0])
+    scans, scan = [], P.scan_ext
+    monkeypatch.setattr(P, "scan_ext", lambda *a, **k: scans.append(k["folders"]) or scan(*a, **k))
+    loads, paths = [], catalog.folder_paths
+    monkeypatch.setattr(catalog, "folder_paths", lambda *a: loads.append(found := paths(*a)) or found)
+    monkeypatch.setattr(raw, "FOLDERS", 2)
+    assert profile(False) == want[0]
+    assert [len(f) for f in scans] == [1]  # for the fields of both layers
+    assert loads and max(map(len, loads)) <= 2
+    assert profile(True) == want[1] and max(map(len, scans)) <= 2
+
+
 def test_listings_are_forgotten_with_their_readers(spark, tmp_dir):
     """Spark's shared cache keeps 250 MB of the driver's memory for entries that no other reader looks at."""
     from taxaspark.sources import raw
