@@ -383,3 +383,28 @@ def test_names_below_a_folder_that_only_hadoop_reads(spark, tmp_dir, monkeypatch
     for path in ("viewfs://names/in", f"file://{local_path(tmp_dir)}", tmp_dir):
         files = snapshots.FileAccess(spark, path)
         assert files.below(path) == sorted(names) and files.below(f"{path}/nowhere") == []
+
+
+def test_the_whole_job_in_groups_gives_what_one_listing_gives(spark, tmp_dir, monkeypatch):
+    from taxaspark.sources import raw
+
+    root, names = make_tree(tmp_dir), ("marker_abundance", "metaphlan_viruses_list")
+
+    def run(to):
+        cfg = P.Config(raw_root=root, warehouse=f"{tmp_dir}/{to}/wh", export_root=f"{tmp_dir}/{to}/exp", catalog_out=f"{tmp_dir}/{to}/catalog",
+                       sample_map_csv=f"{tmp_dir}/map.csv", accessions_path=f"{tmp_dir}/acc.tab",
+                       datasets=names)
+        made = P.run_all(spark, cfg)
+        assert not P.failed(made)
+        keys = ("table_id", "table_type", "num_fields", "num_rows")
+        profile = sorted(map(tuple, made["catalog"]["profile"].select(*keys, "error").collect()), key=str)
+        sizes = sorted(map(tuple, made["catalog"]["profile"].where("table_type = 'EXTERNAL'").select("table_id", "num_bytes").collect()))
+        exports = {n: sorted(map(str, open_table(spark, o.path).collect())) for n, o in made["exports"].items()}
+        tables = {n: sorted(map(str, open_table(spark, o.path).collect())) for n, o in made["staged"].items()}
+        return [*map(tuple, made["layers"])], profile, sizes, exports, tables
+
+    want, listed, read = run("one"), [], raw._read_text
+    monkeypatch.setattr(raw, "_read_text", lambda *a, **k: listed.append(df := read(*a, **k)) or df)
+    monkeypatch.setattr(raw, "FOLDERS", 1)
+    assert run("many") == want
+    assert len(listed) >= len(SAMPLES) * len(names) and max(len(df.inputFiles()) for df in listed) == 1
